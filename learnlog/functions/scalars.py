@@ -49,12 +49,11 @@ def log_clip(x: str | Column, low: float = 1.0) -> Column:
 
 
 def fill_mean(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """NULL -> the column's mean (one aggregate row, joined as a constant)."""
+    """NULL -> the column's mean (one scalar aggregate, used as a literal)."""
     cols = list(cols)
-    means = df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(means))  # exactly one row
-    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_mean_{c}")) for c in cols}) \
-              .drop(*[f"_mean_{c}" for c in cols])
+    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c]).cast("double"))
+                           for c in cols})
 
 
 def fill_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -89,12 +89,13 @@ def container_load(q: DataFrame) -> DataFrame:
 def global_means(q: DataFrame) -> DataFrame:
     """One row: label mean, elapsed mean, mean of user means, mean of
     question means (all over question rows)."""
-    users = q.groupBy("user_id").agg(F.avg(LABEL).alias("m"))
-    quest = q.groupBy("content_id").agg(F.avg(LABEL).alias("m"))
     base = q.agg(F.avg(LABEL).alias("label_mean"),
-                 F.avg("prior_question_elapsed_time").alias("elapsed_mean"))
-    return (base.crossJoin(users.agg(F.avg("m").alias("user_mean_mean")))
-                .crossJoin(quest.agg(F.avg("m").alias("question_mean_mean"))))
+                 F.avg("prior_question_elapsed_time").alias("elapsed_mean")).first()
+    um = q.groupBy("user_id").agg(F.avg(LABEL).alias("m")).agg(F.avg("m")).first()[0]
+    qm = q.groupBy("content_id").agg(F.avg(LABEL).alias("m")).agg(F.avg("m")).first()[0]
+    return q.sparkSession.createDataFrame(
+        [(base["label_mean"], base["elapsed_mean"], um, qm)],
+        "label_mean double, elapsed_mean double, user_mean_mean double, question_mean_mean double")
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

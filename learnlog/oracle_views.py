@@ -70,3 +70,21 @@ def with_views(body: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def test_batches_sql(batch_rows: int = 1000) -> str:
+    """CTEs ``g`` (log with group_num) and ``batches`` (the test format)."""
+    return f"""
+g AS (SELECT *, row_id // {batch_rows} AS group_num FROM interactions),
+lists AS (
+  SELECT group_num,
+         '[' || string_agg(CAST(answered_correctly AS VARCHAR), ', ' ORDER BY row_id) || ']' AS ans,
+         '[' || string_agg(CAST(user_answer AS VARCHAR), ', ' ORDER BY row_id) || ']' AS resp
+  FROM g GROUP BY group_num),
+prev AS (
+  SELECT group_num, coalesce(lag(ans) OVER (ORDER BY group_num), '[]') AS prior_group_answers_correct,
+         coalesce(lag(resp) OVER (ORDER BY group_num), '[]') AS prior_group_responses
+  FROM lists),
+batches AS (
+  SELECT g.* EXCLUDE (user_answer, answered_correctly), p.prior_group_answers_correct, p.prior_group_responses
+  FROM g JOIN prev p ON g.group_num = p.group_num)"""

@@ -1 +1,91 @@
-"""Queries (filled in progressively)."""
+"""Queries for the model and metrics (survey 2.10)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import metrics as mt
+from ..operators import model as md
+from ..operators import splits as sp
+from ..operators import stats as st
+from ..oracle_views import with_views
+from ..registry import register
+from .causal import FEATURES, causal_features
+from .common import log
+
+_MODELS: dict = {}
+
+
+def model_table(spark, sf):
+    """Causal features with NULLs imputed and an ordered 80/20 split."""
+    f = causal_features(spark, sf)
+    f = f.fillna({c: 0.0 for c in FEATURES if c not in ("answered_correctly_avg_u", "part_avg_u",
+                                                          "answered_correctly_std_c")})
+    f = f.fillna({"answered_correctly_avg_u": 0.65, "part_avg_u": 0.65, "answered_correctly_std_c": 0.0})
+    return sp.ordered_split(f).withColumn("is_valid", F.col("split") == "valid")
+
+
+def fitted(spark, sf):
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        table = model_table(spark, sf)
+        _MODELS[key] = (md.train_gbt(table, FEATURES), table)
+    return _MODELS[key]
+
+
+@register("train_gbt")
+def train_gbt(spark, sf):
+    model, table = fitted(spark, sf)
+    valid = table.filter("is_valid")
+    return mt.roc_auc(md.predict_scores(model, valid).join(valid.select("row_id", "answered_correctly"), "row_id"),
+                      "answered_correctly", "score")
+
+
+@register("predict_scores")
+def predict_scores(spark, sf):
+    model, table = fitted(spark, sf)
+    return md.predict_scores(model, table.filter("is_valid"))
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    model, _ = fitted(spark, sf)
+    return md.feature_importance(model, FEATURES, spark)
+
+
+SCORED_SQL = """
+scored AS (
+  SELECT i.answered_correctly AS y, c.m AS score
+  FROM interactions i JOIN (SELECT content_id, avg(answered_correctly) AS m FROM interactions
+                            WHERE content_type_id = 0 GROUP BY content_id) c ON i.content_id = c.content_id
+  WHERE i.content_type_id = 0
+),
+g AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY score),
+c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                AS neg_below FROM g)"""
+AUC_SQL = "sum(pos * (neg_below + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg))"
+
+
+def scored(spark, sf):
+    q = log(spark, sf).filter(F.col("content_type_id") == 0)
+    m = st.named_stats(q, "content_id", {"score": F.avg("answered_correctly")})
+    return q.join(m, "content_id", "left")
+
+
+@register("roc_auc", with_views(f"WITH {SCORED_SQL.strip()}\nSELECT {AUC_SQL} AS auc FROM c", "interactions"))
+def roc_auc(spark, sf):
+    return mt.roc_auc(scored(spark, sf), "answered_correctly", "score")
+
+
+@register("scaled_auc_metric", with_views(f"WITH {SCORED_SQL.strip()}\nSELECT 2 * {AUC_SQL} AS auc2 FROM c",
+                                          "interactions"))
+def scaled_auc_metric(spark, sf):
+    return mt.scaled_auc(scored(spark, sf), "answered_correctly", "score")
+
+
+@register("log_loss", with_views(f"""WITH {SCORED_SQL.strip()}
+SELECT -avg(y * ln(least(greatest(score, 1e-15), 1 - 1e-15))
+            + (1 - y) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15))) AS log_loss FROM scored""",
+    "interactions"))
+def log_loss(spark, sf):
+    return mt.log_loss(scored(spark, sf), "answered_correctly", "score")

@@ -100,3 +100,31 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("task_container_id"),
         (F.col("l_returnflag") != "R").cast("int").alias("answered_correctly"),
     )
+
+
+def test_batches(spark: SparkSession, sf_dir: str, batch_rows: int = 1000) -> DataFrame:
+    """Scoring batches in the reference's test format, built from the log.
+
+    Batch ``group_num`` holds ``batch_rows`` consecutive row ids (row ids grow
+    with time). Each row carries the answers and responses of the previous
+    batch as text lists (``'[1, 0, -1]'``, in row order), empty for the first.
+    A list holds at most ``batch_rows`` items, so no group grows with the data.
+    """
+    lg = interactions(spark, sf_dir).withColumn(
+        "group_num", F.floor(F.col("row_id") / F.lit(batch_rows)).cast("long"))
+    items = lg.groupBy("group_num").agg(F.array_sort(F.collect_list(
+        F.struct("row_id", "answered_correctly", "user_answer"))).alias("_items"))
+
+    def as_text(field: str):
+        return F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x[field].cast("string")), ", "),
+                        F.lit("]"))
+
+    lists = items.select("group_num", as_text("answered_correctly").alias("_ans"),
+                         as_text("user_answer").alias("_resp"))
+    prev = running(lists, [], [Agg("prior_group_answers_correct", "last", F.col("_ans")),
+                               Agg("prior_group_responses", "last", F.col("_resp"))],
+                   chunk=F.floor(F.col("group_num") / 1024).cast("long"), order=("group_num",))
+    prev = prev.select("group_num",
+                       F.coalesce("prior_group_answers_correct", F.lit("[]")).alias("prior_group_answers_correct"),
+                       F.coalesce("prior_group_responses", F.lit("[]")).alias("prior_group_responses"))
+    return lg.drop("user_answer", "answered_correctly").join(prev, "group_num", "left")
