@@ -1 +1,96 @@
-"""Queries (filled in progressively)."""
+"""Queries for streaming (survey 2.11). All are rows-only checks (R); the
+tests compare them with the equivalent batch computations."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators.model import GBTConfig, train_gbt
+from ..plans import tail_split as ts
+from ..registry import register
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..streaming.late_labels import batch_filter, run_late_labels, write_batches_as_files
+from ..streaming.scoring import drain_to_parquet, lecture_score_stream, score_stream
+from ..streaming.user_state import stream_user_state as user_state_stream
+
+_MODELS: dict = {}
+BATCH_ROWS = 1000
+
+
+def _base(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def log_stream(spark, sf, base):
+    """The log as a file stream, one file of ``BATCH_ROWS`` row ids per trigger."""
+    lg = fx.interactions(spark, sf).withColumn("group_num", F.floor(F.col("row_id") / BATCH_ROWS).cast("long"))
+    groups = sorted(r["group_num"] for r in lg.select("group_num").distinct().collect())
+    write_batches_as_files(lg, base, groups)
+    return spark.readStream.schema(lg.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+
+def batch_stream(spark, sf, base):
+    b = fx.test_batches(spark, sf, BATCH_ROWS)
+    groups = sorted(r["group_num"] for r in b.select("group_num").distinct().collect())
+    write_batches_as_files(b, base, groups)
+    return spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+
+@register("stream_user_state")
+def stream_user_state(spark, sf):
+    base = _base(spark, "stream-user")
+    out = user_state_stream(log_stream(spark, sf, base))
+    return drain_to_parquet(spark, out, f"{base}/out", f"{base}/ckpt")
+
+
+@register("stream_late_labels")
+def stream_late_labels(spark, sf):
+    return run_late_labels(spark, fx.test_batches(spark, sf, BATCH_ROWS), fx.questions(spark, sf),
+                           _base(spark, "stream-late"))
+
+
+def lecture_model(spark, sf):
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        lg, q, l = fx.interactions(spark, sf), fx.questions(spark, sf), fx.lectures(spark, sf)
+        feats = ts.split_features(lg, q, l)
+        model = train_gbt(feats, ts.FEATURES, cfg=GBTConfig(max_iter=20))
+        _MODELS[key] = (model, ts.materialize(ts.static_tables(lg, q, l), _base(spark, "static")))
+    return _MODELS[key]
+
+
+@register("stream_lecture_score")
+def stream_lecture_score(spark, sf):
+    model, tables = lecture_model(spark, sf)
+    base = _base(spark, "stream-lecture")
+    scores = lecture_score_stream(batch_stream(spark, sf, base), model, tables)
+    return drain_to_parquet(spark, scores, f"{base}/out", f"{base}/ckpt")
+
+
+@register("stream_static_score")
+def stream_static_score(spark, sf):
+    # Frozen user / content / question statistics joined to each micro-batch
+    # (no lecture profile), scored with the same model family.
+    model, tables = lecture_model(spark, sf)
+    base = _base(spark, "stream-static")
+    scores = score_stream(batch_stream(spark, sf, base), model,
+                          lambda q: ts.featurise(q, tables))
+    return drain_to_parquet(spark, scores, f"{base}/out", f"{base}/ckpt")
+
+
+@register("sink_predictions")
+def sink_predictions(spark, sf):
+    model, tables = lecture_model(spark, sf)
+    base = _base(spark, "stream-sink")
+    scores = lecture_score_stream(batch_stream(spark, sf, base), model, tables)
+    return drain_to_parquet(spark, scores, f"{base}/predictions", f"{base}/ckpt")
+
+
+@register("stream_batch_filter")
+def stream_batch_filter(spark, sf):
+    base = _base(spark, "stream-filter")
+    picked = batch_filter(batch_stream(spark, sf, base), 1)
+    return drain_to_parquet(spark, picked, f"{base}/out", f"{base}/ckpt")
