@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import NULL_PART, ORDER
-from .prefix import Agg, WEEK_MS, CONTAINERS_PER_CHUNK, container_chunk, running, time_chunk
+from .prefix import (Agg, CONTAINERS_PER_CHUNK, WEEK_MS, Family, container_chunk, running,
+                     running_families, time_chunk)
 
 
 def _grain_args(grain: str, width: int | None):
@@ -72,12 +73,22 @@ def add_user_feats(df: DataFrame, *, label: str = "answered_correctly", grain: s
     ``df`` needs user_id, content_id, timestamp, row_id (row grain) or
     task_container_id (container grain), the label and ``part`` when
     ``with_part``. The three key families (user; user+part; user+content)
-    all partition by user and chunk first, so they share one shuffle.
+    are one ``running_families`` call: one shuffle of the rows on (user,
+    chunk) serves every join and window.
     """
-    out = user_prior(df, label=label, grain=grain, width=width)
+    y = F.col(label)
+    fams = [Family((Agg("answered_correctly_sum_u", "sum", y), Agg("count_u", "count", F.lit(1))))]
     if with_part:
-        out = user_part_prior(out, label=label, grain=grain, width=width)
-    return first_time(out, grain=grain, width=width)
+        df = df.withColumn("_part_k", part_key())
+        fams.append(Family((Agg("part_sum_u", "sum", y), Agg("part_count_u", "count", F.lit(1))),
+                           ("_part_k",)))
+    fams.append(Family((Agg("_seen_before", "count", F.lit(1)),), ("content_id",)))
+    out = running_families(df, ["user_id"], fams, **_grain_args(grain, width))
+    new = {"answered_correctly_avg_u": ratio("answered_correctly_sum_u", "count_u"),
+           "first_time": (F.col("_seen_before") == 0).cast("int")}
+    if with_part:
+        new["part_avg_u"] = ratio("part_sum_u", "part_count_u")
+    return out.withColumns(new).drop("_seen_before", "_part_k")
 
 
 def recent_mean(df: DataFrame, n: int, *, label: str = "answered_correctly",

@@ -22,6 +22,7 @@ feature families cost one big shuffle, not one per family.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
@@ -65,6 +66,39 @@ def _zero(kind: str) -> Column | None:
     return F.lit(0).cast("long") if kind in ("sum", "count") else None
 
 
+@dataclass(frozen=True)
+class Family:
+    """Running aggregates over ``keys + sub_keys`` (see ``running_families``)."""
+
+    aggs: tuple
+    sub_keys: tuple = ()
+
+
+def _summary(a: Agg, c: Column, order: Sequence[str], container: str | None) -> Column:
+    if a.kind == "sum":
+        return F.sum(c)
+    if a.kind == "count":
+        return F.count(c)
+    if a.kind == "max":
+        return F.max(c)
+    if a.kind in ("last", "next"):
+        if container is not None:
+            raise ValueError(f"'{a.kind}' needs row grain")
+        return (F.max_by if a.kind == "last" else F.min_by)(c, F.struct(*order))
+    raise ValueError(f"unknown kind {a.kind}")
+
+
+def _carried(a: Agg, t: Column, over_chunks) -> Column:
+    before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
+    if a.kind in ("sum", "count"):
+        return F.sum(t).over(before)
+    if a.kind == "max":
+        return F.max(t).over(before)
+    if a.kind == "last":
+        return F.lag(t).over(over_chunks)
+    return F.lead(t).over(over_chunks)
+
+
 def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], *,
             chunk: Column, order: Sequence[str] = ("timestamp", "row_id"),
             container: str | None = None, inclusive: bool = False) -> DataFrame:
@@ -77,72 +111,94 @@ def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], *,
     container counts. ``chunk`` must be non-decreasing in that order. Key
     columns must be non-NULL (map NULL to a sentinel first).
     """
-    aggs = list(aggs)
+    return running_families(df, keys, [Family(tuple(aggs))], chunk=chunk, order=order,
+                            container=container, inclusive=inclusive)
+
+
+def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Family], *,
+                     chunk: Column, order: Sequence[str] = ("timestamp", "row_id"),
+                     container: str | None = None, inclusive: bool = False) -> DataFrame:
+    """Several running-aggregate families over ``keys`` (e.g. user) and
+    ``keys + sub_keys`` (e.g. user+part, user+content) with ONE shuffle of
+    the fact table.
+
+    Every family's carried values are joined on ``(keys, chunk)``: a family
+    with sub-keys packs its carried values per ``(keys, chunk)`` into a map
+    keyed by the sub-key. The map holds one entry per distinct sub-key value
+    present in that chunk, so sub-keys must come from a bounded dimension
+    (question part, content id of the question table). All joins then share
+    the ``(keys, chunk)`` hash partitioning, and every window partitioned by
+    ``(keys, sub_keys, chunk)`` is satisfied by it without a new exchange.
+    """
     keys = list(keys)
     part = keys + [CHUNK]
-    m = {a.name: f"_m_{a.name}" for a in aggs}
-    measured = df.withColumns({CHUNK: chunk, **{m[a.name]: a.col for a in aggs}})
+    all_aggs = [a for f in families for a in f.aggs]
+    m = {a.name: f"_m_{a.name}" for a in all_aggs}
+    measured = df.withColumns({CHUNK: chunk, **{m[a.name]: a.col for a in all_aggs}})
 
     # 1. chunk summaries (partial aggregation) and what each chunk carries in.
-    summary = []
-    for a in aggs:
-        c = F.col(m[a.name])
-        if a.kind == "sum":
-            summary.append(F.sum(c).alias(f"_t_{a.name}"))
-        elif a.kind == "count":
-            summary.append(F.count(c).alias(f"_t_{a.name}"))
-        elif a.kind == "max":
-            summary.append(F.max(c).alias(f"_t_{a.name}"))
-        elif a.kind in ("last", "next"):
-            if container is not None:
-                raise ValueError(f"'{a.kind}' needs row grain")
-            pick = F.max_by if a.kind == "last" else F.min_by
-            summary.append(pick(c, F.struct(*order)).alias(f"_t_{a.name}"))
+    # With several families of re-aggregable kinds, one summary at the finest
+    # grain is computed once (one scan, one exchange that Spark reuses) and
+    # rolled up per family.
+    finest = None
+    all_subs = list(dict.fromkeys(k for f in families for k in f.sub_keys))
+    if len(families) > 1 and all(a.kind in ("sum", "count", "max") for a in all_aggs):
+        finest = measured.groupBy(*keys, *all_subs, CHUNK).agg(
+            *[_summary(a, F.col(m[a.name]), order, container).alias(f"_t_{a.name}") for a in all_aggs])
+    roll = {"sum": F.sum, "count": F.sum, "max": F.max}
+    joined = measured
+    for i, fam in enumerate(families):
+        sub = list(fam.sub_keys)
+        gkeys = keys + sub
+        if finest is not None:
+            totals = finest.groupBy(*gkeys, CHUNK).agg(
+                *[roll[a.kind](f"_t_{a.name}").alias(f"_t_{a.name}") for a in fam.aggs])
         else:
-            raise ValueError(f"unknown kind {a.kind}")
-    totals = measured.groupBy(*part).agg(*summary)
-    over_chunks = (Window.partitionBy(*keys) if keys else Window).orderBy(CHUNK)
-    before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
-    for a in aggs:
-        t = F.col(f"_t_{a.name}")
-        if a.kind in ("sum", "count"):
-            e = F.sum(t).over(before)
-        elif a.kind == "max":
-            e = F.max(t).over(before)
-        elif a.kind == "last":
-            e = F.lag(t).over(over_chunks)
-        else:
-            e = F.lead(t).over(over_chunks)
-        carried.append(e.alias(f"_o_{a.name}"))
-    offsets = totals.select(*part, *carried)
-
-    # 2. carry in, then run inside (key, chunk).
-    joined = measured.join(offsets, on=part, how="left")
-    if container is None:
-        ordered = Window.partitionBy(*part).orderBy(*order)
-        frame = ordered.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    else:
-        ordered = Window.partitionBy(*part).orderBy(container)
-        frame = ordered.rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+            totals = measured.groupBy(*gkeys, CHUNK).agg(
+                *[_summary(a, F.col(m[a.name]), order, container).alias(f"_t_{a.name}") for a in fam.aggs])
+        over_chunks = (Window.partitionBy(*gkeys) if gkeys else Window).orderBy(CHUNK)
+        offsets = totals.select(*gkeys, CHUNK, *[_carried(a, F.col(f"_t_{a.name}"), over_chunks)
+                                                 .alias(f"_o_{a.name}") for a in fam.aggs])
+        if not sub:
+            joined = joined.join(offsets, on=part, how="left")
+            continue
+        key = F.col(sub[0]) if len(sub) == 1 else F.struct(*sub)
+        val = F.struct(*[F.col(f"_o_{a.name}") for a in fam.aggs])
+        not_null = functools.reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in sub])
+        packed = (offsets.where(not_null)
+                  .groupBy(*part).agg(F.map_from_entries(F.collect_list(F.struct(key, val))).alias(f"_map{i}")))
+        entry = F.try_element_at(F.col(f"_map{i}"), key)
+        joined = (joined.join(packed, on=part, how="left")
+                  .withColumns({f"_o_{a.name}": entry[f"_o_{a.name}"] for a in fam.aggs})
+                  .drop(f"_map{i}"))
+
+    # 2. run inside (keys, sub_keys, chunk) and add what was carried in.
     out = {}
-    for a in aggs:
-        c, o = F.col(m[a.name]), F.col(f"_o_{a.name}")
-        if a.kind in ("sum", "count"):
-            inner = F.sum(c) if a.kind == "sum" else F.count(c)
-            z = _zero(a.kind)
-            out[a.name] = (F.coalesce(o, z) + F.coalesce(inner.over(frame), z)).cast("long")
-        elif a.kind == "max":
-            out[a.name] = F.greatest(o, F.max(c).over(frame))
-        elif a.kind == "last":
-            if inclusive:
-                out[a.name] = c
-            else:
-                first_in_chunk = F.lag(F.lit(1)).over(ordered).isNull()
-                out[a.name] = F.when(first_in_chunk, o).otherwise(F.lag(c).over(ordered))
+    for fam in families:
+        wkeys = keys + list(fam.sub_keys) + [CHUNK]
+        if container is None:
+            ordered = Window.partitionBy(*wkeys).orderBy(*order)
+            frame = ordered.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         else:
-            last_in_chunk = F.lead(F.lit(1)).over(ordered).isNull()
-            out[a.name] = F.when(last_in_chunk, o).otherwise(F.lead(c).over(ordered))
+            ordered = Window.partitionBy(*wkeys).orderBy(container)
+            frame = ordered.rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        for a in fam.aggs:
+            c, o = F.col(m[a.name]), F.col(f"_o_{a.name}")
+            if a.kind in ("sum", "count"):
+                inner = F.sum(c) if a.kind == "sum" else F.count(c)
+                z = _zero(a.kind)
+                out[a.name] = (F.coalesce(o, z) + F.coalesce(inner.over(frame), z)).cast("long")
+            elif a.kind == "max":
+                out[a.name] = F.greatest(o, F.max(c).over(frame))
+            elif a.kind == "last":
+                if inclusive:
+                    out[a.name] = c
+                else:
+                    first_in_chunk = F.lag(F.lit(1)).over(ordered).isNull()
+                    out[a.name] = F.when(first_in_chunk, o).otherwise(F.lag(c).over(ordered))
+            else:
+                last_in_chunk = F.lead(F.lit(1)).over(ordered).isNull()
+                out[a.name] = F.when(last_in_chunk, o).otherwise(F.lead(c).over(ordered))
     res = joined.withColumns(out)
-    drop = [CHUNK] + list(m.values()) + [f"_o_{a.name}" for a in aggs]
+    drop = [CHUNK] + list(m.values()) + [f"_o_{a.name}" for a in all_aggs]
     return res.drop(*drop)

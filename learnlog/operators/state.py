@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .history import part_key, ratio
-from .prefix import Agg, WEEK_MS, running, time_chunk
+from .prefix import Agg, Family, WEEK_MS, running_families, time_chunk
 
 LABEL = "answered_correctly"
 
@@ -96,11 +96,12 @@ def add_user_feats_continued(train: DataFrame, valid: DataFrame, label: str = LA
                  .withColumn("part_k", part_key()))
     chunk = F.col("_split").cast("long") * F.lit(SPLIT_SHIFT) + time_chunk("timestamp", width)
     order = ("_split", "timestamp", "row_id")
-    out = running(both, ["user_id"], [Agg("answered_correctly_sum_u", "sum", F.col(label)),
-                                      Agg("count_u", "count", F.lit(1))], chunk=chunk, order=order)
-    out = running(out, ["user_id", "part_k"], [Agg("part_sum_u", "sum", F.col(label)),
-                                               Agg("part_count_u", "count", F.lit(1))], chunk=chunk, order=order)
-    out = running(out, ["user_id", "content_id"], [Agg("_seen", "count", F.lit(1))], chunk=chunk, order=order)
+    y = F.col(label)
+    out = running_families(both, ["user_id"], [
+        Family((Agg("answered_correctly_sum_u", "sum", y), Agg("count_u", "count", F.lit(1)))),
+        Family((Agg("part_sum_u", "sum", y), Agg("part_count_u", "count", F.lit(1))), ("part_k",)),
+        Family((Agg("_seen", "count", F.lit(1)),), ("content_id",)),
+    ], chunk=chunk, order=order)
     return (out.filter(F.col("_split") == 1)
                .withColumns({"first_time": (F.col("_seen") == 0).cast("int"),
                              "answered_correctly_avg_u": ratio("answered_correctly_sum_u", "count_u"),
