@@ -4,11 +4,10 @@
 buffer, so a whole-column quantile would sit in one task. Here:
 
 1. value counts: ``groupBy(x).count()`` (partial aggregation, distributed);
-2. N, min and max: one scalar aggregate (a single small row to the driver);
+2. N, min and max: one scalar aggregate over the column (one small row);
 3. cumulative counts over values in order: the chunked prefix of
    ``operators.prefix`` with value ranges as chunks;
-4. each value row emits the wanted ranks it covers (a literal array of at
-   most 2 x len(probs) ranks); a small group by rank gives the values.
+4. the wanted ranks are matched to values by an equi-join on rank buckets.
 
 Interpolation is linear at position p * (N - 1), as ``quantile_cont`` and
 Spark's ``percentile`` do.
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.prefix import Agg, running
 
 RANGE_CHUNKS = 1024
+RANK_BUCKETS = 4096
 
 
 def _value_counts(df: DataFrame, x: Column) -> DataFrame:
@@ -36,10 +36,13 @@ def quantiles(df: DataFrame, x: str | Column, probs: Sequence[float]) -> list[fl
     """Exact quantiles of ``x`` (NULLs ignored) as Python floats, one per prob.
 
     The result is a handful of scalars; all work on the column is distributed.
+    Wanted ranks are matched to the value whose cumulative-count range holds
+    them by an equi-join on rank buckets: each value row emits the buckets
+    its range covers (at most N / bucket + 2 in total beyond one per row), the
+    wanted ranks (at most 2 per prob, a bound set by the caller) are broadcast.
     """
-    col = F.col(x) if isinstance(x, str) else x
-    vc = _value_counts(df, col)
-    row = vc.agg(F.sum("_n").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+    col = (F.col(x) if isinstance(x, str) else x).cast("double")
+    row = df.agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     n = row["n"]
     if not n:
         return [None for _ in probs]
@@ -48,12 +51,17 @@ def quantiles(df: DataFrame, x: str | Column, probs: Sequence[float]) -> list[fl
     ranks = sorted({int(math.floor(q)) for q in pos} | {int(math.ceil(q)) for q in pos})
     width = (hi - lo) / RANGE_CHUNKS if hi > lo else 1.0
     chunk = F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)).cast("long")
-    cum = running(vc, [], [Agg("_cum", "sum", F.col("_n"))], chunk=chunk, order=("_x",),
-                  inclusive=True)
-    r = F.array(*[F.lit(v) for v in ranks])
-    hit = cum.select("_x", F.explode(F.filter(
-        r, lambda k: (k >= F.col("_cum") - F.col("_n")) & (k < F.col("_cum")))).alias("_rank"))
-    at = {int(rr["_rank"]): float(rr["_x"]) for rr in hit.collect()}
+    cum = running(_value_counts(df, col), [], [Agg("_cum", "sum", F.col("_n"))], chunk=chunk,
+                  order=("_x",), inclusive=True)
+    bucket = max(1, -(-n // RANK_BUCKETS))
+    first = F.col("_cum") - F.col("_n")
+    spans = cum.select("_x", first.alias("_from"), F.col("_cum").alias("_to"), F.explode(F.sequence(
+        F.floor(first / bucket).cast("long"), F.floor((F.col("_cum") - 1) / bucket).cast("long"))).alias("_b"))
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([(k, k // bucket) for k in ranks], "_rank long, _b long")
+    hit = (spans.join(F.broadcast(wanted), "_b")
+                .where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))))
+    at = {int(r["_rank"]): float(r["_x"]) for r in hit.select("_rank", "_x").collect()}
     out = []
     for q in pos:
         a, b = int(math.floor(q)), int(math.ceil(q))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ORDER, PARTS
 from .joins import join_dim
-from .prefix import Agg, WEEK_MS, running, time_chunk
+from .prefix import Agg, Family, WEEK_MS, running, running_families, time_chunk
 
 # Distinct sentinels so a NULL question part never matches a NULL lecture part.
 Q_NULL_PART, L_NULL_PART = -1, -2
@@ -40,17 +40,26 @@ def with_dims(log: DataFrame, questions: DataFrame, lectures: DataFrame) -> Data
     return out.drop("_q_key", "_l_key")
 
 
-def lecture_counters(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
-    """num_lecture_seen, num_question_seen and part1_seen..part7_seen,
-    counted up to and including each row, in one running pass on user."""
+def _counter_aggs() -> list[Agg]:
     is_l = (F.col("content_type_id") == 1).cast("int")
     is_q = (F.col("content_type_id") == 0).cast("int")
     aggs = [Agg("num_lecture_seen", "sum", is_l), Agg("num_question_seen", "sum", is_q)]
     aggs += [Agg(f"part{p}_seen", "sum", (is_q.cast("boolean") & (F.col("_q_part") == p)).cast("int"))
              for p in PARTS]
     # NULL part of a question counts in no part column.
-    aggs = [Agg(a.name, a.kind, F.coalesce(a.col, F.lit(0))) for a in aggs]
-    return running(rows, ["user_id"], aggs, chunk=time_chunk("timestamp", width),
+    return [Agg(a.name, a.kind, F.coalesce(a.col, F.lit(0))) for a in aggs]
+
+
+def _part_key() -> Column:
+    is_q = F.col("content_type_id") == 0
+    return (F.when(is_q, F.coalesce(F.col("_q_part"), F.lit(Q_NULL_PART)))
+             .otherwise(F.coalesce(F.col("_l_part"), F.lit(L_NULL_PART))))
+
+
+def lecture_counters(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
+    """num_lecture_seen, num_question_seen and part1_seen..part7_seen,
+    counted up to and including each row, in one running pass on user."""
+    return running(rows, ["user_id"], _counter_aggs(), chunk=time_chunk("timestamp", width),
                    order=ORDER, inclusive=True)
 
 
@@ -86,9 +95,7 @@ def num_tags_match(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
 def part_matches(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
     """1 when an earlier lecture of the user has this question's part."""
     is_q = F.col("content_type_id") == 0
-    key = F.when(is_q, F.coalesce(F.col("_q_part"), F.lit(Q_NULL_PART))) \
-           .otherwise(F.coalesce(F.col("_l_part"), F.lit(L_NULL_PART)))
-    keyed = rows.withColumn("_pk", key)
+    keyed = rows.withColumn("_pk", _part_key())
     out = running(keyed, ["user_id", "_pk"],
                   [Agg("_lec_seen", "max", (~is_q).cast("int"))],
                   chunk=time_chunk("timestamp", width), order=ORDER)
@@ -113,8 +120,16 @@ def last_lecture_before(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
 def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
                     width: int = WEEK_MS) -> DataFrame:
     """All lecture-history features, returned for question rows only."""
-    rows = with_dims(log, questions, lectures)
-    rows = lecture_counters(rows, width)
-    rows = part_matches(rows, width)
+    rows = with_dims(log, questions, lectures).withColumn("_pk", _part_key())
+    is_q = F.col("content_type_id") == 0
+    # Counters (user) and the part match (user + part, a bounded sub-key) share
+    # one shuffle. Counters include the current row; a question row is never a
+    # lecture, so "lectures up to and including" equals "earlier lectures".
+    rows = running_families(rows, ["user_id"], [
+        Family(tuple(_counter_aggs())),
+        Family((Agg("_lec_seen", "max", (~is_q).cast("int")),), ("_pk",)),
+    ], chunk=time_chunk("timestamp", width), order=ORDER, inclusive=True)
+    rows = rows.withColumn("part_matches", F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0)))
+                           .otherwise(F.lit(0))).drop("_pk", "_lec_seen")
     rows = num_tags_match(rows, width)
-    return rows.filter(F.col("content_type_id") == 0)
+    return rows.filter(is_q)
