@@ -23,16 +23,20 @@ interactions AS (
   FROM (SELECT *, (epoch_us(ts) // 1000 - 1704067200000) AS "timestamp" FROM events) e
 )"""
 
-QUESTIONS = """
+# The question tags expression over ``part`` (also used where a CTE cannot be
+# referenced, e.g. inside a dynamic PIVOT).
+QUESTION_TAGS = """CASE WHEN p_partkey % 19 = 0 THEN NULL
+              ELSE concat_ws(' ', CAST(p_size AS VARCHAR),
+                             CAST(CAST(p_partkey % 23 AS INTEGER) + 60 AS VARCHAR),
+                             CAST(p_size + 10 AS VARCHAR)) END"""
+
+QUESTIONS = f"""
 questions AS (
   SELECT CAST(p_partkey AS INTEGER) AS question_id,
          CAST(floor(p_partkey / 3) AS INTEGER) AS bundle_id,
          CAST(p_partkey % 4 AS INTEGER) AS correct_answer,
          CAST(p_size % 7 + 1 AS INTEGER) AS part,
-         CASE WHEN p_partkey % 19 = 0 THEN NULL
-              ELSE concat_ws(' ', CAST(p_size AS VARCHAR),
-                             CAST(CAST(p_partkey % 23 AS INTEGER) + 60 AS VARCHAR),
-                             CAST(p_size + 10 AS VARCHAR)) END AS tags
+         {QUESTION_TAGS} AS tags
   FROM part WHERE p_partkey < 95
 )"""
 
