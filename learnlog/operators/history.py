@@ -13,16 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import NULL_PART, ORDER
-from .prefix import (Agg, CONTAINERS_PER_CHUNK, WEEK_MS, Family, container_chunk, running,
-                     running_families, time_chunk)
+from .prefix import Agg, Family, chunk_for, running, running_families
 
 
-def _grain_args(grain: str, width: int | None):
+def _grain_args(df: DataFrame, grain: str, width: int | None):
     if grain == "row":
-        return dict(chunk=time_chunk("timestamp", width or WEEK_MS), order=ORDER)
+        return dict(chunk=chunk_for(df, "timestamp", width), order=ORDER)
     if grain == "container":
-        return dict(chunk=container_chunk("task_container_id", width or CONTAINERS_PER_CHUNK),
-                    container="task_container_id")
+        return dict(chunk=chunk_for(df, "task_container_id", width), container="task_container_id")
     raise ValueError(f"grain must be row or container, not {grain}")
 
 
@@ -43,7 +41,7 @@ def user_prior(df: DataFrame, *, label: str = "answered_correctly", grain: str =
     out = running(df, ["user_id"],
                   [Agg("answered_correctly_sum_u", "sum", F.col(label)),
                    Agg("count_u", "count", F.lit(1))],
-                  **_grain_args(grain, width))
+                  **_grain_args(df, grain, width))
     return out.withColumn("answered_correctly_avg_u",
                           ratio("answered_correctly_sum_u", "count_u"))
 
@@ -55,14 +53,14 @@ def user_part_prior(df: DataFrame, *, label: str = "answered_correctly", grain:
     out = running(keyed, ["user_id", "_part_k"],
                   [Agg("part_sum_u", "sum", F.col(label)),
                    Agg("part_count_u", "count", F.lit(1))],
-                  **_grain_args(grain, width))
+                  **_grain_args(df, grain, width))
     return out.withColumn("part_avg_u", ratio("part_sum_u", "part_count_u")).drop("_part_k")
 
 
 def first_time(df: DataFrame, *, grain: str = "row", width: int | None = None) -> DataFrame:
     """1 when the user meets this content for the first time, else 0."""
     out = running(df, ["user_id", "content_id"], [Agg("_seen_before", "count", F.lit(1))],
-                  **_grain_args(grain, width))
+                  **_grain_args(df, grain, width))
     return out.withColumn("first_time", (F.col("_seen_before") == 0).cast("int")).drop("_seen_before")
 
 
@@ -83,7 +81,7 @@ def add_user_feats(df: DataFrame, *, label: str = "answered_correctly", grain: s
         fams.append(Family((Agg("part_sum_u", "sum", y), Agg("part_count_u", "count", F.lit(1))),
                            ("_part_k",)))
     fams.append(Family((Agg("_seen_before", "count", F.lit(1)),), ("content_id",)))
-    out = running_families(df, ["user_id"], fams, **_grain_args(grain, width))
+    out = running_families(df, ["user_id"], fams, **_grain_args(df, grain, width))
     new = {"answered_correctly_avg_u": ratio("answered_correctly_sum_u", "count_u"),
            "first_time": (F.col("_seen_before") == 0).cast("int")}
     if with_part:
@@ -102,7 +100,7 @@ def recent_mean(df: DataFrame, n: int, *, label: str = "answered_correctly",
     """
     pos = running(df, ["user_id"],
                   [Agg("_s", "sum", F.col(label)), Agg("_p", "count", F.lit(1))],
-                  **_grain_args("row", width))
+                  **_grain_args(df, "row", width))
     back = pos.select("user_id", (F.col("_p") + n).alias("_p"), F.col("_s").alias("_s_back"))
     j = pos.join(back, ["user_id", "_p"], "left")
     recent_sum = F.col("_s") - F.coalesce(F.col("_s_back"), F.lit(0))
@@ -112,14 +110,14 @@ def recent_mean(df: DataFrame, n: int, *, label: str = "answered_correctly",
 
 def user_change(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """1 at each user's first row, else 0."""
-    out = running(df, ["user_id"], [Agg("_n_before", "count", F.lit(1))], **_grain_args("row", width))
+    out = running(df, ["user_id"], [Agg("_n_before", "count", F.lit(1))], **_grain_args(df, "row", width))
     return out.withColumn("user_change", (F.col("_n_before") == 0).cast("int")).drop("_n_before")
 
 
 def time_diff(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """Gap to the user's previous row; 0 on the user's first row."""
     out = running(df, ["user_id"], [Agg("_prev_ts", "last", F.col("timestamp"))],
-                  **_grain_args("row", width))
+                  **_grain_args(df, "row", width))
     return out.withColumn("time_diff", F.coalesce(F.col("timestamp") - F.col("_prev_ts"), F.lit(0))
                           .cast("long")).drop("_prev_ts")
 
@@ -128,7 +126,7 @@ def answer_time(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """The next row's prior_question_elapsed_time within the user."""
     return running(df, ["user_id"],
                    [Agg("answer_time", "next", F.col("prior_question_elapsed_time"))],
-                   **_grain_args("row", width))
+                   **_grain_args(df, "row", width))
 
 
 def user_relative_time(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ORDER, PARTS
 from .joins import join_dim
-from .prefix import Agg, Family, WEEK_MS, running, running_families, time_chunk
+from .prefix import Agg, Family, auto_width, chunk_for, running, running_families
 
 # Distinct sentinels so a NULL question part never matches a NULL lecture part.
 Q_NULL_PART, L_NULL_PART = -1, -2
@@ -56,14 +56,14 @@ def _part_key() -> Column:
              .otherwise(F.coalesce(F.col("_l_part"), F.lit(L_NULL_PART))))
 
 
-def lecture_counters(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
+def lecture_counters(rows: DataFrame, width: int | None = None) -> DataFrame:
     """num_lecture_seen, num_question_seen and part1_seen..part7_seen,
     counted up to and including each row, in one running pass on user."""
-    return running(rows, ["user_id"], _counter_aggs(), chunk=time_chunk("timestamp", width),
+    return running(rows, ["user_id"], _counter_aggs(), chunk=chunk_for(rows, "timestamp", width),
                    order=ORDER, inclusive=True)
 
 
-def num_tags_match(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
+def num_tags_match(rows: DataFrame, width: int | None = None) -> DataFrame:
     """Per question row: earlier lectures of the user (with multiplicity)
     whose tag is one of the question's tags.
 
@@ -82,7 +82,7 @@ def num_tags_match(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
                     F.lit(1).alias("_is_lec")))
     both = probes.unionByName(lecs)
     counted = running(both, ["user_id", "_tag"], [Agg("_lec_before", "sum", F.col("_is_lec"))],
-                      chunk=time_chunk("timestamp", width), order=ORDER)
+                      chunk=chunk_for(rows, "timestamp", width), order=ORDER)
     per_row = (counted.filter(F.col("_is_lec") == 0)
                .groupBy("row_id").agg(F.sum("_lec_before").cast("long").alias("_m")))
     return (rows.join(per_row, "row_id", "left")
@@ -92,35 +92,36 @@ def num_tags_match(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
                 .drop("_m"))
 
 
-def part_matches(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
+def part_matches(rows: DataFrame, width: int | None = None) -> DataFrame:
     """1 when an earlier lecture of the user has this question's part."""
     is_q = F.col("content_type_id") == 0
     keyed = rows.withColumn("_pk", _part_key())
     out = running(keyed, ["user_id", "_pk"],
                   [Agg("_lec_seen", "max", (~is_q).cast("int"))],
-                  chunk=time_chunk("timestamp", width), order=ORDER)
+                  chunk=chunk_for(rows, "timestamp", width), order=ORDER)
     return (out.withColumn("part_matches",
                            F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0))).otherwise(F.lit(0)))
                .drop("_pk", "_lec_seen"))
 
 
-def last_lecture_before(rows: DataFrame, width: int = WEEK_MS) -> DataFrame:
+def last_lecture_before(rows: DataFrame, width: int | None = None) -> DataFrame:
     """As-of match: for each row, the user's latest earlier lecture
     (prev_lecture_id, prev_lecture_ts), NULL when none."""
     is_l = F.col("content_type_id") == 1
     mark = F.when(is_l, F.struct(F.col("timestamp").alias("ts"), F.col("row_id").alias("rid"),
                                  F.col("content_id").alias("lid")))
     out = running(rows, ["user_id"], [Agg("_last_l", "max", mark)],
-                  chunk=time_chunk("timestamp", width), order=ORDER)
+                  chunk=chunk_for(rows, "timestamp", width), order=ORDER)
     return (out.withColumn("prev_lecture_id", F.col("_last_l.lid"))
                .withColumn("prev_lecture_ts", F.col("_last_l.ts"))
                .drop("_last_l"))
 
 
 def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
-                    width: int = WEEK_MS) -> DataFrame:
+                    width: int | None = None) -> DataFrame:
     """All lecture-history features, returned for question rows only."""
     rows = with_dims(log, questions, lectures).withColumn("_pk", _part_key())
+    width = width if width is not None else auto_width(rows, "timestamp")
     is_q = F.col("content_type_id") == 0
     # Counters (user) and the part match (user + part, a bounded sub-key) share
     # one shuffle. Counters include the current row; a question row is never a
@@ -128,7 +129,7 @@ def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
     rows = running_families(rows, ["user_id"], [
         Family(tuple(_counter_aggs())),
         Family((Agg("_lec_seen", "max", (~is_q).cast("int")),), ("_pk",)),
-    ], chunk=time_chunk("timestamp", width), order=ORDER, inclusive=True)
+    ], chunk=chunk_for(rows, "timestamp", width), order=ORDER, inclusive=True)
     rows = rows.withColumn("part_matches", F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0)))
                            .otherwise(F.lit(0))).drop("_pk", "_lec_seen")
     rows = num_tags_match(rows, width)

@@ -23,6 +23,7 @@ feature families cost one big shuffle, not one per family.
 from __future__ import annotations
 
 import functools
+import math
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 
-# Default chunk widths. A week of milliseconds for time-ordered logs; for
-# container-ordered logs a range of container ids.
+# Fixed chunk widths for callers that pass one explicitly: a week of
+# milliseconds, or a range of container ids. By default widths are derived
+# from the data (``auto_width``).
 WEEK_MS = 7 * 86_400_000
 CONTAINERS_PER_CHUNK = 4096
 
@@ -51,6 +53,37 @@ class Agg:
     col: Column
 
 
+# Target rows per (key, chunk) window task when the width is derived from
+# the data: a few hundred MB of rows per task.
+ROWS_PER_CHUNK = 4_000_000
+_WIDTHS: dict = {}
+
+
+def auto_width(df: DataFrame, col: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
+    """Chunk width for ``col`` so that a key holding ALL rows spread over the
+    column's range would get about ``rows_per_chunk`` rows per chunk:
+    width = range * rows_per_chunk / rows. One scalar aggregate; cached by the
+    plan's semantic hash (results never depend on the width, only the task
+    sizes do, so a stale width is harmless). Small data gets one chunk.
+    """
+    key = (df.select(col).semanticHash(), rows_per_chunk)
+    if key not in _WIDTHS:
+        c = F.col(col)
+        r = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+        if not r["n"]:
+            _WIDTHS[key] = 1
+        else:
+            span = float(r["hi"]) - float(r["lo"]) + 1.0
+            _WIDTHS[key] = max(1, int(math.ceil(span * rows_per_chunk / r["n"])))
+    return _WIDTHS[key]
+
+
+def chunk_for(df: DataFrame, col: str, width: int | None = None) -> Column:
+    """floor(col / width); the width is derived from the data when not given."""
+    w = width if width is not None else auto_width(df, col)
+    return F.floor(F.col(col) / F.lit(w)).cast("long")
+
+
 def time_chunk(ts: str | Column = "timestamp", width: int = WEEK_MS) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.floor(c / F.lit(width)).cast("long")

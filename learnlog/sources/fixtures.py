@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefix import Agg, running, time_chunk
+from ..operators.prefix import Agg, chunk_for, running
 
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY_MS = 86_400_000
@@ -48,7 +48,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         withc, ["user_id"],
         [Agg("prior_question_elapsed_time", "last", F.col("_value")),
          Agg("prior_question_had_explanation", "last", F.col("_error"))],
-        chunk=time_chunk("timestamp"))
+        chunk=chunk_for(withc, "timestamp"))
     return lagged.select(
         "row_id", "timestamp", "user_id", "content_id", "content_type_id",
         "task_container_id", "user_answer", "answered_correctly",

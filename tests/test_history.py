@@ -102,3 +102,30 @@ def test_container_grain_rows_in_one_container_do_not_see_each_other(spark):
     got = {r["row_id"]: r for r in h.add_user_feats(df, grain="container", with_part=False, width=2).collect()}
     assert [got[i]["count_u"] for i in range(6)] == [0, 0, 2, 2, 2, 5]
     assert [got[i]["first_time"] for i in range(6)] == [1, 1, 0, 0, 0, 0]
+
+
+def test_hot_user_is_split_into_many_chunks_and_stays_exact(spark):
+    import random
+    from learnlog.operators.prefix import auto_width
+    rnd = random.Random(11)
+    rows, rid = [], 0
+    for u in range(20):
+        n = 600 if u == 0 else 60  # user 0 holds a third of the log
+        ts = 0
+        for _ in range(n):
+            ts += rnd.choice([0, 1, 2, 5])
+            rows.append(dict(row_id=rid, timestamp=ts, user_id=u, content_id=rnd.randrange(9), content_type_id=0,
+                             task_container_id=0, user_answer=0, answered_correctly=rnd.randint(0, 1),
+                             prior_question_elapsed_time=None, prior_question_had_explanation=None,
+                             part=rnd.randint(1, 7)))
+            rid += 1
+    df = spark.createDataFrame([{k: v for k, v in r.items() if k != "part"} for r in rows], INTERACTIONS)
+    df = df.join(spark.createDataFrame([(r["row_id"], r["part"]) for r in rows], "row_id long, part int"), "row_id")
+    w = auto_width(df, "timestamp", rows_per_chunk=40)
+    chunks = df.filter("user_id = 0").select(F.floor(F.col("timestamp") / w)).distinct().count()
+    assert chunks >= 10  # the hot user is spread over many window tasks
+    got = {r["row_id"]: r.asDict() for r in h.add_user_feats(df, width=w).collect()}
+    want = user_feats(rows)
+    for rid, exp in want.items():
+        for k, v in exp.items():
+            assert _same(got[rid][k], v), (rid, k)
