@@ -26,6 +26,26 @@ LOCAL_CONF = {
 }
 
 
+# Settings for a large cluster run (about 100 TB of log, ~1000 executors).
+# They are what a submitter would pass with --conf; the library never sets
+# them itself. Start with many shuffle partitions and let AQE coalesce them to
+# ~256 MB; split files into 256 MB input partitions; split skewed join
+# partitions; keep checkpoints and written tables on shared storage
+# (spark.checkpoint.dir is the cluster's).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "learnlog") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
