@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators.model import GBTConfig, train_gbt
+from ..plans import static_score as ss
 from ..plans import tail_split as ts
 from ..registry import register
 from ..session import scratch_path
@@ -70,14 +71,22 @@ def stream_lecture_score(spark, sf):
     return drain_to_parquet(spark, scores, f"{base}/out", f"{base}/ckpt")
 
 
+def static_model(spark, sf):
+    key = ("static", id(spark), sf)
+    if key not in _MODELS:
+        lg, q = fx.interactions(spark, sf), fx.questions(spark, sf)
+        stats = ss.materialize(ss.static_stats(lg, q), _base(spark, "static-stats"))
+        _MODELS[key] = (ss.train(lg, stats), stats)
+    return _MODELS[key]
+
+
 @register("stream_static_score")
 def stream_static_score(spark, sf):
-    # Frozen user / content / question statistics joined to each micro-batch
-    # (no lecture profile), scored with the same model family.
-    model, tables = lecture_model(spark, sf)
+    # Frozen user / content / question statistics joined to each micro-batch,
+    # NULLs filled with 0.5, scored by the model trained on the log.
+    model, stats = static_model(spark, sf)
     base = _base(spark, "stream-static")
-    scores = score_stream(batch_stream(spark, sf, base), model,
-                          lambda q: ts.featurise(q, tables))
+    scores = score_stream(batch_stream(spark, sf, base), model, lambda q: ss.featurise(q, stats))
     return drain_to_parquet(spark, scores, f"{base}/out", f"{base}/ckpt")
 
 

@@ -38,3 +38,23 @@ def test_late_labels_equal_container_grain_history(spark):
     cols = ["row_id", "answered_correctly_sum_u", "count_u", "part_sum_u", "part_count_u", "first_time"]
     assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
     assert got.count() == q.count()
+
+
+def test_stream_static_score_equals_batch_scoring(spark):
+    from learnlog.operators.model import predict_scores
+    from learnlog.plans import static_score as ss
+    from learnlog.plans.q_streaming import batch_stream
+    from learnlog.streaming.scoring import score_stream
+
+    lg, qd = fx.interactions(spark, SMOKE_SF), fx.questions(spark, SMOKE_SF)
+    base = scratch_path(spark, f"t-static-{uuid.uuid4().hex}")
+    stats = ss.materialize(ss.static_stats(lg, qd), f"{base}/stats")
+    model = ss.train(lg, stats)
+    streamed = drain_to_parquet(spark, score_stream(batch_stream(spark, SMOKE_SF, base), model,
+                                                    lambda q: ss.featurise(q, stats)),
+                                f"{base}/out", f"{base}/ckpt")
+    batch = predict_scores(model, ss.featurise(lg, stats))
+    a = {r["row_id"]: r["score"] for r in streamed.collect()}
+    b = {r["row_id"]: r["score"] for r in batch.collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
