@@ -13,14 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import NULL_PART, ORDER
-from .prefix import Agg, Family, chunk_for, running, running_families
+from .prefix import Agg, Family, running, running_families, split_chunks
 
 
-def _grain_args(df: DataFrame, grain: str, width: int | None):
+def _chunked(df: DataFrame, keys: list[str], grain: str, width: int | None):
+    """(frame with chunk ids, running() arguments) for a grain; hot (key,
+    chunk) groups are cut finer (``prefix.split_chunks``)."""
     if grain == "row":
-        return dict(chunk=chunk_for(df, "timestamp", width), order=ORDER)
+        df, chunk = split_chunks(df, keys, "timestamp", width)
+        return df, dict(chunk=chunk, order=ORDER)
     if grain == "container":
-        return dict(chunk=chunk_for(df, "task_container_id", width), container="task_container_id")
+        df, chunk = split_chunks(df, keys, "task_container_id", width)
+        return df, dict(chunk=chunk, container="task_container_id")
     raise ValueError(f"grain must be row or container, not {grain}")
 
 
@@ -38,10 +42,10 @@ def part_key(part: str = "part") -> Column:
 def user_prior(df: DataFrame, *, label: str = "answered_correctly", grain: str = "row",
                width: int | None = None) -> DataFrame:
     """answered_correctly_sum_u / count_u / answered_correctly_avg_u."""
+    df, kw = _chunked(df, ["user_id"], grain, width)
     out = running(df, ["user_id"],
                   [Agg("answered_correctly_sum_u", "sum", F.col(label)),
-                   Agg("count_u", "count", F.lit(1))],
-                  **_grain_args(df, grain, width))
+                   Agg("count_u", "count", F.lit(1))], **kw)
     return out.withColumn("answered_correctly_avg_u",
                           ratio("answered_correctly_sum_u", "count_u"))
 
@@ -49,18 +53,17 @@ def user_prior(df: DataFrame, *, label: str = "answered_correctly", grain: str =
 def user_part_prior(df: DataFrame, *, label: str = "answered_correctly", grain: str = "row",
                     width: int | None = None) -> DataFrame:
     """part_sum_u / part_count_u / part_avg_u over earlier rows of the same part."""
-    keyed = df.withColumn("_part_k", part_key())
+    keyed, kw = _chunked(df.withColumn("_part_k", part_key()), ["user_id", "_part_k"], grain, width)
     out = running(keyed, ["user_id", "_part_k"],
                   [Agg("part_sum_u", "sum", F.col(label)),
-                   Agg("part_count_u", "count", F.lit(1))],
-                  **_grain_args(df, grain, width))
+                   Agg("part_count_u", "count", F.lit(1))], **kw)
     return out.withColumn("part_avg_u", ratio("part_sum_u", "part_count_u")).drop("_part_k")
 
 
 def first_time(df: DataFrame, *, grain: str = "row", width: int | None = None) -> DataFrame:
     """1 when the user meets this content for the first time, else 0."""
-    out = running(df, ["user_id", "content_id"], [Agg("_seen_before", "count", F.lit(1))],
-                  **_grain_args(df, grain, width))
+    df, kw = _chunked(df, ["user_id", "content_id"], grain, width)
+    out = running(df, ["user_id", "content_id"], [Agg("_seen_before", "count", F.lit(1))], **kw)
     return out.withColumn("first_time", (F.col("_seen_before") == 0).cast("int")).drop("_seen_before")
 
 
@@ -81,7 +84,8 @@ def add_user_feats(df: DataFrame, *, label: str = "answered_correctly", grain: s
         fams.append(Family((Agg("part_sum_u", "sum", y), Agg("part_count_u", "count", F.lit(1))),
                            ("_part_k",)))
     fams.append(Family((Agg("_seen_before", "count", F.lit(1)),), ("content_id",)))
-    out = running_families(df, ["user_id"], fams, **_grain_args(df, grain, width))
+    df, kw = _chunked(df, ["user_id"], grain, width)
+    out = running_families(df, ["user_id"], fams, **kw)
     new = {"answered_correctly_avg_u": ratio("answered_correctly_sum_u", "count_u"),
            "first_time": (F.col("_seen_before") == 0).cast("int")}
     if with_part:
@@ -98,9 +102,8 @@ def recent_mean(df: DataFrame, n: int, *, label: str = "answered_correctly",
     ``(user_id, position)``, which stays balanced for a hot user because
     positions spread it across partitions.
     """
-    pos = running(df, ["user_id"],
-                  [Agg("_s", "sum", F.col(label)), Agg("_p", "count", F.lit(1))],
-                  **_grain_args(df, "row", width))
+    df, kw = _chunked(df, ["user_id"], "row", width)
+    pos = running(df, ["user_id"], [Agg("_s", "sum", F.col(label)), Agg("_p", "count", F.lit(1))], **kw)
     back = pos.select("user_id", (F.col("_p") + n).alias("_p"), F.col("_s").alias("_s_back"))
     j = pos.join(back, ["user_id", "_p"], "left")
     recent_sum = F.col("_s") - F.coalesce(F.col("_s_back"), F.lit(0))
@@ -110,23 +113,23 @@ def recent_mean(df: DataFrame, n: int, *, label: str = "answered_correctly",
 
 def user_change(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """1 at each user's first row, else 0."""
-    out = running(df, ["user_id"], [Agg("_n_before", "count", F.lit(1))], **_grain_args(df, "row", width))
+    df, kw = _chunked(df, ["user_id"], "row", width)
+    out = running(df, ["user_id"], [Agg("_n_before", "count", F.lit(1))], **kw)
     return out.withColumn("user_change", (F.col("_n_before") == 0).cast("int")).drop("_n_before")
 
 
 def time_diff(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """Gap to the user's previous row; 0 on the user's first row."""
-    out = running(df, ["user_id"], [Agg("_prev_ts", "last", F.col("timestamp"))],
-                  **_grain_args(df, "row", width))
+    df, kw = _chunked(df, ["user_id"], "row", width)
+    out = running(df, ["user_id"], [Agg("_prev_ts", "last", F.col("timestamp"))], **kw)
     return out.withColumn("time_diff", F.coalesce(F.col("timestamp") - F.col("_prev_ts"), F.lit(0))
                           .cast("long")).drop("_prev_ts")
 
 
 def answer_time(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """The next row's prior_question_elapsed_time within the user."""
-    return running(df, ["user_id"],
-                   [Agg("answer_time", "next", F.col("prior_question_elapsed_time"))],
-                   **_grain_args(df, "row", width))
+    df, kw = _chunked(df, ["user_id"], "row", width)
+    return running(df, ["user_id"], [Agg("answer_time", "next", F.col("prior_question_elapsed_time"))], **kw)
 
 
 def user_relative_time(df: DataFrame) -> DataFrame:

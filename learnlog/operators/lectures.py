@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ORDER, PARTS
 from .joins import join_dim
-from .prefix import Agg, Family, auto_width, chunk_for, running, running_families
+from .prefix import Agg, Family, auto_width, running, running_families, split_chunks
 
 # Distinct sentinels so a NULL question part never matches a NULL lecture part.
 Q_NULL_PART, L_NULL_PART = -1, -2
@@ -59,8 +59,8 @@ def _part_key() -> Column:
 def lecture_counters(rows: DataFrame, width: int | None = None) -> DataFrame:
     """num_lecture_seen, num_question_seen and part1_seen..part7_seen,
     counted up to and including each row, in one running pass on user."""
-    return running(rows, ["user_id"], _counter_aggs(), chunk=chunk_for(rows, "timestamp", width),
-                   order=ORDER, inclusive=True)
+    rows, chunk = split_chunks(rows, ["user_id"], "timestamp", width)
+    return running(rows, ["user_id"], _counter_aggs(), chunk=chunk, order=ORDER, inclusive=True)
 
 
 def num_tags_match(rows: DataFrame, width: int | None = None) -> DataFrame:
@@ -80,9 +80,9 @@ def num_tags_match(rows: DataFrame, width: int | None = None) -> DataFrame:
     lecs = (rows.filter(~is_q & F.col("_l_tag").isNotNull())
             .select("row_id", "timestamp", "user_id", F.col("_l_tag").alias("_tag"),
                     F.lit(1).alias("_is_lec")))
-    both = probes.unionByName(lecs)
+    both, chunk = split_chunks(probes.unionByName(lecs), ["user_id", "_tag"], "timestamp", width)
     counted = running(both, ["user_id", "_tag"], [Agg("_lec_before", "sum", F.col("_is_lec"))],
-                      chunk=chunk_for(rows, "timestamp", width), order=ORDER)
+                      chunk=chunk, order=ORDER)
     per_row = (counted.filter(F.col("_is_lec") == 0)
                .groupBy("row_id").agg(F.sum("_lec_before").cast("long").alias("_m")))
     return (rows.join(per_row, "row_id", "left")
@@ -95,10 +95,9 @@ def num_tags_match(rows: DataFrame, width: int | None = None) -> DataFrame:
 def part_matches(rows: DataFrame, width: int | None = None) -> DataFrame:
     """1 when an earlier lecture of the user has this question's part."""
     is_q = F.col("content_type_id") == 0
-    keyed = rows.withColumn("_pk", _part_key())
-    out = running(keyed, ["user_id", "_pk"],
-                  [Agg("_lec_seen", "max", (~is_q).cast("int"))],
-                  chunk=chunk_for(rows, "timestamp", width), order=ORDER)
+    keyed, chunk = split_chunks(rows.withColumn("_pk", _part_key()), ["user_id", "_pk"], "timestamp", width)
+    out = running(keyed, ["user_id", "_pk"], [Agg("_lec_seen", "max", (~is_q).cast("int"))],
+                  chunk=chunk, order=ORDER)
     return (out.withColumn("part_matches",
                            F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0))).otherwise(F.lit(0)))
                .drop("_pk", "_lec_seen"))
@@ -110,8 +109,8 @@ def last_lecture_before(rows: DataFrame, width: int | None = None) -> DataFrame:
     is_l = F.col("content_type_id") == 1
     mark = F.when(is_l, F.struct(F.col("timestamp").alias("ts"), F.col("row_id").alias("rid"),
                                  F.col("content_id").alias("lid")))
-    out = running(rows, ["user_id"], [Agg("_last_l", "max", mark)],
-                  chunk=chunk_for(rows, "timestamp", width), order=ORDER)
+    rows, chunk = split_chunks(rows, ["user_id"], "timestamp", width)
+    out = running(rows, ["user_id"], [Agg("_last_l", "max", mark)], chunk=chunk, order=ORDER)
     return (out.withColumn("prev_lecture_id", F.col("_last_l.lid"))
                .withColumn("prev_lecture_ts", F.col("_last_l.ts"))
                .drop("_last_l"))
@@ -122,6 +121,7 @@ def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
     """All lecture-history features, returned for question rows only."""
     rows = with_dims(log, questions, lectures).withColumn("_pk", _part_key())
     width = width if width is not None else auto_width(rows, "timestamp")
+    rows, chunk = split_chunks(rows, ["user_id"], "timestamp", width)
     is_q = F.col("content_type_id") == 0
     # Counters (user) and the part match (user + part, a bounded sub-key) share
     # one shuffle. Counters include the current row; a question row is never a
@@ -129,7 +129,7 @@ def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
     rows = running_families(rows, ["user_id"], [
         Family(tuple(_counter_aggs())),
         Family((Agg("_lec_seen", "max", (~is_q).cast("int")),), ("_pk",)),
-    ], chunk=chunk_for(rows, "timestamp", width), order=ORDER, inclusive=True)
+    ], chunk=chunk, order=ORDER, inclusive=True)
     rows = rows.withColumn("part_matches", F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0)))
                            .otherwise(F.lit(0))).drop("_pk", "_lec_seen")
     rows = num_tags_match(rows, width)

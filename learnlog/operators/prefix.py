@@ -56,26 +56,33 @@ class Agg:
 # Target rows per (key, chunk) window task when the width is derived from
 # the data: a few hundred MB of rows per task.
 ROWS_PER_CHUNK = 4_000_000
-_WIDTHS: dict = {}
+# Slots for refined sub-chunks inside one coarse chunk (see split_chunks).
+FINE_SLOTS = 1 << 20
+_STATS: dict = {}
+_HOT: dict = {}
+
+
+def _col_stats(df: DataFrame, col: str) -> tuple[int, float, float]:
+    """(rows, min, max) of a column: one scalar aggregate, cached by the
+    plan's semantic hash (used only to size chunks, never for results)."""
+    key = df.select(col).semanticHash()
+    if key not in _STATS:
+        c = F.col(col)
+        r = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+        _STATS[key] = (r["n"] or 0, float(r["lo"] or 0), float(r["hi"] or 0))
+    return _STATS[key]
 
 
 def auto_width(df: DataFrame, col: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
     """Chunk width for ``col`` so that a key holding ALL rows spread over the
     column's range would get about ``rows_per_chunk`` rows per chunk:
-    width = range * rows_per_chunk / rows. One scalar aggregate; cached by the
-    plan's semantic hash (results never depend on the width, only the task
-    sizes do, so a stale width is harmless). Small data gets one chunk.
+    width = range * rows_per_chunk / rows. Results never depend on the width,
+    only the task sizes do. Small data gets one chunk.
     """
-    key = (df.select(col).semanticHash(), rows_per_chunk)
-    if key not in _WIDTHS:
-        c = F.col(col)
-        r = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-        if not r["n"]:
-            _WIDTHS[key] = 1
-        else:
-            span = float(r["hi"]) - float(r["lo"]) + 1.0
-            _WIDTHS[key] = max(1, int(math.ceil(span * rows_per_chunk / r["n"])))
-    return _WIDTHS[key]
+    n, lo, hi = _col_stats(df, col)
+    if not n:
+        return 1
+    return max(1, int(math.ceil((hi - lo + 1.0) * rows_per_chunk / n)))
 
 
 def chunk_for(df: DataFrame, col: str, width: int | None = None) -> Column:
@@ -84,6 +91,49 @@ def chunk_for(df: DataFrame, col: str, width: int | None = None) -> Column:
     return F.floor(F.col(col) / F.lit(w)).cast("long")
 
 
+def split_chunks(df: DataFrame, keys: Sequence[str], col: str, width: int | None = None,
+                 rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, Column]:
+    """Chunks for ``running_families`` that stay near ``rows_per_chunk`` rows
+    even for a key whose rows are packed into a short span (a burst).
+
+    Coarse chunks are ``floor(col / width)``. One aggregate finds the
+    (key, coarse chunk) groups above ``rows_per_chunk`` rows; there are at
+    most rows / rows_per_chunk of them, so that list is a proven-small
+    broadcast. Only those groups are cut again with a finer width sized to
+    their count and span. Chunk ids stay non-decreasing in ``col`` within a key; rows
+    with one equal ``col`` value are never split (a RANGE peer group or a
+    single instant stays whole). Returns the frame (with a ``_chunk_in``
+    column) and the chunk column to pass on.
+    """
+    keys = list(keys)
+    w = width if width is not None else auto_width(df, col, rows_per_chunk)
+    coarse = F.floor(F.col(col) / F.lit(w)).cast("long")
+    hkey = (df.select(*keys, col).semanticHash(), tuple(keys), col, w, rows_per_chunk)
+    if hkey not in _HOT:
+        c = F.col(col)
+        rows = (df.groupBy(*keys, coarse.alias("_coarse"))
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min(c).alias("_lo"), F.max(c).alias("_hi"))
+                  .where(F.col("_n") > rows_per_chunk).collect())
+        # The finer width comes from the group's own span, so a burst packed
+        # into a small part of the coarse chunk is still cut into pieces.
+        _HOT[hkey] = [tuple(r[k] for k in keys)
+                      + (r["_coarse"], int(r["_lo"]),
+                         max(1, int(math.ceil((float(r["_hi"]) - float(r["_lo"]) + 1.0) * rows_per_chunk / r["_n"]))))
+                      for r in rows]
+    hot = _HOT[hkey]
+    if not hot:
+        return df.withColumn("_chunk_in", coarse), F.col("_chunk_in")
+    _, lo, _ = _col_stats(df, col)
+    base = int(math.floor(lo / w))  # keeps coarse * FINE_SLOTS far from overflow
+    types = dict(df.dtypes)
+    schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["_coarse long", "_lo2 long", "_w2 long"])
+    hot_df = df.sparkSession.createDataFrame(hot, schema)
+    out = df.withColumn("_coarse", coarse).join(F.broadcast(hot_df), [*keys, "_coarse"], "left")
+    fine = F.coalesce(F.floor((F.col(col) - F.col("_lo2")) / F.col("_w2")).cast("long"), F.lit(0))
+    chunk = (F.col("_coarse") - F.lit(base)) * F.lit(FINE_SLOTS) + F.least(fine, F.lit(FINE_SLOTS - 1))
+    return out.withColumn("_chunk_in", chunk).drop("_coarse", "_lo2", "_w2"), F.col("_chunk_in")
+
+
 def time_chunk(ts: str | Column = "timestamp", width: int = WEEK_MS) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.floor(c / F.lit(width)).cast("long")
@@ -233,5 +283,5 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
                 last_in_chunk = F.lead(F.lit(1)).over(ordered).isNull()
                 out[a.name] = F.when(last_in_chunk, o).otherwise(F.lead(c).over(ordered))
     res = joined.withColumns(out)
-    drop = [CHUNK] + list(m.values()) + [f"_o_{a.name}" for a in all_aggs]
+    drop = [CHUNK, "_chunk_in"] + list(m.values()) + [f"_o_{a.name}" for a in all_aggs]
     return res.drop(*drop)

@@ -15,20 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ORDER
-from .prefix import Agg, chunk_for, running
+from .prefix import Agg, running, split_chunks
 
 def global_position(df: DataFrame, name: str = "position", width: int | None = None) -> DataFrame:
     """0-based position of each row in (timestamp, row_id) order. Each time
     chunk (sized from the data) is one task; the carried counts come from a
     window over the chunk totals (one row per chunk)."""
-    return running(df, [], [Agg(name, "count", F.lit(1))], chunk=chunk_for(df, "timestamp", width),
-                   order=ORDER)
+    df, chunk = split_chunks(df, [], "timestamp", width)
+    return running(df, [], [Agg(name, "count", F.lit(1))], chunk=chunk, order=ORDER)
 
 
 def user_position(df: DataFrame, name: str = "user_position", width: int | None = None) -> DataFrame:
     """0-based position of each row inside its user."""
-    return running(df, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk_for(df, "timestamp", width),
-                   order=ORDER)
+    df, chunk = split_chunks(df, ["user_id"], "timestamp", width)
+    return running(df, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk, order=ORDER)
 
 
 def tail_rank(df: DataFrame, name: str = "tail_rank") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .history import part_key, ratio
-from .prefix import Agg, Family, chunk_for, running_families
+from .prefix import Agg, Family, running_families, split_chunks
 
 LABEL = "answered_correctly"
 
@@ -91,10 +91,11 @@ def add_user_feats_continued(train: DataFrame, valid: DataFrame, label: str = LA
     """Features of ``valid`` rows with state updated row by row, continuing
     from all of ``train``: one running pass over the union ordered by
     (split, timestamp, row_id), then only valid rows are kept."""
-    SPLIT_SHIFT = 1 << 40  # chunk ids of valid rows come after all train chunks
+    SPLIT_SHIFT = 1 << 52  # chunk ids of valid rows come after all train chunks
     both = (train.withColumn("_split", F.lit(0)).unionByName(valid.withColumn("_split", F.lit(1)))
                  .withColumn("part_k", part_key()))
-    chunk = F.col("_split").cast("long") * F.lit(SPLIT_SHIFT) + chunk_for(both, "timestamp", width)
+    both, inner = split_chunks(both, ["user_id"], "timestamp", width)
+    chunk = F.col("_split").cast("long") * F.lit(SPLIT_SHIFT) + inner
     order = ("_split", "timestamp", "row_id")
     y = F.col(label)
     out = running_families(both, ["user_id"], [

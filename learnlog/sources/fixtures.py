@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefix import Agg, chunk_for, running
+from ..operators.prefix import Agg, running, split_chunks
 
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY_MS = 86_400_000
@@ -44,11 +44,12 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     withc = base.join(start, "user_id", "left").withColumn(
         "task_container_id",
         F.floor((F.col("timestamp") - F.col("_t0")) / F.lit(DAY_MS)).cast("int"))
+    withc, chunk = split_chunks(withc, ["user_id"], "timestamp")
     lagged = running(
         withc, ["user_id"],
         [Agg("prior_question_elapsed_time", "last", F.col("_value")),
          Agg("prior_question_had_explanation", "last", F.col("_error"))],
-        chunk=chunk_for(withc, "timestamp"))
+        chunk=chunk)
     return lagged.select(
         "row_id", "timestamp", "user_id", "content_id", "content_type_id",
         "task_container_id", "user_answer", "answered_correctly",

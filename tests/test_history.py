@@ -104,28 +104,62 @@ def test_container_grain_rows_in_one_container_do_not_see_each_other(spark):
     assert [got[i]["first_time"] for i in range(6)] == [1, 1, 0, 0, 0, 0]
 
 
-def test_hot_user_is_split_into_many_chunks_and_stays_exact(spark):
+def _hot_log(spark, burst: bool):
     import random
-    from learnlog.operators.prefix import auto_width
     rnd = random.Random(11)
     rows, rid = [], 0
     for u in range(20):
         n = 600 if u == 0 else 60  # user 0 holds a third of the log
-        ts = 0
+        ts = 0 if not (burst and u == 0) else 5000  # burst: packed into a short span
         for _ in range(n):
-            ts += rnd.choice([0, 1, 2, 5])
+            ts += rnd.choice([0, 1, 2, 5]) if not (burst and u == 0) else rnd.choice([0, 1])
             rows.append(dict(row_id=rid, timestamp=ts, user_id=u, content_id=rnd.randrange(9), content_type_id=0,
-                             task_container_id=0, user_answer=0, answered_correctly=rnd.randint(0, 1),
+                             task_container_id=ts // 3, user_answer=0, answered_correctly=rnd.randint(0, 1),
                              prior_question_elapsed_time=None, prior_question_had_explanation=None,
                              part=rnd.randint(1, 7)))
             rid += 1
     df = spark.createDataFrame([{k: v for k, v in r.items() if k != "part"} for r in rows], INTERACTIONS)
     df = df.join(spark.createDataFrame([(r["row_id"], r["part"]) for r in rows], "row_id long, part int"), "row_id")
+    return rows, df
+
+
+@pytest.mark.parametrize("burst", [False, True])
+def test_hot_user_is_split_into_many_chunks_and_stays_exact(spark, burst):
+    from learnlog.operators.prefix import Agg, Family, auto_width, running_families, split_chunks
+    from learnlog.schema import ORDER
+    rows, df = _hot_log(spark, burst)
     w = auto_width(df, "timestamp", rows_per_chunk=40)
-    chunks = df.filter("user_id = 0").select(F.floor(F.col("timestamp") / w)).distinct().count()
+    split, chunk = split_chunks(df.withColumn("_part_k", h.part_key()), ["user_id"], "timestamp", w,
+                                rows_per_chunk=40)
+    chunks = split.filter("user_id = 0").select("_chunk_in").distinct().count()
     assert chunks >= 10  # the hot user is spread over many window tasks
-    got = {r["row_id"]: r.asDict() for r in h.add_user_feats(df, width=w).collect()}
+    y = F.col("answered_correctly")
+    out = running_families(split, ["user_id"], [
+        Family((Agg("answered_correctly_sum_u", "sum", y), Agg("count_u", "count", F.lit(1)))),
+        Family((Agg("part_sum_u", "sum", y), Agg("part_count_u", "count", F.lit(1))), ("_part_k",)),
+        Family((Agg("_seen", "count", F.lit(1)),), ("content_id",)),
+    ], chunk=chunk, order=ORDER)
+    got = {r["row_id"]: r.asDict() for r in out.collect()}
     want = user_feats(rows)
     for rid, exp in want.items():
-        for k, v in exp.items():
-            assert _same(got[rid][k], v), (rid, k)
+        g = got[rid]
+        assert g["answered_correctly_sum_u"] == exp["answered_correctly_sum_u"]
+        assert g["count_u"] == exp["count_u"] and g["part_count_u"] == exp["part_count_u"]
+        assert (g["_seen"] == 0) == bool(exp["first_time"])
+
+
+def test_hot_container_split_keeps_containers_whole(spark):
+    rows, df = _hot_log(spark, True)
+    from learnlog.operators.prefix import split_chunks
+    split, _ = split_chunks(df, ["user_id"], "task_container_id", 10**9, rows_per_chunk=40)
+    per = split.groupBy("user_id", "task_container_id").agg(F.countDistinct("_chunk_in").alias("n"))
+    assert per.agg(F.max("n")).first()[0] == 1
+    assert split.filter("user_id = 0").select("_chunk_in").distinct().count() >= 5
+    got = {r["row_id"]: r["count_u"] for r in h.add_user_feats(df, grain="container", with_part=False, width=10**9)
+           .collect()}
+    by_user = {}
+    for r in rows:
+        by_user.setdefault(r["user_id"], []).append(r)
+    for r in rows:
+        assert got[r["row_id"]] == sum(1 for x in by_user[r["user_id"]]
+                                       if x["task_container_id"] < r["task_container_id"])
