@@ -31,7 +31,12 @@ def _sql(body: str) -> str:
 
 
 def train_valid(spark, sf):
-    s = sp.ordered_split(question_rows(spark, sf))
+    """Train / valid question rows of the ordered split. The split is written
+    once as a table under spark.checkpoint.dir (cutting lineage), so the train
+    and valid branches read it instead of each re-running the position pass."""
+    path = scratch_path(spark, f"split-{uuid.uuid4().hex}")
+    io.write_features(sp.ordered_split(question_rows(spark, sf)), path)
+    s = io.read_features(spark, path)
     return s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "valid").drop("split")
 
 
