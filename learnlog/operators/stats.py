@@ -18,13 +18,28 @@ from .prefix import container_chunk
 LABEL = "answered_correctly"
 
 
+def std_int(col: str | Column) -> Column:
+    """Sample standard deviation of an integer-valued column from exact
+    integer moments: n, sum(y) and sum(y*y) are longs, then one fixed chain
+    of double operations. Unlike ``stddev_samp`` (floating partial moments
+    merged in task order) the result does not depend on partitioning. NULL
+    for fewer than two values, as ``stddev_samp``.
+    """
+    y = F.col(col) if isinstance(col, str) else col
+    n = F.count(y).cast("double")
+    s = F.sum(y.cast("long")).cast("double")
+    ss = F.sum(y.cast("long") * y.cast("long")).cast("double")
+    var = F.greatest(ss - s * s / n, F.lit(0.0)) / (n - F.lit(1.0))
+    return F.when(F.count(y) > 1, F.sqrt(var))
+
+
 def label_stats(df: DataFrame, by: str | Sequence[str], stats: Sequence[str], suffix: str,
                 label: str = LABEL) -> DataFrame:
     """mean / sum / count / std (sample) of ``label`` by key, named
     ``{label}_{stat}{suffix}`` as the reference names them."""
     y = F.col(label)
     fns = {"avg": F.avg(y).cast("double"), "sum": F.sum(y).cast("long"),
-           "count": F.count(y).cast("long"), "std": F.stddev_samp(y).cast("double")}
+           "count": F.count(y).cast("long"), "std": std_int(y)}
     keys = [by] if isinstance(by, str) else list(by)
     return df.groupBy(*keys).agg(*[fns[s].alias(f"{label}_{s}{suffix}") for s in stats])
 
@@ -47,7 +62,7 @@ def content_attempt_stats(q: DataFrame, cap: int = 5) -> DataFrame:
     j = q.select("user_id", "content_id", LABEL).join(pairs, ["user_id", "content_id"], "left")
     j = j.withColumn("question_count", F.least(F.col("_n"), F.lit(cap)).cast("long"))
     return j.groupBy("content_id", "question_count").agg(
-        F.avg(LABEL).alias("mean_acc"), F.stddev_samp(LABEL).alias("std_acc"),
+        F.avg(LABEL).alias("mean_acc"), std_int(LABEL).alias("std_acc"),
         F.count(LABEL).alias("count"))
 
 

@@ -92,3 +92,13 @@ prev AS (
 batches AS (
   SELECT g.* EXCLUDE (user_answer, answered_correctly), p.prior_group_answers_correct, p.prior_group_responses
   FROM g JOIN prev p ON g.group_num = p.group_num)"""
+
+
+def std_int_sql(c: str) -> str:
+    """SQL form of ``stats.std_int``: the same integer moments and the same
+    chain of double operations."""
+    n = f"CAST(count({c}) AS DOUBLE)"
+    s = f"CAST(sum({c}) AS DOUBLE)"
+    ss = f"CAST(sum(CAST({c} AS BIGINT) * CAST({c} AS BIGINT)) AS DOUBLE)"
+    return (f"CASE WHEN count({c}) > 1 THEN sqrt(greatest({ss} - {s} * {s} / {n}, CAST(0 AS DOUBLE))"
+            f" / ({n} - CAST(1 AS DOUBLE))) END")

@@ -8,12 +8,14 @@ from ..functions.scalars import round_half_even
 from ..operators import joins as jn
 from ..operators import splits as sp
 from ..operators import stats as st
-from ..oracle_views import with_views
+from ..oracle_views import std_int_sql, with_views
 from ..registry import register
 from ..sources import fixtures as fx
 from .common import log
 from .q_stats import PROFILE_SQL, lecture_rows
 
+STD = std_int_sql("answered_correctly")  # exact-moment sample std (stats.std_int)
+
 
 def _qrows(spark, sf):
     return log(spark, sf).filter(F.col("content_type_id") == 0)
@@ -39,12 +41,12 @@ def join_lecture_dim(spark, sf):
                                           "lecture_part", "lecture_type_of")
 
 
-CSTATS = """
+CSTATS = f"""
 cstats AS (
   SELECT content_id, avg(answered_correctly) AS answered_correctly_avg_c,
          CAST(sum(answered_correctly) AS BIGINT) AS answered_correctly_sum_c,
          count(answered_correctly) AS answered_correctly_count_c,
-         stddev_samp(answered_correctly) AS answered_correctly_std_c
+         {STD} AS answered_correctly_std_c
   FROM interactions WHERE content_type_id = 0 GROUP BY content_id
 )"""
 
@@ -75,18 +77,18 @@ def join_user_stats(spark, sf):
                                                   "answered_correctly_sum_user")
 
 
-@register("join_container_stats", with_views("""
+@register("join_container_stats", with_views(f"""
 SELECT i.row_id, i.task_container_id, t.task_mean_acc, t.task_std_acc, t.task_count
 FROM interactions i LEFT JOIN (
   SELECT task_container_id, avg(answered_correctly) AS task_mean_acc,
-         stddev_samp(answered_correctly) AS task_std_acc, count(*) AS task_count
+         {STD} AS task_std_acc, count(*) AS task_count
   FROM interactions WHERE content_type_id = 0 GROUP BY task_container_id) t
   ON i.task_container_id = t.task_container_id
 WHERE i.content_type_id = 0""", "interactions"))
 def join_container_stats(spark, sf):
     q = _qrows(spark, sf)
     t = st.named_stats(q, "task_container_id", {
-        "task_mean_acc": F.avg("answered_correctly"), "task_std_acc": F.stddev_samp("answered_correctly"),
+        "task_mean_acc": F.avg("answered_correctly"), "task_std_acc": st.std_int("answered_correctly"),
         "task_count": F.count(F.lit(1))})
     return jn.join_stats(q, t, "task_container_id").select(
         "row_id", "task_container_id", "task_mean_acc", "task_std_acc", "task_count")

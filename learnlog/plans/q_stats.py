@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators import stats as st
 from ..operators.joins import attach_lecture_dim
-from ..oracle_views import with_views
+from ..oracle_views import std_int_sql, with_views
 from ..registry import register
 from ..schema import LECTURE_TYPES, PARTS
 from ..sources import fixtures as fx
 from .common import QUESTION_ROWS_SQL, log, question_rows
 
+STD = std_int_sql("answered_correctly")  # exact-moment sample std (stats.std_int)
+
 Y = "answered_correctly"
 
 
@@ -37,29 +39,29 @@ def content_mean_count(spark, sf):
     return st.content_stats(_qrows(spark, sf), ("avg", "count"))
 
 
-@register("content_mean_std_count", _q("""
+@register("content_mean_std_count", _q(f"""
 SELECT content_id, avg(answered_correctly) AS question_mean_acc,
-       stddev_samp(answered_correctly) AS question_std_acc, count(*) AS question_count
+       {STD} AS question_std_acc, count(*) AS question_count
 FROM qrows GROUP BY content_id"""))
 def content_mean_std_count(spark, sf):
     return st.named_stats(_qrows(spark, sf), "content_id", {
-        "question_mean_acc": F.avg(Y), "question_std_acc": F.stddev_samp(Y),
+        "question_mean_acc": F.avg(Y), "question_std_acc": st.std_int(Y),
         "question_count": F.count(F.lit(1))})
 
 
-@register("content_full_stats", _q("""
+@register("content_full_stats", _q(f"""
 SELECT content_id, avg(answered_correctly) AS answered_correctly_avg_c,
        CAST(sum(answered_correctly) AS BIGINT) AS answered_correctly_sum_c,
        count(answered_correctly) AS answered_correctly_count_c,
-       stddev_samp(answered_correctly) AS answered_correctly_std_c
+       {STD} AS answered_correctly_std_c
 FROM qrows GROUP BY content_id"""))
 def content_full_stats(spark, sf):
     return st.content_stats(_qrows(spark, sf))
 
 
-@register("content_attempt_stats", _q("""
+@register("content_attempt_stats", _q(f"""
 SELECT content_id, question_count, avg(answered_correctly) AS mean_acc,
-       stddev_samp(answered_correctly) AS std_acc, count(answered_correctly) AS "count"
+       {STD} AS std_acc, count(answered_correctly) AS "count"
 FROM (SELECT content_id, answered_correctly,
              CAST(least(count(*) OVER (PARTITION BY user_id, content_id), 5) AS BIGINT) AS question_count
       FROM qrows) t
@@ -68,13 +70,13 @@ def content_attempt_stats(spark, sf):
     return st.content_attempt_stats(_qrows(spark, sf))
 
 
-@register("container_stats", _q("""
+@register("container_stats", _q(f"""
 SELECT task_container_id, avg(answered_correctly) AS task_mean_acc,
-       stddev_samp(answered_correctly) AS task_std_acc, count(*) AS task_count
+       {STD} AS task_std_acc, count(*) AS task_count
 FROM qrows GROUP BY task_container_id"""))
 def container_stats(spark, sf):
     return st.named_stats(_qrows(spark, sf), "task_container_id", {
-        "task_mean_acc": F.avg(Y), "task_std_acc": F.stddev_samp(Y), "task_count": F.count(F.lit(1))})
+        "task_mean_acc": F.avg(Y), "task_std_acc": st.std_int(Y), "task_count": F.count(F.lit(1))})
 
 
 @register("user_mean_sum", with_views("""
