@@ -94,3 +94,18 @@ def test_label_encoders(spark):
     dn = spark.createDataFrame([(5,), (-2,), (5,), (9,)], "v int")
     assert sorted((r["v"], r["v_enc"]) for r in enc.label_encode_numbers(dn, "v").collect()) == \
         [(-2, 0), (5, 1), (5, 1), (9, 2)]
+
+
+def test_integer_std_is_exact_and_partition_independent(spark):
+    from learnlog.operators.stats import std_int
+    rng = np.random.default_rng(5)
+    ys = rng.integers(0, 2, 5000)
+    keys = rng.integers(0, 7, 5000)
+    df = spark.createDataFrame([(int(k), int(y)) for k, y in zip(keys, ys)], "k int, y int")
+    a = {r["k"]: r["s"] for r in df.repartition(1).groupBy("k").agg(std_int("y").alias("s")).collect()}
+    b = {r["k"]: r["s"] for r in df.repartition(13).groupBy("k").agg(std_int("y").alias("s")).collect()}
+    assert a == b  # bit for bit
+    for k, v in a.items():
+        assert v == pytest.approx(np.std(ys[keys == k], ddof=1), rel=1e-12)
+    one = spark.createDataFrame([(1, 1)], "k int, y int").groupBy("k").agg(std_int("y").alias("s")).first()
+    assert one["s"] is None
