@@ -8,12 +8,12 @@ linear in the log, not questions x lectures per user.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ORDER, PARTS
 from .joins import join_dim
-from .prefix import Agg, Family, auto_width, running, running_families, split_chunks
+from .prefix import CHUNK, Agg, Family, auto_width, running, running_families, split_chunks
 
 # Distinct sentinels so a NULL question part never matches a NULL lecture part.
 Q_NULL_PART, L_NULL_PART = -1, -2
@@ -116,21 +116,44 @@ def last_lecture_before(rows: DataFrame, width: int | None = None) -> DataFrame:
                .drop("_last_l"))
 
 
+# Tag keys that never meet a real tag: a question without tags, a lecture
+# missing from the lecture table.
+NO_TAG, NO_LECTURE_TAG = -2147483647, -2147483648
+
+
 def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
                     width: int | None = None) -> DataFrame:
-    """All lecture-history features, returned for question rows only."""
+    """All lecture-history features, returned for question rows only, with
+    one shuffle of the rows.
+
+    Each question row is copied once per distinct tag (at most a handful);
+    each lecture row once. One ``running_families`` call over (user, chunk)
+    runs the counters (primary copy only), the part match (sub-key part) and
+    the tag match (sub-key tag: lectures before with this tag); a window over
+    (user, chunk, row_id), which reuses that partitioning, adds up the
+    matches of a question's copies.
+    """
     rows = with_dims(log, questions, lectures).withColumn("_pk", _part_key())
-    width = width if width is not None else auto_width(rows, "timestamp")
-    rows, chunk = split_chunks(rows, ["user_id"], "timestamp", width)
     is_q = F.col("content_type_id") == 0
-    # Counters (user) and the part match (user + part, a bounded sub-key) share
-    # one shuffle. Counters include the current row; a question row is never a
-    # lecture, so "lectures up to and including" equals "earlier lectures".
-    rows = running_families(rows, ["user_id"], [
-        Family(tuple(_counter_aggs())),
+    tags = F.array_distinct(F.filter(parse_tags("_q_tags"), lambda t: t.isNotNull()))
+    one = F.array(F.when(~is_q, F.col("_l_tag")).cast("int"))
+    copies = rows.select("*", F.posexplode(
+        F.when(is_q & (F.coalesce(F.size(tags), F.lit(0)) > 0), tags).otherwise(one)).alias("_copy", "_tag0"))
+    copies = copies.withColumn("_tag", F.coalesce(
+        F.col("_tag0"), F.when(is_q, F.lit(NO_TAG)).otherwise(F.lit(NO_LECTURE_TAG))))
+    primary = (F.col("_copy") == 0).cast("int")
+    width = width if width is not None else auto_width(rows, "timestamp")
+    copies, chunk = split_chunks(copies, ["user_id"], "timestamp", width)
+    out = running_families(copies, ["user_id"], [
+        Family(tuple(Agg(a.name, a.kind, a.col * primary) for a in _counter_aggs())),
         Family((Agg("_lec_seen", "max", (~is_q).cast("int")),), ("_pk",)),
-    ], chunk=chunk, order=ORDER, inclusive=True)
-    rows = rows.withColumn("part_matches", F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0)))
-                           .otherwise(F.lit(0))).drop("_pk", "_lec_seen")
-    rows = num_tags_match(rows, width)
-    return rows.filter(is_q)
+        Family((Agg("_tag_lec", "sum", (~is_q).cast("int")),), ("_tag",)),
+    ], chunk=chunk, order=("timestamp", "row_id", "_copy"), inclusive=True, keep_chunk=True)
+    # Counters include the current row; a question row is never a lecture, so
+    # "lectures up to and including" equals "earlier lectures".
+    per_row = Window.partitionBy("user_id", CHUNK, "row_id")
+    matched = F.when(F.col("_tag0").isNotNull(), F.col("_tag_lec")).otherwise(F.lit(0))
+    out = (out.withColumn("num_tags_match", F.sum(matched).over(per_row).cast("long"))
+              .filter(is_q & (F.col("_copy") == 0))
+              .withColumn("part_matches", F.coalesce(F.col("_lec_seen"), F.lit(0))))
+    return out.drop("_pk", "_lec_seen", "_tag_lec", "_copy", "_tag0", "_tag", CHUNK)

@@ -200,7 +200,8 @@ def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], *,
 
 def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Family], *,
                      chunk: Column, order: Sequence[str] = ("timestamp", "row_id"),
-                     container: str | None = None, inclusive: bool = False) -> DataFrame:
+                     container: str | None = None, inclusive: bool = False,
+                     keep_chunk: bool = False) -> DataFrame:
     """Several running-aggregate families over ``keys`` (e.g. user) and
     ``keys + sub_keys`` (e.g. user+part, user+content) with ONE shuffle of
     the fact table.
@@ -212,6 +213,8 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
     (question part, content id of the question table). All joins then share
     the ``(keys, chunk)`` hash partitioning, and every window partitioned by
     ``(keys, sub_keys, chunk)`` is satisfied by it without a new exchange.
+    With ``keep_chunk`` the ``_chunk`` column stays, so later windows on
+    ``(keys, _chunk, ...)`` reuse that partitioning too.
     """
     keys = list(keys)
     part = keys + [CHUNK]
@@ -283,5 +286,5 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
                 last_in_chunk = F.lead(F.lit(1)).over(ordered).isNull()
                 out[a.name] = F.when(last_in_chunk, o).otherwise(F.lead(c).over(ordered))
     res = joined.withColumns(out)
-    drop = [CHUNK, "_chunk_in"] + list(m.values()) + [f"_o_{a.name}" for a in all_aggs]
+    drop = ([] if keep_chunk else [CHUNK]) + ["_chunk_in"] + list(m.values()) + [f"_o_{a.name}" for a in all_aggs]
     return res.drop(*drop)
