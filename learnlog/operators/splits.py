@@ -31,13 +31,15 @@ def user_position(df: DataFrame, name: str = "user_position", width: int | None
     return running(df, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk, order=ORDER)
 
 
-def tail_rank(df: DataFrame, name: str = "tail_rank") -> DataFrame:
-    """1 for the user's last row, 2 for the one before, ... (rank from the end)."""
-    n = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n_user"))
-    pos = user_position(df, "_pos")
-    return (pos.join(n, "user_id", "left")
-               .withColumn(name, (F.col("_n_user") - F.col("_pos")).cast("long"))
-               .drop("_n_user", "_pos"))
+def tail_rank(df: DataFrame, name: str = "tail_rank", width: int | None = None) -> DataFrame:
+    """1 for the user's last row, 2 for the one before, ... (rank from the end):
+    an inclusive running count in reversed (timestamp, row_id) order, so no
+    per-user count has to be joined back."""
+    rev = df.withColumns({"_nts": -F.col("timestamp"), "_nrid": -F.col("row_id")})
+    rev, chunk = split_chunks(rev, ["user_id"], "_nts", width)
+    out = running(rev, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk, order=("_nts", "_nrid"),
+                  inclusive=True)
+    return out.drop("_nts", "_nrid")
 
 
 def user_tail_split(df: DataFrame, valid_n: int = 5, train_n: int = 18) -> DataFrame:
