@@ -32,12 +32,6 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 
-# Fixed chunk widths for callers that pass one explicitly: a week of
-# milliseconds, or a range of container ids. By default widths are derived
-# from the data (``auto_width``).
-WEEK_MS = 7 * 86_400_000
-CONTAINERS_PER_CHUNK = 4096
-
 
 @dataclass(frozen=True)
 class Agg:
@@ -85,12 +79,6 @@ def auto_width(df: DataFrame, col: str, rows_per_chunk: int = ROWS_PER_CHUNK) ->
     return max(1, int(math.ceil((hi - lo + 1.0) * rows_per_chunk / n)))
 
 
-def chunk_for(df: DataFrame, col: str, width: int | None = None) -> Column:
-    """floor(col / width); the width is derived from the data when not given."""
-    w = width if width is not None else auto_width(df, col)
-    return F.floor(F.col(col) / F.lit(w)).cast("long")
-
-
 def split_chunks(df: DataFrame, keys: Sequence[str], col: str, width: int | None = None,
                  rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, Column]:
     """Chunks for ``running_families`` that stay near ``rows_per_chunk`` rows
@@ -134,13 +122,8 @@ def split_chunks(df: DataFrame, keys: Sequence[str], col: str, width: int | None
     return out.withColumn("_chunk_in", chunk).drop("_coarse", "_lo2", "_w2"), F.col("_chunk_in")
 
 
-def time_chunk(ts: str | Column = "timestamp", width: int = WEEK_MS) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(c / F.lit(width)).cast("long")
-
-
-def container_chunk(container: str | Column = "task_container_id",
-                    width: int = CONTAINERS_PER_CHUNK) -> Column:
+def container_chunk(container: str | Column, width: int) -> Column:
+    """floor(container / width): contiguous ranges of container ids."""
     c = F.col(container) if isinstance(container, str) else container
     return F.floor(c / F.lit(width)).cast("long")
 
