@@ -13,7 +13,7 @@ from ..plans import tail_split as ts
 from ..registry import register
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..streaming.late_labels import batch_filter, run_late_labels, write_batches_as_files
+from ..streaming.late_labels import batch_filter, group_range, run_late_labels, write_batches_as_files
 from ..streaming.scoring import drain_to_parquet, lecture_score_stream, score_stream
 from ..streaming.user_state import stream_user_state as user_state_stream
 
@@ -28,15 +28,13 @@ def _base(spark, name):
 def log_stream(spark, sf, base):
     """The log as a file stream, one file of ``BATCH_ROWS`` row ids per trigger."""
     lg = fx.interactions(spark, sf).withColumn("group_num", F.floor(F.col("row_id") / BATCH_ROWS).cast("long"))
-    groups = sorted(r["group_num"] for r in lg.select("group_num").distinct().collect())
-    write_batches_as_files(lg, base, groups)
+    write_batches_as_files(lg, base, group_range(lg))
     return spark.readStream.schema(lg.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
 
 
 def batch_stream(spark, sf, base):
     b = fx.test_batches(spark, sf, BATCH_ROWS)
-    groups = sorted(r["group_num"] for r in b.select("group_num").distinct().collect())
-    write_batches_as_files(b, base, groups)
+    write_batches_as_files(b, base, group_range(b))
     return spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
 
 

@@ -4,14 +4,16 @@ stream_late_labels, stream_batch_filter).
 Batch g carries the answers of batch g-1 as a text list, positional on the
 rows of g-1 (D18). For each batch, in ``foreachBatch``:
 
-1. the previous batch's saved rows get their answers by position
-   (``posexplode(from_json(list))`` joined on position);
-2. state(g) = state(g-1) + those answered questions, written to
+1. the previously delivered batch's saved rows get their answers by
+   position (``posexplode(from_json(list))`` joined on position);
+2. state(g) = state(previous) + those answered questions, written to
    ``state/group=g`` (overwrite, so a retried micro-batch writes the same
    thing and never folds twice);
 3. the batch's question rows are featurised from state(g) (no update inside
    the batch) and written to ``out/group=g``;
-4. the batch's rows with positions are saved to ``prev/group=g``.
+4. the batch's rows with positions are saved to ``prev/group=g`` and a
+   one-row marker records (g, previous) so the next batch, or a retry of
+   this one, finds its predecessor even when batch numbers have gaps.
 
 Features of batch g therefore equal a container-grain history with the
 batch as the container.
@@ -57,19 +59,24 @@ class LateLabelScorer:
     def _path(self, kind: str, g: int) -> str:
         return f"{self.base}/{kind}/group={g:09d}"
 
-    def _state_before(self, g: int) -> State:
-        prev = self._path("state", g - 1)
-        if _read_if_written(self.spark, prev + "/user") is not None:
-            return load_state(self.spark, prev)
-        return self.init or empty_state(self.spark)
+    def _previous(self, g: int) -> int | None:
+        """The batch delivered before ``g``. A one-row marker (current,
+        previous) is rewritten after each batch; when ``g`` itself is the
+        marker's current batch (a retry), its stored previous is used."""
+        m = _read_if_written(self.spark, f"{self.base}/last")
+        if m is None:
+            return None
+        r = m.first()
+        return r["previous"] if r["current"] == g else r["current"]
 
     def _process(self, rows: DataFrame, g: int) -> None:
         spark = self.spark
         # Positions inside one batch (a batch is bounded by its trigger size).
         rows = rows.withColumn("_pos", F.row_number().over(
             Window.partitionBy("group_num").orderBy("row_id")) - 1)
-        state = self._state_before(g)
-        saved = _read_if_written(spark, self._path("prev", g - 1))
+        p = self._previous(g)
+        state = load_state(spark, self._path("state", p)) if p is not None else (self.init or empty_state(spark))
+        saved = _read_if_written(spark, self._path("prev", p)) if p is not None else None
         if saved is not None:
             answers = (rows.select(F.first("prior_group_answers_correct").alias("a")).select(
                 F.posexplode(F.from_json("a", "array<int>")).alias("_pos", "answered_correctly")))
@@ -82,6 +89,8 @@ class LateLabelScorer:
         q = join_dim(rows.filter(F.col("content_type_id") == 0), self.questions, "content_id", "question_id")
         apply_frozen_state(q, state).select(*FEATURE_COLS).write.mode("overwrite").parquet(self._path("out", g))
         rows.write.mode("overwrite").parquet(self._path("prev", g))
+        spark.createDataFrame([(g, p)], "current long, previous long").write.mode("overwrite").parquet(
+            f"{self.base}/last")
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         # The group numbers of one micro-batch: a handful of scalars.
@@ -90,9 +99,17 @@ class LateLabelScorer:
             self._process(batch.filter(F.col("group_num") == g), g)
 
 
-def write_batches_as_files(batches: DataFrame, folder: str, groups: list[int]) -> None:
+def group_range(batches: DataFrame) -> range:
+    """Group numbers from the smallest to the largest (two scalars)."""
+    r = batches.agg(F.min("group_num").alias("lo"), F.max("group_num").alias("hi")).first()
+    return range(r["lo"], r["hi"] + 1) if r["lo"] is not None else range(0)
+
+
+def write_batches_as_files(batches: DataFrame, folder: str, groups: range) -> None:
     """Lay the batches out as one parquet file per group, in group order, so a
-    file stream source delivers them in order."""
+    file stream source delivers them in order. This simulates arrival for the
+    fixtures (one small write per batch); in production batches come from the
+    source."""
     for g in groups:
         batches.filter(F.col("group_num") == g).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         time.sleep(0.01)  # distinct modification times
@@ -102,8 +119,7 @@ def run_late_labels(spark: SparkSession, batches: DataFrame, questions: DataFram
                     init: State | None = None) -> DataFrame:
     """Drive the batches through a file stream with one file per trigger and
     return the written features."""
-    groups = sorted(r["group_num"] for r in batches.select("group_num").distinct().collect())
-    write_batches_as_files(batches, base, groups)
+    write_batches_as_files(batches, base, group_range(batches))
     stream = (spark.readStream.schema(TEST_BATCHES).option("maxFilesPerTrigger", 1)
               .parquet(f"{base}/in"))
     scorer = LateLabelScorer(spark, base, questions, init)

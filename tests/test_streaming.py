@@ -58,3 +58,26 @@ def test_stream_static_score_equals_batch_scoring(spark):
     b = {r["row_id"]: r["score"] for r in batch.collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_late_labels_with_gaps_and_a_retried_batch(spark):
+    from learnlog.streaming.late_labels import LateLabelScorer
+
+    base = scratch_path(spark, f"t-gaps-{uuid.uuid4().hex}")
+    qdim = fx.questions(spark, SMOKE_SF)
+    # group numbers 0, 3, 6, ... (gaps of 2), built like the fixture batches
+    b = fx.test_batches(spark, SMOKE_SF, 250).withColumn("group_num", F.col("group_num") * 3)
+    scorer = LateLabelScorer(spark, base, qdim)
+    groups = [r["group_num"] for r in b.select("group_num").distinct().orderBy("group_num").collect()]
+    for i, g in enumerate(groups):
+        batch = b.filter(F.col("group_num") == g)
+        scorer(batch, i)
+        if i == 1:
+            scorer(batch, i)  # the same micro-batch again, as after a task retry
+    got = spark.read.parquet(f"{base}/out")
+    lg = fx.interactions(spark, SMOKE_SF).withColumn("task_container_id",
+                                                      (F.floor(F.col("row_id") / 250) * 3).cast("long"))
+    q = join_dim(lg.filter("content_type_id = 0"), qdim.select("question_id", "part"), "content_id", "question_id")
+    exp = h.add_user_feats(q, grain="container", width=10)
+    cols = ["row_id", "answered_correctly_sum_u", "count_u", "part_sum_u", "part_count_u", "first_time"]
+    assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
