@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ORDER
-from .prefix import Agg, running, split_chunks
+from .prefix import CHUNK, Agg, Family, running, running_families, split_chunks
 
 def global_position(df: DataFrame, name: str = "position", width: int | None = None) -> DataFrame:
     """0-based position of each row in (timestamp, row_id) order. Each time
@@ -31,14 +31,16 @@ def user_position(df: DataFrame, name: str = "user_position", width: int | None
     return running(df, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk, order=ORDER)
 
 
-def tail_rank(df: DataFrame, name: str = "tail_rank", width: int | None = None) -> DataFrame:
+def tail_rank(df: DataFrame, name: str = "tail_rank", width: int | None = None,
+              keep_chunk: bool = False) -> DataFrame:
     """1 for the user's last row, 2 for the one before, ... (rank from the end):
     an inclusive running count in reversed (timestamp, row_id) order, so no
-    per-user count has to be joined back."""
+    per-user count has to be joined back. ``keep_chunk`` keeps ``_chunk`` so
+    later joins on (user_id, _chunk) reuse the partitioning."""
     rev = df.withColumns({"_nts": -F.col("timestamp"), "_nrid": -F.col("row_id")})
     rev, chunk = split_chunks(rev, ["user_id"], "_nts", width)
-    out = running(rev, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk, order=("_nts", "_nrid"),
-                  inclusive=True)
+    out = running_families(rev, ["user_id"], [Family((Agg(name, "count", F.lit(1)),))], chunk=chunk,
+                           order=("_nts", "_nrid"), inclusive=True, keep_chunk=keep_chunk)
     return out.drop("_nts", "_nrid")
 
 
@@ -95,18 +97,22 @@ def nested_horizon_stats(q: DataFrame, valid_n: int = 5, train_n: int = 18) -> D
     valid rows see stats of all rows but valid; train rows see history only.
 
     One ranked table and one ``groupBy(user)`` with conditional aggregates;
-    no second pass per horizon.
+    no second pass per horizon, and the rows move once (for the rank).
     """
-    ranked = user_tail_split(q, valid_n, train_n)
+    r = F.col("tail_rank")
+    ranked = tail_rank(q, keep_chunk=True).withColumn(
+        "split", F.when(r <= valid_n, "valid").when(r <= valid_n + train_n, "train").otherwise("history"))
     y = F.col("answered_correctly")
     e = F.coalesce(F.col("prior_question_had_explanation"), F.lit(False)).cast("int")
-    r = F.col("tail_rank")
     stats = ranked.groupBy("user_id").agg(
         F.avg(F.when(r > valid_n, y)).alias("_acc_wo_valid"),
         F.avg(F.when(r > valid_n, e)).alias("_exp_wo_valid"),
         F.avg(F.when(r > valid_n + train_n, y)).alias("_acc_hist"),
         F.avg(F.when(r > valid_n + train_n, e)).alias("_exp_hist"))
-    rows = ranked.filter(F.col("split") != "history").join(stats, "user_id", "left")
+    # Per-user stats go onto the small (user, chunk) table first, so the rows,
+    # already partitioned by (user_id, _chunk), are not shuffled again.
+    per_chunk = ranked.select("user_id", CHUNK).distinct().join(stats, "user_id", "left")
+    rows = ranked.filter(F.col("split") != "history").join(per_chunk, ["user_id", CHUNK], "left").drop(CHUNK)
     is_valid = F.col("split") == "valid"
     return (rows.withColumn("answered_correctly_user",
                             F.when(is_valid, F.col("_acc_wo_valid")).otherwise(F.col("_acc_hist")))
