@@ -74,3 +74,12 @@ def test_valid_content_absent_from_train(spark, dims):
     out = {r["row_id"]: r for r in stt.apply_frozen_state(vq, stt.build_state(tq)).collect()}
     assert out[2]["first_time"] == 1 and out[2]["count_u"] == 2 and out[2]["part_count_u"] == 1
     assert out[3]["count_u"] == 0 and out[3]["answered_correctly_avg_u"] is None  # unknown user
+
+
+def test_dimension_join_without_broadcast_beyond_the_bound(spark, dims):
+    qdim, _ = dims
+    log = spark.createDataFrame([row(0, 0, 1, 1), row(1, 1, 1, 99)], INTERACTIONS)
+    small = join_dim(log, qdim.select("question_id", "part"), "content_id", "question_id")
+    big = join_dim(log, qdim.select("question_id", "part"), "content_id", "question_id", max_rows=1)
+    a = sorted((r["row_id"], r["part"]) for r in small.collect())
+    assert a == sorted((r["row_id"], r["part"]) for r in big.collect()) == [(0, 2), (1, None)]
