@@ -109,3 +109,22 @@ def test_integer_std_is_exact_and_partition_independent(spark):
         assert v == pytest.approx(np.std(ys[keys == k], ddof=1), rel=1e-12)
     one = spark.createDataFrame([(1, 1)], "k int, y int").groupBy("k").agg(std_int("y").alias("s")).first()
     assert one["s"] is None
+
+
+def test_auto_categorical_encodes_low_cardinality_and_fills_the_rest(spark):
+    rows = [(i, "ab"[i % 2], i % 3, float(i) if i % 5 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id long, s string, c int, x double")
+    out, dims = enc.auto_categorical(df, ["s", "c", "x"], max_levels=200)
+    assert set(dims) == {"s", "c"}  # text, and fewer than 200 distinct values
+    got = {r["row_id"]: r for r in out.collect()}
+    assert {got[i]["s_enc"] for i in range(400)} == {0, 1} and {got[i]["c_enc"] for i in range(400)} == {0, 1, 2}
+    mean_x = np.mean([float(i) for i in range(400) if i % 5])
+    assert got[0]["x"] == pytest.approx(mean_x) and got[1]["x"] == 1.0  # own column's mean (D10)
+
+
+def test_inferred_csv_reads_numbers_as_numbers(spark):
+    import __spark_entry__ as entry
+    df = entry.queries()["scan_inferred_csv"](spark, "/root/testdata/sf0.001")
+    types = dict(df.dtypes)
+    assert types["question_id"] in ("int", "bigint") and types["part"] in ("int", "bigint")
+    assert types["tags"] == "string"
