@@ -1,0 +1,194 @@
+"""Quality rules, secret scan, language and quality models, on small tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from learnlog.llm import automaton as A
+from learnlog.llm import secret_scan as S
+from learnlog.llm.language_id import Filters, gram_codes, predict_language
+from learnlog.llm.naive_bayes_svm import dual_descent, quality_scores
+from learnlog.llm.quality_rules import js_distance, quality_rules
+from learnlog.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def base_counts(text):
+    text = text or ""
+    w = text.encode().split()
+    grams = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+    count, inside = Counter(grams), [False] * len(w)
+    for k, g in enumerate(grams):
+        if count[g] > 1:
+            inside[k] = inside[k + 1] = inside[k + 2] = True
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if line.encode().split():
+            dup += line in seen
+            seen.add(line)
+    repeat = sum(inside)
+    return (len(w), sum(len(x.decode()) for x in w), sum(c in "#*$%&|<>" for c in text), dup, repeat,
+            len(w) < 50 or 100 * repeat > 50 * len(w))
+
+
+def test_quality_counts(edge_frame, edge_docs):
+    got = quality_rules(edge_frame).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted(((r[0], *base_counts(r[1])) for r in edge_docs), key=key)
+
+
+def test_quality_without_reference(spark, no_docs):
+    assert quality_rules(no_docs).collect() == []
+    one = spark.createDataFrame([(1, "short"), (2, " ".join(f"w{i}" for i in range(60)))], "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"]: r["kept"] for r in quality_rules(one).collect()} == {1: False, 2: True}
+
+
+def test_quality_rules_keep_clean_and_drop_junk(spark):
+    rows = {r["doc_id"]: r for r in QUERIES["op7_quality_rules"](spark, SF).collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    judged = [i for i in labels if not rows[i]["base_failed"]]
+    clean, junk = [i for i in judged if labels[i] == 1], [i for i in judged if labels[i] == 0]
+    assert np.mean([rows[i]["kept"] for i in clean]) > 0.97
+    assert np.mean([rows[i]["kept"] for i in junk]) < 0.35
+
+
+def test_js_distance():
+    p = np.array([[1.0, 0.0], [0.5, 0.5], [0.0, 1.0]])
+    d = js_distance(p, np.array([1.0, 0.0]))
+    assert d[0] == 0 and d[2] == 1 and 0 < d[1] < 1
+
+
+ASSIGN = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base_spans(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(1)) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(out)
+
+
+def secret_texts():
+    rng = random.Random(2)
+    bits = ["password", "PassWd", "secret", "Token", "api_key", "apikey", ":", "=", " ", "'", '"', "abcdef", "AKIA", "ABCDEFGH12345678", "é", "\n",
+            "0123456789abcdef", "deadbeef", "-", "x", "ſecret", "AKIAAKIA"]
+    return ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 25))) for _ in range(3000)] + [
+        "token: token: abcdefg", "secret:secret:abcdef", "0" * 5000, "AKIA" * 2000, "token" + " " * 700 + "= 'abcdefgh'", ""]
+
+
+def test_secret_spans():
+    texts = secret_texts()
+    found = S.find([t.encode() for t in texts])
+    assert [[x for x in f if x[1] < S.BASE] for f in found] == [base_spans(t) for t in texts]
+
+
+def test_added_kinds():
+    def kinds(text):
+        return [S.RULES[k].kind for _, k, _ in S.find([text.encode()])[0]]
+    assert kinds("ghp_" + "Zz9" * 12) == ["github"]
+    assert kinds("-----BEGIN RSA PRIVATE KEY-----") == ["pem"]
+    assert kinds("AIza" + "Zz9_-" * 7) == ["google"]
+    assert kinds("xoxb-12345-ABCDEF") == ["slack"]
+
+
+def test_secret_scan(edge_frame, edge_docs, no_docs, spark):
+    got = S.secret_scan(edge_frame).select("doc_id", "clean_text").collect()
+    assert len(got) == len(edge_docs) and S.secret_scan(no_docs).collect() == []
+    one = spark.createDataFrame([(1, "é token = 'abcdefgh' x"), (2, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in S.secret_scan(one).collect()}
+    assert (rows[1]["spans"], rows[1]["clean_text"], rows[1]["n_assign"]) == ("assign:2:19", "é [SECRET]' x", 1)
+    assert (rows[2]["spans"], rows[2]["clean_text"]) == ("", None)
+
+
+def test_secret_query(spark):
+    rows = {r["doc_id"]: r for r in QUERIES["op8_secret_scan"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(docs)
+    for r in docs:
+        spans = base_spans(r["text"] or "")
+        joined = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in spans)
+        assert rows[r["doc_id"]]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+
+
+def test_automaton_is_minimal_and_complete():
+    one = A.seq(A.word("ab"), A.many(A.chars("c")), A.alt(A.word("d"), A.word("e")))
+    dfa = A.compile_rules([one], anywhere=False)
+    assert dfa.states == 5        # start, a, ab c*, accepted, dead
+    rows = A.as_rows(dfa)
+    assert A.longest(dfa, rows, b"abcccd!", 0) == 6 and A.longest(dfa, rows, b"abx", 0) == -1
+    back = A.compile_rules([A.reverse(one)], anywhere=True)
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcde") for _ in range(4000))
+    at, _ = A.starts(back, np.frombuffer(text.encode(), np.uint8))
+    assert at.tolist() == [m.start() for m in re.finditer("(?=abc*[de])", text)]
+
+
+def test_language_prediction(spark, edge_frame, no_docs):
+    rows = QUERIES["op5_language_id"](spark, SF).collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i in docs if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert np.mean([r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    odd = predict_language(edge_frame, edge_frame.where("lang = 'en'")).collect()
+    assert len(odd) == edge_frame.count() and {r["lang_pred"] for r in odd if r["doc_id"] == 0 and r["score"] == 0} <= {"und", "en"}
+    assert predict_language(no_docs, no_docs).collect() == []
+    none = predict_language(edge_frame, no_docs).collect()
+    assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
+
+
+def test_und_for_texts_without_letters(spark):
+    learn = spark.createDataFrame([("the cat sat on the mat again and again", "en"), ("der hund und die katze und der hund", "de")], "text string, lang string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "12 34 !!"), (4, "the cat and the mat"), (5, "der hund")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in predict_language(docs, learn).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "en", 5: "de"}
+
+
+def test_filters_have_no_false_negatives_and_masks_of_many_languages():
+    rng = np.random.default_rng(0)
+    grams = {f"l{k}": rng.integers(0, 2**32, 500) for k in range(70)}
+    f = Filters(grams, list(grams))
+    for k, (_, g) in enumerate(grams.items()):
+        assert ((f.masks(g.astype(np.uint32))[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).all()
+    other = rng.integers(0, 2**32, 20000).astype(np.uint32)
+    false = np.mean((f.masks(other)[:, 0] & np.uint64(1)) == 1)
+    assert abs(false - f.false[0]) < 0.01
+    code, doc = gram_codes([b"ab cd", b"", b"AB  cd!"])
+    assert sorted(code[doc == 0].tolist()) == sorted(code[doc == 2].tolist()) and not (doc == 1).any()
+
+
+def test_quality_scores(spark, edge_frame, no_docs):
+    rows = QUERIES["op3_quality_classifier"](spark, "/root/testdata/sf0.1").collect()
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert len(held) > 300
+    right = [r["predicted"] == labels[r["doc_id"]] for r in held]
+    assert np.mean(right) > 0.93
+    low = [r for r in held if labels[r["doc_id"]] == 0]
+    assert np.mean([r["predicted"] == 0 for r in low]) > 0.7
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+
+
+def test_quality_scores_special_tables(spark, edge_frame, edge_docs, no_docs):
+    labels = spark.createDataFrame([(i * 3, i % 2) for i in range(30)] + [(1, None), (None, 1), (6, 5)], "doc_id long, quality int")
+    assert len(quality_scores(edge_frame, labels).collect()) == len(edge_docs)
+    none = labels.where("false")
+    assert {r["score"] for r in quality_scores(edge_frame, none).collect()} == {0.5}
+    assert {r["score"] for r in quality_scores(edge_frame, labels.where("quality = 1")).collect()} == {1.0}
+    assert quality_scores(no_docs, labels).collect() == []
+
+
+def test_dual_descent_separates():
+    rng = np.random.default_rng(1)
+    rows = [np.sort(rng.choice(50, 6, replace=False)) for _ in range(300)]
+    y = np.array([1 if (r < 10).sum() >= 2 else -1 for r in rows])
+    w = dual_descent(rows, [np.ones(len(r)) for r in rows], y, 50, epochs=50)
+    got = np.array([np.sign(w[r].sum() + w[-1]) for r in rows])
+    assert (got == y).mean() > 0.97
