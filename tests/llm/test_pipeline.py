@@ -5,10 +5,10 @@ import pytest
 import corpus_pipeline as P
 from learnlog.llm.queries import packing_tokenizer
 
-from .test_dedup import words_left
-from .test_ngram_join import all_pairs
-from .test_text_rules import base_counts, base_spans
-from .test_tokens import check_pieces
+from test_dedup import words_left
+from test_ngram_join import all_pairs
+from test_text_rules import base_counts, base_spans
+from test_tokens import check_pieces
 
 SF = "/root/testdata/sf0.001"
 
