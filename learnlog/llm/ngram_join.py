@@ -276,7 +276,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named, _ = written(named.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")), "classes")
     against = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                           lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
-    tiles = (d.withColumnRenamed("id", "rep").join(named, "rep").withColumn("pair", F.explode(against))
+    # the same join at every size: the classes grow with the documents, so they are never broadcast
+    tiles = (d.withColumnRenamed("id", "rep").join(named.hint("merge"), "rep").withColumn("pair", F.explode(against))
              .select("cluster", "pair.i", "pair.j", "block", "rep", "node", "other", "copies", "text"))
     found, _ = written(tiles.groupBy("cluster", "i", "j").applyInArrow(
         lambda t: _compare(t, num, den), "rep long, links long, to long"), "links")
