@@ -29,6 +29,17 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _with_least(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """``edges(u, v)`` with the ``m`` of their ``u``.
+
+    The key is cast so that the join shuffles both sides by itself rather than
+    on the aggregate's partitions: adaptive execution splits only such a join,
+    and a node with very many edges has to be split.
+    """
+    key = "decimal(20, 0)"
+    return edges.withColumn("k", F.col("u").cast(key)).join(low.select(F.col("u").cast(key).alias("k"), "m"), "k")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``: the smallest node it reaches.
 
@@ -41,9 +52,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_least(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (_with_least(large, low).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
         nxt, to = written(small, "edges")
         delete(spark, path)
