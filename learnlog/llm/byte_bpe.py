@@ -6,8 +6,8 @@ pattern looks ahead to is part of the class), and a class is a function on the
 states of a small automaton. Functions compose associatively, so a batch is
 scanned in blocks side by side: functions of the blocks, a prefix scan over the
 blocks, then the states inside each block. A token starts where state and class
-say so. Token slices are merged by rank, each distinct slice once (cached), and
-the slices' places in an array of ids are kept, so ids and their bytes are put
+say so. Token slices are merged by rank, new distinct slices side by side and
+each once (cached), and the slices' places in an array of ids are kept, so ids and their bytes are put
 together by array operations.
 
 The automaton is that of the pattern
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import heapq
+import itertools
 import unicodedata
 from collections.abc import Iterator
 
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnlog.llm import text as X
+from learnlog.llm.merges import Pairs
 
 #: Distinct slices that a task keeps the ids of; then the cache starts anew.
 CACHE_SLICES = 300_000
@@ -149,58 +150,31 @@ class Ranks:
             tokens[rank] = token
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        # every way to put a token together from two
+        pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], rank) for t, rank in self.ranks.items() for k in range(1, len(t))
+                 if t[:k] in self.ranks and t[k:] in self.ranks]
+        left, right, joined = np.array(pairs, np.int32).T
+        self.pairs = Pairs(left, right, joined, joined)
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of a slice: the neighbours of least rank are joined first, the leftmost of equals."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
-        if len(piece) > 100:
-            return self._merge_long(piece)
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        none = len(ranks) + len(self.begin)
-        cost = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
-        while cost:
-            least = min(cost)
-            if least == none:
-                break
-            i = cost.index(least)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del cost[i]
-            if i:
-                cost[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-            if i < len(cost):
-                cost[i] = ranks.get(parts[i] + parts[i + 1], none)
-        return [ranks[p] for p in parts]
-
-    def _merge_long(self, piece: bytes) -> list[int]:
-        ranks, n = self.ranks, len(piece)
-        end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-
-        def offer(i: int) -> None:
-            if end[i] < n and (r := ranks.get(piece[i:end[end[i]]])) is not None:
-                heapq.heappush(heap, (r, i, end[end[i]]))
-
-        heap: list[tuple[int, int, int]] = []
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, to = heapq.heappop(heap)
-            if not alive[i] or end[i] >= n or end[end[i]] != to:
-                continue
-            alive[end[i]] = False
-            end[i] = to
-            if to < n:
-                before[to] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return [ranks[piece[i:end[i]]] for i in range(n) if alive[i]]
+        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of slices, one after the other; their bounds. A slice that is a token is that token."""
+        whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int64)
+        size = np.array([len(p) for p in pieces], np.int64)
+        apart = whole < 0
+        data = np.frombuffer(b"".join(pieces), np.uint8)[np.repeat(apart, size)]
+        ids, bounds = self.pairs.merge(self.of_byte[data], np.concatenate([[0], np.cumsum(np.where(apart, size, 0))]))
+        count = np.where(apart, np.diff(bounds), 1)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        out = np.empty(ends[-1], np.uint32)
+        out[np.repeat(apart, count)] = ids
+        out[ends[:-1][~apart]] = whole[~apart]
+        return out, ends
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other; their bounds."""
@@ -208,14 +182,18 @@ class Ranks:
         pieces = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist())]
         if len(self.place) > CACHE_SLICES:
             self.clear()
-        if new := list({p for p in pieces if p not in self.place}):
-            merged = [self.merge(p) for p in new]
+        index = np.fromiter(map(self.place.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(index < 0)
+        if len(unknown):
+            found = [pieces[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(found))
+            merged, bounds = self.merge(new)
             known = len(self.place)
             self.place.update(zip(new, range(known, known + len(new))))
-            self.sizes = np.concatenate([self.sizes, np.array([len(m) for m in merged], np.int64)])
-            self.ids = np.concatenate([self.ids, np.array([i for m in merged for i in m], np.uint32)])
-        index = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-        ids, bounds = gather(self.ids, np.concatenate([[0], np.cumsum(self.sizes)]), index)
+            self.begins = np.concatenate([self.begins, self.begins[-1] + bounds[1:]])
+            self.ids = np.concatenate([self.ids, merged])
+            index[unknown] = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
+        ids, bounds = gather(self.ids, self.begins, index)
         return ids, bounds[np.concatenate([[0], np.cumsum(count)])]
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
