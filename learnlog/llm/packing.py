@@ -8,8 +8,8 @@ shuffled; a group's last windows are what padding there is.
 
 Tokens are those of a ``tokenizers`` file without special tokens, then the
 end-of-document id. Normalisation, splitting and merges of the file never
-reach across ASCII white space, so each run of other characters is encoded
-once and cached.
+reach across ASCII white space, so each run of other characters (a word) is
+encoded once and cached, new words side by side.
 
 Result for special rows: NULL and empty text is the end-of-document id alone;
 repeated rows and ids are packed each by itself; an empty table gives an empty
@@ -21,7 +21,10 @@ partition's number times 2**33.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -33,55 +36,146 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnlog.llm import text as X
+from learnlog.llm.merges import Pairs
 
 LENGTH = 4096
 END_ID = 2
 #: Tokens of a group of documents that a task packs together; bounds its memory.
-GROUP_TOKENS = 4 << 20
+GROUP_TOKENS = 2 << 20
 #: Distinct words that a task keeps the ids of; then the cache starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 
 class WordEncoder:
-    """Ids of texts, by cached ids of their words."""
+    """Ids of texts, by cached ids of their words.
+
+    Words of printable Latin characters (without a special token's ``<|``),
+    which normalisation only puts in lower case, are split and merged here, side
+    by side, by the file's vocabulary and merges; the library encodes the others.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        ids = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        rank = {(ids[a], ids[b]): (k, ids[a + b]) for k, (a, b) in enumerate(merges)}
+        left, right = np.array(list(rank), np.int32).T
+        self.pairs = Pairs(left, right, *np.array(list(rank.values()), np.int32).T)
+        self.inner, self.last = (np.array([ids[c + end] for c in _byte_letters()], np.int32) for end in ("", "</w>"))
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.ids, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def learn(self, words: list[bytes]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
+        """Add words that are not known yet."""
+        plain, other = [], []
         for w in words:
-            self.place[w] = len(self.place)
-        self.sizes = [np.concatenate([*self.sizes, np.array([len(e) for e in encoded], np.int64)])]
-        self.ids = [np.concatenate([*self.ids, np.array([i for e in encoded for i in e], np.uint32)])]
+            t = w.decode()
+            (plain if max(t) <= LATIN and t.isprintable() and "<|" not in t and "\u0130" not in t else other).append(w)
+        ids, bounds = self._merge_latin(b"\n".join([*plain, b""]).decode().lower(), len(plain))
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)] if other else []
+        known = len(self.place)
+        self.place.update(zip([*plain, *other], range(known, known + len(words))))
+        sizes = np.concatenate([np.diff(bounds), [len(e) for e in encoded]]).astype(np.int64)
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32), np.array([i for e in encoded for i in e], np.uint32)])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+
+    def _merge_latin(self, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the ``n`` lines, printable Latin words in lower case, and their bounds."""
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        kind = _LATIN_KIND[points]
+        first = np.ones(len(points), bool)
+        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+        # an apostrophe that begins a run takes in s, t, m, d, re, ve or ll
+        follow = np.concatenate([points, np.zeros(3, np.int64)])
+        quote = np.flatnonzero(first & (points == 0x27))
+        for suffix in ("s", "t", "re", "ve", "m", "ll", "d"):
+            at = quote[np.all([follow[quote + 1 + k] == ord(c) for k, c in enumerate(suffix)], axis=0)]
+            first[at + 1] = False
+            first[at + 1 + len(suffix)] = True
+        inside = kind != _END
+        first &= inside
+        final = np.append(first[1:] | ~inside[1:], True)
+        # from code points to bytes: a token's last byte is the last one of its last code point
+        width = 1 + (points >= 0x80)
+        place = np.concatenate([[0], np.cumsum(np.where(inside, width, 0))])
+        data = np.frombuffer(text.encode(), np.uint8)
+        data = data[data != 10]
+        last = np.zeros(len(data), bool)
+        last[place[1:][final & inside] - 1] = True
+        begin = np.flatnonzero(first)
+        ids, bounds = self.pairs.merge(np.where(last, self.last[data], self.inner[data]), np.append(place[begin], len(data)))
+        lines = np.concatenate([[0], np.flatnonzero(~inside) + 1])
+        return ids, bounds[np.searchsorted(begin, lines)]
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end_id``; bounds of each text."""
-        words = [t.split() for t in texts]
+        flat, count = _words(texts)
         if len(self.place) > CACHE_WORDS:
             self.clear()
-        if new := list({w for ws in words for w in ws if w not in self.place}):
-            self.learn(new)
-        get = self.place.__getitem__
-        index = np.fromiter((k for ws in words for k in map(get, ws)), np.int64, sum(map(len, words)))
-        begin = np.concatenate([[0], np.cumsum(self.sizes[0])])
-        size = self.sizes[0][index]
+        index = np.fromiter(map(self.place.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(index < 0)
+        if len(unknown):
+            new = [flat[i] for i in unknown.tolist()]
+            self.learn(list(dict.fromkeys(new)))
+            index[unknown] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
+        size = self.begins[index + 1] - self.begins[index]
         bounds = np.concatenate([[0], np.cumsum(size)])
-        at = np.arange(bounds[-1]) + np.repeat(begin[index] - bounds[:-1], size)
-        words_to = np.concatenate([[0], np.cumsum([len(ws) for ws in words])]).astype(np.int64)
-        ends = bounds[words_to[1:]]
-        ids = np.insert(self.ids[0][at], ends, np.uint32(end_id))
+        at = np.arange(bounds[-1]) + np.repeat(self.begins[index] - bounds[:-1], size)
+        ends = bounds[np.cumsum(count)]
+        ids = np.insert(self.ids[at], ends, np.uint32(end_id))
         return ids, np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
 
 
+def _words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Words of all texts and their number per text, with ASCII letters in lower
+    case and a mark after a word as a word of its own: both are what the file
+    does to them in any case, and make fewer words distinct. Texts that may hold
+    a special token, which only counts as it is written, are just split."""
+    raw = b"\n".join([*texts, b""])
+    if b"<|" in raw:
+        words = [t.split() for t in texts]
+        return list(itertools.chain.from_iterable(words)), np.array([len(w) for w in words], np.int64)
+    data = np.frombuffer(raw.lower(), np.uint8)
+    space = _SPACE[data]
+    mark = np.zeros(len(data), bool)
+    mark[1:-1] = _MARK[data[1:-1]] & space[2:] & (data[:-2] >= 97) & (data[:-2] <= 122)
+    # a word begins after white space, and at a mark
+    begins = np.flatnonzero(~space & (np.concatenate([[True], space[:-1]]) | mark))
+    bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
+    apart = np.insert(data, np.flatnonzero(mark), np.uint8(0x20))
+    return apart.tobytes().split(), np.diff(np.searchsorted(begins, bounds))
+
+
+_SPACE, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARK[list(b".,;:?!")] = True
+#: Words up to this character are split and merged here: letters and numbers are the same in every version of Unicode.
+LATIN = "\u024f"
+_LETTER, _NUMBER, _OTHER, _END = range(4)
+_LATIN_KIND = np.array([{"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(i))[0], _OTHER) for i in range(ord(LATIN) + 1)], np.uint8)
+_LATIN_KIND[10] = _END
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in the file: itself if it is printable and no space, else the next from 256 on."""
+    out, spare = [], 256
+    for b in range(256):
+        if 33 <= b < 127 or 161 <= b < 256 and b != 173:
+            out.append(chr(b))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
