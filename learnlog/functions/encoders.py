@@ -8,12 +8,13 @@ vocabularies of categorical columns, PCA loadings (vocabulary x k).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from typing import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer, PCA,
-                                RegexTokenizer, StandardScaler, StringIndexer)
+                                RegexTokenizer, StandardScaler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window
@@ -21,16 +22,23 @@ from pyspark.sql import functions as F
 
 from ..functions.quantiles import quantiles
 from ..functions.scalars import round_half_even
+from ..operators.prefix import Agg, running
 
 LABEL = "answered_correctly"
 
 
 # ---------------------------------------------------------------- quantile bins
 
-def quantile_edges(df: DataFrame, col: str, n: int, digits: int = 3) -> list[float]:
-    """n quantile bins -> sorted distinct edges (rounded; repeats merged, D17)."""
-    qs = quantiles(df, col, [k / n for k in range(n + 1)])
-    return sorted({round(q, digits) for q in qs if q is not None})
+def quantile_edges(df: DataFrame, col: str, n: int, tolerance: float = 1e-12) -> list[float]:
+    """n quantile bins -> rising edges; edges that differ by no more than
+    rounding errors (``tolerance`` of the range) are one (D17)."""
+    qs = sorted(q for q in quantiles(df, col, [k / n for k in range(n + 1)]) if q is not None)
+    gap = tolerance * (qs[-1] - qs[0]) if qs and math.isfinite(qs[-1] - qs[0]) else 0.0
+    edges: list[float] = []
+    for q in qs:
+        if not edges or q - edges[-1] > gap:
+            edges.append(q)
+    return edges
 
 
 def bin_index(x: str | Column, edges: Sequence[float], right_closed: bool = False) -> Column:
@@ -41,10 +49,17 @@ def bin_index(x: str | Column, edges: Sequence[float], right_closed: bool = Fals
     Values outside the range fall in the first / last bin. NULL stays NULL.
     """
     c = F.col(x) if isinstance(x, str) else x
-    inner = F.array(*[F.lit(float(e)) for e in edges[1:-1]]) if len(edges) > 2 else \
-        F.array().cast("array<double>")
-    cmp = (lambda e: e < c) if right_closed else (lambda e: e <= c)
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.size(F.filter(inner, cmp))).cast("int")
+    inner = [float(e) for e in edges[1:-1]]
+
+    def search(lo: int, hi: int) -> Column:
+        """Number of inner edges below ``c``, known to lie in lo..hi: a binary search."""
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        over = c > inner[mid] if right_closed else c >= inner[mid]
+        return F.when(over, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return F.when(c.isNotNull(), search(0, len(inner))).cast("int")
 
 
 @dataclass
@@ -100,58 +115,51 @@ def time_bin_cluster(df: DataFrame, n: int = 200, col: str = "timestamp") -> tup
 
 # ---------------------------------------------------------------- label codes
 
-def label_encode_strings(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Sorted distinct strings -> 0..k-1 (StringIndexer, alphabetical)."""
-    o = out or f"{col}_enc"
-    idx = StringIndexer(inputCol=col, outputCol=o, stringOrderType="alphabetAsc",
-                        handleInvalid="keep").fit(df)
-    return idx.transform(df).withColumn(o, F.when(F.col(col).isNull(), F.lit(None))
-                                         .otherwise(F.col(o)).cast("int"))
-
-
-def label_encode_numbers(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Sorted distinct numbers -> 0..k-1, computed distributed: distinct
-    values, then a chunked running count over them."""
-    from ..operators.prefix import Agg, running
+def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """Sorted distinct values -> 0..k-1 (NULL stays NULL): distinct values, a
+    running count over them, joined back. No vocabulary on the driver."""
     o = out or f"{col}_enc"
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    row = vals.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
-    if row["lo"] is None:
-        return df.withColumn(o, F.lit(None).cast("int"))
-    lo, hi = float(row["lo"]), float(row["hi"])
-    width = (hi - lo) / 1024 if hi > lo else 1.0
-    chunk = F.floor((F.col("_v").cast("double") - F.lit(lo)) / F.lit(width)).cast("long")
-    codes = running(vals, [], [Agg(o, "count", F.lit(1))], chunk=chunk, order=("_v",))
+    codes = running(vals, [], [Agg(o, "count", F.lit(1))], order=("_v",))
     codes = codes.withColumn(o, F.col(o).cast("int")).withColumnRenamed("_v", col)
     return df.join(codes, col, "left")
 
 
 def auto_categorical(df: DataFrame, cols: Sequence[str], max_levels: int = 200,
-                     key: str = "row_id") -> tuple[DataFrame, dict]:
+                     key: str = "row_id", train: Column | None = None) -> tuple[DataFrame, dict]:
     """Text columns and columns with fewer than ``max_levels`` distinct values
-    are label-encoded; other numeric columns get NULL -> mean (D10: each
-    column its own mean). Returns the frame and {column: levels} of the
-    encoded ones (the categorical dims)."""
+    are label-encoded, with a level of their own for NULL if there are any;
+    other numeric columns get NULL -> mean (D10: each column its own mean),
+    the mean over the rows where ``train`` holds (all rows without it).
+
+    Returns the frame and {column: (position among ``cols``, levels)} of the
+    encoded ones: the categorical positions and dims. Counts are exact.
+    """
     types = dict(df.dtypes)
-    nd = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in cols]).first().asDict()
-    cat = [c for c in cols if types[c] == "string" or nd[c] < max_levels]
+    stats = df.agg(*[F.countDistinct(c).alias(f"d_{c}") for c in cols],
+                   *[F.max(F.col(c).isNull().cast("int")).alias(f"n_{c}") for c in cols]).first()
+    cat = [c for c in cols if types[c] == "string" or stats[f"d_{c}"] < max_levels]
     num = [c for c in cols if c not in cat]
-    out = df.select(key, *cols)
-    dims = {}
+    seen = F.lit(True) if train is None else train
+    means = df.agg(*[F.avg(F.when(seen, F.col(c))).alias(c) for c in num]).first().asDict() if num else {}
+    out, dims = df.select(key, *cols), {}
     for c in cat:
+        missing = stats[f"n_{c}"] or 0
         if types[c] == "string":
-            out = label_encode_strings(out.withColumn(c, F.coalesce(F.col(c), F.lit("missing"))), c)
+            out = label_encode(out.withColumn(c, F.coalesce(F.col(c), F.lit("missing"))), c)
+            dims[c] = (list(cols).index(c), out.select(F.countDistinct(c)).first()[0] if missing else stats[f"d_{c}"])
         else:
-            out = label_encode_numbers(out, c)
-        dims[c] = nd[c]
-    if num:
-        means = out.agg(*[F.avg(c).alias(c) for c in num]).first().asDict()
-        out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in num})
+            # the level after the last one is that of NULL
+            out = label_encode(out, c).withColumn(f"{c}_enc", F.coalesce(F.col(f"{c}_enc"), F.lit(stats[f"d_{c}"])).cast("int"))
+            dims[c] = (list(cols).index(c), stats[f"d_{c}"] + missing)
+    out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in num}) if num else out
     return out, dims
 
 
 # ---------------------------------------------------------------- tags TF-IDF + PCA
 
+# Tags are numbers of the question table: a vocabulary beyond this is an error, not cut off.
+VOCABULARY = 1 << 20
 TOKEN_PATTERN = r"\w\w+"  # tokens of two or more word characters (one-character tags drop, D5)
 
 
@@ -173,9 +181,11 @@ class TagsEncoder:
         docs = df.withColumn("_doc", F.coalesce(F.col(self.col), F.lit(" ")))
         tf = Pipeline(stages=[
             RegexTokenizer(inputCol="_doc", outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False),
-            CountVectorizer(inputCol="_tok", outputCol="_tf")]).fit(docs)
+            CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=VOCABULARY)]).fit(docs)
         self._tf = tf
         self.vocab = list(tf.stages[1].vocabulary)
+        if len(self.vocab) == VOCABULARY:
+            raise ValueError(f"{VOCABULARY} tags or more; raise VOCABULARY")
         counts = tf.transform(docs)
         idf = IDF(inputCol="_tf", outputCol="_idf_unused").fit(counts).idf.toArray()
         self._scale = ElementwiseProduct(inputCol="_tf", outputCol="_w",
@@ -200,10 +210,17 @@ class TagsEncoder:
         return self._weights(self._tf.transform(docs))
 
     def tfidf_long(self, df: DataFrame, key: str) -> DataFrame:
-        """(key, token, weight) for the non-zero TF-IDF weights."""
-        vocab = F.array(*[F.lit(v) for v in self.vocab])
-        t = self.tfidf(df).select(key, F.posexplode(vector_to_array("_tfidf")).alias("_i", "weight"))
-        return t.filter(F.col("weight") != 0).select(key, F.get(vocab, F.col("_i")).alias("token"), "weight")
+        """(key, token, weight) for the non-zero TF-IDF weights: the tokens of a
+        row, not the vocabulary, are exploded."""
+        tok = RegexTokenizer(inputCol="_doc", outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False)
+        docs = tok.transform(df.withColumn("_doc", F.coalesce(F.col(self.col), F.lit(" "))))
+        idf = self._scale.getScalingVec().toArray()
+        table = df.sparkSession.createDataFrame([(t, float(w)) for t, w in zip(self.vocab, idf)] or [("", 0.0)], "token string, _idf double")
+        # tokens of a row: a handful, so a row's weights are put together in the row
+        tf = docs.select(key, F.explode("_tok").alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+        w = tf.join(table, "token").withColumn("_w", F.col("_n") * F.col("_idf"))
+        norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+        return w.select(key, "token", (F.col("_w") / norm).alias("weight"))
 
     def transform(self, df: DataFrame) -> DataFrame:
         t = self._center.transform(self.tfidf(df))

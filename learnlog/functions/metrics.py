@@ -7,26 +7,21 @@ from pyspark.sql import functions as F
 
 from ..operators.prefix import Agg, running
 
-SCORE_CHUNKS = 1024
 
-
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, rows_per_task: int | None = None) -> DataFrame:
     """Exact, tie-aware ROC AUC as a one-row DataFrame ``auc``.
 
     Scores are grouped (partial aggregation), negatives below each distinct
-    score come from a chunked running sum over score ranges, and ties count
-    one half: AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N).
+    score come from the running sum over scores in order, and ties count
+    one half: AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N). Rows
+    whose label or score is NULL (or NaN) don't count.
     """
     y = F.col(label).cast("int")
     s = F.col(score).cast("double")
-    by = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    by = (df.where(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull())
             .groupBy(s.alias("_s")).agg(F.sum(y).cast("long").alias("_pos"),
                                         F.sum(1 - y).cast("long").alias("_neg")))
-    rng = by.agg(F.min("_s").alias("lo"), F.max("_s").alias("hi")).first()
-    lo, hi = (rng["lo"] or 0.0), (rng["hi"] or 0.0)
-    width = (hi - lo) / SCORE_CHUNKS if hi > lo else 1.0
-    chunk = F.floor((F.col("_s") - F.lit(lo)) / F.lit(width)).cast("long")
-    cum = running(by, [], [Agg("_neg_below", "sum", F.col("_neg"))], chunk=chunk, order=("_s",))
+    cum = running(by, [], [Agg("_neg_below", "sum", F.col("_neg"))], order=("_s",), rows_per_task=rows_per_task)
     return cum.agg(
         (F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2.0))
          / (F.sum("_pos").cast("double") * F.sum("_neg").cast("double"))).alias("auc"))

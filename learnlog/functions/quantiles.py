@@ -3,14 +3,14 @@
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer, so a whole-column quantile would sit in one task. Here:
 
-1. value counts: ``groupBy(x).count()`` (partial aggregation, distributed);
-2. N, min and max: one scalar aggregate over the column (one small row);
-3. cumulative counts over values in order: the chunked prefix of
-   ``operators.prefix`` with value ranges as chunks;
-4. the wanted ranks are matched to values by an equi-join on rank buckets.
+1. value counts: ``groupBy(column, x).count()`` (partial aggregation);
+2. cumulative counts over a column's values in order: the running sum of
+   ``operators.prefix``, whose ranges follow the counts of values, so an
+   outlier or an infinite value leaves the others spread;
+3. the wanted ranks are matched to values by an equi-join on rank buckets.
 
-Interpolation is linear at position p * (N - 1), as ``quantile_cont`` and
-Spark's ``percentile`` do.
+NaN is no number and is ignored like NULL. Interpolation is linear at position
+p * (N - 1), as ``quantile_cont`` and Spark's ``percentile`` do.
 """
 
 from __future__ import annotations
@@ -23,47 +23,44 @@ from pyspark.sql import functions as F
 
 from ..operators.prefix import Agg, running
 
-RANGE_CHUNKS = 1024
 RANK_BUCKETS = 4096
 
 
-def _value_counts(df: DataFrame, x: Column) -> DataFrame:
-    return (df.select(x.cast("double").alias("_x")).where(F.col("_x").isNotNull())
-              .groupBy("_x").agg(F.count(F.lit(1)).alias("_n")))
+def column_quantiles(df: DataFrame, cols: dict[str, Column], probs: Sequence[float],
+                     rows_per_task: int | None = None) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns in one pass, one list per column.
 
-
-def quantiles(df: DataFrame, x: str | Column, probs: Sequence[float]) -> list[float | None]:
-    """Exact quantiles of ``x`` (NULLs ignored) as Python floats, one per prob.
-
-    The result is a handful of scalars; all work on the column is distributed.
-    Wanted ranks are matched to the value whose cumulative-count range holds
-    them by an equi-join on rank buckets: each value row emits the buckets
-    its range covers (at most N / bucket + 2 in total beyond one per row), the
-    wanted ranks (at most 2 per prob, a bound set by the caller) are broadcast.
+    What comes to the driver is a count and at most 2 values per prob and
+    column. Each value row emits the rank buckets its cumulative count covers
+    (at most one per bucket beyond one per row); the wanted ranks, a number set
+    by the caller, are broadcast.
     """
-    col = (F.col(x) if isinstance(x, str) else x).cast("double")
-    row = df.agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    n = row["n"]
-    if not n:
-        return [None for _ in probs]
-    lo, hi = float(row["lo"]), float(row["hi"])
-    pos = [p * (n - 1) for p in probs]
-    ranks = sorted({int(math.floor(q)) for q in pos} | {int(math.ceil(q)) for q in pos})
-    width = (hi - lo) / RANGE_CHUNKS if hi > lo else 1.0
-    chunk = F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)).cast("long")
-    cum = running(_value_counts(df, col), [], [Agg("_cum", "sum", F.col("_n"))], chunk=chunk,
-                  order=("_x",), inclusive=True)
-    bucket = max(1, -(-n // RANK_BUCKETS))
-    first = F.col("_cum") - F.col("_n")
-    spans = cum.select("_x", first.alias("_from"), F.col("_cum").alias("_to"), F.explode(F.sequence(
-        F.floor(first / bucket).cast("long"), F.floor((F.col("_cum") - 1) / bucket).cast("long"))).alias("_b"))
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(k, k // bucket) for k in ranks], "_rank long, _b long")
-    hit = (spans.join(F.broadcast(wanted), "_b")
+    long = df.select(*[c.cast("double").alias(n) for n, c in cols.items()]).unpivot([], list(cols), "_col", "_x")
+    counts = long.where(F.col("_x").isNotNull() & ~F.isnan("_x")).groupBy("_col", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    total = {r["_col"]: r["n"] for r in counts.groupBy("_col").agg(F.sum("_n").alias("n")).collect()}
+    pos = {c: [p * (n - 1) for p in probs] for c, n in total.items()}
+    size = {c: max(1, -(-n // RANK_BUCKETS)) for c, n in total.items()}
+    wanted = [(c, k, k // size[c]) for c, qs in pos.items()
+              for k in sorted({f(q) for q in qs for f in (math.floor, math.ceil)})]
+    if not wanted:
+        return {c: [None for _ in probs] for c in cols}
+    cum = running(counts, ["_col"], [Agg("_to", "sum", F.col("_n"))], order=("_x",), inclusive=True, rows_per_task=rows_per_task)
+    first, bucket = F.col("_to") - F.col("_n"), F.create_map(*[F.lit(x) for c in size for x in (c, size[c])])[F.col("_col")]
+    spans = cum.select("_col", "_x", first.alias("_from"), "_to", F.explode(F.sequence(
+        F.floor(first / bucket).cast("long"), F.floor((F.col("_to") - 1) / bucket).cast("long"))).alias("_b"))
+    ranks = df.sparkSession.createDataFrame(wanted, "_col string, _rank long, _b long")
+    hit = (spans.join(F.broadcast(ranks), ["_col", "_b"])
                 .where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))))
-    at = {int(r["_rank"]): float(r["_x"]) for r in hit.select("_rank", "_x").collect()}
-    out = []
-    for q in pos:
-        a, b = int(math.floor(q)), int(math.ceil(q))
-        out.append(at[a] + (q - a) * (at[b] - at[a]))
-    return out
+    at = {(r["_col"], r["_rank"]): r["_x"] for r in hit.select("_col", "_rank", "_x").collect()}
+
+    def value(c: str, q: float) -> float:
+        a, b = at[c, math.floor(q)], at[c, math.ceil(q)]
+        return a if a == b else a + (q - math.floor(q)) * (b - a)
+
+    return {c: [value(c, q) for q in pos[c]] if c in pos else [None for _ in probs] for c in cols}
+
+
+def quantiles(df: DataFrame, x: str | Column, probs: Sequence[float],
+              rows_per_task: int | None = None) -> list[float | None]:
+    """Exact quantiles of ``x`` (NULL and NaN ignored), one per prob; None without values."""
+    return column_quantiles(df, {"x": F.col(x) if isinstance(x, str) else x}, probs, rows_per_task)["x"]

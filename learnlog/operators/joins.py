@@ -1,9 +1,8 @@
 """Equi left joins of the log to dimensions and to aggregate tables.
 
-Every join in the reference is a left join on one key. Dimensions (questions,
-lectures) are broadcast only after a row-count check proves them small;
-aggregate tables are joined plainly and AQE chooses broadcast or sort-merge
-from their runtime size, with skew-join splitting for hot keys.
+Every join in the reference is a left join on one key. Nothing is hinted:
+adaptive execution broadcasts a side that its measured bytes show to be small
+and sort-merges it otherwise, with skew-join splitting for hot keys.
 """
 
 from __future__ import annotations
@@ -11,24 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension above this many rows is joined without a broadcast hint.
-DIM_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-             how: str = "left", keep_key: bool = False,
-             max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left join a dimension on ``fact_key = dim_key``; broadcast if proven small."""
-    side = F.broadcast(dim) if bounded(dim, max_rows) else dim
+             how: str = "left", keep_key: bool = False) -> DataFrame:
+    """Left join a dimension on ``fact_key = dim_key``."""
     if fact_key == dim_key:
-        return fact.join(side, fact_key, how)
-    out = fact.join(side, fact[fact_key] == side[dim_key], how)
-    return out if keep_key else out.drop(side[dim_key])
+        return fact.join(dim, fact_key, how)
+    out = fact.join(dim, fact[fact_key] == dim[dim_key], how)
+    return out if keep_key else out.drop(dim[dim_key])
 
 
 def join_stats(fact: DataFrame, stats: DataFrame, keys: str | list[str],

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from ..schema import ORDER, PARTS
 from .joins import join_dim
-from .prefix import CHUNK, Agg, Family, auto_width, running, running_families, split_chunks
+from .prefix import Agg, Family, running, running_families
 
 # Distinct sentinels so a NULL question part never matches a NULL lecture part.
 Q_NULL_PART, L_NULL_PART = -1, -2
+# Tag keys that never meet a real tag: a question without tags, a lecture
+# missing from the lecture table.
+NO_TAG, NO_LECTURE_TAG = -2147483647, -2147483648
 
 
 def parse_tags(tags: str | Column = "tags") -> Column:
@@ -56,104 +59,79 @@ def _part_key() -> Column:
              .otherwise(F.coalesce(F.col("_l_part"), F.lit(L_NULL_PART))))
 
 
-def lecture_counters(rows: DataFrame, width: int | None = None) -> DataFrame:
+def lecture_counters(rows: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """num_lecture_seen, num_question_seen and part1_seen..part7_seen,
     counted up to and including each row, in one running pass on user."""
-    rows, chunk = split_chunks(rows, ["user_id"], "timestamp", width)
-    return running(rows, ["user_id"], _counter_aggs(), chunk=chunk, order=ORDER, inclusive=True)
+    return running(rows, ["user_id"], _counter_aggs(), order=ORDER, inclusive=True, rows_per_task=rows_per_task)
 
 
-def num_tags_match(rows: DataFrame, width: int | None = None) -> DataFrame:
+def num_tags_match(rows: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Per question row: earlier lectures of the user (with multiplicity)
     whose tag is one of the question's tags.
 
-    Probe rows (one per distinct question tag) and lecture rows are unioned
-    on ``(user, tag)``; a running count of lectures before each probe, summed
-    per question row, is the match count.
+    Each question row is copied once per distinct tag (at most a handful)
+    after the shuffle on the user, lecture rows once; a running count of
+    lectures per (user, tag), added up per row, is the match count.
     """
+    return _tag_copies(rows, [], rows_per_task).where("_copy = 0").drop(*_COPY_COLS)
+
+
+_COPY_COLS = ("_copy", "_tag0", "_tag", "_tag_lec")
+
+
+def _tag_copies(rows: DataFrame, families: list[Family], rows_per_task: int | None) -> DataFrame:
+    """Rows copied once per tag, with the running aggregates of ``families``
+    and ``num_tags_match`` (on every copy). One shuffle, on the user."""
     is_q = F.col("content_type_id") == 0
-    probes = (rows.filter(is_q)
-              .select("row_id", "timestamp", "user_id",
-                      F.explode(F.array_distinct(parse_tags("_q_tags"))).alias("_tag"))
-              .filter(F.col("_tag").isNotNull())
-              .withColumn("_is_lec", F.lit(0)))
-    lecs = (rows.filter(~is_q & F.col("_l_tag").isNotNull())
-            .select("row_id", "timestamp", "user_id", F.col("_l_tag").alias("_tag"),
-                    F.lit(1).alias("_is_lec")))
-    both, chunk = split_chunks(probes.unionByName(lecs), ["user_id", "_tag"], "timestamp", width)
-    counted = running(both, ["user_id", "_tag"], [Agg("_lec_before", "sum", F.col("_is_lec"))],
-                      chunk=chunk, order=ORDER)
-    per_row = (counted.filter(F.col("_is_lec") == 0)
-               .groupBy("row_id").agg(F.sum("_lec_before").cast("long").alias("_m")))
-    return (rows.join(per_row, "row_id", "left")
-                .withColumn("num_tags_match",
-                            F.when(is_q, F.coalesce(F.col("_m"), F.lit(0))).otherwise(F.lit(0))
-                            .cast("long"))
-                .drop("_m"))
-
-
-def part_matches(rows: DataFrame, width: int | None = None) -> DataFrame:
+    tags = F.array_distinct(F.filter(parse_tags("_q_tags"), lambda t: t.isNotNull()))
+    one = F.array(F.when(~is_q, F.col("_l_tag")).cast("int"))
+    copies = rows.repartition("user_id").select("*", F.posexplode(
+        F.when(is_q & (F.coalesce(F.size(tags), F.lit(0)) > 0), tags).otherwise(one)).alias("_copy", "_tag0"))
+    copies = copies.withColumn("_tag", F.coalesce(
+        F.col("_tag0"), F.when(is_q, F.lit(NO_TAG)).otherwise(F.lit(NO_LECTURE_TAG))))
+    # A question row is never a lecture, so "lectures up to and including" are the earlier ones.
+    out = running_families(copies, ["user_id"], [
+        *families, Family((Agg("_tag_lec", "sum", (~is_q).cast("int")),), ("_tag",))],
+        order=(*ORDER, "_copy"), inclusive=True, rows_per_task=rows_per_task, arranged=True)
+    per_row = Window.partitionBy("user_id", "row_id")
+    matched = F.when(is_q & F.col("_tag0").isNotNull(), F.col("_tag_lec")).otherwise(F.lit(0))
+    return out.withColumn("num_tags_match", F.sum(matched).over(per_row).cast("long"))
+
+
+def part_matches(rows: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """1 when an earlier lecture of the user has this question's part."""
     is_q = F.col("content_type_id") == 0
-    keyed, chunk = split_chunks(rows.withColumn("_pk", _part_key()), ["user_id", "_pk"], "timestamp", width)
-    out = running(keyed, ["user_id", "_pk"], [Agg("_lec_seen", "max", (~is_q).cast("int"))],
-                  chunk=chunk, order=ORDER)
+    out = running(rows.withColumn("_pk", _part_key()), ["user_id", "_pk"], [Agg("_lec_seen", "max", (~is_q).cast("int"))],
+                  order=ORDER, rows_per_task=rows_per_task)
     return (out.withColumn("part_matches",
                            F.when(is_q, F.coalesce(F.col("_lec_seen"), F.lit(0))).otherwise(F.lit(0)))
                .drop("_pk", "_lec_seen"))
 
 
-def last_lecture_before(rows: DataFrame, width: int | None = None) -> DataFrame:
+def last_lecture_before(rows: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """As-of match: for each row, the user's latest earlier lecture
     (prev_lecture_id, prev_lecture_ts), NULL when none."""
     is_l = F.col("content_type_id") == 1
     mark = F.when(is_l, F.struct(F.col("timestamp").alias("ts"), F.col("row_id").alias("rid"),
                                  F.col("content_id").alias("lid")))
-    rows, chunk = split_chunks(rows, ["user_id"], "timestamp", width)
-    out = running(rows, ["user_id"], [Agg("_last_l", "max", mark)], chunk=chunk, order=ORDER)
+    out = running(rows, ["user_id"], [Agg("_last_l", "max", mark)], order=ORDER, rows_per_task=rows_per_task)
     return (out.withColumn("prev_lecture_id", F.col("_last_l.lid"))
                .withColumn("prev_lecture_ts", F.col("_last_l.ts"))
                .drop("_last_l"))
 
 
-# Tag keys that never meet a real tag: a question without tags, a lecture
-# missing from the lecture table.
-NO_TAG, NO_LECTURE_TAG = -2147483647, -2147483648
-
-
 def lecture_history(log: DataFrame, questions: DataFrame, lectures: DataFrame,
-                    width: int | None = None) -> DataFrame:
+                    rows_per_task: int | None = None) -> DataFrame:
     """All lecture-history features, returned for question rows only, with
-    one shuffle of the rows.
-
-    Each question row is copied once per distinct tag (at most a handful);
-    each lecture row once. One ``running_families`` call over (user, chunk)
-    runs the counters (primary copy only), the part match (sub-key part) and
-    the tag match (sub-key tag: lectures before with this tag); a window over
-    (user, chunk, row_id), which reuses that partitioning, adds up the
-    matches of a question's copies.
-    """
+    one shuffle of the rows: counters (on a question's first copy only), part
+    match and tag match are families of one call over the user."""
     rows = with_dims(log, questions, lectures).withColumn("_pk", _part_key())
     is_q = F.col("content_type_id") == 0
-    tags = F.array_distinct(F.filter(parse_tags("_q_tags"), lambda t: t.isNotNull()))
-    one = F.array(F.when(~is_q, F.col("_l_tag")).cast("int"))
-    copies = rows.select("*", F.posexplode(
-        F.when(is_q & (F.coalesce(F.size(tags), F.lit(0)) > 0), tags).otherwise(one)).alias("_copy", "_tag0"))
-    copies = copies.withColumn("_tag", F.coalesce(
-        F.col("_tag0"), F.when(is_q, F.lit(NO_TAG)).otherwise(F.lit(NO_LECTURE_TAG))))
     primary = (F.col("_copy") == 0).cast("int")
-    width = width if width is not None else auto_width(rows, "timestamp")
-    copies, chunk = split_chunks(copies, ["user_id"], "timestamp", width)
-    out = running_families(copies, ["user_id"], [
+    out = _tag_copies(rows, [
         Family(tuple(Agg(a.name, a.kind, a.col * primary) for a in _counter_aggs())),
         Family((Agg("_lec_seen", "max", (~is_q).cast("int")),), ("_pk",)),
-        Family((Agg("_tag_lec", "sum", (~is_q).cast("int")),), ("_tag",)),
-    ], chunk=chunk, order=("timestamp", "row_id", "_copy"), inclusive=True, keep_chunk=True)
-    # Counters include the current row; a question row is never a lecture, so
-    # "lectures up to and including" equals "earlier lectures".
-    per_row = Window.partitionBy("user_id", CHUNK, "row_id")
-    matched = F.when(F.col("_tag0").isNotNull(), F.col("_tag_lec")).otherwise(F.lit(0))
-    out = (out.withColumn("num_tags_match", F.sum(matched).over(per_row).cast("long"))
-              .filter(is_q & (F.col("_copy") == 0))
-              .withColumn("part_matches", F.coalesce(F.col("_lec_seen"), F.lit(0))))
-    return out.drop("_pk", "_lec_seen", "_tag_lec", "_copy", "_tag0", "_tag", CHUNK)
+    ], rows_per_task)
+    return (out.filter(is_q & (F.col("_copy") == 0))
+               .withColumn("part_matches", F.coalesce(F.col("_lec_seen"), F.lit(0)))
+               .drop("_pk", "_lec_seen", *_COPY_COLS))

@@ -13,7 +13,7 @@ from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,29 +24,36 @@ class GBTConfig:
     max_iter: int = 40
     max_depth: int = 5
     step_size: float = 0.1
-    max_bins: int = 64
+    max_bins: int = 128
     validation_tol: float = 0.001
     seed: int = 42
 
 
 def train_gbt(df: DataFrame, features: Sequence[str], label: str = "answered_correctly",
-              valid_col: str = "is_valid", cfg: GBTConfig = GBTConfig()) -> PipelineModel:
+              valid_col: str = "is_valid", cfg: GBTConfig = GBTConfig(), categorical: Sequence[str] = ()) -> PipelineModel:
     """Fit on rows with ``valid_col`` false, early-stop on rows with it true.
-    NULL features are imputed by the caller (GBT needs numbers)."""
+    NULL features are imputed by the caller (GBT needs numbers).
+
+    ``categorical`` features (parts, tags, flags: small fixed domains, fewer
+    than ``max_bins`` values) are indexed, so the trees split them by value
+    sets; a value that training didn't have is a level of its own.
+    """
     data = df.withColumn("_label", F.col(label).cast("double")).withColumn(
         valid_col, F.col(valid_col).cast("boolean"))
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
+    index = [StringIndexer(inputCol=c, outputCol=f"_idx_{c}", stringOrderType="alphabetAsc", handleInvalid="keep") for c in categorical]
+    cols = [f"_idx_{c}" if c in categorical else c for c in features]
+    asm = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=cfg.max_iter,
                         maxDepth=cfg.max_depth, stepSize=cfg.step_size, maxBins=cfg.max_bins,
                         validationIndicatorCol=valid_col, validationTol=cfg.validation_tol,
                         seed=cfg.seed)
-    return Pipeline(stages=[asm, gbt]).fit(data)
+    return Pipeline(stages=[*index, asm, gbt]).fit(data)
 
 
-def predict_scores(model: PipelineModel, df: DataFrame, key: str = "row_id") -> DataFrame:
-    """(key, score) with score = P(answered correctly)."""
+def predict_scores(model: PipelineModel, df: DataFrame, key: str = "row_id", keep: Sequence[str] = ()) -> DataFrame:
+    """(key, score, keep...) with score = P(answered correctly)."""
     p = model.transform(df)
-    return p.select(key, vector_to_array("probability")[1].alias("score"))
+    return p.select(key, vector_to_array("probability")[1].alias("score"), *keep)
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:

@@ -1,23 +1,22 @@
 """Running ("before this row") aggregates that stay parallel under key skew.
 
-A plain ``Window.partitionBy(user)`` puts every row of one user into one task;
-if one user holds a third of the log, one task holds a third of the log. Here
-each key's history is cut into *chunks* that are contiguous ranges of the
-order (a time range, or a container range), and a running aggregate becomes
-
-    prior(row) = carried(key, chunk)  +  running-within(key, chunk)(row)
-
-* ``running-within`` is a window partitioned by ``(key, chunk)``: a hot key is
-  spread over as many tasks as it has chunks.
-* ``carried`` comes from a chunk-summary table (``groupBy(key, chunk)`` with
-  map-side partial aggregation, so it is small) and a window over chunks of one
-  key (one row per chunk, tiny), joined back on ``(key, chunk)``. That join is
-  an ordinary equi-join: AQE broadcasts it when the runtime size is under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and sort-merges it otherwise.
-
-All windows of one call and of successive calls whose keys start with the
-same columns share one hash partitioning of the fact table, so several
-feature families cost one big shuffle, not one per family.
+A running aggregate is a window over a key. Keys with at most
+``rows_per_task`` rows (nearly all) are plain windows after one shuffle on the
+key, which every family of a call shares. A key with more rows would put them
+all into one task, so the rows of such *hot* keys are
+
+1. range-partitioned by (key, order) and written as a table, with the number of
+   the range as ``_chunk``: ranges follow the rows' counts, not the values, so
+   neither a burst nor equal timestamps nor an outlier fill one of them;
+2. summed up per (key, chunk), and the sums carried over a key's chunks (a row
+   per chunk);
+3. run inside (key, chunk), plus what the chunk carries in:
+
+       prior(row) = carried(key, chunk) + running-within(key, chunk)(row)
+
+Whether there are hot keys, and how many rows they have, is one aggregate over
+the key columns. The hot keys themselves stay a DataFrame. Results never depend
+on ``rows_per_task``.
 """
 
 from __future__ import annotations
@@ -30,8 +29,15 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 CHUNK = "_chunk"
 
+# Rows of one key that a task may hold: a few hundred MB.
+ROWS_PER_TASK = 4_000_000
+# Ranges are drawn from a sample, so they are cut a little smaller than asked.
+RANGE_SLACK = 1.5
+
 
 @dataclass(frozen=True)
 class Agg:
@@ -47,91 +53,6 @@ class Agg:
     col: Column
 
 
-# Target rows per (key, chunk) window task when the width is derived from
-# the data: a few hundred MB of rows per task.
-ROWS_PER_CHUNK = 4_000_000
-# Slots for refined sub-chunks inside one coarse chunk (see split_chunks).
-FINE_SLOTS = 1 << 20
-_STATS: dict = {}
-_HOT: dict = {}
-
-
-def _col_stats(df: DataFrame, col: str) -> tuple[int, float, float]:
-    """(rows, min, max) of a column: one scalar aggregate, cached by the
-    plan's semantic hash (used only to size chunks, never for results)."""
-    key = df.select(col).semanticHash()
-    if key not in _STATS:
-        c = F.col(col)
-        r = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-        _STATS[key] = (r["n"] or 0, float(r["lo"] or 0), float(r["hi"] or 0))
-    return _STATS[key]
-
-
-def auto_width(df: DataFrame, col: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
-    """Chunk width for ``col`` so that a key holding ALL rows spread over the
-    column's range would get about ``rows_per_chunk`` rows per chunk:
-    width = range * rows_per_chunk / rows. Results never depend on the width,
-    only the task sizes do. Small data gets one chunk.
-    """
-    n, lo, hi = _col_stats(df, col)
-    if not n:
-        return 1
-    return max(1, int(math.ceil((hi - lo + 1.0) * rows_per_chunk / n)))
-
-
-def split_chunks(df: DataFrame, keys: Sequence[str], col: str, width: int | None = None,
-                 rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, Column]:
-    """Chunks for ``running_families`` that stay near ``rows_per_chunk`` rows
-    even for a key whose rows are packed into a short span (a burst).
-
-    Coarse chunks are ``floor(col / width)``. One aggregate finds the
-    (key, coarse chunk) groups above ``rows_per_chunk`` rows; there are at
-    most rows / rows_per_chunk of them, so that list is a proven-small
-    broadcast. Only those groups are cut again with a finer width sized to
-    their count and span. Chunk ids stay non-decreasing in ``col`` within a key; rows
-    with one equal ``col`` value are never split (a RANGE peer group or a
-    single instant stays whole). Returns the frame (with a ``_chunk_in``
-    column) and the chunk column to pass on.
-    """
-    keys = list(keys)
-    w = width if width is not None else auto_width(df, col, rows_per_chunk)
-    coarse = F.floor(F.col(col) / F.lit(w)).cast("long")
-    hkey = (df.select(*keys, col).semanticHash(), tuple(keys), col, w, rows_per_chunk)
-    if hkey not in _HOT:
-        c = F.col(col)
-        rows = (df.groupBy(*keys, coarse.alias("_coarse"))
-                  .agg(F.count(F.lit(1)).alias("_n"), F.min(c).alias("_lo"), F.max(c).alias("_hi"))
-                  .where(F.col("_n") > rows_per_chunk).collect())
-        # The finer width comes from the group's own span, so a burst packed
-        # into a small part of the coarse chunk is still cut into pieces.
-        _HOT[hkey] = [tuple(r[k] for k in keys)
-                      + (r["_coarse"], int(r["_lo"]),
-                         max(1, int(math.ceil((float(r["_hi"]) - float(r["_lo"]) + 1.0) * rows_per_chunk / r["_n"]))))
-                      for r in rows]
-    hot = _HOT[hkey]
-    if not hot:
-        return df.withColumn("_chunk_in", coarse), F.col("_chunk_in")
-    _, lo, _ = _col_stats(df, col)
-    base = int(math.floor(lo / w))  # keeps coarse * FINE_SLOTS far from overflow
-    types = dict(df.dtypes)
-    schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["_coarse long", "_lo2 long", "_w2 long"])
-    hot_df = df.sparkSession.createDataFrame(hot, schema)
-    out = df.withColumn("_coarse", coarse).join(F.broadcast(hot_df), [*keys, "_coarse"], "left")
-    fine = F.coalesce(F.floor((F.col(col) - F.col("_lo2")) / F.col("_w2")).cast("long"), F.lit(0))
-    chunk = (F.col("_coarse") - F.lit(base)) * F.lit(FINE_SLOTS) + F.least(fine, F.lit(FINE_SLOTS - 1))
-    return out.withColumn("_chunk_in", chunk).drop("_coarse", "_lo2", "_w2"), F.col("_chunk_in")
-
-
-def container_chunk(container: str | Column, width: int) -> Column:
-    """floor(container / width): contiguous ranges of container ids."""
-    c = F.col(container) if isinstance(container, str) else container
-    return F.floor(c / F.lit(width)).cast("long")
-
-
-def _zero(kind: str) -> Column | None:
-    return F.lit(0).cast("long") if kind in ("sum", "count") else None
-
-
 @dataclass(frozen=True)
 class Family:
     """Running aggregates over ``keys + sub_keys`` (see ``running_families``)."""
@@ -140,134 +61,148 @@ class Family:
     sub_keys: tuple = ()
 
 
-def _summary(a: Agg, c: Column, order: Sequence[str], container: str | None) -> Column:
-    if a.kind == "sum":
-        return F.sum(c)
-    if a.kind == "count":
-        return F.count(c)
-    if a.kind == "max":
-        return F.max(c)
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None) -> tuple[DataFrame, int]:
+    """Keys with more than ``rows_per_task`` rows, and their rows in all (one
+    aggregate over the key columns, one number to the driver)."""
+    limit = rows_per_task or ROWS_PER_TASK
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    return hot.select(*keys), hot.agg(F.sum("_n")).first()[0] or 0
+
+
+def in_ranges(rows: DataFrame, by: Sequence[str], total: int, rows_per_task: int | None = None) -> DataFrame:
+    """``rows`` as a stored table with the number of its range in ``by`` order
+    as ``_chunk``; ranges have about ``rows_per_task`` rows or fewer. Stored,
+    so that every later read sees the same ranges."""
+    n = math.ceil(total / (rows_per_task or ROWS_PER_TASK) * RANGE_SLACK) + 1
+    return stored(rows.repartitionByRange(n, *by).withColumn(CHUNK, F.spark_partition_id()), "ranges")
+
+
+def _summary(a: Agg, c: Column, order: Sequence[str]) -> Column:
     if a.kind in ("last", "next"):
-        if container is not None:
-            raise ValueError(f"'{a.kind}' needs row grain")
         return (F.max_by if a.kind == "last" else F.min_by)(c, F.struct(*order))
-    raise ValueError(f"unknown kind {a.kind}")
+    return {"sum": F.sum, "count": F.count, "max": F.max}[a.kind](c)
 
 
 def _carried(a: Agg, t: Column, over_chunks) -> Column:
-    before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
-    if a.kind in ("sum", "count"):
-        return F.sum(t).over(before)
-    if a.kind == "max":
-        return F.max(t).over(before)
     if a.kind == "last":
         return F.lag(t).over(over_chunks)
-    return F.lead(t).over(over_chunks)
+    if a.kind == "next":
+        return F.lead(t).over(over_chunks)
+    total = F.max if a.kind == "max" else F.sum
+    return total(t).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], *,
-            chunk: Column, order: Sequence[str] = ("timestamp", "row_id"),
-            container: str | None = None, inclusive: bool = False) -> DataFrame:
-    """Add one column per ``Agg`` holding its value over earlier rows.
+def _within(a: Agg, c: Column, ordered, frame, inclusive: bool) -> Column:
+    """The aggregate over the rows of ``frame`` (NULL or 0 where there is none)."""
+    if a.kind in ("last", "next"):
+        if inclusive and a.kind == "last":
+            return c
+        return (F.lag if a.kind == "last" else F.lead)(c).over(ordered)
+    if a.kind == "max":
+        return F.max(c).over(frame)
+    return F.coalesce((F.sum if a.kind == "sum" else F.count)(c).over(frame), F.lit(0)).cast("long")
 
-    Row grain (``container=None``): earlier = before in ``order`` within the
-    key; with ``inclusive`` the current row counts too. Container grain: earlier
-    = rows of the key whose ``container`` is smaller (a RANGE frame), so rows of
-    one container never see each other; with ``inclusive`` the current
-    container counts. ``chunk`` must be non-decreasing in that order. Key
-    columns must be non-NULL (map NULL to a sentinel first).
-    """
-    return running_families(df, keys, [Family(tuple(aggs))], chunk=chunk, order=order,
-                            container=container, inclusive=inclusive)
 
+def _frames(keys: Sequence[str], order: Sequence[str], container: str | None, inclusive: bool):
+    base = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    end = 0 if inclusive else -1
+    if container is not None:
+        ordered = base.orderBy(container)
+        return ordered, ordered.rangeBetween(Window.unboundedPreceding, end)
+    ordered = base.orderBy(*order)
+    return ordered, ordered.rowsBetween(Window.unboundedPreceding, end)
 
-def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Family], *,
-                     chunk: Column, order: Sequence[str] = ("timestamp", "row_id"),
-                     container: str | None = None, inclusive: bool = False,
-                     keep_chunk: bool = False) -> DataFrame:
-    """Several running-aggregate families over ``keys`` (e.g. user) and
-    ``keys + sub_keys`` (e.g. user+part, user+content) with ONE shuffle of
-    the fact table.
-
-    Every family's carried values are joined on ``(keys, chunk)``: a family
-    with sub-keys packs its carried values per ``(keys, chunk)`` into a map
-    keyed by the sub-key. The map holds one entry per distinct sub-key value
-    present in that chunk, so sub-keys must come from a bounded dimension
-    (question part, content id of the question table). All joins then share
-    the ``(keys, chunk)`` hash partitioning, and every window partitioned by
-    ``(keys, sub_keys, chunk)`` is satisfied by it without a new exchange.
-    With ``keep_chunk`` the ``_chunk`` column stays, so later windows on
-    ``(keys, _chunk, ...)`` reuse that partitioning too.
-    """
-    keys = list(keys)
-    part = keys + [CHUNK]
-    all_aggs = [a for f in families for a in f.aggs]
-    m = {a.name: f"_m_{a.name}" for a in all_aggs}
-    measured = df.withColumns({CHUNK: chunk, **{m[a.name]: a.col for a in all_aggs}})
-
-    # 1. chunk summaries (partial aggregation) and what each chunk carries in.
-    # With several families of re-aggregable kinds, one summary at the finest
-    # grain is computed once (one scan, one exchange that Spark reuses) and
-    # rolled up per family.
-    finest = None
-    all_subs = list(dict.fromkeys(k for f in families for k in f.sub_keys))
-    if len(families) > 1 and all(a.kind in ("sum", "count", "max") for a in all_aggs):
-        finest = measured.groupBy(*keys, *all_subs, CHUNK).agg(
-            *[_summary(a, F.col(m[a.name]), order, container).alias(f"_t_{a.name}") for a in all_aggs])
-    roll = {"sum": F.sum, "count": F.sum, "max": F.max}
-    joined = measured
-    for i, fam in enumerate(families):
-        sub = list(fam.sub_keys)
-        gkeys = keys + sub
-        if finest is not None:
-            totals = finest.groupBy(*gkeys, CHUNK).agg(
-                *[roll[a.kind](f"_t_{a.name}").alias(f"_t_{a.name}") for a in fam.aggs])
-        else:
-            totals = measured.groupBy(*gkeys, CHUNK).agg(
-                *[_summary(a, F.col(m[a.name]), order, container).alias(f"_t_{a.name}") for a in fam.aggs])
-        over_chunks = (Window.partitionBy(*gkeys) if gkeys else Window).orderBy(CHUNK)
-        offsets = totals.select(*gkeys, CHUNK, *[_carried(a, F.col(f"_t_{a.name}"), over_chunks)
-                                                 .alias(f"_o_{a.name}") for a in fam.aggs])
-        if not sub:
-            joined = joined.join(offsets, on=part, how="left")
-            continue
-        key = F.col(sub[0]) if len(sub) == 1 else F.struct(*sub)
-        val = F.struct(*[F.col(f"_o_{a.name}") for a in fam.aggs])
-        not_null = functools.reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in sub])
-        packed = (offsets.where(not_null)
-                  .groupBy(*part).agg(F.map_from_entries(F.collect_list(F.struct(key, val))).alias(f"_map{i}")))
-        entry = F.try_element_at(F.col(f"_map{i}"), key)
-        joined = (joined.join(packed, on=part, how="left")
-                  .withColumns({f"_o_{a.name}": entry[f"_o_{a.name}"] for a in fam.aggs})
-                  .drop(f"_map{i}"))
-
-    # 2. run inside (keys, sub_keys, chunk) and add what was carried in.
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys, NULL equal to NULL; the left side's keys stay."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    cond = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on])
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in on])
+
+
+def _plain(df: DataFrame, keys, families, order, container, inclusive, arranged) -> DataFrame:
+    rows = df if arranged or not keys else df.repartition(*keys)
     out = {}
     for fam in families:
-        wkeys = keys + list(fam.sub_keys) + [CHUNK]
-        if container is None:
-            ordered = Window.partitionBy(*wkeys).orderBy(*order)
-            frame = ordered.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        else:
-            ordered = Window.partitionBy(*wkeys).orderBy(container)
-            frame = ordered.rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        ordered, frame = _frames([*keys, *fam.sub_keys], order, container, inclusive)
+        out |= {a.name: _within(a, F.col(f"_m_{a.name}"), ordered, frame, inclusive) for a in fam.aggs}
+    return rows.withColumns(out)
+
+
+def _ranged(df: DataFrame, keys, families, order, inclusive, total, limit) -> DataFrame:
+    """Row grain over hot keys: in chunks, plus what each chunk carries in."""
+    rows = in_ranges(df, [*keys, *order], total, limit)
+    out = rows
+    for fam in families:
+        by = [*keys, *fam.sub_keys]
+        totals = rows.groupBy(*by, CHUNK).agg(*[_summary(a, F.col(f"_m_{a.name}"), order).alias(f"_o_{a.name}") for a in fam.aggs])
+        over_chunks = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(CHUNK)
+        carried = totals.select(*by, CHUNK, *[_carried(a, F.col(f"_o_{a.name}"), over_chunks).alias(f"_o_{a.name}") for a in fam.aggs])
+        out = null_safe_join(out, carried, [*by, CHUNK])
+    cols = {}
+    for fam in families:
+        ordered, frame = _frames([*keys, *fam.sub_keys, CHUNK], order, None, inclusive)
         for a in fam.aggs:
-            c, o = F.col(m[a.name]), F.col(f"_o_{a.name}")
+            c, o = F.col(f"_m_{a.name}"), F.col(f"_o_{a.name}")
+            inner = _within(a, c, ordered, frame, inclusive)
             if a.kind in ("sum", "count"):
-                inner = F.sum(c) if a.kind == "sum" else F.count(c)
-                z = _zero(a.kind)
-                out[a.name] = (F.coalesce(o, z) + F.coalesce(inner.over(frame), z)).cast("long")
+                cols[a.name] = (inner + F.coalesce(o, F.lit(0))).cast("long")
             elif a.kind == "max":
-                out[a.name] = F.greatest(o, F.max(c).over(frame))
-            elif a.kind == "last":
-                if inclusive:
-                    out[a.name] = c
-                else:
-                    first_in_chunk = F.lag(F.lit(1)).over(ordered).isNull()
-                    out[a.name] = F.when(first_in_chunk, o).otherwise(F.lag(c).over(ordered))
+                cols[a.name] = F.greatest(o, inner)
+            elif inclusive and a.kind == "last":
+                cols[a.name] = inner
             else:
-                last_in_chunk = F.lead(F.lit(1)).over(ordered).isNull()
-                out[a.name] = F.when(last_in_chunk, o).otherwise(F.lead(c).over(ordered))
-    res = joined.withColumns(out)
-    drop = ([] if keep_chunk else [CHUNK]) + ["_chunk_in"] + list(m.values()) + [f"_o_{a.name}" for a in all_aggs]
-    return res.drop(*drop)
+                edge = (F.lag if a.kind == "last" else F.lead)(F.lit(1)).over(ordered).isNull()
+                cols[a.name] = F.when(edge, o).otherwise(inner)
+    return out.withColumns(cols).drop(CHUNK, *[f"_o_{a.name}" for f in families for a in f.aggs])
+
+
+def _by_container(df: DataFrame, keys, families, container, inclusive, limit) -> DataFrame:
+    """Container grain over hot keys: a container's rows are summed up first,
+    so that no window ever holds the rows of one container."""
+    rows = out = stored(df, "containers")
+    for fam in families:
+        by = [*keys, *fam.sub_keys]
+        per = rows.groupBy(*by, container).agg(*[_summary(a, F.col(f"_m_{a.name}"), ()).alias(f"_t_{a.name}") for a in fam.aggs])
+        over = Family(tuple(Agg(a.name, "max" if a.kind == "max" else "sum", F.col(f"_t_{a.name}")) for a in fam.aggs))
+        run = running_families(per, by, [over], order=(container,), inclusive=inclusive, rows_per_task=limit)
+        out = null_safe_join(out, run.select(*by, container, *[a.name for a in fam.aggs]), [*by, container])
+    return out
+
+
+def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], **kw) -> DataFrame:
+    """``running_families`` with one family."""
+    return running_families(df, keys, [Family(tuple(aggs))], **kw)
+
+
+def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Family], *,
+                     order: Sequence[str] = ("timestamp", "row_id"), container: str | None = None,
+                     inclusive: bool = False, rows_per_task: int | None = None, arranged: bool = False) -> DataFrame:
+    """Add one column per ``Agg`` holding its value over earlier rows.
+
+    Row grain (``container=None``): earlier = before in ``order`` within the
+    key; with ``inclusive`` the current row counts too. Container grain: earlier
+    = rows of the key whose ``container`` is smaller (a RANGE frame), so rows of
+    one container never see each other; with ``inclusive`` the current
+    container counts. Families over ``keys + sub_keys`` share the shuffle on
+    ``keys``; ``arranged`` says that ``df`` is already partitioned by them.
+    """
+    keys = list(keys)
+    aggs = [a for f in families for a in f.aggs]
+    if container is not None and any(a.kind in ("last", "next") for a in aggs):
+        raise ValueError("'last' and 'next' need row grain")
+    limit = rows_per_task or ROWS_PER_TASK
+    measured = df.withColumns({f"_m_{a.name}": a.col for a in aggs})
+    hot, total = hot_keys(measured, keys, limit)
+    if not total:
+        res = _plain(measured, keys, families, order, container, inclusive, arranged)
+        return res.drop(*[f"_m_{a.name}" for a in aggs])
+    many = null_safe_join(measured, hot, keys, "left_semi") if keys else measured
+    if container is None:
+        res = _ranged(many, keys, families, order, inclusive, total, limit)
+    else:
+        res = _by_container(many, keys, families, container, inclusive, limit)
+    if keys:
+        few = null_safe_join(measured, hot, keys, "left_anti")
+        res = _plain(few, keys, families, order, container, inclusive, False).unionByName(res)
+    return res.drop(*[f"_m_{a.name}" for a in aggs])

@@ -1,10 +1,8 @@
 """Ordering, positions and splits (survey 2.6).
 
-Global and per-user positions come from the chunked running count of
-``operators.prefix`` (a global ``row_number()`` would run in one task, and a
-per-user one would put a hot user in one task). Top-k style limits use
-``orderBy().limit()``, which Spark runs as a per-partition top-k merged on
-the driver (bounded by k).
+Global and per-user positions come from the running count of
+``operators.prefix``: a log or a user with more rows than a task should hold is
+cut into ranges, a plain window serves the rest.
 """
 
 from __future__ import annotations
@@ -15,32 +13,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ORDER
-from .prefix import CHUNK, Agg, Family, running, running_families, split_chunks
+from .prefix import Agg, running
 
-def global_position(df: DataFrame, name: str = "position", width: int | None = None) -> DataFrame:
-    """0-based position of each row in (timestamp, row_id) order. Each time
-    chunk (sized from the data) is one task; the carried counts come from a
-    window over the chunk totals (one row per chunk)."""
-    df, chunk = split_chunks(df, [], "timestamp", width)
-    return running(df, [], [Agg(name, "count", F.lit(1))], chunk=chunk, order=ORDER)
 
+def global_position(df: DataFrame, name: str = "position", rows_per_task: int | None = None) -> DataFrame:
+    """0-based position of each row in (timestamp, row_id) order."""
+    return running(df, [], [Agg(name, "count", F.lit(1))], order=ORDER, rows_per_task=rows_per_task)
 
-def user_position(df: DataFrame, name: str = "user_position", width: int | None = None) -> DataFrame:
+
+def user_position(df: DataFrame, name: str = "user_position", rows_per_task: int | None = None) -> DataFrame:
     """0-based position of each row inside its user."""
-    df, chunk = split_chunks(df, ["user_id"], "timestamp", width)
-    return running(df, ["user_id"], [Agg(name, "count", F.lit(1))], chunk=chunk, order=ORDER)
+    return running(df, ["user_id"], [Agg(name, "count", F.lit(1))], order=ORDER, rows_per_task=rows_per_task)
 
 
-def tail_rank(df: DataFrame, name: str = "tail_rank", width: int | None = None,
-              keep_chunk: bool = False) -> DataFrame:
+def tail_rank(df: DataFrame, name: str = "tail_rank", rows_per_task: int | None = None) -> DataFrame:
     """1 for the user's last row, 2 for the one before, ... (rank from the end):
     an inclusive running count in reversed (timestamp, row_id) order, so no
-    per-user count has to be joined back. ``keep_chunk`` keeps ``_chunk`` so
-    later joins on (user_id, _chunk) reuse the partitioning."""
+    per-user count has to be joined back."""
     rev = df.withColumns({"_nts": -F.col("timestamp"), "_nrid": -F.col("row_id")})
-    rev, chunk = split_chunks(rev, ["user_id"], "_nts", width)
-    out = running_families(rev, ["user_id"], [Family((Agg(name, "count", F.lit(1)),))], chunk=chunk,
-                           order=("_nts", "_nrid"), inclusive=True, keep_chunk=keep_chunk)
+    out = running(rev, ["user_id"], [Agg(name, "count", F.lit(1))], order=("_nts", "_nrid"), inclusive=True,
+                  rows_per_task=rows_per_task)
     return out.drop("_nts", "_nrid")
 
 
@@ -62,12 +54,14 @@ def ordered_split(df: DataFrame, valid_frac: float = 0.2) -> DataFrame:
 
 def random_split(df: DataFrame, key: str = "row_id", seed: int = 42,
                  fractions=(0.8, 0.1, 0.1), names=("train", "valid", "test")) -> DataFrame:
-    """Deterministic random split: a hash of (key, seed) in [0, 1000).
+    """Deterministic random split: md5 of "key:seed", its first 8 hex digits
+    modulo 1000.
 
     Unlike ``rand()``, the label of a row does not change when a task is
     retried after an executor loss.
     """
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000))
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    b = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1000
     edges, acc = [], 0.0
     for f in fractions[:-1]:
         acc += f
@@ -79,11 +73,16 @@ def random_split(df: DataFrame, key: str = "row_id", seed: int = 42,
 
 
 def first_n(df: DataFrame, n: int) -> DataFrame:
-    return df.orderBy(*ORDER).limit(n)
+    """The first ``n`` rows in (timestamp, row_id) order, by position: a top-k
+    would gather all of them in one task."""
+    return global_position(df, "_pos").filter(F.col("_pos") < n).drop("_pos")
 
 
 def last_n(df: DataFrame, n: int) -> DataFrame:
-    return df.orderBy(*[F.col(c).desc() for c in ORDER]).limit(n)
+    """The last ``n`` rows in (timestamp, row_id) order, by position from the end."""
+    rev = df.withColumns({"_nts": -F.col("timestamp"), "_nrid": -F.col("row_id")})
+    pos = running(rev, [], [Agg("_pos", "count", F.lit(1))], order=("_nts", "_nrid"))
+    return pos.filter(F.col("_pos") < n).drop("_pos", "_nts", "_nrid")
 
 
 def skip_n(df: DataFrame, n: int) -> DataFrame:
@@ -96,11 +95,12 @@ def nested_horizon_stats(q: DataFrame, valid_n: int = 5, train_n: int = 18) -> D
     """Split rows (valid, train) with user stats from the matching horizon:
     valid rows see stats of all rows but valid; train rows see history only.
 
-    One ranked table and one ``groupBy(user)`` with conditional aggregates;
-    no second pass per horizon, and the rows move once (for the rank).
+    One ranked table and one ``groupBy(user)`` with conditional aggregates, no
+    second pass per horizon; the rows are already partitioned by the user, so
+    neither the aggregate nor its join moves them again.
     """
     r = F.col("tail_rank")
-    ranked = tail_rank(q, keep_chunk=True).withColumn(
+    ranked = tail_rank(q).withColumn(
         "split", F.when(r <= valid_n, "valid").when(r <= valid_n + train_n, "train").otherwise("history"))
     y = F.col("answered_correctly")
     e = F.coalesce(F.col("prior_question_had_explanation"), F.lit(False)).cast("int")
@@ -109,10 +109,7 @@ def nested_horizon_stats(q: DataFrame, valid_n: int = 5, train_n: int = 18) -> D
         F.avg(F.when(r > valid_n, e)).alias("_exp_wo_valid"),
         F.avg(F.when(r > valid_n + train_n, y)).alias("_acc_hist"),
         F.avg(F.when(r > valid_n + train_n, e)).alias("_exp_hist"))
-    # Per-user stats go onto the small (user, chunk) table first, so the rows,
-    # already partitioned by (user_id, _chunk), are not shuffled again.
-    per_chunk = ranked.select("user_id", CHUNK).distinct().join(stats, "user_id", "left")
-    rows = ranked.filter(F.col("split") != "history").join(per_chunk, ["user_id", CHUNK], "left").drop(CHUNK)
+    rows = ranked.filter(F.col("split") != "history").join(stats, "user_id", "left")
     is_valid = F.col("split") == "valid"
     return (rows.withColumn("answered_correctly_user",
                             F.when(is_valid, F.col("_acc_wo_valid")).otherwise(F.col("_acc_hist")))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import LECTURE_TYPES, PARTS
-from .prefix import container_chunk
 
 LABEL = "answered_correctly"
 
@@ -56,14 +55,16 @@ def named_stats(df: DataFrame, by: str | Sequence[str], names: dict[str, Column]
 
 def content_attempt_stats(q: DataFrame, cap: int = 5) -> DataFrame:
     """Attempts per (user, content) capped at ``cap``, then mean/std/count of
-    the label by (content, attempts). The pair count is a partial aggregate
-    joined back on the pair (AQE splits a hot pair on the big side)."""
-    pairs = q.groupBy("user_id", "content_id").agg(F.count(F.lit(1)).alias("_n"))
-    j = q.select("user_id", "content_id", LABEL).join(pairs, ["user_id", "content_id"], "left")
-    j = j.withColumn("question_count", F.least(F.col("_n"), F.lit(cap)).cast("long"))
-    return j.groupBy("content_id", "question_count").agg(
-        F.avg(LABEL).alias("mean_acc"), std_int(LABEL).alias("std_acc"),
-        F.count(LABEL).alias("count"))
+    the label by (content, attempts): n, sum(y) and sum(y*y) per pair are all
+    that the second aggregate needs, so no row is joined back."""
+    y = F.col(LABEL).cast("long")
+    pairs = q.groupBy("content_id", "user_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(y).alias("_n"), F.sum(y).alias("_s"), F.sum(y * y).alias("_ss"))
+    n, s, ss = (F.sum(c).cast("double") for c in ("_n", "_s", "_ss"))
+    var = F.greatest(ss - s * s / n, F.lit(0.0)) / (n - F.lit(1.0))
+    return pairs.groupBy("content_id", F.least("_rows", F.lit(cap)).cast("long").alias("question_count")).agg(
+        F.try_divide(s, n).alias("mean_acc"), F.when(F.sum("_n") > 1, F.sqrt(var)).alias("std_acc"),
+        F.sum("_n").alias("count"))
 
 
 def user_lecture_profile(lecture_rows: DataFrame, flags: bool = True) -> DataFrame:
@@ -91,7 +92,7 @@ def container_load(q: DataFrame) -> DataFrame:
     """
     per = q.groupBy("task_container_id").agg(
         (F.count(F.lit(1)) / F.countDistinct("user_id")).cast("double").alias("avg_questions"))
-    chunked = per.withColumn("_c", container_chunk("task_container_id", 1024))
+    chunked = per.withColumn("_c", F.floor(F.col("task_container_id") / 1024).cast("long"))
     tot = chunked.groupBy("_c").agg(F.sum("avg_questions").alias("_t"))
     off = tot.select("_c", F.coalesce(F.sum("_t").over(
         Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_o"))
@@ -103,14 +104,13 @@ def container_load(q: DataFrame) -> DataFrame:
 
 def global_means(q: DataFrame) -> DataFrame:
     """One row: label mean, elapsed mean, mean of user means, mean of
-    question means (all over question rows)."""
-    base = q.agg(F.avg(LABEL).alias("label_mean"),
-                 F.avg("prior_question_elapsed_time").alias("elapsed_mean")).first()
-    um = q.groupBy("user_id").agg(F.avg(LABEL).alias("m")).agg(F.avg("m")).first()[0]
-    qm = q.groupBy("content_id").agg(F.avg(LABEL).alias("m")).agg(F.avg("m")).first()[0]
-    return q.sparkSession.createDataFrame(
-        [(base["label_mean"], base["elapsed_mean"], um, qm)],
-        "label_mean double, elapsed_mean double, user_mean_mean double, question_mean_mean double")
+    question means (all over question rows). One lazy plan: the three one-row
+    aggregates are joined on a constant."""
+    one = F.lit(1).alias("_one")
+    base = q.agg(F.avg(LABEL).alias("label_mean"), F.avg("prior_question_elapsed_time").alias("elapsed_mean")).select(one, "*")
+    um = q.groupBy("user_id").agg(F.avg(LABEL).alias("m")).agg(F.avg("m").alias("user_mean_mean")).select(one, "*")
+    qm = q.groupBy("content_id").agg(F.avg(LABEL).alias("m")).agg(F.avg("m").alias("question_mean_mean")).select(one, "*")
+    return base.join(um, "_one").join(qm, "_one").drop("_one")
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
@@ -122,9 +122,10 @@ def profile_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count/mean/std/min/quartiles/max per column, one row per column.
 
     Moments come from one unpivot + ``groupBy(column)`` (partial
-    aggregation); quartiles from ``functions.quantiles`` (exact, distributed).
+    aggregation); quartiles of all columns from one pass of
+    ``functions.quantiles`` (exact, distributed).
     """
-    from ..functions.quantiles import quantiles
+    from ..functions.quantiles import column_quantiles
 
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "column", "value")
@@ -132,7 +133,7 @@ def profile_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     moments = long.groupBy("column").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    qrows = [(c, *quantiles(df, c, (0.25, 0.5, 0.75))) for c in cols]
+    quartiles = column_quantiles(df, {c: F.col(c) for c in cols}, (0.25, 0.5, 0.75))
     qdf = df.sparkSession.createDataFrame(
-        qrows, "column string, p25 double, p50 double, p75 double")
+        [(c, *q) for c, q in quartiles.items()], "column string, p25 double, p50 double, p75 double")
     return moments.join(qdf, "column", "left")

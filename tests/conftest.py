@@ -19,7 +19,7 @@ def spark():
     b = SparkSession.builder.master("local[*]").appName("learnlog-tests")
     for k, v in LOCAL_CONF.items():
         b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", "8")
+    b = b.config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
     b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="learnlog-test-ckpt-"))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")

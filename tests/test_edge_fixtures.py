@@ -48,7 +48,7 @@ def test_edge_log(spark, dims):
         row(10, 5, user=3, content=3),                      # one-character tag matches the lecture
     ]
     log = spark.createDataFrame(rows, INTERACTIONS)
-    hist = {r["row_id"]: r for r in lec.lecture_history(log, qdim, ldim, width=2).collect()}
+    hist = {r["row_id"]: r for r in lec.lecture_history(log, qdim, ldim, rows_per_task=2).collect()}
     assert set(hist) == {0, 5, 6, 7, 8, 10}
     assert hist[0]["num_lecture_seen"] == 0 and hist[0]["num_question_seen"] == 1
     assert hist[5]["num_tags_match"] == 2 and hist[5]["part_matches"] == 1   # two lectures tagged 11
@@ -58,7 +58,7 @@ def test_edge_log(spark, dims):
     assert hist[10]["part3_seen"] == 2 and hist[8]["part3_seen"] == 1
 
     q = join_dim(log.filter("content_type_id = 0"), qdim.select("question_id", "part"), "content_id", "question_id")
-    f = {r["row_id"]: r for r in h.add_user_feats(q, width=1).collect()}
+    f = {r["row_id"]: r for r in h.add_user_feats(q, rows_per_task=1).collect()}
     assert f[0]["count_u"] == 0 and f[0]["answered_correctly_avg_u"] is None and f[0]["first_time"] == 1
     assert f[6]["first_time"] == 0 and f[6]["count_u"] == 1
     assert f[10]["answered_correctly_avg_u"] == 1.0  # all answers right
@@ -76,10 +76,10 @@ def test_valid_content_absent_from_train(spark, dims):
     assert out[3]["count_u"] == 0 and out[3]["answered_correctly_avg_u"] is None  # unknown user
 
 
-def test_dimension_join_without_broadcast_beyond_the_bound(spark, dims):
+def test_dimension_join_without_broadcast(spark, dims):
     qdim, _ = dims
     log = spark.createDataFrame([row(0, 0, 1, 1), row(1, 1, 1, 99)], INTERACTIONS)
-    small = join_dim(log, qdim.select("question_id", "part"), "content_id", "question_id")
-    big = join_dim(log, qdim.select("question_id", "part"), "content_id", "question_id", max_rows=1)
-    a = sorted((r["row_id"], r["part"]) for r in small.collect())
-    assert a == sorted((r["row_id"], r["part"]) for r in big.collect()) == [(0, 2), (1, None)]
+    dim = qdim.select("question_id", "part")
+    for hint in ("broadcast", "merge"):
+        got = sorted((r["row_id"], r["part"]) for r in join_dim(log, dim.hint(hint), "content_id", "question_id").collect())
+        assert got == [(0, 2), (1, None)]

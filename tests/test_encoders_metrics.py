@@ -53,8 +53,8 @@ def test_bins_with_fewer_distinct_values_than_bins(spark):
     df = spark.createDataFrame([(i % 3,) for i in range(30)], "timestamp long")
     edges = enc.quantile_edges(df, "timestamp", 50)
     vals = [i % 3 for i in range(30)]
-    exp = sorted({round(float(x), 3) for x in np.quantile(vals, [k / 50 for k in range(51)])})
-    assert edges == exp and len(edges) < 51  # repeated edges merged (D17)
+    exp = sorted({round(float(x), 9) for x in np.quantile(vals, [k / 50 for k in range(51)])})
+    assert np.allclose(edges, exp) and len(edges) < 51  # repeated edges merged (D17)
     got = [r[0] for r in df.select(enc.bin_index("timestamp", edges)).collect()]
     inner = np.array(edges[1:-1])
     assert got == [int(np.searchsorted(inner, v, side="right")) for v in vals]
@@ -90,9 +90,9 @@ def test_log_loss(spark):
 
 def test_label_encoders(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "t string")
-    assert [r["t_enc"] for r in enc.label_encode_strings(df, "t").orderBy("t").collect()] == [0, 0, 1, 2]
+    assert [r["t_enc"] for r in enc.label_encode(df, "t").orderBy("t").collect()] == [0, 0, 1, 2]
     dn = spark.createDataFrame([(5,), (-2,), (5,), (9,)], "v int")
-    assert sorted((r["v"], r["v_enc"]) for r in enc.label_encode_numbers(dn, "v").collect()) == \
+    assert sorted((r["v"], r["v_enc"]) for r in enc.label_encode(dn, "v").collect()) == \
         [(-2, 0), (5, 1), (5, 1), (9, 2)]
 
 
@@ -115,7 +115,7 @@ def test_auto_categorical_encodes_low_cardinality_and_fills_the_rest(spark):
     rows = [(i, "ab"[i % 2], i % 3, float(i) if i % 5 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "row_id long, s string, c int, x double")
     out, dims = enc.auto_categorical(df, ["s", "c", "x"], max_levels=200)
-    assert set(dims) == {"s", "c"}  # text, and fewer than 200 distinct values
+    assert dims == {"s": (0, 2), "c": (1, 3)}  # text, and fewer than 200 distinct values
     got = {r["row_id"]: r for r in out.collect()}
     assert {got[i]["s_enc"] for i in range(400)} == {0, 1} and {got[i]["c_enc"] for i in range(400)} == {0, 1, 2}
     mean_x = np.mean([float(i) for i in range(400) if i % 5])
@@ -128,3 +128,55 @@ def test_inferred_csv_reads_numbers_as_numbers(spark):
     types = dict(df.dtypes)
     assert types["question_id"] in ("int", "bigint") and types["part"] in ("int", "bigint")
     assert types["tags"] == "string"
+
+
+def test_auto_categorical_nulls_and_train_means(spark):
+    rows = [(i, None if i % 7 == 0 else "ab"[i % 2], None if i % 4 == 0 else i % 3, float(i) if i % 5 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id long, s string, c int, x double")
+    out, dims = enc.auto_categorical(df, ["x", "s", "c"], train=F.col("row_id") < 100)
+    assert dims == {"s": (1, 3), "c": (2, 4)}
+    got = {r["row_id"]: r for r in out.collect()}
+    assert got[4]["c_enc"] == 3 and got[1]["c_enc"] == 1 and got[0]["s"] == "missing"
+    assert got[0]["x"] == pytest.approx(np.mean([i for i in range(100) if i % 5]))
+    # exactly at the limit: 200 values are not fewer than 200
+    df = spark.createDataFrame([(i, i % 200) for i in range(1000)], "row_id long, v int")
+    assert enc.auto_categorical(df, ["v"])[1] == {} and enc.auto_categorical(df.where("v < 199"), ["v"])[1] == {"v": (0, 199)}
+
+
+@pytest.mark.parametrize("rows_per_task", [None, 50])
+def test_quantiles_with_outlier_nan_and_infinity(spark, rows_per_task):
+    vals = [float(x) for x in range(10)]
+    df = spark.createDataFrame([(v,) for v in [*vals, float("nan"), None]], "x double")
+    assert quantiles(df, "x", [0.5], rows_per_task) == [4.5]
+    many = [float(x) for x in range(1000)]
+    out = spark.createDataFrame([(v,) for v in [*many, 1e12]], "x double")
+    assert np.allclose(quantiles(out, "x", [0.0, 0.25, 0.5, 1.0], rows_per_task), np.quantile([*many, 1e12], [0.0, 0.25, 0.5, 1.0]))
+    inf = spark.createDataFrame([(v,) for v in [*many, float("inf")]], "x double")
+    assert quantiles(inf, "x", [0.5, 1.0], rows_per_task) == [500.0, float("inf")]
+    assert quantiles(df.where("false"), "x", [0.5]) == [None]
+
+
+def test_auc_in_ranges_with_outlier_and_nan(spark):
+    rng = np.random.default_rng(4)
+    y, s = rng.integers(0, 2, 500), np.round(rng.random(500), 2)
+    s[0] = 1e9
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)] + [(1, float("nan")), (None, 0.3), (0, None)], "y int, s double")
+    pos, neg = s[y == 1], s[y == 0]
+    brute = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
+    for limit in (None, 20):
+        assert mt.roc_auc(df, "y", "s", limit).first()["auc"] == pytest.approx(brute, abs=1e-12)
+
+
+def test_bins_keep_their_digits(spark):
+    df = spark.createDataFrame([(i / 1e5,) for i in range(1000)], "x double")
+    edges = enc.quantile_edges(df, "x", 50)
+    assert len(edges) == 51
+    got = [r[0] for r in df.select(enc.bin_index("x", edges)).collect()]
+    assert got == [int(np.searchsorted(np.array(edges[1:-1]), i / 1e5, side="right")) for i in range(1000)]
+
+
+def test_tags_pca_scores_are_centred_with_falling_variance(spark):
+    q = fx.questions(spark, CHECK_SF)
+    e = enc.TagsEncoder(5).fit(q)
+    r = e.transform(q).agg(*[F.avg(f"PCA_{i}").alias(f"m{i}") for i in range(5)], *[F.var_pop(f"PCA_{i}").alias(f"v{i}") for i in range(5)]).first()
+    assert all(abs(r[f"m{i}"]) < 1e-9 for i in range(5)) and all(r[f"v{i}"] >= r[f"v{i + 1}"] for i in range(4))

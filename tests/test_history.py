@@ -1,5 +1,5 @@
 """History features against the pure-Python loop on random logs, with tiny
-chunk widths so carried offsets cross many chunks."""
+tasks so that carried values cross many ranges."""
 
 import math
 
@@ -29,11 +29,11 @@ def _same(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("seed,width", [(1, 5), (2, 1), (3, 1000), (4, 13)])
-def test_add_user_feats_matches_row_loop(spark, seed, width):
+@pytest.mark.parametrize("seed,rows_per_task", [(1, 5), (2, 1), (3, 1000), (4, 13)])
+def test_add_user_feats_matches_row_loop(spark, seed, rows_per_task):
     rows, qs, _, log, qdf, _ = _frames(spark, seed)
     q = join_dim(log.filter("content_type_id = 0"), qdf.select("question_id", "part"), "content_id", "question_id")
-    got = {r["row_id"]: r.asDict() for r in h.add_user_feats(q, width=width).collect()}
+    got = {r["row_id"]: r.asDict() for r in h.add_user_feats(q, rows_per_task=rows_per_task).collect()}
     part = {x["question_id"]: x["part"] for x in qs}
     qrows = [dict(r, part=part.get(r["content_id"])) for r in rows if r["content_type_id"] == 0]
     want = user_feats(qrows)
@@ -43,10 +43,10 @@ def test_add_user_feats_matches_row_loop(spark, seed, width):
             assert _same(got[rid][k], v), (rid, k, got[rid][k], v)
 
 
-@pytest.mark.parametrize("seed,width", [(5, 3), (6, 1), (7, 10_000)])
-def test_lecture_history_matches_loop(spark, seed, width):
+@pytest.mark.parametrize("seed,rows_per_task", [(5, 3), (6, 1), (7, 10_000)])
+def test_lecture_history_matches_loop(spark, seed, rows_per_task):
     rows, qs, ls, log, qdf, ldf = _frames(spark, seed)
-    got = {r["row_id"]: r.asDict() for r in lec.lecture_history(log, qdf, ldf, width=width).collect()}
+    got = {r["row_id"]: r.asDict() for r in lec.lecture_history(log, qdf, ldf, rows_per_task=rows_per_task).collect()}
     want = lecture_loop(rows, qs, ls)
     assert set(got) == set(want)
     for rid, exp in want.items():
@@ -57,9 +57,9 @@ def test_lecture_history_matches_loop(spark, seed, width):
 def test_recent_mean_and_lags(spark):
     rows, _, _, log, _, _ = _frames(spark, 8)
     n = 3
-    got = {r["row_id"]: r for r in h.recent_mean(log.filter("content_type_id = 0"), n, width=4).collect()}
-    diffs = {r["row_id"]: r["time_diff"] for r in h.time_diff(log, width=4).collect()}
-    nxt = {r["row_id"]: r["answer_time"] for r in h.answer_time(log, width=4).collect()}
+    got = {r["row_id"]: r for r in h.recent_mean(log.filter("content_type_id = 0"), n, rows_per_task=4).collect()}
+    diffs = {r["row_id"]: r["time_diff"] for r in h.time_diff(log, rows_per_task=4).collect()}
+    nxt = {r["row_id"]: r["answer_time"] for r in h.answer_time(log, rows_per_task=4).collect()}
     by_user = {}
     for r in sorted(rows, key=lambda r: (r["timestamp"], r["row_id"])):
         by_user.setdefault(r["user_id"], []).append(r)
@@ -74,12 +74,12 @@ def test_recent_mean_and_lags(spark):
             assert _same(nxt[r["row_id"]], rs[i + 1]["prior_question_elapsed_time"] if i + 1 < len(rs) else None)
 
 
-def test_chunk_width_does_not_change_results(spark):
+def test_task_size_does_not_change_results(spark):
     _, _, _, log, qdf, _ = _frames(spark, 9)
     q = join_dim(log.filter("content_type_id = 0"), qdf.select("question_id", "part"), "content_id", "question_id")
     cols = ["row_id", "answered_correctly_sum_u", "count_u", "part_sum_u", "part_count_u", "first_time"]
-    a = sorted(h.add_user_feats(q, width=1).select(*cols).collect())
-    b = sorted(h.add_user_feats(q, width=10**9).select(*cols).collect())
+    a = sorted(h.add_user_feats(q, rows_per_task=1).select(*cols).collect())
+    b = sorted(h.add_user_feats(q, rows_per_task=10**9).select(*cols).collect())
     assert a == b
 
 
@@ -88,8 +88,8 @@ def test_prior_features_ignore_future_rows(spark):
     q = join_dim(log.filter("content_type_id = 0"), qdf.select("question_id", "part"), "content_id", "question_id")
     cut = 40
     cols = ["row_id", "answered_correctly_sum_u", "count_u", "part_sum_u", "first_time"]
-    full = h.add_user_feats(q, width=7).filter(F.col("timestamp") <= cut).select(*cols)
-    past = h.add_user_feats(q.filter(F.col("timestamp") <= cut), width=7).select(*cols)
+    full = h.add_user_feats(q, rows_per_task=7).filter(F.col("timestamp") <= cut).select(*cols)
+    past = h.add_user_feats(q.filter(F.col("timestamp") <= cut), rows_per_task=7).select(*cols)
     assert sorted(full.collect()) == sorted(past.collect())
 
 
@@ -99,7 +99,7 @@ def test_container_grain_rows_in_one_container_do_not_see_each_other(spark):
                  prior_question_had_explanation=None)
             for i, c in enumerate([0, 0, 1, 1, 1, 3])]
     df = spark.createDataFrame(rows, INTERACTIONS)
-    got = {r["row_id"]: r for r in h.add_user_feats(df, grain="container", with_part=False, width=2).collect()}
+    got = {r["row_id"]: r for r in h.add_user_feats(df, grain="container", with_part=False, rows_per_task=2).collect()}
     assert [got[i]["count_u"] for i in range(6)] == [0, 0, 2, 2, 2, 5]
     assert [got[i]["first_time"] for i in range(6)] == [1, 1, 0, 0, 0, 0]
 
@@ -123,43 +123,65 @@ def _hot_log(spark, burst: bool):
     return rows, df
 
 
+@pytest.mark.parametrize("grain", ["row", "container"])
 @pytest.mark.parametrize("burst", [False, True])
-def test_hot_user_is_split_into_many_chunks_and_stays_exact(spark, burst):
-    from learnlog.operators.prefix import Agg, Family, auto_width, running_families, split_chunks
-    from learnlog.schema import ORDER
+def test_hot_user_stays_exact(spark, burst, grain):
     rows, df = _hot_log(spark, burst)
-    w = auto_width(df, "timestamp", rows_per_chunk=40)
-    split, chunk = split_chunks(df.withColumn("_part_k", h.part_key()), ["user_id"], "timestamp", w,
-                                rows_per_chunk=40)
-    chunks = split.filter("user_id = 0").select("_chunk_in").distinct().count()
-    assert chunks >= 10  # the hot user is spread over many window tasks
-    y = F.col("answered_correctly")
-    out = running_families(split, ["user_id"], [
-        Family((Agg("answered_correctly_sum_u", "sum", y), Agg("count_u", "count", F.lit(1)))),
-        Family((Agg("part_sum_u", "sum", y), Agg("part_count_u", "count", F.lit(1))), ("_part_k",)),
-        Family((Agg("_seen", "count", F.lit(1)),), ("content_id",)),
-    ], chunk=chunk, order=ORDER)
-    got = {r["row_id"]: r.asDict() for r in out.collect()}
-    want = user_feats(rows)
-    for rid, exp in want.items():
-        g = got[rid]
-        assert g["answered_correctly_sum_u"] == exp["answered_correctly_sum_u"]
-        assert g["count_u"] == exp["count_u"] and g["part_count_u"] == exp["part_count_u"]
-        assert (g["_seen"] == 0) == bool(exp["first_time"])
-
-
-def test_hot_container_split_keeps_containers_whole(spark):
-    rows, df = _hot_log(spark, True)
-    from learnlog.operators.prefix import split_chunks
-    split, _ = split_chunks(df, ["user_id"], "task_container_id", 10**9, rows_per_chunk=40)
-    per = split.groupBy("user_id", "task_container_id").agg(F.countDistinct("_chunk_in").alias("n"))
-    assert per.agg(F.max("n")).first()[0] == 1
-    assert split.filter("user_id = 0").select("_chunk_in").distinct().count() >= 5
-    got = {r["row_id"]: r["count_u"] for r in h.add_user_feats(df, grain="container", with_part=False, width=10**9)
-           .collect()}
+    got = {r["row_id"]: r.asDict() for r in h.add_user_feats(df, grain=grain, rows_per_task=40).collect()}
+    if grain == "row":
+        want = user_feats(rows)
+        for rid, exp in want.items():
+            for k, v in exp.items():
+                assert _same(got[rid][k], v), (rid, k)
+        return
     by_user = {}
     for r in rows:
         by_user.setdefault(r["user_id"], []).append(r)
     for r in rows:
-        assert got[r["row_id"]] == sum(1 for x in by_user[r["user_id"]]
-                                       if x["task_container_id"] < r["task_container_id"])
+        earlier = [x for x in by_user[r["user_id"]] if x["task_container_id"] < r["task_container_id"]]
+        g = got[r["row_id"]]
+        assert (g["count_u"], g["answered_correctly_sum_u"]) == (len(earlier), sum(x["answered_correctly"] for x in earlier))
+        assert g["part_count_u"] == sum(x["part"] == r["part"] for x in earlier)
+        assert g["first_time"] == (not any(x["content_id"] == r["content_id"] for x in earlier))
+
+
+def test_burst_is_cut_by_counts(spark):
+    """A key with a few sparse rows and a packed burst: no range is far above the target."""
+    from learnlog.operators.prefix import CHUNK, hot_keys, in_ranges
+    target = 1000
+    df = spark.range(200_000).select(F.lit(1).alias("user_id"), F.col("id").alias("row_id"),
+                                     F.when(F.col("id") < 5, F.col("id") * 10**9).otherwise(10**10 + F.col("id") / 10).cast("long").alias("timestamp"))
+    hot, total = hot_keys(df, ["user_id"], target)
+    assert (hot.count(), total) == (1, 200_000)
+    sizes = [r["count"] for r in in_ranges(df, ["user_id", "timestamp", "row_id"], total, target).groupBy(CHUNK).count().collect()]
+    assert sum(sizes) == 200_000 and max(sizes) <= 2 * target
+    instant = df.withColumn("timestamp", F.lit(7))     # one instant: cut by row_id
+    sizes = [r["count"] for r in in_ranges(instant, ["user_id", "timestamp", "row_id"], total, target).groupBy(CHUNK).count().collect()]
+    assert max(sizes) <= 2 * target
+
+
+def test_recent_mean_of_a_hot_user(spark):
+    _, df = _hot_log(spark, True)
+    cols = ["row_id", "recent_mean_4"]
+    a = sorted(h.recent_mean(df, 4, rows_per_task=40).select(*cols).collect())
+    b = sorted(h.recent_mean(df, 4).select(*cols).collect())
+    assert [(x[0], x[1] is None or round(x[1], 9)) for x in a] == [(x[0], x[1] is None or round(x[1], 9)) for x in b]
+
+
+def test_frozen_state_of_a_hot_user(spark):
+    from learnlog.operators import state as stt
+    _, df = _hot_log(spark, False)
+    state, rows = stt.build_state(df.where("row_id % 3 = 0")), df.where("row_id % 3 > 0")
+    cols = ["row_id", "answered_correctly_sum_u", "count_u", "part_sum_u", "part_count_u", "first_time"]
+    assert sorted(stt.apply_frozen_state(rows, state, rows_per_task=40).select(*cols).collect()) == \
+        sorted(stt.apply_frozen_state(rows, state).select(*cols).collect())
+
+
+def test_first_last_skip_by_position(spark, monkeypatch):
+    from learnlog.operators import prefix, splits as sp
+    rows, df = _hot_log(spark, True)
+    order = [r["row_id"] for r in sorted(rows, key=lambda r: (r["timestamp"], r["row_id"]))]
+    for limit in (4_000_000, 100):
+        monkeypatch.setattr(prefix, "ROWS_PER_TASK", limit)
+        ids = {f: {r["row_id"] for r in getattr(sp, f)(df, 700).collect()} for f in ("first_n", "last_n", "skip_n")}
+        assert ids == {"first_n": set(order[:700]), "last_n": set(order[-700:]), "skip_n": set(order[700:])}
