@@ -9,7 +9,8 @@ interactions AS (
   SELECT event_id AS row_id,
          "timestamp",
          user_id,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS content_id,
+         CAST(CASE WHEN event_id % 2 = 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER)
+              ELSE event_id // 5 END AS INTEGER) AS content_id,
          CAST(event_type = 'view' AS INTEGER) AS content_type_id,
          CAST(floor(("timestamp" - min("timestamp") OVER (PARTITION BY user_id)) / 86400000) AS INTEGER)
            AS task_container_id,
@@ -37,7 +38,7 @@ questions AS (
          CAST(p_partkey % 4 AS INTEGER) AS correct_answer,
          CAST(p_size % 7 + 1 AS INTEGER) AS part,
          {QUESTION_TAGS} AS tags
-  FROM part WHERE p_partkey < 95
+  FROM part WHERE p_partkey % 20 <> 19
 )"""
 
 LECTURES = """
@@ -49,7 +50,7 @@ lectures AS (
               WHEN p_type LIKE '%SMALL%' THEN 'intention'
               WHEN p_type LIKE '%LARGE%' THEN 'starter'
               ELSE 'concept' END AS type_of
-  FROM part WHERE p_partkey < 100
+  FROM part WHERE p_partkey % 25 <> 24
 )"""
 
 ORDER_LOG = """

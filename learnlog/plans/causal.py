@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.encoders import TagsEncoder
 from ..functions.scalars import bool_to_int
 from ..operators import history as h
+from ..operators import state as stt
 from ..operators import stats as st
 from ..operators.joins import join_dim
 from ..sources import fixtures as fx
@@ -40,6 +41,27 @@ def causal_features_from(log: DataFrame, questions: DataFrame, with_pca: bool =
                             bool_to_int("prior_question_had_explanation"))
 
 
+# Plan A's columns without the PCA scores.
+PLAN_A = [c for c in FEATURES if c not in PCA_KEEP]
+CATEGORICAL = ["part", "prior_question_had_explanation"]
+
+
+def plan_a_features(train: DataFrame, valid: DataFrame) -> DataFrame:
+    """Plan A's train and valid rows, ``is_valid`` tells which: content
+    statistics and the mean elapsed time from the train rows only, history of
+    the train rows from their earlier rows, that of the valid rows from the
+    state after all train rows (frozen). ``train`` and ``valid`` are question
+    rows with ``part``."""
+    rows = h.add_user_feats(train).withColumn("is_valid", F.lit(False)).unionByName(
+        stt.apply_frozen_state(valid, stt.build_state(train)).withColumn("is_valid", F.lit(True)))
+    mean = train.agg(F.avg("prior_question_elapsed_time")).first()[0]
+    return (rows.join(st.content_stats(train), "content_id", "left")
+            .withColumn("prior_question_had_explanation", bool_to_int("prior_question_had_explanation"))
+            .withColumn("prior_question_elapsed_time", F.coalesce("prior_question_elapsed_time", F.lit(mean)))
+            .select("row_id", "user_id", "content_id", "is_valid", "answered_correctly", *PLAN_A,
+                    *[c for c in PCA_KEEP if c in train.columns]))
+
+
 def causal_features(spark: SparkSession, sf_dir: str, with_pca: bool = True) -> DataFrame:
     out = causal_features_from(fx.interactions(spark, sf_dir), fx.questions(spark, sf_dir), with_pca)
     return out.select("row_id", "user_id", "content_id", "timestamp", "answered_correctly",

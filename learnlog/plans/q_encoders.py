@@ -13,8 +13,8 @@ from .common import log
 
 def _edges_sql(n: int, name: str) -> str:
     probs = ", ".join(repr(k / n) for k in range(n + 1))
-    return (f"{name} AS (SELECT list_sort(list_distinct(list_transform("
-            f"quantile_cont(\"timestamp\", [{probs}]), lambda x: round(x, 3)))) AS e FROM interactions)")
+    return (f"{name} AS (SELECT list_sort(list_distinct("
+            f"quantile_cont(\"timestamp\", [{probs}]))) AS e FROM interactions)")
 
 
 def _bin_sql(edges: str, op: str) -> str:
@@ -106,7 +106,7 @@ def join_bin_encoding(spark, sf):
 SELECT lecture_id, type_of, CAST(dense_rank() OVER (ORDER BY type_of) - 1 AS INTEGER) AS type_of_enc FROM lectures""",
     "lectures"))
 def label_encode(spark, sf):
-    return enc.label_encode_strings(fx.lectures(spark, sf), "type_of").select("lecture_id", "type_of", "type_of_enc")
+    return enc.label_encode(fx.lectures(spark, sf), "type_of").select("lecture_id", "type_of", "type_of_enc")
 
 
 @register("label_encode_numbers", with_views("""
@@ -114,14 +114,26 @@ SELECT row_id, task_container_id,
        CAST(dense_rank() OVER (ORDER BY task_container_id) - 1 AS INTEGER) AS task_container_id_enc
 FROM interactions""", "interactions"))
 def label_encode_numbers(spark, sf):
-    return enc.label_encode_numbers(log(spark, sf), "task_container_id").select(
+    return enc.label_encode(log(spark, sf), "task_container_id").select(
         "row_id", "task_container_id", "task_container_id_enc")
 
 
-@register("auto_categorical")
+def _auto_sql(c: str) -> str:
+    """A column and its code as ``auto_categorical`` gives them, if it has under 200 values."""
+    return (f"{c}, CAST(CASE WHEN {c} IS NULL THEN (SELECT count(DISTINCT {c}) FROM interactions)"
+            f" ELSE dense_rank() OVER (ORDER BY {c} NULLS LAST) - 1 END AS INTEGER) AS {c}_enc")
+
+
+# The answer and the content type have few values at any scale, the elapsed time
+# has many; its mean comes from four fifths of the rows.
+@register("auto_categorical", with_views(f"""
+SELECT row_id, {_auto_sql("user_answer")}, {_auto_sql("content_type_id")},
+       coalesce(prior_question_elapsed_time, (SELECT avg(prior_question_elapsed_time) FROM interactions WHERE row_id % 5 <> 0))
+         AS prior_question_elapsed_time
+FROM interactions""", "interactions"))
 def auto_categorical(spark, sf):
-    out, _ = enc.auto_categorical(log(spark, sf), ["content_id", "task_container_id", "user_answer",
-                                                   "prior_question_elapsed_time"])
+    out, _ = enc.auto_categorical(log(spark, sf), ["user_answer", "content_type_id", "prior_question_elapsed_time"],
+                                  train=F.col("row_id") % 5 != 0)
     return out
 
 

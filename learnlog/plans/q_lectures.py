@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import scalars as sc
 from ..operators import lectures as lec
-from ..oracle_views import with_views
+from ..operators import stats as st
+from ..operators.history import user_relative_time
+from ..operators.joins import join_stats
+from ..oracle_views import std_int_sql, with_views
 from ..registry import register
 from ..schema import PARTS
 from ..sources import fixtures as fx
@@ -99,7 +103,7 @@ def asof_prior_match(spark, sf):
 HISTORY_COLS = ["row_id", "user_id", "content_id"] + COUNTER_COLS + ["num_tags_match", "part_matches"]
 
 
-@register("lecture_history", _sql(f""", {TAGS_MATCH_SQL.strip()},
+HISTORY_SQL = f"""{TAGS_MATCH_SQL.strip()},
 counters AS (
   SELECT row_id, user_id, content_id, content_type_id, q_part,
          CAST(sum(content_type_id) OVER ({WI}) AS BIGINT) AS num_lecture_seen,
@@ -107,11 +111,43 @@ counters AS (
          {_PART_SEEN_SQL}
   FROM lrows
 ),
-pm AS ({PART_MATCH_SQL})
-SELECT c.row_id, c.user_id, c.content_id, {", ".join("c." + x for x in COUNTER_COLS)},
-       tm.num_tags_match, pm.part_matches
-FROM counters c JOIN tm ON c.row_id = tm.row_id JOIN pm ON c.row_id = pm.row_id
-WHERE c.content_type_id = 0"""))
+pm AS ({PART_MATCH_SQL}),
+hist AS (
+  SELECT c.row_id, c.user_id, c.content_id, {", ".join("c." + x for x in COUNTER_COLS)},
+         tm.num_tags_match, pm.part_matches
+  FROM counters c JOIN tm ON c.row_id = tm.row_id JOIN pm ON c.row_id = pm.row_id
+  WHERE c.content_type_id = 0
+)"""
+
+
+@register("lecture_history", _sql(f", {HISTORY_SQL}\nSELECT * FROM hist"))
 def lecture_history(spark, sf):
     return (lec.lecture_history(log(spark, sf), fx.questions(spark, sf), fx.lectures(spark, sf))
             .select(*HISTORY_COLS))
+
+
+STD = std_int_sql("answered_correctly")
+
+
+@register("plan_b_features", _sql(f""", {HISTORY_SQL},
+qonly AS (SELECT * FROM interactions WHERE content_type_id = 0),
+qt AS (SELECT content_id, avg(answered_correctly) AS question_mean_acc, {STD} AS question_std_acc, count(*) AS question_count
+       FROM qonly GROUP BY content_id),
+tt AS (SELECT task_container_id, avg(answered_correctly) AS task_mean_acc, {STD} AS task_std_acc, count(*) AS task_count
+       FROM qonly GROUP BY task_container_id)
+SELECT h.row_id, {", ".join("h." + x for x in COUNTER_COLS)}, h.num_tags_match, h.part_matches,
+       ln(greatest(q."timestamp" - min(q."timestamp") OVER (PARTITION BY q.user_id), 1)) AS log_relative_time,
+       ln(greatest(coalesce(q.prior_question_elapsed_time, avg(q.prior_question_elapsed_time) OVER ()), 1)) AS log_elapsed,
+       qt.question_mean_acc, qt.question_std_acc, qt.question_count, qs.part, tt.task_mean_acc, tt.task_std_acc, tt.task_count
+FROM hist h JOIN qonly q ON h.row_id = q.row_id LEFT JOIN qt ON q.content_id = qt.content_id
+LEFT JOIN questions qs ON q.content_id = qs.question_id LEFT JOIN tt ON q.task_container_id = tt.task_container_id"""))
+def plan_b_features(spark, sf):
+    """Plan B end to end: lecture history, relative and elapsed time, question and container statistics."""
+    hist = lec.lecture_history(log(spark, sf), fx.questions(spark, sf), fx.lectures(spark, sf))
+    q = sc.fill_mean(user_relative_time(hist), ["prior_question_elapsed_time"])
+    y = {"mean_acc": F.avg("answered_correctly"), "std_acc": st.std_int("answered_correctly"), "count": F.count(F.lit(1))}
+    for key, name in (("content_id", "question"), ("task_container_id", "task")):
+        q = join_stats(q, st.named_stats(hist, key, {f"{name}_{k}": c for k, c in y.items()}), key)
+    return q.select("row_id", *COUNTER_COLS, "num_tags_match", "part_matches", sc.log_clip("relative_time").alias("log_relative_time"),
+                    sc.log_clip("prior_question_elapsed_time").alias("log_elapsed"), "question_mean_acc", "question_std_acc",
+                    "question_count", F.col("_q_part").alias("part"), "task_mean_acc", "task_std_acc", "task_count")

@@ -6,30 +6,65 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as mt
 from ..operators import model as md
-from ..operators import splits as sp
 from ..operators import stats as st
+from ..operators.joins import join_dim
 from ..oracle_views import with_views
 from ..registry import register
-from .causal import FEATURES, causal_features
+from ..sources import fixtures as fx
+from .causal import CATEGORICAL, FEATURES, PCA_KEEP, PLAN_A, plan_a_features, question_dim_with_pca
 from .common import log
+from .q_joins import CSTATS
+from .q_state import _sql as state_sql
+from .q_state import train_valid
 
 _MODELS: dict = {}
 
+_FEATS = """
+tfeats AS (
+  SELECT t.row_id, false AS is_valid,
+         CAST(coalesce(sum(answered_correctly) OVER u, 0) AS BIGINT) AS su, count(*) OVER u AS cu,
+         CAST(coalesce(sum(answered_correctly) OVER p, 0) AS BIGINT) AS sp, count(*) OVER p AS cp,
+         CASE WHEN row_number() OVER (PARTITION BY user_id, content_id ORDER BY "timestamp", row_id) = 1 THEN 1 ELSE 0 END AS first_time
+  FROM train t
+  WINDOW u AS (PARTITION BY user_id ORDER BY "timestamp", row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         p AS (PARTITION BY user_id, coalesce(part, -1) ORDER BY "timestamp", row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+vfeats AS (
+  SELECT v.row_id, true AS is_valid, coalesce(us.s, 0) AS su, coalesce(us.c, 0) AS cu, coalesce(ps.s, 0) AS sp, coalesce(ps.c, 0) AS cp,
+         CASE WHEN cs.user_id IS NULL THEN 1 ELSE 0 END AS first_time
+  FROM valid v LEFT JOIN us ON v.user_id = us.user_id
+  LEFT JOIN ps ON v.user_id = ps.user_id AND coalesce(v.part, -1) = ps.part_k
+  LEFT JOIN cs ON v.user_id = cs.user_id AND v.content_id = cs.content_id),"""
+PLAN_A_SQL = state_sql(f""", {_FEATS.strip()}
+{CSTATS.strip().replace("FROM interactions WHERE content_type_id = 0", "FROM train")}
+SELECT q.row_id, q.user_id, q.content_id, f.is_valid, q.answered_correctly,
+       CAST(f.su AS DOUBLE) / nullif(f.cu, 0) AS answered_correctly_avg_u, f.su AS answered_correctly_sum_u, f.cu AS count_u,
+       c.answered_correctly_avg_c, q.part, CAST(coalesce(q.prior_question_had_explanation, false) AS INTEGER) AS prior_question_had_explanation,
+       coalesce(q.prior_question_elapsed_time, (SELECT avg(prior_question_elapsed_time) FROM train)) AS prior_question_elapsed_time,
+       f.first_time, CAST(f.sp AS DOUBLE) / nullif(f.cp, 0) AS part_avg_u, f.sp AS part_sum_u, f.cp AS part_count_u,
+       c.answered_correctly_sum_c, c.answered_correctly_count_c, c.answered_correctly_std_c
+FROM (SELECT * FROM tfeats UNION ALL SELECT * FROM vfeats) f JOIN qrows q ON f.row_id = q.row_id
+LEFT JOIN cstats c ON q.content_id = c.content_id""")
+
+
+@register("plan_a_features", PLAN_A_SQL)
+def plan_a(spark, sf):
+    return plan_a_features(*train_valid(spark, sf))
+
 
 def model_table(spark, sf):
-    """Causal features with NULLs imputed and an ordered 80/20 split."""
-    f = causal_features(spark, sf)
-    f = f.fillna({c: 0.0 for c in FEATURES if c not in ("answered_correctly_avg_u", "part_avg_u",
-                                                          "answered_correctly_std_c")})
-    f = f.fillna({"answered_correctly_avg_u": 0.65, "part_avg_u": 0.65, "answered_correctly_std_c": 0.0})
-    return sp.ordered_split(f).withColumn("is_valid", F.col("split") == "valid")
+    """Plan A's features with the tags' PCA scores, NULLs imputed."""
+    pca = question_dim_with_pca(fx.questions(spark, sf)).drop("part")
+    f = plan_a_features(*[join_dim(d.drop("question_id"), pca, "content_id", "question_id") for d in train_valid(spark, sf)])
+    rates = ("answered_correctly_avg_u", "part_avg_u", "answered_correctly_avg_c")
+    return f.fillna(0.65, list(rates)).fillna(0.0, [c for c in [*PLAN_A, *PCA_KEEP] if c not in rates])
 
 
 def fitted(spark, sf):
-    key = (id(spark), sf)
+    """The model and its table, once per application."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         table = model_table(spark, sf)
-        _MODELS[key] = (md.train_gbt(table, FEATURES), table)
+        _MODELS[key] = (md.train_gbt(table, FEATURES, categorical=CATEGORICAL), table)
     return _MODELS[key]
 
 

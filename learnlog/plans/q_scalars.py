@@ -8,7 +8,7 @@ from ..functions import scalars as sc
 from ..functions.quantiles import quantiles
 from ..operators.history import user_relative_time
 from ..operators.lectures import parse_tags
-from ..oracle_views import QUESTION_TAGS, with_views
+from ..oracle_views import with_views
 from ..registry import register
 from ..sources import fixtures as fx
 from .common import log
@@ -37,27 +37,15 @@ def parse_tag_array(spark, sf):
     return fx.questions(spark, sf).select("question_id", parse_tags("tags").alias("tag_list"))
 
 
-# The columns come from the data's tag vocabulary, so the oracle uses a dynamic
-# PIVOT; DuckDB's PIVOT cannot see CTEs, hence the inline question expression.
-TAG_DUMMIES_SQL = f"""
-SELECT CAST(q.p_partkey AS INTEGER) AS question_id, CAST(coalesce(COLUMNS(p.* EXCLUDE (question_id)), 0) AS INTEGER)
-FROM (SELECT p_partkey FROM part WHERE p_partkey < 95) q
-LEFT JOIN (
-  PIVOT (SELECT CAST(p_partkey AS INTEGER) AS question_id, 'tag_' || CAST(t AS VARCHAR) AS name, 1 AS one
-         FROM (SELECT p_partkey, unnest(list_distinct(CAST(string_split(trim({QUESTION_TAGS}), ' ') AS INTEGER[])))
-                 AS t
-               FROM part WHERE p_partkey < 95) s)
-  ON name USING max(one) GROUP BY question_id
-) p ON CAST(q.p_partkey AS INTEGER) = p.question_id"""
+# Tags are 1..82 by the definition of the question view: one column each.
+TAG_DOMAIN = range(1, 83)
+_TAG_COLS = ", ".join(f"CAST(coalesce(list_contains(CAST(string_split(trim(tags), ' ') AS INTEGER[]), {t}), false) AS INTEGER) AS tag_{t}"
+                      for t in TAG_DOMAIN)
 
 
-@register("tag_dummies", TAG_DUMMIES_SQL)
+@register("tag_dummies", with_views(f"SELECT question_id, {_TAG_COLS} FROM questions", "questions"))
 def tag_dummies(spark, sf):
-    # The vocabulary is bounded by the question dimension.
-    q = fx.questions(spark, sf)
-    vocab = sorted(r["t"] for r in q.select(F.explode(parse_tags("tags")).alias("t")).distinct().collect()
-                   if r["t"] is not None)
-    return q.select("question_id", *sc.tag_dummies("tags", vocab))
+    return fx.questions(spark, sf).select("question_id", *sc.tag_dummies("tags", TAG_DOMAIN))
 
 
 @register("one_hot", with_views(f"SELECT lecture_id, tag, {_DUMMY_SQL} FROM lectures", "lectures"))

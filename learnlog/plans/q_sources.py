@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from ..oracle_views import test_batches_sql, with_views
 from ..registry import register
 from ..schema import INTERACTIONS, LECTURES, QUESTIONS, TEST_BATCHES
@@ -43,10 +45,11 @@ def scan_test_batches(spark, sf):
     return io.read_csv(spark, _csv(spark, fx.test_batches(spark, sf), "batches", TEST_BATCHES), TEST_BATCHES)
 
 
-@register("scan_inferred_csv")
+@register("scan_inferred_csv", with_views("SELECT question_id, bundle_id, correct_answer, part, tags FROM questions", "questions"))
 def scan_inferred_csv(spark, sf):
-    # R: inferred types are the reader's choice (e.g. int vs bigint).
-    return io.read_csv_inferred(spark, _csv(spark, fx.questions(spark, sf), "questions"))
+    # The reader infers integers; the casts only pin their width for the check.
+    got = io.read_csv_inferred(spark, _csv(spark, fx.questions(spark, sf), "questions"))
+    return got.select(*[F.col(c).cast("int").alias(c) for c in ("question_id", "bundle_id", "correct_answer", "part")], "tags")
 
 
 @register("cast_schema", with_views("SELECT * FROM interactions", "interactions"))

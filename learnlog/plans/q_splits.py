@@ -31,10 +31,11 @@ def ordered_split(spark, sf):
     return sp.ordered_split(log(spark, sf)).select("row_id", "split")
 
 
-@register("random_split")
+@register("random_split", with_views("""
+SELECT row_id, CASE WHEN b < 800 THEN 'train' WHEN b < 900 THEN 'valid' ELSE 'test' END AS split
+FROM (SELECT row_id, CAST('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 1000 AS b
+      FROM interactions) t""", "interactions"))
 def random_split(spark, sf):
-    # R: DuckDB has no xxhash64 with Spark's seed semantics; tests check the
-    # fractions and that labels do not depend on partitioning.
     return sp.random_split(log(spark, sf)).select("row_id", "split")
 
 
@@ -44,9 +45,10 @@ SELECT split, count(*) AS n FROM (
   FROM ranked) t GROUP BY split
 UNION ALL SELECT 'all' AS split, count(*) AS n FROM ranked""", "interactions"))
 def row_counts(spark, sf):
+    # one pass: each row counts for its split and for all
     s = sp.user_tail_split(_qrows(spark, sf))
-    per = s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-    return per.unionByName(per.agg(F.sum("n").alias("n")).select(F.lit("all").alias("split"), "n"))
+    return (s.select(F.explode(F.array("split", F.lit("all"))).alias("split"))
+             .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("nested_horizon_stats", with_views(f"""WITH {TAIL_SQL.strip()},

@@ -57,7 +57,13 @@ def featurise(rows: DataFrame, s: StaticStats) -> DataFrame:
     return r.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(FILL)) for c in FEATURES})
 
 
-def train(log: DataFrame, s: StaticStats, cfg: GBTConfig = GBTConfig(max_iter=20)) -> PipelineModel:
-    """Fit on the first 80% of question rows in time order, early-stop on the rest."""
-    feats = sp.ordered_split(featurise(log, s)).withColumn("is_valid", F.col("split") == "valid")
-    return train_gbt(feats, FEATURES, cfg=cfg)
+CATEGORICAL = ["part", "tags1", "tags2", "tags3"]
+
+
+def train(log: DataFrame, questions: DataFrame, cfg: GBTConfig = GBTConfig(max_iter=20)) -> PipelineModel:
+    """Fit on the first 80% of question rows in time order, early-stop on the
+    rest; the statistics are those of the first 80%, so the rest is unseen."""
+    split = sp.ordered_split(log.filter(F.col("content_type_id") == 0))
+    stats = static_stats(split.filter("split = 'train'"), questions)
+    feats = featurise(split, stats).withColumn("is_valid", F.col("split") == "valid")
+    return train_gbt(feats, FEATURES, cfg=cfg, categorical=CATEGORICAL)

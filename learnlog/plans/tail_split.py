@@ -75,10 +75,11 @@ def fill_defaults(df: DataFrame, t: StaticTables) -> DataFrame:
     return df.fillna({k: v for k, v in fills.items() if v is not None})
 
 
-def featurise(rows: DataFrame, t: StaticTables, join_users: bool = True) -> DataFrame:
+def featurise(rows: DataFrame, t: StaticTables, join_users: bool = True, cap: bool = True) -> DataFrame:
     """Attach static tables to question rows (left joins) and fill defaults.
-    ``join_users=False`` when the rows already carry their user stats."""
-    r = rows.withColumn("task_container_id", cap_container())
+    ``join_users=False`` when the rows already carry their user stats; ``cap``
+    limits container ids, which is for scoring only."""
+    r = rows.withColumn("task_container_id", cap_container()) if cap else rows
     r = r.join(t.container.select("task_container_id", "avg_questions_seen"), "task_container_id", "left")
     r = join_dim(r, t.questions.select("question_id", "quest_pct", "part"), "content_id", "question_id")
     r = r.withColumn("part", shift_part())
@@ -93,5 +94,5 @@ def split_features(log: DataFrame, questions: DataFrame, lectures: DataFrame) ->
     """Train (X) and valid rows with horizon-matched user stats; ``is_valid``."""
     t = static_tables(log, questions, lectures)
     q = log.filter(F.col("content_type_id") == 0)
-    feats = featurise(sp.nested_horizon_stats(q), t, join_users=False)
+    feats = featurise(sp.nested_horizon_stats(q), t, join_users=False, cap=False)
     return feats.withColumn("is_valid", F.col("split") == "valid")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefix import Agg, running, split_chunks
+from ..operators.prefix import Agg, running
 
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY_MS = 86_400_000
@@ -21,6 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def content_id(event_id, k):
+    """Half of the rows are about 100 common contents, the others reach all
+    rows of ``part`` (five events per part at every scale factor)."""
+    return F.when(event_id % 2 == 0, k).otherwise(F.floor(event_id / 5)).cast("int")
+
+
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interaction log: one row per event, schema ``schema.INTERACTIONS``."""
     ev = read_table(spark, sf_dir, "events")
@@ -28,7 +34,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("row_id"),
         F.expr(f"timestampdiff(MILLISECOND, {EPOCH}, ts)").alias("timestamp"),
         "user_id",
-        F.get_json_object("props", "$.k").cast("int").alias("content_id"),
+        content_id(F.col("event_id"), F.get_json_object("props", "$.k").cast("int")).alias("content_id"),
         (F.col("event_type") == "view").cast("int").alias("content_type_id"),
         F.when(F.col("event_type") == "view", F.lit(-1))
          .otherwise((F.col("event_id") % 4).cast("int")).alias("user_answer"),
@@ -44,12 +50,10 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     withc = base.join(start, "user_id", "left").withColumn(
         "task_container_id",
         F.floor((F.col("timestamp") - F.col("_t0")) / F.lit(DAY_MS)).cast("int"))
-    withc, chunk = split_chunks(withc, ["user_id"], "timestamp")
     lagged = running(
         withc, ["user_id"],
         [Agg("prior_question_elapsed_time", "last", F.col("_value")),
-         Agg("prior_question_had_explanation", "last", F.col("_error"))],
-        chunk=chunk)
+         Agg("prior_question_had_explanation", "last", F.col("_error"))])
     return lagged.select(
         "row_id", "timestamp", "user_id", "content_id", "content_type_id",
         "task_container_id", "user_answer", "answered_correctly",
@@ -58,7 +62,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < 95)
+    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 20 != 19)
     return p.select(
         F.col("p_partkey").cast("int").alias("question_id"),
         F.floor(F.col("p_partkey") / 3).cast("int").alias("bundle_id"),
@@ -72,7 +76,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lectures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < 100)
+    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 25 != 24)
     t = F.col("p_type")
     return p.select(
         F.col("p_partkey").cast("int").alias("lecture_id"),
@@ -124,7 +128,7 @@ def test_batches(spark: SparkSession, sf_dir: str, batch_rows: int = 1000) -> Da
                          as_text("user_answer").alias("_resp"))
     prev = running(lists, [], [Agg("prior_group_answers_correct", "last", F.col("_ans")),
                                Agg("prior_group_responses", "last", F.col("_resp"))],
-                   chunk=F.floor(F.col("group_num") / 1024).cast("long"), order=("group_num",))
+                   order=("group_num",))
     prev = prev.select("group_num",
                        F.coalesce("prior_group_answers_correct", F.lit("[]")).alias("prior_group_answers_correct"),
                        F.coalesce("prior_group_responses", F.lit("[]")).alias("prior_group_responses"))
