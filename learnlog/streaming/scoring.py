@@ -16,24 +16,23 @@ from ..operators.model import predict_scores
 from ..plans.tail_split import StaticTables, featurise
 
 
-def score_stream(stream: DataFrame, model: PipelineModel, prepare) -> DataFrame:
-    """Question rows of the stream, featurised by ``prepare`` -> (row_id, score)."""
+def score_stream(stream: DataFrame, model: PipelineModel, prepare, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Question rows of the stream, featurised by ``prepare`` -> (row_id, score, keep...)."""
     q = stream.filter(F.col("content_type_id") == 0)
-    return predict_scores(model, prepare(q))
+    return predict_scores(model, prepare(q), keep=keep)
 
 
-def lecture_score_stream(stream: DataFrame, model: PipelineModel, tables: StaticTables) -> DataFrame:
-    return score_stream(stream, model, lambda q: featurise(q, tables))
+def lecture_score_stream(stream: DataFrame, model: PipelineModel, tables: StaticTables, keep: tuple[str, ...] = ()) -> DataFrame:
+    return score_stream(stream, model, lambda q: featurise(q, tables), keep)
 
 
-def sink_predictions(scores: DataFrame, path: str, checkpoint: str) -> None:
-    """Write (row_id, score) with a file sink until the input is drained."""
-    q = (scores.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def sink_predictions(scores: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Write the scores with a file sink until the input is drained."""
+    w = (scores.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True))
+    (w.partitionBy(*partition_by) if partition_by else w).start().awaitTermination()
 
 
-def drain_to_parquet(spark: SparkSession, df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    sink_predictions(df, path, checkpoint)
+def drain_to_parquet(spark: SparkSession, df: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    sink_predictions(df, path, checkpoint, partition_by)
     return spark.read.parquet(path)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -26,11 +27,11 @@ def _fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[p
     y = pdf["answered_correctly"].astype("int64").to_numpy()
     before = y.cumsum() - y + s
     count = pd.RangeIndex(len(pdf)).to_numpy() + n
-    avg = pd.Series(before / count.astype("float64")).where(count > 0)
+    avg = np.divide(before, count, out=np.full(len(pdf), np.nan), where=count > 0)
     state.update((int(s + y.sum()), int(n + len(pdf))))
     yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "user_id": pdf["user_id"].to_numpy(),
                         "answered_correctly_sum_u": before, "count_u": count,
-                        "answered_correctly_avg_u": avg.to_numpy()})
+                        "answered_correctly_avg_u": avg})
 
 
 def stream_user_state(stream: DataFrame) -> DataFrame:
