@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import encoders as enc
@@ -137,16 +139,18 @@ def auto_categorical(spark, sf):
     return out
 
 
-@register("tags_tfidf", with_views("""
-WITH docs AS (SELECT question_id, coalesce(tags, ' ') AS doc FROM questions),
+TFIDF_SQL = """
+docs AS (SELECT question_id, coalesce(tags, ' ') AS doc FROM questions),
 toks AS (SELECT question_id, unnest(regexp_extract_all(lower(doc), '\\w\\w+')) AS token FROM docs),
 tf AS (SELECT question_id, token, count(*) AS tf FROM toks GROUP BY ALL),
 dfs AS (SELECT token, count(DISTINCT question_id) AS df FROM tf GROUP BY token),
 n AS (SELECT count(*) AS n FROM docs),
 w AS (SELECT tf.question_id, tf.token, tf.tf * (ln((1.0 + n.n) / (1.0 + dfs.df)) + 1.0) AS w
-      FROM tf JOIN dfs ON tf.token = dfs.token, n)
-SELECT question_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY question_id)) AS weight FROM w""",
-    "questions"))
+      FROM tf JOIN dfs ON tf.token = dfs.token, n)"""
+
+
+@register("tags_tfidf", with_views(f"""WITH {TFIDF_SQL.strip()}
+SELECT question_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY question_id)) AS weight FROM w""", "questions"))
 def tags_tfidf(spark, sf):
     q = fx.questions(spark, sf)
     return enc.TagsEncoder(5).fit(q).tfidf_long(q, "question_id")
@@ -158,3 +162,19 @@ def tags_pca(spark, sf):
     q = fx.questions(spark, sf)
     e = enc.TagsEncoder(5).fit(q)
     return e.transform(q).select("question_id", *[f"PCA_{i}" for i in range(5)])
+
+
+# All components together keep the TF-IDF weights' total variance, and scores are centred (D6).
+@register("tags_pca_moments", with_views(f"""
+WITH {TFIDF_SQL.strip()},
+long AS (SELECT question_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY question_id)) AS x FROM w),
+m AS (SELECT token, sum(x) / (SELECT n FROM n) AS mean, sum(x * x) / (SELECT n FROM n) AS square FROM long GROUP BY token)
+SELECT (SELECT n FROM n) AS n, round(sum(square - mean * mean), 6) AS total_variance, 0.0::DOUBLE AS largest_mean FROM m""", "questions"))
+def tags_pca_moments(spark, sf):
+    q = fx.questions(spark, sf)
+    e = enc.TagsEncoder(1 << 20).fit(q)
+    names = [f"PCA_{i}" for i in range(len(e.vocab))]
+    sums = e.transform(q).agg(F.count(F.lit(1)).alias("n"), *[F.var_pop(c).alias(f"v_{c}") for c in names], *[F.avg(c).alias(f"m_{c}") for c in names])
+    total = functools.reduce(lambda a, b: a + b, [F.col(f"v_{c}") for c in names])
+    return sums.select("n", F.round(total, 6).alias("total_variance"),
+                       F.abs(F.round(F.greatest(*[F.abs(f"m_{c}") for c in names]), 6)).alias("largest_mean"))

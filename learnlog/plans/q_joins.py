@@ -118,15 +118,17 @@ def enrich_question_stats(spark, sf):
     return dim.join(s, dim.question_id == s.content_id, "left").drop("content_id")
 
 
-@register("lookup_by_position", with_views("""
-SELECT i.row_id, i.content_id, q.question_id, q.part, q.bundle_id
-FROM interactions i LEFT JOIN questions q ON i.content_id = q.question_id
-WHERE i.content_type_id = 0""", "interactions", "questions"))
+@register("lookup_by_position", with_views(f"""WITH {CSTATS.strip()}
+SELECT i.row_id, i.content_id, q.part, q.bundle_id, c.answered_correctly_avg_c, c.answered_correctly_count_c
+FROM interactions i LEFT JOIN questions q ON i.content_id = q.question_id LEFT JOIN cstats c ON i.content_id = c.content_id""",
+    "interactions", "questions"))
 def lookup_by_position(spark, sf):
-    # D3: the reference's reindex-by-position is a keyed left join here.
+    # D3: two tables reindexed by the rows' content and put beside them are
+    # keyed left joins here; a lecture row looks up its content id too.
+    lg = log(spark, sf)
     q = fx.questions(spark, sf).select("question_id", "part", "bundle_id")
-    return jn.join_dim(_qrows(spark, sf).select("row_id", "content_id"), q, "content_id", "question_id",
-                       keep_key=True)
+    c = st.content_stats(lg.filter(F.col("content_type_id") == 0), ("avg", "count"))
+    return jn.join_stats(jn.join_dim(lg.select("row_id", "content_id"), q, "content_id", "question_id"), c, "content_id")
 
 
 TAIL_SQL = """
