@@ -121,12 +121,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def _plain(df: DataFrame, keys, families, order, container, inclusive, arranged) -> DataFrame:
-    rows = df if arranged or not keys else df.repartition(*keys)
-    out = {}
-    for fam in families:
+    # the windows over the keys alone come first: whatever partitioning they have
+    # or get serves those over more keys, so nothing is shuffled twice
+    plain = sorted(families, key=lambda f: len(f.sub_keys))
+    rows = df if arranged or not plain[0].sub_keys else df.repartition(*keys)
+    for fam in plain:
         ordered, frame = _frames([*keys, *fam.sub_keys], order, container, inclusive)
-        out |= {a.name: _within(a, F.col(f"_m_{a.name}"), ordered, frame, inclusive) for a in fam.aggs}
-    return rows.withColumns(out)
+        rows = rows.withColumns({a.name: _within(a, F.col(f"_m_{a.name}"), ordered, frame, inclusive) for a in fam.aggs})
+    return rows
 
 
 def _ranged(df: DataFrame, keys, families, order, inclusive, total, limit) -> DataFrame:

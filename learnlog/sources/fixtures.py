@@ -44,16 +44,15 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("_value"),
         (F.col("event_type") == "error").alias("_error"),
     )
-    # Each user's first timestamp: a partial aggregate joined back on user,
-    # not a whole-user window.
-    start = base.groupBy("user_id").agg(F.min("timestamp").alias("_t0"))
-    withc = base.join(start, "user_id", "left").withColumn(
-        "task_container_id",
-        F.floor((F.col("timestamp") - F.col("_t0")) / F.lit(DAY_MS)).cast("int"))
+    # A user's first timestamp is the least of the earlier ones, or the row's own.
+    ts = F.col("timestamp")
     lagged = running(
-        withc, ["user_id"],
+        base, ["user_id"],
         [Agg("prior_question_elapsed_time", "last", F.col("_value")),
-         Agg("prior_question_had_explanation", "last", F.col("_error"))])
+         Agg("prior_question_had_explanation", "last", F.col("_error")),
+         Agg("_neg_t0", "max", -ts)])
+    lagged = lagged.withColumn("task_container_id", F.floor(
+        (ts - F.coalesce(-F.col("_neg_t0"), ts)) / F.lit(DAY_MS)).cast("int"))
     return lagged.select(
         "row_id", "timestamp", "user_id", "content_id", "content_type_id",
         "task_container_id", "user_answer", "answered_correctly",
