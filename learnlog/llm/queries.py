@@ -24,8 +24,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Texts that go to a Python worker at once, where the session has Spark's default of 10,000: texts are long.
+BATCH_ROWS = 1000
+
+
 def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers of this session import the package from where the driver has it."""
+    """Let Python workers of this session import the package from where the driver has it, and send them small batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == 10_000:
+        spark.conf.set(name, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):

@@ -7,6 +7,8 @@ so words, word hashes and word n-gram hashes are a few array operations.
 
 from __future__ import annotations
 
+import ctypes
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; bounds the arrays of a Python worker.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -99,14 +101,36 @@ def grams(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     return mix64(acc)
 
 
+def lowered(words: Words) -> Words:
+    """The same words with A-Z mapped to a-z."""
+    return Words(_LOWER[words.data], words.start, words.end, words.doc, words.first)
+
+
 def gram_starts(words: Words, n: int) -> np.ndarray:
     """Word indexes at which a run of ``n`` words inside one text starts."""
     room = words.first[words.doc + 1] - np.arange(len(words.doc)) if len(words.doc) else np.zeros(0, int)
     return np.flatnonzero(room >= n)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+_released = 0.0
+
+
+def release_memory(every: float = 0.5) -> None:
+    """Give memory of arrays that are no longer used back to the system: a
+    worker lives through many tasks, and what the allocator keeps adds up."""
+    global _released
+    if time.monotonic() - _released > every:
+        pa.default_memory_pool().release_unused()
+        if _trim:
+            _trim(0)
+        _released = time.monotonic()
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
-    """UTF-8 bytes of a string column; NULL is empty."""
+    """UTF-8 bytes of a string column; NULL is empty. Each batch begins with it,
+    so memory of the batch before is released here."""
+    release_memory()
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
