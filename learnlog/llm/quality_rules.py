@@ -98,11 +98,11 @@ def base_failed(c: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _char_histograms(texts: list[bytes], data: np.ndarray) -> np.ndarray:
-    doc = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-    cls = _CLASS[data]
-    # the byte that separates texts is not counted
-    cls = np.where(np.append(np.diff(doc), 1) > 0, len(CLASSES), cls) if len(doc) else cls
-    return np.bincount(doc * (_N + 1) + cls, minlength=len(texts) * (_N + 1)).reshape(-1, _N + 1)[:, :_N]
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    cell = _CLASS[data].astype(np.int32)
+    cell[np.cumsum(size) - 1] = _N          # the byte that separates texts is not counted
+    cell += np.repeat(np.arange(len(texts), dtype=np.int32) * (_N + 1), size)
+    return np.bincount(cell, minlength=len(texts) * (_N + 1)).reshape(-1, _N + 1)[:, :_N]
 
 
 _PLAIN = np.zeros(256, bool)
@@ -110,7 +110,8 @@ _PLAIN[list(b".,;:?")] = True
 
 
 def _word_bins(words: X.Words) -> np.ndarray:
-    """Bin of each word, lower-cased by the caller, without one sentence mark at its end."""
+    """Bin of each word in lower case, without one sentence mark at its end."""
+    words = X.lowered(words)
     end = words.end - ((words.end - words.start > 1) & _PLAIN[words.data[words.end - 1]])
     return (X.Words(words.data, words.start, end, words.doc, words.first).hashes() >> np.uint64(48)).astype(np.int64)
 
@@ -125,9 +126,9 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
             texts, lang = X.as_bytes(batch["text"]), np.array(batch["lang"].to_pylist(), object)
             for a, b in X.slices(texts):
                 part = texts[a:b]
-                ok = ~base_failed(counts(part, X.words_of(part)))
-                words = X.words_of(part, lower=True)
-                bins, chars = _word_bins(words), _char_histograms(part, X.words_of(part).data)
+                words = X.words_of(part)
+                ok = ~base_failed(counts(part, words))
+                bins, chars = _word_bins(words), _char_histograms(part, words.data)
                 for name in set(lang[a:b][ok]):
                     of = ok & (lang[a:b] == name)
                     t = total.setdefault(name, np.zeros(width, np.int64))
@@ -139,11 +140,12 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     d = docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
     sums = d.mapInArrow(count, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n").alias("n"))
-    chars = sums.where(F.col("at") >= BINS)
-    words = sums.where(F.col("at") < BINS)
-    top = words.groupBy("lang").agg(F.sum("n").alias("total"), F.slice(F.sort_array(F.collect_list(F.struct("n", "at")), asc=False), 1, COMMON).alias("common"))
+    word, bin_ = F.col("at") < BINS, F.struct("n", "at")
     found = []
-    for r in top.join(chars.groupBy("lang").agg(F.collect_list(F.struct("at", "n")).alias("chars")), "lang").collect():
+    for r in sums.groupBy("lang").agg(
+            F.sum(F.when(word, F.col("n"))).alias("total"),
+            F.slice(F.sort_array(F.collect_list(F.when(word, bin_)), asc=False), 1, COMMON).alias("common"),
+            F.collect_list(F.when(~word, bin_)).alias("chars")).where("total is not null").collect():
         if r["total"] < MIN_REFERENCE_WORDS:
             continue
         char = np.zeros(_N)
@@ -163,10 +165,9 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(kl / 2, 0, 1))
 
 
-def distances(texts: list[bytes], refs: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+def distances(texts: list[bytes], words: X.Words, refs: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """Distances of characters and words from the nearest language (the least sum of both)."""
-    words = X.words_of(texts, lower=True)
-    chars = _char_histograms(texts, X.words_of(texts).data).astype(float)
+    chars = _char_histograms(texts, words.data).astype(float)
     chars /= np.maximum(chars.sum(1, keepdims=True), 1)
     bins = _word_bins(words)
     best = np.full((2, len(texts)), np.inf)
@@ -204,9 +205,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             texts = X.as_bytes(batch["_text"].cast(pa.string()))
             for a, b in X.slices(texts):
                 part = texts[a:b]
-                c = counts(part, X.words_of(part))
+                words = X.words_of(part)
+                c = counts(part, words)
                 failed = base_failed(c)
-                char, word = distances(part, known) if known else (np.zeros(b - a), np.zeros(b - a))
+                char, word = distances(part, words, known) if known else (np.zeros(b - a), np.zeros(b - a))
                 size = np.maximum([len(t) for t in part], 1)
                 bad = (char > char_limit + NOISE / np.sqrt(size)) | (word > word_limit + NOISE / np.sqrt(np.maximum(c["n_words"], 1)))
                 yield pa.RecordBatch.from_arrays(
