@@ -37,7 +37,7 @@ from learnlog.llm import text as X
 from learnlog.llm.merges import Pairs
 
 #: Distinct slices that a task keeps the ids of; then the cache starts anew.
-CACHE_SLICES = 300_000
+CACHE_SLICES = 200_000
 BLOCK = 64
 
 # Classes of code points, with what follows.
@@ -137,24 +137,35 @@ def slice_bounds(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     return raw, np.stack([begin, end]), np.diff(np.searchsorted(begin, np.concatenate([[0], ends + 1])))
 
 
-class Ranks:
-    """Ranks of a vocabulary file, with the ids of slices that were seen."""
+class Tokens:
+    """The tokens of a vocabulary file by rank: what decoding needs."""
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        n = max(self.ranks.values()) + 1
-        tokens = [b""] * n
-        for token, rank in self.ranks.items():
-            tokens[rank] = token
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.begin = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+        self.tokens = [b""] * (max(int(rank) for _, rank in pairs) + 1)
+        for token, rank in pairs:
+            self.tokens[int(rank)] = base64.b64decode(token)
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.begin = np.concatenate([[0], np.cumsum([len(t) for t in self.tokens])])
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the ids, one after the other; the bounds of each id's."""
+        return gather(self.bytes, self.begin, ids.astype(np.int64))
+
+
+class Ranks(Tokens):
+    """Ranks of a vocabulary file, with the ids of slices that were seen."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.ranks = {token: rank for rank, token in enumerate(self.tokens) if token}
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         # every way to put a token together from two
-        pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], rank) for t, rank in self.ranks.items() for k in range(1, len(t))
-                 if t[:k] in self.ranks and t[k:] in self.ranks]
-        left, right, joined = np.array(pairs, np.int32).T
+        pairs = np.fromiter((x for t, rank in self.ranks.items() for k in range(1, len(t))
+                             if t[:k] in self.ranks and t[k:] in self.ranks
+                             for x in (self.ranks[t[:k]], self.ranks[t[k:]], rank)), np.int32)
+        left, right, joined = pairs.reshape(-1, 3).T
         self.pairs = Pairs(left, right, joined, joined)
         self.clear()
 
@@ -196,10 +207,6 @@ class Ranks:
         ids, bounds = gather(self.ids, self.begins, index)
         return ids, bounds[np.concatenate([[0], np.cumsum(count)])]
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of the ids, one after the other; the bounds of each id's."""
-        return gather(self.bytes, self.begin, ids.astype(np.int64))
-
 
 def gather(values: np.ndarray, begin: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``values[begin[i]:begin[i + 1]]`` for each ``i`` of ``index``, one after the other; their bounds."""
@@ -213,6 +220,11 @@ def _ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
+@functools.lru_cache(maxsize=2)
+def _tokens(path: str) -> Tokens:
+    return Tokens(path)
+
+
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_tokens, ids)``: the ids as little-endian unsigned 32-bit integers, a row per row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +244,13 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of its ids as ``out_col``; NULL ids: NULL."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _ranks(path)
+        tokens = _tokens(path)
         for batch in batches:
+            X.release_memory()
             rows = batch[ids_col].to_pylist()
             for a, b in X.slices([r or b"" for r in rows]):
                 part = [r or b"" for r in rows[a:b]]
-                data, bounds = ranks.decode(np.frombuffer(b"".join(part), "<u4"))
+                data, bounds = tokens.decode(np.frombuffer(b"".join(part), "<u4"))
                 raw, ends = data.tobytes(), bounds[np.concatenate([[0], np.cumsum([len(p) // 4 for p in part])])].tolist()
                 out = [None if r is None else raw[x:y] for r, x, y in zip(rows[a:b], ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(out, pa.binary())], names=[*batch.schema.names, out_col])
