@@ -8,9 +8,9 @@ model is fitted by dual coordinate descent.
 * The counts behind the ratios cover every labelled row that may be learned
   from; each task adds them up in an array of fixed size.
 * The linear model is fitted, in one task, on at most ``FIT_ROWS`` of those
-  rows (those of the smallest id hashes); a quarter of them calibrates margins
-  to probabilities. Both bounds are parameters of the model, not of the data
-  that is scored: every row is scored.
+  rows and ``FIT_BYTES`` of their text (by rising id hash); a quarter of them
+  calibrates margins to probabilities. Both bounds are parameters of the model,
+  not of the data that is scored: every row is scored.
 
 Result for special rows: NULL and empty text has no feature and gets the
 model's base rate; rows that repeat an id or a text get the same score; without
@@ -25,13 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learnlog.llm import text as X
 
 BITS = 18
 FIT_ROWS = 8000
+FIT_BYTES = 64 << 20
 ALPHA = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -66,10 +68,9 @@ def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     """Feature numbers of each text, distinct and sorted, one text after the other; their bounds."""
     nums, sizes = [np.zeros(0, np.int64)], []
     for a, b in X.slices(texts):
-        words = X.words_of(texts[a:b], lower=True)
-        h = words.hashes()
-        raw = X.words_of(texts[a:b])
-        shape = _shapes(raw, h)
+        words = X.words_of(texts[a:b])
+        h = X.lowered(words).hashes()
+        shape = _shapes(words, h)
         docs, keys = [], []
         for n, of, salt in ((1, h, 1), (2, h, 2), (1, shape, 3), (2, shape, 4), (3, shape, 5)):
             at = X.gram_starts(words, n)
@@ -183,7 +184,7 @@ def _fit(sample: DataFrame, ratios: np.ndarray, bits: int) -> tuple[np.ndarray,
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-                   learn_from=None, fit_rows: int = FIT_ROWS, bits: int = BITS) -> DataFrame:
+                   learn_from=None, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES, bits: int = BITS) -> DataFrame:
     """``(id, score)``, a row per row of ``docs``: the probability of label 1.
 
     ``learn_from`` maps an id column to the condition that a labelled row may be
@@ -200,10 +201,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     if len(tally) < 2:
         base = tally.get(1, 0) / total if total else 0.5
         return d.select(F.col("id").alias(id_col), F.lit(base).alias("score"))
-    ratios = log_count_ratios(d.join(known, "id"), bits)
+    # the same join at every size: labels grow with the documents, so they are never broadcast
+    ratios = log_count_ratios(d.join(known.hint("merge"), "id"), bits)
     # the rows of the smallest hashes: about fit_rows, at most that many
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(total)) < 2 * fit_rows) if total > 2 * fit_rows else known
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
+    # no more of them than fit_bytes of text hold; the window is over fit_rows numbers
+    size = d.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    so_far = F.sum("bytes").over(Window.orderBy(F.xxhash64("id"), "id"))
+    chosen = size.withColumn("so_far", so_far).where(F.coalesce("so_far", F.lit(0)) <= fit_bytes).select("id", "label")
     sample = d.join(F.broadcast(chosen), "id")
     model = _fit(sample, ratios, bits)
     if model is None:
@@ -223,7 +229,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return d.mapInArrow(score, _schema(docs, id_col))
 
 
-def _schema(docs: DataFrame, id_col: str):
-    from pyspark.sql import types as T
-
+def _schema(docs: DataFrame, id_col: str) -> T.StructType:
     return T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
