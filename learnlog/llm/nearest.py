@@ -8,8 +8,10 @@
   The number of leaves to visit is widened on the fitted vectors until
   ``TARGET`` of the true neighbours of ``CALIBRATE`` of them are found; a query
   goes on until its leaves hold enough vectors.
-* Leaves are compared in blocks of ``BLOCK`` vectors (a leaf that holds a third
-  of all vectors is many tasks), and each block returns its best ``k`` per query.
+* Leaves are dealt to parts of about ``BLOCK`` vectors (a leaf that holds a third
+  of all vectors is many parts). A query goes once to each part that has leaves
+  of it, with their list, in blocks of ``BLOCK`` queries; each part compares the
+  listed leaves only and returns its best ``k`` per query.
 
 Scores are inner products of the original vectors in double precision, summed
 in the order of the components.
@@ -37,9 +39,9 @@ from learnlog.llm.graph import written
 
 FIT_ROWS = 30_000
 BRANCH = 8
-LEAF_ROWS = 40            # fitted vectors of a leaf, about
-CALIBRATE = 200
-TARGET = 0.97
+LEAF_ROWS = 100           # fitted vectors of a leaf, at most
+CALIBRATE = 300
+TARGET = 0.95
 BLOCK = 20_000
 NEIGHBOURS = 20
 
@@ -146,26 +148,80 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _best(q: np.ndarray, own: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of ``q``, id and score of each query's ``k`` best of ``v``, ties to the smaller id."""
-    rows, found, scores = [], [], []
-    for a in range(0, len(q), 256):
-        rough = q[a:a + 256] @ v.T
-        rough[own[a:a + 256, None] == ids[None, :]] = -np.inf
-        kth = np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k else np.full(len(rough), -np.inf)
-        slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(kth), kth, 0)))
-        i, j = np.nonzero((rough >= (kth - slack)[:, None]) & np.isfinite(rough))
+#: Queries that are compared at once, and candidates they gather before the worse ones are dropped.
+ROWS, HELD = 256, 200_000
+
+
+def _best(q: np.ndarray, own: np.ndarray, visits: list[np.ndarray], v: np.ndarray, ids: np.ndarray, leaf: np.ndarray,
+          k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of ``q``, id and score of each query's ``k`` best in its leaves, ties to the smaller id."""
+    order = np.argsort(leaf, kind="stable")
+    v, ids, leaf = v[order], ids[order], leaf[order]
+    out: list[tuple[np.ndarray, ...]] = []
+    for at in range(0, len(q), ROWS):
+        part, mine, least = q[at:at + ROWS], own[at:at + ROWS], np.full(min(ROWS, len(q) - at), -np.inf)
+        lists = visits[at:at + ROWS]
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        to = np.concatenate(lists)
+        order = np.argsort(to, kind="stable")
+        row, to = row[order], to[order]
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def drop_worse() -> None:
+            """Keep what can be among the best; rounding of the rough scores is allowed for."""
+            i, j, s = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((-s, i))
+            i, j, s = i[order], j[order], s[order]
+            kth = np.arange(len(i)) - np.searchsorted(i, i) == k - 1
+            least[i[kth]] = s[kth] - 1e-9 * (1 + np.abs(s[kth]))
+            good = s >= least[i]
+            held[:] = [(i[good], j[good], s[good])]
+
+        for one, a, b in zip(*_runs(to), strict=True):
+            begin, end = np.searchsorted(leaf, [one, one + 1])
+            r = row[a:b]
+            rough = part[r] @ v[begin:end].T
+            i, j = np.nonzero((rough >= least[r][:, None]) & (mine[r][:, None] != ids[begin:end]))
+            held.append((r[i], begin + j, rough[i, j]))
+            size += len(i)
+            if size > HELD:
+                drop_worse()
+                size = len(held[0][0])
+        drop_worse()
+        i, j, _ = held[0]
         exact = np.zeros(len(i))
         for c in range(q.shape[1]):          # one order of sums, wherever a vector stands
-            exact += q[a + i, c] * v[j, c]
+            exact += part[i, c] * v[j, c]
         order = np.lexsort((ids[j], -exact, i))
         i, j, exact = i[order], j[order], exact[order]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        keep = place < k
-        rows.append(a + i[keep])
-        found.append(ids[j[keep]])
-        scores.append(exact[keep])
-    return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((at + i[keep], ids[j[keep]], exact[keep]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _runs(x: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """Value, begin and end of each run of equal values."""
+    cut = np.flatnonzero(np.diff(x, prepend=x[0] - 1)) if len(x) else np.zeros(0, np.int64)
+    return x[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(x)][:len(cut)]
+
+
+def _deal(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First part and number of parts of each leaf: leaves share parts of about ``BLOCK`` vectors, a larger one has several."""
+    first, several, part, room = [], [], 0, BLOCK
+    for n in counts.tolist():
+        if n > BLOCK:
+            part += room < BLOCK
+            first.append(part)
+            several.append(-(-n // BLOCK))
+            part, room = part + several[-1], BLOCK
+            continue
+        if n > room:
+            part, room = part + 1, BLOCK
+        first.append(part)
+        several.append(1)
+        room -= n
+    return np.array(first), np.array(several)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -202,45 +258,53 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     # a row per leaf comes to the driver, as many as the tree has
     sizes = {r["leaf"]: r["n"] for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     counts = np.array([sizes.get(i, 0) for i in range(len(tree.leaves))])
+    first, several = _deal(counts)
+    queries = spark.read.parquet(path).where(is_query(F.col("id"))).select("id", "v")
+    blocks = max(1, -(-queries.count() // BLOCK))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         for b in batches:
-            for at in range(0, len(b), 200):
-                part, row, leaf = b.slice(at, 200), [], []
-                for i, q in enumerate(_matrix(part["v"])):
-                    seen = held = 0
+            for at in range(0, len(b), ROWS):
+                rows, row, part, leaves = b.slice(at, ROWS), [], [], []
+                for i, q in enumerate(_matrix(rows["v"])):
+                    mine, held = [], 0
                     for one in t.best_bins(q):
-                        seen, held = seen + 1, held + counts[one]
-                        row.append(i)
-                        leaf.append(one)
-                        if seen >= t.visits and held > k:
+                        mine.append(one)
+                        held += counts[one]
+                        if len(mine) >= t.visits and held > k:
                             break
-                yield pa.record_batch([part["id"].take(pa.array(row, pa.int64())), pa.array(leaf, pa.int32())], names=["id", "leaf"])
-
-    queries = spark.read.parquet(path).where(is_query(F.col("id"))).select("id", "v")
-    visits, _ = written(queries.mapInArrow(visit, "id long, leaf int"), "visits")
-    asked = {r["leaf"]: r["n"] for r in visits.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-
-    def blocks_of(number: dict[int, int]) -> Column:
-        """Blocks of at most about ``BLOCK`` rows that a leaf's rows are dealt to."""
-        return F.element_at(F.array(*[F.lit(-(-number.get(i, 1) // BLOCK)) for i in range(len(counts))]), F.col("leaf") + 1)
+                    mine = np.sort(np.array(mine, np.int32))
+                    mine = mine[counts[mine] > 0]
+                    every = several[mine]
+                    to = np.repeat(first[mine], every) + np.arange(every.sum()) - np.repeat(np.cumsum(every) - every, every)
+                    one = np.repeat(mine, every)
+                    order = np.argsort(to, kind="stable")
+                    for p, a, e in zip(*_runs(to[order]), strict=True):
+                        row.append(i)
+                        part.append(p)
+                        leaves.append(one[order][a:e].tobytes())
+                take = pa.array(row, pa.int64())
+                yield pa.record_batch([rows["id"].take(take), rows["v"].take(take), pa.array(part, pa.int32()), pa.array(leaves, pa.binary())],
+                                      names=["id", "v", "part", "leaves"])
 
-    def each(number: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), number - 1))
+    def of_leaf(values: np.ndarray) -> Column:
+        return F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("leaf") + 1)
 
-    # each block of a leaf's vectors meets each block of its queries
-    right = indexed.select("id", "v", "leaf", F.pmod(F.xxhash64("id"), blocks_of(sizes)).cast("int").alias("block"), each(blocks_of(asked)).alias("qblock"))
-    left = visits.join(queries, "id").select("id", "v", "leaf", each(blocks_of(sizes)).alias("block"), F.pmod(F.xxhash64("id"), blocks_of(asked)).cast("int").alias("qblock"))
+    left = (queries.mapInArrow(visit, f"id long, v {vector}, part int, leaves binary")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")))
+    right = indexed.select("id", "v", "leaf", (of_leaf(first) + F.pmod(F.xxhash64("id"), of_leaf(several))).cast("int").alias("part"),
+                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def compare(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         if not len(queries) or not len(candidates):
             return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        own = queries["id"].to_numpy()
-        row, ids, score = _best(_matrix(queries["v"]), own, _matrix(candidates["v"]), candidates["id"].to_numpy(), k)
+        own, visits = queries["id"].to_numpy(), [np.frombuffer(x, np.int32) for x in queries["leaves"].to_pylist()]
+        row, ids, score = _best(_matrix(queries["v"]), own, visits, _matrix(candidates["v"]), candidates["id"].to_numpy(),
+                                candidates["leaf"].to_numpy(), k)
         return pa.table({"query_id": pa.array(own[row]), "id": pa.array(ids), "score": pa.array(score)})
 
-    keys = ("leaf", "block", "qblock")
+    keys = ("part", "block")
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "query_id long, id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
