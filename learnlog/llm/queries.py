@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from learnlog.llm import sql
 from learnlog.llm.byte_bpe import bpe_decode, bpe_encode
 from learnlog.llm.language_id import predict_language
 from learnlog.llm.naive_bayes_svm import THRESHOLD, quality_scores
@@ -21,7 +22,8 @@ from learnlog.llm.substring_dedup import substring_dedup
 from learnlog.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_substring_dedup": sql.SUBSTRING_DEDUP, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN,
+                          "op9_suffix_dedup": sql.SUFFIX_DEDUP}
 
 
 #: Texts that go to a Python worker at once, where the session has Spark's default of 10,000: texts are long.
