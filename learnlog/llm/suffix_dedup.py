@@ -94,7 +94,9 @@ def parse(texts: list[bytes]) -> Phrases:
     if total <= 0:
         none = np.zeros(0, np.int64)
         return Phrases(raw, none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.uint32), base)
-    h = X.mix64((sums[GRAM:] - sums[:-GRAM]) * down[:n - GRAM + 1])
+    h = (sums[GRAM:] - sums[:-GRAM]) * down[:n - GRAM + 1]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(_BASE)
     least, width = h, 1
     while width < REACH:
         step = min(width, REACH - width)
@@ -112,7 +114,7 @@ def parse(texts: list[bytes]) -> Phrases:
     mid = (start + end) // 2
     hi = X.mix64(of(start, end) + (end - start).astype(np.uint64))
     lo = (X.mix64(of(start, mid) ^ X.mix64(of(mid, end), 3)) >> np.uint64(32)).astype(np.uint32)
-    return Phrases(raw, start, windows, doc[start], least[start], hi, lo, base)
+    return Phrases(raw, start, windows, doc[start], X.mix64(least[start]), hi, lo, base)
 
 
 def _parts(texts: list[bytes]):
@@ -142,8 +144,13 @@ def _send_phrases(table: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     return C.pack(table["_chunk"][0].as_py(), buckets, trigger[keep], hi[keep], lo[keep])
 
 
-#: What a chunk hears of a phrase: an earlier chunk has it, or its trigger has other phrases too.
-LATER, CONTESTED = 1, 2
+#: What a chunk hears of a phrase: an earlier chunk has it, its trigger has other phrases too, or which of its windows come later.
+LATER, CONTESTED, MASKS = 1, 2, 3
+SETTLED_SCHEMA = "_chunk int, _kind int, _data binary"
+
+
+def _of_kind(table: pa.Table, kind: int) -> pa.Table:
+    return table.append_column("_kind", pa.array(np.full(len(table), kind, np.int32))).select(["_chunk", "_kind", "_data"])
 
 
 def _settle(rows: pa.Table) -> pa.Table:
@@ -156,15 +163,15 @@ def _settle(rows: pa.Table) -> pa.Table:
         first_p[1:] = first_t[1:] | (h[1:] != h[:-1]) | (w[1:] != w[:-1])
     group = np.cumsum(first_t) - 1
     several = (np.bincount(group, first_p) > 1)[group] if len(t) else first_t
-    kind = np.where(several, CONTESTED, np.where(first_p, 0, LATER)).astype(np.uint8)
-    say = kind > 0
-    return C.answer(c[say], h[say], w[say], kind[say].astype(np.uint32))
+    later = ~several & ~first_p
+    return pa.concat_tables([_of_kind(C.answer(c[say], h[say], w[say]), kind) for kind, say in ((LATER, later), (CONTESTED, several))])
 
 
-def _contested(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    (hi, lo, kind), _ = C.unpack(answers, "u8", "u4", "u4")
-    order = np.lexsort((lo, hi))
-    return hi[order], lo[order], kind[order]
+def _sorted_answers(answers: pa.Table, *more: str) -> list[np.ndarray]:
+    """Fingerprints of answers, sorted, and what else they tell."""
+    cols, _ = C.unpack(answers, "u8", "u4", *more)
+    order = np.lexsort((cols[1], cols[0]))
+    return [c[order] for c in cols]
 
 
 def _find(hi: np.ndarray, lo: np.ndarray, sorted_hi: np.ndarray, sorted_lo: np.ndarray) -> np.ndarray:
@@ -194,9 +201,7 @@ def _send_texts(table: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     empty = pa.table({n: pa.array([], k) for n, k in zip(names, kinds, strict=True)})
     if not len(table) or not len(answers):
         return empty
-    hi, lo, kind = _contested(answers)
-    asked = kind == CONTESTED
-    hi, lo = hi[asked], lo[asked]
+    hi, lo = _sorted_answers(answers)
     seen = np.zeros(len(hi), bool)
     rows = []
     for _, p in _parts(X.as_bytes(table["_text"])):
@@ -271,7 +276,7 @@ def _sort_dictionary(rows: pa.Table) -> pa.Table:
         earlier = first[bounds[of_entry[has]] + k] < chunk[has]
         mask[has[earlier]] |= np.uint32(1 << k)
     say = mask > 0
-    return C.answer(chunk[say], hi[say], lo[say], mask[say])
+    return _of_kind(C.answer(chunk[say], hi[say], lo[say], mask[say]), MASKS)
 
 
 def _remove(table: pa.Table, answers: pa.Table, schema: pa.Schema) -> pa.Table:
@@ -281,26 +286,27 @@ def _remove(table: pa.Table, answers: pa.Table, schema: pa.Schema) -> pa.Table:
     texts, missing = X.as_bytes(table["_text"]), table["_id"].is_null().to_numpy()
     rank = np.unique(table["_id"].fill_null(0).to_numpy(), return_inverse=True)[1]
     rank[missing] = len(rank)
-    later = _contested(answers.filter(pc.equal(answers["_kind"], 0)))
-    mask_hi, mask_lo, mask = _contested(answers.filter(pc.equal(answers["_kind"], 1)))
+    later_hi, later_lo = _sorted_answers(answers.filter(pc.equal(answers["_kind"], LATER)))
+    mask_hi, mask_lo, mask = _sorted_answers(answers.filter(pc.equal(answers["_kind"], MASKS)), "u4")
     parts = list(_parts(texts))
     doc = rank[np.concatenate([a + p.doc for a, p in parts])]
     trigger, hi, lo, windows = (np.concatenate([getattr(p, c) for _, p in parts]) for c in ("trigger", "hi", "lo", "windows"))
     bits = np.zeros(len(doc), np.uint32)
     every = ((np.uint64(1) << windows.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
-    at = _find(hi, lo, later[0], later[1])
-    gone = (at >= 0) & (later[2][at] == LATER) if len(later[2]) else np.zeros(len(doc), bool)
+    gone = _find(hi, lo, later_hi, later_lo) >= 0
     bits[gone] = every[gone]
     at = _find(hi, lo, mask_hi, mask_lo)
     bits[at >= 0] |= mask[at[at >= 0]]
-    # phrases and windows that a smaller document of this chunk has
-    order = np.lexsort((doc, lo, hi, trigger))
+    # phrases and windows that a smaller document of this chunk has: triggers that the chunk has once are out
+    _, group, count = np.unique(trigger, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(count[group] > 1)
+    order = again[np.lexsort((doc[again], lo[again], hi[again], trigger[again]))]
     first_t, first_p = np.ones(len(order), bool), np.ones(len(order), bool)
     if len(order):
         t, h, w = trigger[order], hi[order], lo[order]
         first_t[1:] = t[1:] != t[:-1]
         first_p[1:] = first_t[1:] | (h[1:] != h[:-1]) | (w[1:] != w[:-1])
-    least = doc[order][first_p][np.cumsum(first_p) - 1] if len(order) else doc
+    least = doc[order][first_p][np.cumsum(first_p) - 1] if len(order) else doc[order]
     copy = order[doc[order] > least]
     bits[copy] = every[copy]
     several = (np.bincount(np.cumsum(first_t) - 1, first_p) > 1)[np.cumsum(first_t) - 1] if len(order) else first_t
@@ -325,7 +331,7 @@ def _compare_inside(parts, entries, order, first_p, doc, windows, bits) -> None:
     np.minimum.at(first, group, doc[entries][owner])
     first = first[group]
     # each phrase occurrence looks up its entry's windows
-    place = np.full(len(order), -1)
+    place = np.full(len(doc), -1)
     place[entries] = np.arange(len(entries))
     of = place[order[first_p]][np.cumsum(first_p) - 1]
     here = np.flatnonzero(of >= 0)
@@ -368,10 +374,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_chunk = d.select("_id", "_text", "_chunk").groupBy("_chunk")
     triggers = C.shared(by_chunk.applyInArrow(lambda t: _send_triggers(t, buckets), C.PACK_SCHEMA), "u8")
     phrases = by_chunk.cogroup(triggers.groupBy("_chunk")).applyInArrow(lambda t, a: _send_phrases(t, a, buckets), C.PACK_SCHEMA)
-    settled = phrases.groupBy("_bucket").applyInArrow(_settle, C.ANSWER_SCHEMA)
-    texts = by_chunk.cogroup(settled.groupBy("_chunk")).applyInArrow(lambda t, a: _send_texts(t, a, buckets), TEXT_SCHEMA)
-    masks = texts.groupBy("_bucket").applyInArrow(_sort_dictionary, C.ANSWER_SCHEMA)
-    answers = settled.withColumn("_kind", F.lit(0)).union(masks.withColumn("_kind", F.lit(1)))
+    settled = phrases.groupBy("_bucket").applyInArrow(_settle, SETTLED_SCHEMA)
+    contested = settled.where(F.col("_kind") == CONTESTED).select("_chunk", "_data")
+    texts = by_chunk.cogroup(contested.groupBy("_chunk")).applyInArrow(lambda t, a: _send_texts(t, a, buckets), TEXT_SCHEMA)
+    masks = texts.groupBy("_bucket").applyInArrow(_sort_dictionary, SETTLED_SCHEMA)
+    answers = settled.where(F.col("_kind") == LATER).union(masks)
     schema = T.StructType([T.StructField(id_col, T.LongType()), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")),
                            T.StructField("kept", T.BinaryType())])
     arrow = to_arrow_schema(schema)
