@@ -15,13 +15,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes of a chunk, about; bounds what one Python call holds.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def partitions(spark: SparkSession) -> int:
@@ -46,11 +45,11 @@ def in_chunks(docs: DataFrame, id_col: str, text_col: str, carry: list[str],
         cuts = sorted(set(d.agg(F.percentile_approx("_id", at, max(10_000, min(10 * n, 1_000_000)))).first()[0]))
     bounds = np.array(cuts, np.int64)
 
-    @F.pandas_udf("int")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        null = ids.isna().to_numpy()
-        out = np.searchsorted(bounds, ids.fillna(0).astype("int64").to_numpy(), side="right")
-        return pd.Series(np.where(null, len(bounds), out).astype("int32"))
+    @F.arrow_udf("int")
+    def chunk_of(ids: pa.Array) -> pa.Array:
+        out = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
+        out[ids.is_null().to_numpy(zero_copy_only=False)] = len(bounds)
+        return pa.array(out, pa.int32())
 
     p = partitions(spark)
     return d.withColumn("_chunk", chunk_of("_id")).repartition(p, "_chunk"), 2 * p
