@@ -7,7 +7,7 @@ from learnlog.llm import chunks
 from learnlog.llm.substring_dedup import substring_dedup
 from learnlog.llm.suffix_dedup import suffix_dedup, suffix_order
 
-from llm_cases import smaller_first
+from .llm_cases import smaller_first
 
 
 def words_left(rows, window=20):
