@@ -43,6 +43,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # several joins of one key follow each other: split a skewed one even if that costs a shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
