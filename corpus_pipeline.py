@@ -24,6 +24,8 @@ from learnlog.llm.substring_dedup import substring_dedup
 from learnlog.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near duplicates: words of a shingle and least Jaccard similarity (op2's contract has its own).
+NEAR_SHINGLE, NEAR_NUM, NEAR_DEN = 5, 80, 100
 
 
 def _stage(fn):
@@ -52,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat that id stay one each; rows without an id all stay.
     """
-    joined = ngram_jaccard_join(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    joined = ngram_jaccard_join(docs, num=NEAR_NUM, den=NEAR_DEN, shingle=NEAR_SHINGLE).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(joined, "doc_id", "left_anti")
 
 

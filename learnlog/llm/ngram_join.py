@@ -1,7 +1,7 @@
 """N-gram Jaccard join by parity sketches.
 
-Documents whose sets of word 3-shingles have a Jaccard similarity of at least
-``num / den`` are linked; linked documents form components.
+Documents whose sets of word shingles (3 words, or ``shingle``) have a Jaccard
+similarity of at least ``num / den`` are linked; linked documents form components.
 
 * Size bands: a link's sizes lie in one band or two neighbouring ones, so a
   document joins its own band and the one below.
@@ -10,6 +10,12 @@ Documents whose sets of word 3-shingles have a Jaccard similarity of at least
   bit of it, so the Hamming distance of two sketches is at most the size of the
   sets' symmetric difference, and linked documents agree on a whole block
   (pigeonhole). A block travels as the XOR of its bits' codes.
+* At a low similarity a block has few shingles, many are empty, and unlike
+  documents agree on one. There the sketch leaves out common shingles (that a
+  sample of the sets has often: this takes nothing from the bound, whichever they
+  are) and has spare blocks. A set with more than ``d`` blocks that aren't empty
+  is linked by one of those; the others send a sketch of all shingles too, and
+  its empty blocks if they are still not more than ``d``.
 * Documents that agree on a block are candidates. A map task and then the
   block's bucket connect them to their smallest member (a star, not all pairs),
   and the connected components of those stars are the clusters within which all
@@ -22,8 +28,8 @@ Documents whose sets of word 3-shingles have a Jaccard similarity of at least
 Shingles and sets are compared by 64-bit and 128-bit hashes.
 
 Result for special rows: NULL, empty or blank text has an empty set, links with
-nothing and is its own component; one or two words are one shingle; rows with
-the same id are one node of the graph; a row without an id takes no part and
+nothing and is its own component; fewer words than a shingle has are one
+shingle; rows with the same id are one node of the graph; a row without an id takes no part and
 has a NULL component; an empty table gives an empty result. Other columns are
 not read, so their names can't clash.
 """
@@ -43,6 +49,12 @@ from learnlog.llm.graph import components, written
 
 SHINGLE = 3
 NUM, DEN = 90, 100
+#: Below that many shingles in a block, common ones are left out and there are spare blocks.
+THIN = 6
+#: Blocks for each allowed difference then.
+SPARE = 1.15
+#: Shingles of the sample that tells the common ones, about, and how often it has those.
+SAMPLE, COMMON = 1 << 23, 8
 #: Classes of a cluster that one task compares with as many others.
 TILE = 1024
 #: Shingles in all that those classes have, about.
@@ -88,8 +100,12 @@ def size_bands(most: int, num: int = NUM, den: int = DEN) -> np.ndarray:
     return np.array(bands, np.int64)
 
 
-def sketch_blocks(keys: np.ndarray, bounds: np.ndarray, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of (band, block, block's bits) for each block of each set's sketches; the set's index."""
+def sketch_blocks(keys: np.ndarray, bounds: np.ndarray, num: int = NUM, den: int = DEN,
+                  common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of (band, block, block's bits) for each block of each set's sketches; the set's index.
+
+    With ``common`` (sorted shingles), for thin blocks: these are left out, and empty blocks where others suffice.
+    """
     sizes = np.diff(bounds)
     bands = size_bands(int(sizes.max(initial=0)), num, den)
     own = np.searchsorted(bands, sizes, side="right") - 1
@@ -101,23 +117,49 @@ def sketch_blocks(keys: np.ndarray, bounds: np.ndarray, num: int = NUM, den: int
         band = own[sets] - below
         # sizes a <= b of a link with a in the band: |A xor B| <= (a + b)(den - num)/(den + num), b <= a den / num
         most = bands[band + 1] - 1
-        blocks = (most + most * den // num) * (den - num) // (den + num) + 1
+        differ = (most + most * den // num) * (den - num) // (den + num)
+        blocks = (differ if common is None else (differ * SPARE).astype(np.int64)) + 1
         at = np.concatenate([np.arange(bounds[s], bounds[s + 1]) for s in sets])
         row = np.repeat(np.arange(len(sets)), sizes[sets])
         h = X.mix64(keys[at], 21)
         block = ((h >> np.uint64(32)) % blocks.astype(np.uint64)[row]).astype(np.int64)
         code = X.mix64(h & np.uint64(0xFFFF), 22)
         begin = np.concatenate([[0], np.cumsum(blocks)])
-        sketch = np.zeros(begin[-1], np.uint64)
-        np.bitwise_xor.at(sketch, begin[row] + block, code)
         owner = np.repeat(np.arange(len(sets)), blocks)
         number = np.arange(begin[-1]) - begin[owner]
         tag = band[owner].astype(np.uint64) << np.uint64(40) | number.astype(np.uint64)
-        out.append(X.mix64(sketch ^ X.mix64(tag, 23)))
-        of.append(sets[owner])
+        send = np.ones(len(sets), bool)
+        if common is not None:
+            rare = ~X.contains(common, keys[at])
+            sketch = np.zeros(begin[-1], np.uint64)
+            np.bitwise_xor.at(sketch, (begin[row] + block)[rare], code[rare])
+            out.append(X.mix64(sketch ^ X.mix64(tag, 24))[sketch != 0])
+            of.append(sets[owner[sketch != 0]])
+            send = np.bincount(owner, sketch != 0, len(sets)) <= differ
+        sketch = np.zeros(begin[-1], np.uint64)
+        np.bitwise_xor.at(sketch, begin[row] + block, code)
+        empty = np.ones(len(sets), bool) if common is None else np.bincount(owner, sketch != 0, len(sets)) <= differ
+        use = send[owner] & (empty[owner] | (sketch != 0))
+        out.append(X.mix64(sketch ^ X.mix64(tag, 23))[use])
+        of.append(sets[owner[use]])
     return np.concatenate(out), np.concatenate(of)
 
 
+def common_shingles(docs: DataFrame, shingle: int, total: int) -> np.ndarray:
+    """Shingles that a sample of the sets (by text hash) has more than ``COMMON`` times, sorted; ``total``: of all sets."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = X.as_bytes(batch["text"])
+            for x, y in X.slices(texts):
+                yield pa.record_batch({"key": pa.array(shingle_sets(texts[x:y], shingle)[0].view(np.int64))})
+
+    parts = max(1, total // SAMPLE)
+    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0)
+    often = sample.mapInArrow(send, "key long").groupBy("key").count().where(F.col("count") > COMMON)
+    # a sample of at most about SAMPLE shingles has at most SAMPLE / COMMON such
+    return np.sort(np.array([r["key"] for r in often.select("key").toLocalIterator()], np.int64).view(np.uint64))
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stars (node, smallest node) with the connected components of edges a-b."""
     nodes, both = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -146,7 +188,7 @@ def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return k[new], n[new], *_forest(n[far], low[far])
 
 
-def candidate_edges(docs: DataFrame, num: int, den: int) -> DataFrame:
+def candidate_edges(docs: DataFrame, num: int, den: int, shingle: int = SHINGLE, common: np.ndarray | None = None) -> DataFrame:
     """``(a, b)`` stars over set hashes; documents that agree on a block are connected."""
     buckets = 2 * partitions(docs.sparkSession)
 
@@ -171,9 +213,9 @@ def candidate_edges(docs: DataFrame, num: int, den: int) -> DataFrame:
         for batch in batches:
             texts = X.as_bytes(batch["text"])
             for x, y in X.slices(texts):
-                keys, bounds = shingle_sets(texts[x:y])
+                keys, bounds = shingle_sets(texts[x:y], shingle)
                 node = set_ids(keys, bounds)[0].view(np.int64)
-                key, of = sketch_blocks(keys, bounds, num, den)
+                key, of = sketch_blocks(keys, bounds, num, den, common)
                 kept.append((key, node[of]))
                 if sum(len(k) for k, _ in kept) >= FLUSH:
                     yield flush()
@@ -194,13 +236,13 @@ def candidate_edges(docs: DataFrame, num: int, den: int) -> DataFrame:
             .groupBy("bucket").applyInArrow(reduce, "a long, b long"))
 
 
-def _with_sets(docs: DataFrame, keep_text: bool) -> DataFrame:
+def _with_sets(docs: DataFrame, keep_text: bool, shingle: int) -> DataFrame:
     """``(id, n, node, other)`` of each document, and its text if asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = X.as_bytes(batch["text"])
             for x, y in X.slices(texts):
-                keys, bounds = shingle_sets(texts[x:y])
+                keys, bounds = shingle_sets(texts[x:y], shingle)
                 hi, lo = set_ids(keys, bounds)
                 out = {"id": batch["id"][x:y], "n": pa.array(np.diff(bounds), pa.int64()),
                        "node": pa.array(hi.view(np.int64)), "other": pa.array(lo.view(np.int64))}
@@ -211,10 +253,10 @@ def _with_sets(docs: DataFrame, keep_text: bool) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, node long, other long" + ", text string" * keep_text)
 
 
-def _compare(rows: pa.Table, num: int, den: int) -> pa.Table:
+def _compare(rows: pa.Table, num: int, den: int, shingle: int) -> pa.Table:
     """Links between the classes of block ``i`` and those of block ``j`` of a cluster."""
     i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-    keys, bounds = shingle_sets(X.as_bytes(rows["text"]))
+    keys, bounds = shingle_sets(X.as_bytes(rows["text"]), shingle)
     hi, lo = set_ids(keys, bounds)
     # an id can have several texts, and a text several rows: one row with the class's own set stays
     node, other, rep = (rows[c].to_numpy() for c in ("node", "other", "rep"))
@@ -257,7 +299,7 @@ def _compare(rows: pa.Table, num: int, den: int) -> pa.Table:
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       num: int = NUM, den: int = DEN) -> DataFrame:
+                       num: int = NUM, den: int = DEN, shingle: int = SHINGLE) -> DataFrame:
     """``(id, n_shingles, component_id, class_id, n_links)``, a row per row of ``docs``.
 
     ``class_id`` is the smallest id with the same set, ``n_links`` the number of
@@ -265,11 +307,17 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     if not 0 < num <= den:
         raise ValueError("the least similarity num / den is above 0 and at most 1")
+    if shingle < 1:
+        raise ValueError("a shingle has at least one word")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets, _ = written(_with_sets(d, False), "sets")
+    sets, _ = written(_with_sets(d, False, shingle), "sets")
     classes = sets.where("n > 0 and id is not null").groupBy("node", "other", "n").agg(
         F.min("id").alias("rep"), F.count("*").alias("copies"))
-    clusters = components(candidate_edges(d.where("id is not null"), num, den))
+    common = None
+    if num * num < THIN * den * (den - num):
+        total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        common = common_shingles(d.where("id is not null"), shingle, total)
+    clusters = components(candidate_edges(d.where("id is not null"), num, den, shingle, common))
     named = classes.join(clusters, "node").select("node", "other", "n", "rep", "copies", F.col("root").alias("cluster"))
     blocks = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
     size = named.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("m")).where("m > 1")
@@ -280,7 +328,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tiles = (d.withColumnRenamed("id", "rep").join(named.hint("merge"), "rep").withColumn("pair", F.explode(against))
              .select("cluster", "pair.i", "pair.j", "block", "rep", "node", "other", "copies", "text"))
     found, _ = written(tiles.groupBy("cluster", "i", "j").applyInArrow(
-        lambda t: _compare(t, num, den), "rep long, links long, to long"), "links")
+        lambda t: _compare(t, num, den, shingle), "rep long, links long, to long"), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.where("to is not null").select(F.col("rep").alias("a"), F.col("to").alias("b")))
     of_class = (classes.join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")

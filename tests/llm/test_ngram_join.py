@@ -101,3 +101,80 @@ def test_components(spark):
             root[max(p, q)] = min(p, q)
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+def shingles_of(text, n):
+    w = (text or "").translate(LOWER).encode().split()
+    return frozenset(tuple(w[k:k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+def linked_pairs(rows, n, num, den):
+    """Components and numbers of links over sets of ``n`` words, by brute force; ids are distinct."""
+    sets = [(i, shingles_of(t, n)) for i, t in rows]
+    root, links = {i: i for i, _ in sets}, {i: 0 for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and den * len(a & b) >= num * len(a | b):
+                links[i] += 1
+                links[j] += 1
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return sorted((i, len(s), find(i), links[i]) for i, s in sets)
+
+
+@pytest.mark.parametrize("often", [0, 3, 10**9])
+def test_five_words_at_four_fifths(spark, edge_docs, monkeypatch, often):
+    """Copies with scattered edits, a common passage, and the special rows; whichever shingles count as common."""
+    monkeypatch.setattr(J, "COMMON", often)
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(10_000 + k, r[1]) for k, r in enumerate(edge_docs)]
+    for i in range(30):
+        words = [f"d{i}w{rng.randrange(10**6)}" for _ in range(rng.randrange(60, 200))] + passage * (i % 3 > 0)
+        rows.append((100 * i, " ".join(words)))
+        for k in range(1, 8):                # up to one edit in 20 words, or a part added
+            near = words + [f"x{i}y{j}" for j in range(len(words) // 6 if k == 7 else 0)]
+            for at in rng.sample(range(len(words)), k * len(words) // 160 if k < 7 else 0):
+                near[at] = f"e{rng.randrange(10**6)}"
+            rows.append((100 * i + k, " ".join(near)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = J.ngram_jaccard_join(df, num=80, den=100, shingle=5).collect()
+    want = linked_pairs(rows, 5, 80, 100)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == want
+    assert [r[2] for r in want] != [r[2] for r in linked_pairs(rows, 3, 90, 100)]
+
+
+def test_linked_sets_share_a_block_without_common_shingles():
+    """The pigeonhole bound with shingles left out and empty blocks not sent."""
+    rng = np.random.default_rng(6)
+    linked = 0
+    for k in range(400):
+        n = int(rng.integers(1, 400))
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = a[rng.permutation(n)[: n - int(rng.integers(0, n // 5 + 1))]]
+        b = np.concatenate([b, rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)])
+        x, y = set(a.tolist()), set(b.tolist())
+        if not y or 100 * len(x & y) < 80 * len(x | y):
+            continue
+        linked += 1
+        common = np.sort(rng.permutation(np.concatenate([a, b]))[: int(rng.random() * (k % 4) / 3 * 2 * n)])
+        sets = [np.array(sorted(s), np.uint64) for s in (x, y)]
+        key, of = J.sketch_blocks(np.concatenate(sets), np.array([0, len(sets[0]), len(sets[0]) + len(sets[1])]), 80, 100, common)
+        assert set(key[of == 0].tolist()) & set(key[of == 1].tolist())
+    assert linked > 100
+
+
+def test_unlike_sets_are_no_candidates_at_four_fifths():
+    """Sets with a passage in common, but little else, share no block: their cluster would be all documents."""
+    rng = np.random.default_rng(7)
+    passage = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 300).astype(np.uint64)])) for _ in range(300)]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    key, of = J.sketch_blocks(np.concatenate(sets), bounds, 80, 100, np.sort(passage))
+    assert len(J._forest(*J._stars(key, of)[2:])[0]) < 30

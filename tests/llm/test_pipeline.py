@@ -6,7 +6,7 @@ import corpus_pipeline as P
 from learnlog.llm.queries import packing_tokenizer
 
 from .test_dedup import words_left
-from .test_ngram_join import all_pairs
+from .test_ngram_join import all_pairs, linked_pairs
 from .test_text_rules import base_counts, base_spans
 from .test_tokens import check_pieces
 
@@ -38,6 +38,20 @@ def test_near_duplicate_stage(stages):
     assert len(stages[2]) < len(stages[1])
 
 
+def test_near_duplicate_stage_takes_five_words_at_four_fifths(spark):
+    """A copy with a fifth of a text added: 3 words at 0.9 leave it in."""
+    words = [f"w{k}" for k in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join(words + [f"x{k}" for k in range(40)])), (3, " ".join(words[::-1]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [r["doc_id"] for r in P.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(left) == [i for i, _, c, _ in linked_pairs(rows, 5, 80, 100) if i == c] == [1, 3]
+
+
+def test_near_duplicate_stage_against_brute_force(stages):
+    component = {i: c for i, _, c, _ in linked_pairs([(r["doc_id"], r["text"]) for r in stages[1]], 5, 80, 100)}
+    assert {r["doc_id"] for r in stages[2]} == {i for i, c in component.items() if i == c}
+
+
 def test_passage_stage(stages):
     before = {r["doc_id"]: r["text"] for r in stages[2]}
     want = {i: (kept if gone else before[i]) for i, n, gone, kept in words_left([(r["doc_id"], r["text"]) for r in stages[2]]) if n > gone}
