@@ -6,6 +6,8 @@ reads the bytes of a batch of texts once, from the last to the first, and tells
 where matches of each rule start. There the rule's own automaton (the same
 construction) finds the longest match. Matches of a kind are leftmost and do
 not overlap; one whose tail is too short is dropped but still takes its place.
+A rule can have a rest, which a match takes in where it follows: of a private
+key, the lines to its END line, or without one the long base64 words.
 
 Kinds ``assign``, ``access`` and ``hex`` are the base; the others are added.
 Spans are in code points, the end exclusive.
@@ -42,10 +44,18 @@ class Rule:
     least: int                # bytes of the tail
     #: Tail bytes that the search asks for; above 1 only where a shorter run can't hide a match (no head).
     seek: int = 1
+    #: What a match goes on with after the tail, if it is there.
+    rest: tuple | None = None
 
 
 _QUOTE, _SPACES = opt(chars("\"'")), many(chars(" "))
 _URL64 = "A-Za-z0-9_-"
+_KEY64 = chars("A-Za-z0-9+/=")
+# line ends can be written as in a JSON string; a hyphen of the key's own header lines has a letter or digit after it
+_BREAK = alt(chars(" \t\r\n"), seq(chars("\\"), chars("nr")))
+_KEY_LINES = seq(many(alt(_KEY64, _BREAK, chars(":,"), seq(chars("-"), chars("A-Za-z0-9")))),
+                 word("-----END "), many(chars("A-Z ")), word("PRIVATE KEY-----"))
+_KEY_WORDS = many(seq(_BREAK, many(_BREAK), *[_KEY64] * 20, many(_KEY64)))
 RULES = (
     Rule("assign", seq(alt(word("password", True), word("passwd", True), word("secret", True), word("token", True),
                            seq(word("api", True), opt(chars("_")), word("key", True))),
@@ -57,7 +67,7 @@ RULES = (
     Rule("google", word("AIza"), _URL64, 35),
     Rule("stripe", seq(chars("rs"), word("k_"), alt(word("live"), word("test")), word("_")), "A-Za-z0-9", 16),
     Rule("jwt", seq(word("eyJ"), many(chars(_URL64)), word(".eyJ"), many(chars(_URL64)), word(".")), _URL64, 10),
-    Rule("pem", seq(word("-----BEGIN "), many(chars("A-Z ")), word("PRIVATE KEY")), "-", 5),
+    Rule("pem", seq(word("-----BEGIN "), many(chars("A-Z ")), word("PRIVATE KEY")), "-", 5, rest=alt(_KEY_LINES, _KEY_WORDS)),
 )
 BASE = 3
 
@@ -67,15 +77,16 @@ def _compiled(rules: tuple[Rule, ...]):
     backward = A.compile_rules([A.reverse(seq(r.head, *[chars(r.tail)] * r.seek)) for r in rules], anywhere=True)
     heads = [A.compile_rules([r.head], anywhere=False) for r in rules]
     tails = [bytes(b in chars(r.tail)[1] for b in range(256)) for r in rules]
-    return backward, [(h, A.as_rows(h)) for h in heads], tails
+    rests = [A.compile_rules([r.rest], anywhere=False) if r.rest else None for r in rules]
+    return backward, [(h, A.as_rows(h)) for h in heads], tails, [r and (r, A.as_rows(r)) for r in rests]
 
 
 def find(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[int, int, int]]]:
     """``(start, rule, end)`` in code points of each text, in order."""
-    backward, heads, tails = _compiled(rules)
+    backward, heads, tails, rests = _compiled(rules)
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for a, b in X.slices(texts):
-        raw = b"\n".join([*texts[a:b], b""])
+        raw = b"\xff".join([*texts[a:b], b""])        # no byte of a text, so no match runs on into the next one
         data = np.frombuffer(raw, np.uint8)
         at, mask = A.starts(backward, data)
         if not len(at):
@@ -88,11 +99,13 @@ def find(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple
                 if i < over:
                     continue
                 begin = end = A.longest(head, rows, raw, i)
-                while tails[k][raw[end]]:      # a newline, in no tail, ends the last text
+                while tails[k][raw[end]]:
                     end += 1
-                over = end
                 if end - begin >= rule.least:
+                    if rests[k]:
+                        end = max(end, A.longest(*rests[k], raw, end))
                     spans.append((i, k, end))
+                over = end
         if not spans:
             continue
         begins = np.cumsum([0] + [len(t) + 1 for t in texts[a:b]])
