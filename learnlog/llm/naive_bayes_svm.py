@@ -8,7 +8,9 @@ model is fitted by dual coordinate descent.
 * The counts behind the ratios cover every labelled row that may be learned
   from; each task adds them up in an array of fixed size.
 * The linear model is fitted, in one task, on at most ``FIT_ROWS`` of those
-  rows and ``FIT_BYTES`` of their text (by rising id hash); a quarter of them
+  rows and ``FIT_BYTES`` of their text (by rising id hash; rows with more than
+  a 64th of the bytes come after the others, the longest last, so that no long
+  text keeps others out); a quarter of them
   calibrates margins to probabilities. Both bounds are parameters of the model,
   not of the data that is scored: every row is scored.
 
@@ -34,6 +36,8 @@ from learnlog.llm import text as X
 BITS = 18
 FIT_ROWS = 8000
 FIT_BYTES = 64 << 20
+#: A row with more than this part of the fit's bytes comes after the others.
+LONG_PART = 64
 ALPHA = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -208,7 +212,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     # no more of them than fit_bytes of text hold; the window is over fit_rows numbers
     size = d.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    so_far = F.sum("bytes").over(Window.orderBy(F.xxhash64("id"), "id"))
+    last = F.greatest("bytes", F.lit(fit_bytes // LONG_PART))
+    so_far = F.sum("bytes").over(Window.orderBy(last, F.xxhash64("id"), "id"))
     chosen = size.withColumn("so_far", so_far).where(F.coalesce("so_far", F.lit(0)) <= fit_bytes).select("id", "label")
     sample = d.join(F.broadcast(chosen), "id")
     model = _fit(sample, ratios, bits)

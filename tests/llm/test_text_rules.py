@@ -214,6 +214,18 @@ def test_quality_scores_special_tables(spark, edge_frame, edge_docs, no_docs):
     assert quality_scores(no_docs, labels).collect() == []
 
 
+def test_long_texts_leave_others_in_the_fit(spark):
+    """The first texts by id hash are above the fit's bytes: the others are still learned from."""
+    rng = random.Random(3)
+    first = [r["id"] for r in spark.range(120).orderBy(F.xxhash64("id"), "id").limit(2).collect()]
+    rows = [(i, " ".join(rng.choice(("good", "fine", "well") if i % 2 else ("bad", "poor", "junk")) for _ in range(20 if i not in first else 20_000)))
+            for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in quality_scores(docs, labels, fit_bytes=64_000).collect()}
+    assert len(got) == 120 and all((got[i] > 0.5) == (i % 2 == 1) for i in got)
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(1)
     rows = [np.sort(rng.choice(50, 6, replace=False)) for _ in range(300)]
