@@ -7,9 +7,10 @@ remaining capacities gives the tightest open window that has room. Nothing is
 shuffled; a group's last windows are what padding there is.
 
 Tokens are those of a ``tokenizers`` file without special tokens, then the
-end-of-document id. Normalisation, splitting and merges of the file never
+end-of-document id. Normalisation, splitting and merges of such a file never
 reach across ASCII white space, so each run of other characters (a word) is
-encoded once and cached, new words side by side.
+encoded once and cached, new words side by side; a file with other rules is
+left to the library.
 
 Result for special rows: NULL and empty text is the end-of-document id alone;
 repeated rows and ids are packed each by itself; an empty table gives an empty
@@ -46,12 +47,21 @@ GROUP_TOKENS = 2 << 20
 CACHE_WORDS = 400_000
 
 
+# What the file says of normalisation and splitting, as ``WordEncoder`` does it.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 class WordEncoder:
     """Ids of texts, by cached ids of their words.
 
-    Words of printable Latin characters (without a special token's ``<|``),
-    which normalisation only puts in lower case, are split and merged here, side
-    by side, by the file's vocabulary and merges; the library encodes the others.
+    Words of printable characters that are Latin as they stand and in lower case
+    (without a special token's ``<|``), which normalisation only puts in lower case,
+    are split and merged here, side by side, by the file's vocabulary and merges; the
+    library encodes the others, and everything if the file has other rules.
     """
 
     def __init__(self, path: str) -> None:
@@ -60,7 +70,13 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            content = json.load(file)
+        model = content["model"]
+        #: Whether the file does to texts what is assumed here; else the library encodes them whole.
+        self.known_rules = (content["normalizer"], content["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER) and {
+            k: v for k, v in model.items() if k not in ("type", "vocab", "merges") and v} == {"end_of_word_suffix": "</w>"}
+        if not self.known_rules:
+            return
         ids = model["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         rank = {(ids[a], ids[b]): (k, ids[a + b]) for k, (a, b) in enumerate(merges)}
@@ -78,7 +94,7 @@ class WordEncoder:
         plain, other = [], []
         for w in words:
             t = w.decode()
-            (plain if max(t) <= LATIN and t.isprintable() and "<|" not in t and "\u0130" not in t else other).append(w)
+            (plain if max(t + t.lower()) <= LATIN and t.isprintable() and "<|" not in t else other).append(w)
         ids, bounds = self._merge_latin(b"\n".join([*plain, b""]).decode().lower(), len(plain))
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)] if other else []
         known = len(self.place)
@@ -117,6 +133,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end_id``; bounds of each text."""
+        if not self.known_rules:
+            whole = [[*e.ids, end_id] for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+            return np.array([i for e in whole for i in e], np.uint32), np.cumsum([0] + [len(e) for e in whole])
         flat, count = _words(texts)
         if len(self.place) > CACHE_WORDS:
             self.clear()

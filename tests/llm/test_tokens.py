@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import json
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -94,6 +96,33 @@ def test_word_cache_equals_whole_texts(tokenizer):
         assert ids[bounds[k]:bounds[k + 1]].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, K.END_ID], repr(t)
 
 
+def test_every_code_point(tokenizer):
+    """Alone, inside a word, after a digit and before a mark."""
+    points = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    points = [c for c in points if unicodedata.category(c) != "Cn" and not 0xAC00 < ord(c) < 0xD7A3 and not 0xF0000 <= ord(c)]
+    encoder = K.WordEncoder(packing_tokenizer())
+    for i in range(0, len(points), 4000):
+        texts = [f"{c} a{c}b 1{c} {c}\u0301" for c in points[i:i + 4000]]
+        ids, bounds = encoder.encode([t.encode() for t in texts], K.END_ID)
+        want = tokenizer.encode_batch(texts, add_special_tokens=False)
+        wrong = [t for k, t in enumerate(texts) if ids[bounds[k]:bounds[k + 1] - 1].tolist() != want[k].ids]
+        assert not wrong, wrong[:5]
+
+
+def test_another_file_goes_to_the_library(tmp_path):
+    """What is assumed of the file is compared with what it says."""
+    from tokenizers import Tokenizer
+
+    content = json.load(open(packing_tokenizer(), encoding="utf-8"))
+    content["normalizer"] = None
+    path = str(tmp_path / "cased.json")
+    json.dump(content, open(path, "w", encoding="utf-8"))
+    text = "Some Words, don't STOP 123"
+    ids, _ = K.WordEncoder(path).encode([text.encode()], K.END_ID)
+    assert ids.tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, K.END_ID]
+    assert ids.tolist() != K.WordEncoder(packing_tokenizer()).encode([text.encode()], K.END_ID)[0].tolist()
+
+
 def check_pieces(rows, ids, length=4096):
     """Every id in one piece, sequences gapless from 0 and not too long; the share that is filled."""
     sequences, documents = {}, {}
@@ -120,18 +149,29 @@ def test_packing_query(spark, tokenizer):
     assert check_pieces(QUERIES["op10_packing"](spark, SF).collect(), ids) > 0.98
 
 
-def test_packing_special_rows(spark, edge_docs, no_docs, tokenizer, monkeypatch):
+def test_packing_special_rows(spark, edge_frame, edge_docs, no_docs, tokenizer, monkeypatch):
     monkeypatch.setattr(K, "GROUP_TOKENS", 5000)
-    seen, rows = set(), []
-    for r in edge_docs:
-        if r[0] not in seen:
-            seen.add(r[0])
-            rows.append(r)
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    ids = {r[0]: [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2] for r in rows}
-    got = K.pack_documents(df, packing_tokenizer(), with_ids=True).collect()
-    check_pieces(got, ids)
-    assert all(r["ids"] == ids[r["doc_id"]][r["start"]:r["start"] + r["length"]] for r in got)
+    # rows of one id are told apart by their ids; the carried columns' names clash with none of the result's
+    want = sorted(str([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2]) + str(r[0]) for r in edge_docs)
+    got = K.pack_documents(edge_frame, packing_tokenizer(), with_ids=True).collect()
+    rows, sequences = {}, {}
+    for r in got:
+        rows.setdefault((r["doc_id"], r["doc_tokens"], r["start"] if r["length"] == r["doc_tokens"] else None), []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        at = 0
+        for begin, n in sorted(parts):
+            assert begin == at
+            at += n
+        assert at <= 4096
+    whole = [str(list(r["ids"])) + str(r["doc_id"]) for r in got if r["length"] == r["doc_tokens"]]
+    for (doc_id, tokens, start), parts in rows.items():
+        if start is None:            # a long text: its pieces, in order (no id has two long texts here)
+            parts.sort(key=lambda r: r["start"])
+            assert [r["start"] for r in parts] == [sum(p["length"] for p in parts[:k]) for k in range(len(parts))]
+            whole.append(str([i for r in parts for i in r["ids"]]) + str(doc_id))
+    assert sorted(whole) == want
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in got)
     assert K.pack_documents(no_docs, packing_tokenizer()).collect() == []
 
 
