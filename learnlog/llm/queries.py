@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from learnlog.llm import sql
 from learnlog.llm.byte_bpe import bpe_decode, bpe_encode
 from learnlog.llm.language_id import predict_language
+from learnlog.llm.license_scan import license_scan
 from learnlog.llm.naive_bayes_svm import THRESHOLD, quality_scores
 from learnlog.llm.nearest import nearest_neighbours
 from learnlog.llm.ngram_join import ngram_jaccard_join
@@ -131,3 +132,8 @@ def packing_tokenizer() -> str:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), packing_tokenizer())
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
