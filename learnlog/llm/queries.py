@@ -17,6 +17,7 @@ from learnlog.llm.naive_bayes_svm import THRESHOLD, quality_scores
 from learnlog.llm.nearest import nearest_neighbours
 from learnlog.llm.ngram_join import ngram_jaccard_join
 from learnlog.llm.packing import pack_documents
+from learnlog.llm.phrase_mining import phrase_collocations
 from learnlog.llm.quality_rules import quality_rules
 from learnlog.llm.secret_scan import secret_scan
 from learnlog.llm.substring_dedup import substring_dedup
@@ -24,7 +25,7 @@ from learnlog.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_substring_dedup": sql.SUBSTRING_DEDUP, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN,
-                          "op9_suffix_dedup": sql.SUFFIX_DEDUP}
+                          "op9_suffix_dedup": sql.SUFFIX_DEDUP, "op11_phrase_mining": sql.PHRASE_MINING}
 
 
 #: Texts that go to a Python worker at once, where the session has Spark's default of 10,000: texts are long.
@@ -134,6 +135,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), packing_tokenizer())
 
 
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")

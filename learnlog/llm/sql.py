@@ -47,3 +47,25 @@ kept AS (SELECT d.doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_r
 SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.n_spans, 0) AS n_spans,
        sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
+
+# Counts by language of all runs of 1 to 3 words of a piece.
+PHRASE_MINING = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+runs AS (SELECT lang, unnest(flatten(list_transform([1, 2, 3], lambda k: list_transform(range(1, len(w) - k + 2), lambda i: {'k': k, 'phrase': array_to_string(list_slice(w, i, i + k - 1), ' ')})))) AS r FROM words),
+f AS (SELECT lang, r.k AS k, r.phrase AS phrase, count(*) AS f FROM runs GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3) t GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase) WHERE longer.a IS NULL OR 100 * longer.a < 50 * c.a),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+scores AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cuts.cut, x.f AS l, y.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:cut], ' ') JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
