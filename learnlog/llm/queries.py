@@ -20,12 +20,13 @@ from learnlog.llm.packing import pack_documents
 from learnlog.llm.phrase_mining import phrase_collocations
 from learnlog.llm.quality_rules import quality_rules
 from learnlog.llm.secret_scan import secret_scan
+from learnlog.llm.spelling import spelling_variants
 from learnlog.llm.substring_dedup import substring_dedup
 from learnlog.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_substring_dedup": sql.SUBSTRING_DEDUP, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN,
-                          "op9_suffix_dedup": sql.SUFFIX_DEDUP, "op11_phrase_mining": sql.PHRASE_MINING}
+                          "op9_suffix_dedup": sql.SUFFIX_DEDUP, "op11_phrase_mining": sql.PHRASE_MINING, "op12_spelling_variants": sql.SPELLING_VARIANTS}
 
 
 #: Texts that go to a Python worker at once, where the session has Spark's default of 10,000: texts are long.
@@ -140,6 +141,11 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_collocations(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), misspell=97)
+
+
 @query
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")

