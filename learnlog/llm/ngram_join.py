@@ -20,7 +20,14 @@ similarity of at least ``num / den`` are linked; linked documents form component
   block's bucket connect them to their smallest member (a star, not all pairs),
   and the connected components of those stars are the clusters within which all
   links lie.
-* In a cluster, equal sets are one class, and classes are compared exactly,
+* Candidates are then tested by Hamming distance: a set carries a sketch of its
+  own band and one of the band below, of about as many bits as the sets have
+  shingles. In a cluster, sets of one band or two neighbouring ones are compared
+  by XOR and bit counts, ``SKETCHES`` by ``SKETCHES`` per task, and those that
+  differ in more bits than linked sets can are no pair. The components of the
+  pairs that are left take the clusters' place; texts that only share a passage
+  leave here, before any text is sent.
+* In such a cluster, equal sets are one class, and classes are compared exactly,
   ``TILE`` by ``TILE`` per task, by a product of incidence matrices. A tile
   gives a spanning forest of its links and the number of links per class; no
   pair leaves it.
@@ -55,6 +62,10 @@ THIN = 6
 SPARE = 1.15
 #: Shingles of the sample that tells the common ones, about, and how often it has those.
 SAMPLE, COMMON = 1 << 23, 8
+#: Least bits of a sketch.
+BITS = 128
+#: Sketches of a cluster and band that one task compares with as many others, and bytes of them, about.
+SKETCHES, SKETCH_BYTES = 2048, 8 << 20
 #: Classes of a cluster that one task compares with as many others.
 TILE = 1024
 #: Shingles in all that those classes have, about.
@@ -145,6 +156,29 @@ def sketch_blocks(keys: np.ndarray, bounds: np.ndarray, num: int = NUM, den: int
     return np.concatenate(out), np.concatenate(of)
 
 
+def band_bits(bands: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Bits of a sketch of each band: the most shingles of its sets, in words of 64."""
+    return -(-np.maximum(bands[band + 1] - 1, BITS) // 64) * 64
+
+
+def parity_sketches(keys: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, list[list[bytes | None]]]:
+    """The band of each set (-1: empty), and each set's sketches of its band and of the band below (or None)."""
+    sizes = np.diff(bounds)
+    bands = size_bands(int(sizes.max(initial=0)), num, den)
+    own = np.searchsorted(bands, sizes, side="right") - 1
+    h, owner = X.mix64(keys, 25), np.repeat(np.arange(len(sizes)), sizes)
+    out: list[list[bytes | None]] = []
+    for below in (0, 1):
+        have = (sizes > 0) & (own >= below)
+        bits = np.where(have, band_bits(bands, np.maximum(own - below, 0)), 0)
+        ends = np.cumsum(bits)
+        at = have[owner]
+        flips = np.bincount(((ends - bits)[owner] + (h % np.maximum(bits, 1).astype(np.uint64)[owner]).astype(np.int64))[at], minlength=int(ends[-1]) if len(ends) else 0)
+        data = np.packbits((flips & 1).astype(np.uint8)).tobytes()
+        out.append([data[(e - b) // 8:e // 8] if b else None for b, e in zip(bits.tolist(), ends.tolist(), strict=True)])
+    return own, out
+
+
 def common_shingles(docs: DataFrame, shingle: int, total: int) -> np.ndarray:
     """Shingles that a sample of the sets (by text hash) has more than ``COMMON`` times, sorted; ``total``: of all sets."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,21 +270,72 @@ def candidate_edges(docs: DataFrame, num: int, den: int, shingle: int = SHINGLE,
             .groupBy("bucket").applyInArrow(reduce, "a long, b long"))
 
 
-def _with_sets(docs: DataFrame, keep_text: bool, shingle: int) -> DataFrame:
-    """``(id, n, node, other)`` of each document, and its text if asked for."""
+def _with_sets(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """``(id, n, node, other, band, own, below)``: each document's set and its two sketches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = X.as_bytes(batch["text"])
             for x, y in X.slices(texts):
                 keys, bounds = shingle_sets(texts[x:y], shingle)
                 hi, lo = set_ids(keys, bounds)
-                out = {"id": batch["id"][x:y], "n": pa.array(np.diff(bounds), pa.int64()),
-                       "node": pa.array(hi.view(np.int64)), "other": pa.array(lo.view(np.int64))}
-                if keep_text:
-                    out["text"] = batch["text"][x:y]
-                yield pa.record_batch(out)
-
-    return docs.mapInArrow(run, "id long, n long, node long, other long" + ", text string" * keep_text)
+                band, (own, below) = parity_sketches(keys, bounds, num, den)
+                yield pa.record_batch({
+                    "id": batch["id"][x:y], "n": pa.array(np.diff(bounds), pa.int64()), "node": pa.array(hi.view(np.int64)), "other": pa.array(lo.view(np.int64)),
+                    "band": pa.array(band, pa.int32()), "own": pa.array(own, pa.binary()), "below": pa.array(below, pa.binary())})
+
+    return docs.mapInArrow(run, "id long, n long, node long, other long, band int, own binary, below binary")
+
+
+def _near(rows: pa.Table, num: int, den: int) -> pa.Table:
+    """Stars that join the classes of a tile that sketches don't tell apart."""
+    node, n, side = (rows[c].to_numpy() for c in ("node", "n", "side"))
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(node), -1)
+    whole = not rows["cross"][0].as_py() and rows["i"][0].as_py() == rows["j"][0].as_py()
+    left, right = (np.flatnonzero(whole | (side == k)) for k in (0, 1))
+    others, size = sketch[right], n[right]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in left.tolist():
+        fits = den * np.minimum(n[k], size) >= num * np.maximum(n[k], size)
+        fits &= right > k if whole else True
+        if fits.any():
+            differ = np.bitwise_count(others[fits] ^ sketch[k]).sum(axis=1, dtype=np.int64)
+            hit = right[fits][differ <= (n[k] + size[fits]) * (den - num) // (den + num)]
+            a.append(np.full(len(hit), node[k]))
+            b.append(node[hit])
+    x, y = _forest(np.concatenate(a), np.concatenate(b))
+    return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+
+def near_edges(named: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``(a, b)`` of nodes in ``named(cluster, rep, node, other, n)``: the components hold all links of a cluster."""
+    sketches = sets.where("n > 0 and id is not null").select(F.col("id").alias("rep"), "node", "other", "band", "own", "below")
+    # a class is one row, however many rows its id has
+    own = named.join(sketches, ["rep", "node", "other"]).groupBy("cluster", "rep", "node", "other", "n", "band").agg(
+        F.first("own").alias("own"), F.first("below").alias("below"))
+    own, path = written(own, "sketches")
+    per_band = own.groupBy("cluster", "band").agg(
+        F.ceil(F.greatest(F.count("*") / SKETCHES, F.sum(F.octet_length("own")) / SKETCH_BYTES)).cast("int").alias("slices"))
+    # a cluster has at most a few dozen bands: their number is the logarithm of the largest set
+    slices = per_band.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "slices"))).alias("slices"))
+
+    def of(band):
+        return F.coalesce(F.try_element_at("slices", band), F.lit(0))
+
+    def numbers(n):
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def tile(band, cross, i, j, side, sketch):
+        return F.struct(band.alias("band"), F.lit(cross).alias("cross"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"), F.col(sketch).alias("sketch"))
+
+    band, s = F.col("band"), F.pmod(F.xxhash64("node"), of(F.col("band"))).cast("int")
+    tiles = F.concat(
+        F.transform(numbers(of(band)), lambda k: tile(band, False, F.least(k, F.col("s")), F.greatest(k, F.col("s")), k < F.col("s"), "own")),
+        F.transform(numbers(of(band + 1)), lambda k: tile(band, True, F.col("s"), k, F.lit(0), "own")),
+        F.transform(F.when(F.col("below").isNotNull(), numbers(of(band - 1))).otherwise(F.array().cast("array<int>")),
+                    lambda k: tile(band - 1, True, k, F.col("s"), F.lit(1), "below")))
+    rows = (own.join(slices, "cluster").withColumn("s", s).select("cluster", "node", "n", F.explode(tiles).alias("t"))
+            .select("cluster", "node", "n", "t.*"))
+    return rows.groupBy("cluster", "band", "cross", "i", "j").applyInArrow(lambda t: _near(t, num, den), "a long, b long")
 
 
 def _compare(rows: pa.Table, num: int, den: int, shingle: int) -> pa.Table:
@@ -293,6 +378,8 @@ def _compare(rows: pa.Table, num: int, den: int, shingle: int) -> pa.Table:
     a, b = _forest(rep[x], rep[y])
     have = np.flatnonzero(links)
     return pa.table({"rep": pa.array(np.concatenate([rep[have], a])),
+                     "node": pa.array(np.concatenate([node[have], np.zeros(len(a), np.int64)])),
+                     "other": pa.array(np.concatenate([other[have], np.zeros(len(a), np.int64)])),
                      "links": pa.array(np.concatenate([links[have], np.zeros(len(a), np.int64)])),
                      "to": pa.array(np.concatenate([np.zeros(len(have), np.int64), b]),
                                     mask=np.concatenate([np.ones(len(have), bool), np.zeros(len(a), bool)]))})
@@ -310,7 +397,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if shingle < 1:
         raise ValueError("a shingle has at least one word")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets, _ = written(_with_sets(d, False, shingle), "sets")
+    sets, _ = written(_with_sets(d, shingle, num, den), "sets")
     classes = sets.where("n > 0 and id is not null").groupBy("node", "other", "n").agg(
         F.min("id").alias("rep"), F.count("*").alias("copies"))
     common = None
@@ -318,7 +405,10 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         common = common_shingles(d.where("id is not null"), shingle, total)
     clusters = components(candidate_edges(d.where("id is not null"), num, den, shingle, common))
-    named = classes.join(clusters, "node").select("node", "other", "n", "rep", "copies", F.col("root").alias("cluster"))
+    found = classes.join(clusters, "node").select("node", "other", "n", "rep", "copies", F.col("root").alias("cluster"))
+    found, _ = written(found.join(found.groupBy("cluster").agg(F.count("*").alias("m")).where("m > 1").select("cluster"), "cluster"), "found")
+    tested = components(near_edges(found, sets, num, den))
+    named = found.drop("cluster").join(tested, "node").withColumnRenamed("root", "cluster")
     blocks = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
     size = named.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("m")).where("m > 1")
     named, _ = written(named.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")), "classes")
@@ -328,10 +418,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tiles = (d.withColumnRenamed("id", "rep").join(named.hint("merge"), "rep").withColumn("pair", F.explode(against))
              .select("cluster", "pair.i", "pair.j", "block", "rep", "node", "other", "copies", "text"))
     found, _ = written(tiles.groupBy("cluster", "i", "j").applyInArrow(
-        lambda t: _compare(t, num, den, shingle), "rep long, links long, to long"), "links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+        lambda t: _compare(t, num, den, shingle), "rep long, node long, other long, links long, to long"), "links")
+    # an id can stand for several sets: links are those of a set, components those of ids
+    links = found.where("to is null").groupBy("node", "other").agg(F.sum("links").alias("links"))
     roots = components(found.where("to is not null").select(F.col("rep").alias("a"), F.col("to").alias("b")))
-    of_class = (classes.join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    of_class = (classes.join(links, ["node", "other"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("node", "other", F.col("n").alias("m"), "rep", "copies", F.coalesce("links", F.lit(0)).alias("links"),
                         F.coalesce("root", "rep").alias("root")))
     s, c = sets.alias("s"), of_class.alias("c")

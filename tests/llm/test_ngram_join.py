@@ -43,6 +43,7 @@ def all_pairs(rows, num=90, den=100):
 @pytest.mark.parametrize("tile", [1024, 4])
 def test_join(edge_frame, edge_docs, monkeypatch, tile):
     monkeypatch.setattr(J, "TILE", tile)
+    monkeypatch.setattr(J, "SKETCHES", tile)
     got = J.ngram_jaccard_join(edge_frame).collect()
     assert sorted((r[0] if r[0] is not None else -1, r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == all_pairs(edge_docs)
 
@@ -178,3 +179,58 @@ def test_unlike_sets_are_no_candidates_at_four_fifths():
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     key, of = J.sketch_blocks(np.concatenate(sets), bounds, 80, 100, np.sort(passage))
     assert len(J._forest(*J._stars(key, of)[2:])[0]) < 30
+
+
+@pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (1, 2)])
+def test_no_linked_pair_is_dropped_by_its_sketches(num, den):
+    """The Hamming distance in a common band is at most what linked sets can differ by."""
+    rng = np.random.default_rng(9)
+    tested = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 600))
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = a[rng.permutation(n)[: n - int(rng.integers(0, n // 4 + 1))]]
+        b = np.concatenate([b, rng.integers(0, 2**63, int(rng.integers(0, n // 6 + 1))).astype(np.uint64)])
+        x, y = sorted((np.unique(a), np.unique(b)), key=len)
+        both = len(np.intersect1d(x, y))
+        if not len(x) or den * both < num * (len(x) + len(y) - both):
+            continue
+        band, (own, below) = J.parity_sketches(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), num, den)
+        assert band[1] - band[0] in (0, 1)
+        p, q = own[0], own[1] if band[0] == band[1] else below[1]
+        distance = int(np.bitwise_count(np.frombuffer(p, np.uint8) ^ np.frombuffer(q, np.uint8)).sum())
+        assert distance <= len(x) + len(y) - 2 * both <= (len(x) + len(y)) * (den - num) // (den + num)
+        tested += 1
+    assert tested > 50
+
+
+def test_a_shared_passage_leaves_before_texts_are_compared(spark, monkeypatch):
+    """Sets that agree on blocks of a passage are one cluster; their sketches tell them apart, and near copies stay."""
+    monkeypatch.setattr(J, "SKETCHES", 16)
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(120)]
+    rows = []
+    for i in range(60):
+        words = passage + [f"w{rng.randrange(10**7)}" for _ in range(180)]
+        rows.append((2 * i, " ".join(words)))
+        words[150 + i] = "edit"
+        rows.append((2 * i + 1, " ".join(words)))
+    seen = []
+
+    near = J.near_edges
+    monkeypatch.setattr(J, "near_edges", lambda named, *a: seen.append((named, near(named, *a))) or seen[0][1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = J.ngram_jaccard_join(df, num=80, den=100, shingle=5)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got.collect()) == linked_pairs(rows, 5, 80, 100)
+    named, edges = seen[0]
+    assert named.groupBy("cluster").count().agg({"count": "max"}).first()[0] > 20
+    assert components(edges).groupBy("root").count().agg({"count": "max"}).first()[0] == 2
+
+
+def test_linked_rows_of_one_id(spark):
+    """Two texts of an id that are linked with each other only."""
+    words = [f"w{k}" for k in range(300)]
+    rows = [(7, " ".join(words)), (7, " ".join(words[:-1] + ["x"])), (8, "something else altogether here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in J.ngram_jaccard_join(df).collect())
+    assert got == all_pairs(rows) == [(7, 298, 7, 1), (7, 298, 7, 1), (8, 2, 8, 0)]
