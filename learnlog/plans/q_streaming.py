@@ -10,13 +10,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators.model import GBTConfig, train_gbt
-from ..oracle_views import test_batches_sql, with_views
+from ..operators.stats import content_stats
+from ..oracle_views import std_int_sql, test_batches_sql, with_views
 from ..plans import static_score as ss
 from ..plans import tail_split as ts
 from ..registry import register
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..streaming.late_labels import batch_filter, run_late_labels, write_batches
+from ..streaming.late_labels import batch_filter, write_batches
+from ..streaming.late_state import run_late_labels_in_state
 from ..streaming.scoring import drain_to_parquet, lecture_score_stream, score_stream
 from ..streaming.user_state import stream_user_state as user_state_stream
 from .common import QUESTION_ROWS_SQL
@@ -57,8 +59,11 @@ _LATE = "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 @register("stream_late_labels", with_views(f"""WITH {QUESTION_ROWS_SQL.strip()},
-g AS (SELECT *, row_id // {BATCH_ROWS} AS group_num, coalesce(part, -1) AS pk FROM qrows)
-SELECT row_id, user_id, content_id, group_num,
+g AS (SELECT *, row_id // {BATCH_ROWS} AS group_num, coalesce(part, -1) AS pk FROM qrows),
+cs AS (SELECT content_id, avg(answered_correctly) AS answered_correctly_avg_c, CAST(sum(answered_correctly) AS BIGINT) AS answered_correctly_sum_c,
+              count(answered_correctly) AS answered_correctly_count_c, {std_int_sql("answered_correctly")} AS answered_correctly_std_c
+       FROM qrows GROUP BY content_id),
+late AS (SELECT row_id, user_id, content_id, group_num,
        CAST(coalesce(sum(answered_correctly) OVER u, 0) AS BIGINT) AS answered_correctly_sum_u, count(*) OVER u AS count_u,
        CAST(sum(answered_correctly) OVER u AS DOUBLE) / nullif(count(*) OVER u, 0) AS answered_correctly_avg_u,
        CAST(coalesce(sum(answered_correctly) OVER p, 0) AS BIGINT) AS part_sum_u, count(*) OVER p AS part_count_u,
@@ -67,10 +72,12 @@ SELECT row_id, user_id, content_id, group_num,
 FROM g
 WINDOW u AS (PARTITION BY user_id ORDER BY group_num {_LATE}),
        p AS (PARTITION BY user_id, pk ORDER BY group_num {_LATE}),
-       c AS (PARTITION BY user_id, content_id ORDER BY group_num {_LATE})""", "interactions", "questions"))
+       c AS (PARTITION BY user_id, content_id ORDER BY group_num {_LATE}))
+SELECT late.*, cs.* EXCLUDE (content_id) FROM late LEFT JOIN cs ON late.content_id = cs.content_id""", "interactions", "questions"))
 def stream_late_labels(spark, sf):
-    return run_late_labels(spark, fx.test_batches(spark, sf, BATCH_ROWS), fx.questions(spark, sf),
-                           _base(spark, "stream-late"))
+    lg, q = fx.interactions(spark, sf), fx.questions(spark, sf)
+    return run_late_labels_in_state(spark, fx.test_batches(spark, sf, BATCH_ROWS), q, _base(spark, "stream-late"),
+                                    content_stats(lg.filter("content_type_id = 0")))
 
 
 def lecture_model(spark, sf):
