@@ -179,7 +179,8 @@ def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], **kw) -> Da
 
 def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Family], *,
                      order: Sequence[str] = ("timestamp", "row_id"), container: str | None = None,
-                     inclusive: bool = False, rows_per_task: int | None = None, arranged: bool = False) -> DataFrame:
+                     inclusive: bool = False, rows_per_task: int | None = None, arranged: bool = False,
+                     count_on: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Add one column per ``Agg`` holding its value over earlier rows.
 
     Row grain (``container=None``): earlier = before in ``order`` within the
@@ -188,6 +189,8 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
     one container never see each other; with ``inclusive`` the current
     container counts. Families over ``keys + sub_keys`` share the shuffle on
     ``keys``; ``arranged`` says that ``df`` is already partitioned by them.
+    ``count_on`` is what the rows of ``df`` were made of, and about how many rows
+    of it one row became: hot keys are looked for there, before joins and copies.
     """
     keys = list(keys)
     aggs = [a for f in families for a in f.aggs]
@@ -195,7 +198,9 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
         raise ValueError("'last' and 'next' need row grain")
     limit = rows_per_task or ROWS_PER_TASK
     measured = df.withColumns({f"_m_{a.name}": a.col for a in aggs})
-    hot, total = hot_keys(measured, keys, limit)
+    counted, copies = count_on or (measured, 1)
+    hot, total = hot_keys(counted, keys, max(1, limit // copies))
+    total *= copies
     if not total:
         res = _plain(measured, keys, families, order, container, inclusive, arranged)
         return res.drop(*[f"_m_{a.name}" for a in aggs])

@@ -72,7 +72,7 @@ tm AS (
 @register("num_tags_match", _sql(f""", {TAGS_MATCH_SQL.strip()}
 SELECT row_id, num_tags_match FROM tm"""))
 def num_tags_match(spark, sf):
-    return (lec.num_tags_match(_rows(spark, sf)).filter(F.col("content_type_id") == 0)
+    return (lec.num_tags_match(_rows(spark, sf), log=log(spark, sf)).filter(F.col("content_type_id") == 0)
             .select("row_id", "num_tags_match"))
 
 
@@ -89,15 +89,25 @@ def part_matches(spark, sf):
             .select("row_id", "part_matches"))
 
 
-@register("asof_prior_match", _sql("""
-SELECT row_id, user_id,
+def _latest_sql(condition: str) -> str:
+    return f"""SELECT r.row_id, l.content_id AS lid, l."timestamp" AS ts
+  FROM lrows r JOIN lrows l ON l.user_id = r.user_id AND l.content_type_id = 1 AND {EARLIER} AND {condition}
+  WHERE r.content_type_id = 0
+  QUALIFY row_number() OVER (PARTITION BY r.row_id ORDER BY l."timestamp" DESC, l.row_id DESC) = 1"""
+
+
+@register("asof_prior_match", _sql(f""",
+bytag AS ({_latest_sql("list_contains(CAST(string_split(trim(r.q_tags), ' ') AS INTEGER[]), l.l_tag)")}),
+bypart AS ({_latest_sql("l.l_part = r.q_part")})
+SELECT lrows.row_id, user_id,
        last_value(CASE WHEN content_type_id = 1 THEN content_id END IGNORE NULLS) OVER w AS prev_lecture_id,
-       last_value(CASE WHEN content_type_id = 1 THEN "timestamp" END IGNORE NULLS) OVER w AS prev_lecture_ts
-FROM lrows
-WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""))
+       last_value(CASE WHEN content_type_id = 1 THEN "timestamp" END IGNORE NULLS) OVER w AS prev_lecture_ts,
+       t.lid AS prev_tag_lecture_id, t.ts AS prev_tag_lecture_ts, p.lid AS prev_part_lecture_id, p.ts AS prev_part_lecture_ts
+FROM lrows LEFT JOIN bytag t ON lrows.row_id = t.row_id LEFT JOIN bypart p ON lrows.row_id = p.row_id
+WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", lrows.row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""))
 def asof_prior_match(spark, sf):
-    return (lec.last_lecture_before(log(spark, sf))
-            .select("row_id", "user_id", "prev_lecture_id", "prev_lecture_ts"))
+    out = lec.last_matching_lectures(log(spark, sf), fx.questions(spark, sf), fx.lectures(spark, sf))
+    return out.select("row_id", "user_id", *(f"{m}_{c}" for m in lec.MATCHES for c in ("id", "ts")))
 
 
 HISTORY_COLS = ["row_id", "user_id", "content_id"] + COUNTER_COLS + ["num_tags_match", "part_matches"]

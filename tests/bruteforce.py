@@ -96,3 +96,24 @@ def lecture_loop(rows, questions, lectures):
             part_matches=int(part is not None and any(l["part"] == part for l in seen)),
             **{f"part{i + 1}_seen": st["parts"][i] for i in range(7)})
     return out
+
+
+def latest_lectures(rows, questions, lectures):
+    """Per row the user's latest earlier lecture, and for questions the latest of a matching tag and of the part."""
+    qd = {q["question_id"]: q for q in questions}
+    ld = {l["lecture_id"]: l for l in lectures}
+    seen, out = defaultdict(list), {}
+    for r in ordered(rows):
+        earlier, q = seen[r["user_id"]], None if r["content_type_id"] else qd.get(r["content_id"])
+        tags = set(map(int, q["tags"].split())) if q and q["tags"] else set()
+        part = q["part"] if q else None
+
+        def last(fits):
+            hit = [(x["content_id"], x["timestamp"]) for x in earlier if fits(ld.get(x["content_id"]))]
+            return hit[-1] if hit else (None, None)
+
+        out[r["row_id"]] = (*last(lambda l: True), *last(lambda l: l is not None and l["tag"] in tags),
+                            *last(lambda l: l is not None and part is not None and l["part"] == part))
+        if r["content_type_id"]:
+            earlier.append(r)
+    return out

@@ -11,7 +11,7 @@ from learnlog.operators import lectures as lec
 from learnlog.operators.joins import join_dim
 from learnlog.schema import INTERACTIONS, LECTURES, QUESTIONS
 
-from bruteforce import lecture_loop, random_dims, random_log, user_feats
+from bruteforce import latest_lectures, lecture_loop, random_dims, random_log, user_feats
 
 
 def _frames(spark, seed):
@@ -54,6 +54,17 @@ def test_lecture_history_matches_loop(spark, seed, rows_per_task):
             assert got[rid][k] == v, (rid, k, got[rid][k], v)
 
 
+@pytest.mark.parametrize("seed,rows_per_task", [(15, 3), (16, 1), (17, 10_000)])
+def test_latest_matching_lectures_match_loop(spark, seed, rows_per_task):
+    rows, qs, ls, log, qdf, ldf = _frames(spark, seed)
+    cols = [f"{m}_{c}" for m in lec.MATCHES for c in ("id", "ts")]
+    out = lec.last_matching_lectures(log, qdf, ldf, rows_per_task=rows_per_task)
+    got = {r["row_id"]: tuple(r[c] for c in cols) for r in out.collect()}
+    want = latest_lectures(rows, qs, ls)
+    assert got == want and set(log.columns) <= set(out.columns)
+    assert len({w[0::2] for w in want.values()}) > 3
+
+
 def test_recent_mean_and_lags(spark):
     rows, _, _, log, _, _ = _frames(spark, 8)
     n = 3
