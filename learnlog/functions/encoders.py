@@ -77,9 +77,11 @@ class QuantileTargetEncoder:
     def fit(self, df: DataFrame) -> "QuantileTargetEncoder":
         self.edges = quantile_edges(df, self.col, self.n)
         lab = df.filter(F.col(LABEL) != -1).withColumn("ts_bin", bin_index(self.col, self.edges))
-        # At most n rows: a bounded table that is safe to broadcast.
-        self.table = lab.groupBy("ts_bin").agg(F.avg(LABEL).alias(self.out))
-        self.global_mean = lab.agg(F.avg(LABEL)).first()[0]
+        # At most n rows: a bounded table that is safe to broadcast; the log is read once for it.
+        sums = lab.groupBy("ts_bin").agg(F.sum(LABEL).alias("s"), F.count(LABEL).alias("n")).collect()
+        self.table = df.sparkSession.createDataFrame([(r["ts_bin"], r["s"] / r["n"]) for r in sums], f"ts_bin int, {self.out} double")
+        rows = sum(r["n"] for r in sums)
+        self.global_mean = sum(r["s"] for r in sums) / rows if rows else None
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -103,9 +105,10 @@ def time_bin_cluster(df: DataFrame, n: int = 200, col: str = "timestamp") -> tup
     Returns (bin -> ts_cluster table of at most n rows, edges)."""
     edges = quantile_edges(df, col, n)
     counts = bin_label_counts(df.withColumn("ts_bin", bin_index(col, edges, right_closed=True)))
+    # The per-bin table has at most n rows (bounded by the parameter); the log is read once for it.
+    counts = df.sparkSession.createDataFrame(counts.collect(), counts.schema)
     rate = counts.withColumn("rate", round_half_even(F.try_divide(F.col("c1").cast("double"),
                                                                   (F.col("c0") + F.col("c1")).cast("double")), 2))
-    # The per-bin table has at most n rows (bounded by the parameter).
     med = rate.agg(F.median("rate")).first()[0]
     capped = rate.withColumn("v", F.when(F.col("rate") > F.lit(med), F.lit(1.0)).otherwise(F.col("rate")))
     codes = capped.select("v").distinct().withColumn(

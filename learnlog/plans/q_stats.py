@@ -209,8 +209,7 @@ SELECT quantile_cont(prior_question_elapsed_time, 0.5) AS elapsed_median,
        quantile_cont("timestamp", 0.11) AS ts_q11
 FROM interactions""", "interactions"))
 def median_quantile(spark, sf):
-    from ..functions.quantiles import quantiles
-    df = log(spark, sf)
-    med, = quantiles(df, "prior_question_elapsed_time", [0.5])
-    q11, = quantiles(df, "timestamp", [0.11])
-    return spark.createDataFrame([(med, q11)], "elapsed_median double, ts_q11 double")
+    from ..functions.quantiles import column_quantiles
+    cols = {"elapsed": F.col("prior_question_elapsed_time"), "ts": F.col("timestamp")}
+    at = column_quantiles(log(spark, sf), cols, [0.5, 0.11])
+    return spark.createDataFrame([(at["elapsed"][0], at["ts"][1])], "elapsed_median double, ts_q11 double")

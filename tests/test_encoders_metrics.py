@@ -156,6 +156,45 @@ def test_quantiles_with_outlier_nan_and_infinity(spark, rows_per_task):
     assert quantiles(df.where("false"), "x", [0.5]) == [None]
 
 
+@pytest.mark.parametrize("k,error", [(2048, None), (8, None), (8, 1e-9), (200, 0.0)])
+def test_quantiles_whatever_the_sketch_says(spark, monkeypatch, k, error):
+    """Small sketches, and brackets that miss the wanted ranks: several columns, ties, few distinct values."""
+    from learnlog.functions import quantiles as qt
+
+    if error is not None:
+        monkeypatch.setattr(qt, "rank_error", lambda k: error)
+    rng = np.random.default_rng(k)
+    cols = {"a": rng.normal(size=3000), "b": rng.integers(0, 4, 3000).astype(float), "c": np.round(rng.exponential(size=3000), 1), "d": np.full(3000, -0.5)}
+    df = spark.createDataFrame([tuple(float(v[i]) for v in cols.values()) for i in range(3000)], ", ".join(f"{c} double" for c in cols)).repartition(5)
+    probs = [0.0, 0.001, 0.1, 0.25, 0.33, 0.5, 0.9, 0.999, 1.0]
+    got = qt.column_quantiles(df, {c: F.col(c) for c in cols}, probs, k=k)
+    for c, v in cols.items():
+        assert np.allclose(got[c], np.quantile(v, probs), atol=0, rtol=1e-12), c
+    assert qt.column_quantiles(df, {"a": F.col("a")}, []) == {"a": []}
+
+
+def test_a_quantile_keeps_few_values_and_reads_twice(spark):
+    """The second pass keeps what lies in the brackets, once."""
+    from learnlog.functions import quantiles as qt
+
+    df = spark.range(0, 400_000, 1, 6).select((F.xxhash64("id") / 2**40).alias("x"))
+    kept, refined = [], qt._refined
+
+    def counted(long, brackets, wanted, limit):
+        lo, hi = brackets["x"][0]
+        kept.append(long.where(F.col("_x").between(lo, hi)).count())
+        return refined(long, brackets, wanted, limit)
+
+    qt._refined = counted
+    try:
+        got, = qt.quantiles(df, "x", [0.5])
+    finally:
+        qt._refined = refined
+    values = np.array([r[0] for r in df.collect()])
+    assert got == pytest.approx(np.quantile(values, 0.5), rel=1e-12)
+    assert len(kept) == 1 and kept[0] <= 400_000 * 2.5 * qt.rank_error(qt.SKETCH)
+
+
 def test_auc_in_ranges_with_outlier_and_nan(spark):
     rng = np.random.default_rng(4)
     y, s = rng.integers(0, 2, 500), np.round(rng.random(500), 2)
