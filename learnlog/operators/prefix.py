@@ -35,13 +35,19 @@ CHUNK = "_chunk"
 
 # Rows of one key that a task may hold: a few hundred MB.
 ROWS_PER_TASK = 4_000_000
+# Types of an exact sum's terms and of the sum: one digit is left for a carried sum.
+ADDEND, TOTAL = "decimal(27,18)", "decimal(37,18)"
 # Ranges are drawn from a sample, so they are cut a little smaller than asked.
 RANGE_SLACK = 1.5
 
 
 @dataclass(frozen=True)
 class Agg:
-    """One running aggregate: ``kind`` is sum, count, max, last or next.
+    """One running aggregate: ``kind`` is sum, count, max, exact, last or next.
+
+    ``sum`` and ``count`` are of whole numbers. ``exact`` is the sum of numbers
+    with fractions, of which 18 digits count: a decimal, the same whatever the
+    ranges are, as sums of doubles are not.
 
     ``last`` is the value of the immediately preceding row and ``next`` that
     of the following row (a lag / lead that also crosses chunk borders); both
@@ -80,7 +86,7 @@ def in_ranges(rows: DataFrame, by: Sequence[str], total: int, rows_per_task: int
 def _summary(a: Agg, c: Column, order: Sequence[str]) -> Column:
     if a.kind in ("last", "next"):
         return (F.max_by if a.kind == "last" else F.min_by)(c, F.struct(*order))
-    return {"sum": F.sum, "count": F.count, "max": F.max}[a.kind](c)
+    return {"sum": F.sum, "exact": F.sum, "count": F.count, "max": F.max}[a.kind](c)
 
 
 def _carried(a: Agg, t: Column, over_chunks) -> Column:
@@ -100,6 +106,8 @@ def _within(a: Agg, c: Column, ordered, frame, inclusive: bool) -> Column:
         return (F.lag if a.kind == "last" else F.lead)(c).over(ordered)
     if a.kind == "max":
         return F.max(c).over(frame)
+    if a.kind == "exact":
+        return F.coalesce(F.sum(c).over(frame), F.lit(0)).cast(TOTAL)
     return F.coalesce((F.sum if a.kind == "sum" else F.count)(c).over(frame), F.lit(0)).cast("long")
 
 
@@ -149,6 +157,8 @@ def _ranged(df: DataFrame, keys, families, order, inclusive, total, limit) -> Da
             inner = _within(a, c, ordered, frame, inclusive)
             if a.kind in ("sum", "count"):
                 cols[a.name] = (inner + F.coalesce(o, F.lit(0))).cast("long")
+            elif a.kind == "exact":
+                cols[a.name] = (inner + F.coalesce(o, F.lit(0)).cast(TOTAL)).cast(TOTAL)
             elif a.kind == "max":
                 cols[a.name] = F.greatest(o, inner)
             elif inclusive and a.kind == "last":
@@ -166,7 +176,7 @@ def _by_container(df: DataFrame, keys, families, container, inclusive, limit) ->
     for fam in families:
         by = [*keys, *fam.sub_keys]
         per = rows.groupBy(*by, container).agg(*[_summary(a, F.col(f"_m_{a.name}"), ()).alias(f"_t_{a.name}") for a in fam.aggs])
-        over = Family(tuple(Agg(a.name, "max" if a.kind == "max" else "sum", F.col(f"_t_{a.name}")) for a in fam.aggs))
+        over = Family(tuple(Agg(a.name, a.kind if a.kind in ("max", "exact") else "sum", F.col(f"_t_{a.name}")) for a in fam.aggs))
         run = running_families(per, by, [over], order=(container,), inclusive=inclusive, rows_per_task=limit)
         out = null_safe_join(out, run.select(*by, container, *[a.name for a in fam.aggs]), [*by, container])
     return out
@@ -197,7 +207,7 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
     if container is not None and any(a.kind in ("last", "next") for a in aggs):
         raise ValueError("'last' and 'next' need row grain")
     limit = rows_per_task or ROWS_PER_TASK
-    measured = df.withColumns({f"_m_{a.name}": a.col for a in aggs})
+    measured = df.withColumns({f"_m_{a.name}": a.col.cast(ADDEND) if a.kind == "exact" else a.col for a in aggs})
     counted, copies = count_on or (measured, 1)
     hot, total = hot_keys(counted, keys, max(1, limit // copies))
     total *= copies

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LECTURE_TYPES, PARTS
+from .prefix import Agg, running
 
 LABEL = "answered_correctly"
 
@@ -83,23 +84,22 @@ def user_lecture_profile(lecture_rows: DataFrame, flags: bool = True) -> DataFra
     return prof
 
 
-def container_load(q: DataFrame) -> DataFrame:
-    """Per container: rows / distinct users (avg_questions) and its running
-    sum over container order (avg_questions_seen).
+def container_questions(q: DataFrame) -> DataFrame:
+    """Per container: rows / distinct users (avg_questions)."""
+    return q.groupBy("task_container_id").agg(
+        (F.count(F.lit(1)) / F.countDistinct("user_id")).cast("double").alias("avg_questions"))
+
 
-    The running sum is a two-level prefix (container ranges of 1024), so no
-    single task holds the whole container table.
+def container_load(q: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """``container_questions`` and its running sum over container order
+    (avg_questions_seen).
+
+    An exact running sum: ranges follow the number of containers, not their
+    ids, and the sums don't depend on the ranges.
     """
-    per = q.groupBy("task_container_id").agg(
-        (F.count(F.lit(1)) / F.countDistinct("user_id")).cast("double").alias("avg_questions"))
-    chunked = per.withColumn("_c", F.floor(F.col("task_container_id") / 1024).cast("long"))
-    tot = chunked.groupBy("_c").agg(F.sum("avg_questions").alias("_t"))
-    off = tot.select("_c", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_o"))
-    w = Window.partitionBy("_c").orderBy("task_container_id").rowsBetween(Window.unboundedPreceding, 0)
-    return (chunked.join(off, "_c", "left")
-            .withColumn("avg_questions_seen", F.col("_o") + F.sum("avg_questions").over(w))
-            .drop("_c", "_o"))
+    out = running(container_questions(q), [], [Agg("avg_questions_seen", "exact", F.col("avg_questions"))],
+                  order=("task_container_id",), inclusive=True, rows_per_task=rows_per_task)
+    return out.withColumn("avg_questions_seen", F.col("avg_questions_seen").cast("double"))
 
 
 def global_means(q: DataFrame) -> DataFrame:

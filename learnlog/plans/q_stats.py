@@ -156,7 +156,7 @@ FROM (SELECT task_container_id, CAST(count(*) AS DOUBLE) / count(DISTINCT user_i
 SELECT task_container_id, CAST(count(*) AS DOUBLE) / count(DISTINCT user_id) AS avg_questions
 FROM qrows GROUP BY task_container_id"""))
 def container_questions_per_user(spark, sf):
-    return st.container_load(_qrows(spark, sf)).select("task_container_id", "avg_questions")
+    return st.container_questions(_qrows(spark, sf))
 
 
 @register("cumulative_container_load", _q(CONTAINER_LOAD_SQL))

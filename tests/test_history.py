@@ -196,3 +196,24 @@ def test_first_last_skip_by_position(spark, monkeypatch):
         monkeypatch.setattr(prefix, "ROWS_PER_TASK", limit)
         ids = {f: {r["row_id"] for r in getattr(sp, f)(df, 700).collect()} for f in ("first_n", "last_n", "skip_n")}
         assert ids == {"first_n": set(order[:700]), "last_n": set(order[-700:]), "skip_n": set(order[700:])}
+
+
+def test_container_load_over_ranges_of_equal_size(spark):
+    """Dense ids and an outlier: sums don't depend on the ranges, and no range is large."""
+    from fractions import Fraction
+
+    from learnlog.operators import stats as st
+    from learnlog.operators.prefix import in_ranges
+
+    rng = __import__("random").Random(2)
+    rows = [(c, u) for c in [*range(500, 1500), 10**9] for u in rng.choices(range(9), k=rng.randrange(1, 8))]
+    q = spark.createDataFrame(rows, "task_container_id int, user_id long").repartition(6)
+    plain = {r[0]: tuple(r[1:]) for r in st.container_load(q).collect()}
+    assert {r[0]: tuple(r[1:]) for r in st.container_load(q, rows_per_task=50).collect()} == plain
+    total = Fraction(0)
+    for c in sorted({c for c, _ in rows}):
+        users = [u for k, u in rows if k == c]
+        total += Fraction(len(users), len(set(users)))
+        assert plain[c][0] == len(users) / len(set(users)) and math.isclose(plain[c][1], float(total), rel_tol=1e-14)
+    sizes = in_ranges(st.container_questions(q), ["task_container_id"], 1001, 50).groupBy("_chunk").count().collect()
+    assert max(r["count"] for r in sizes) <= 100
