@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import write_bucketed
 from .history import part_key, ratio
 from .prefix import Agg, Family, hot_keys, null_safe_join, running_families
 
@@ -90,6 +91,30 @@ def apply_frozen_state(rows: DataFrame, state: State, rows_per_task: int | None
     return _state_feats(few.unionByName(many))
 
 
+def save_state_bucketed(state: State, name: str, path: str, buckets: int) -> State:
+    """The state as three tables ``name_user``, ``name_user_part`` and
+    ``name_user_content``, bucketed by user and sorted by their keys."""
+    return State(
+        write_bucketed(state.user, f"{name}_user", f"{path}/user", buckets=buckets),
+        write_bucketed(state.user_part, f"{name}_user_part", f"{path}/user_part", order=("part_k",), buckets=buckets),
+        write_bucketed(state.user_content, f"{name}_user_content", f"{path}/user_content", order=("content_id",), buckets=buckets))
+
+
+def load_state_bucketed(spark: SparkSession, name: str) -> State:
+    return State(*(spark.table(f"{name}_{t}") for t in ("user", "user_part", "user_content")))
+
+
+def apply_bucketed_state(rows: DataFrame, state: State) -> DataFrame:
+    """``apply_frozen_state`` of a bucketed table of rows and a state with as
+    many buckets: joins of bucket with bucket, no exchange. A user's rows are
+    in one bucket, so this is for logs whose users fit a task."""
+    rows = rows.withColumn("part_k", part_key())
+    seen = state.user_content.withColumn("_seen", F.lit(1))
+    out = (rows.join(state.user.hint("merge"), "user_id", "left").join(seen.hint("merge"), ["user_id", "content_id"], "left")
+           .join(state.user_part.hint("merge"), ["user_id", "part_k"], "left"))
+    return _state_feats(out)
+
+
 _ENTRY = ("answered_correctly_sum_u", "count_u", "part_sum_u", "part_count_u", "_seen")
 
 

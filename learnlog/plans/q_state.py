@@ -114,3 +114,33 @@ SELECT row_id, count_u, first_time FROM feats WHERE first_time = 1""", "interact
 def read_features(spark, sf):
     f = io.read_features(spark, _written_features(spark, sf))
     return f.filter(F.col("first_time") == 1).select("row_id", "count_u", "first_time")
+
+
+def _bucketed(spark, sf, buckets=8):
+    """Question rows of the split and the state after its training rows, as tables bucketed by user."""
+    name, path = f"learnlog_{uuid.uuid4().hex}", scratch_path(spark, f"bucketed-{uuid.uuid4().hex}")
+    train, valid = train_valid(spark, sf)
+    rows = io.write_bucketed(valid, f"{name}_valid", f"{path}/valid", order=("timestamp", "row_id"), buckets=buckets)
+    return rows, stt.save_state_bucketed(stt.build_state(train), name, f"{path}/state", buckets)
+
+
+@register("apply_bucketed_state", _sql("""
+SELECT v.row_id, v.user_id, v.content_id,
+       coalesce(us.s, 0) AS answered_correctly_sum_u, coalesce(us.c, 0) AS count_u,
+       CAST(coalesce(us.s, 0) AS DOUBLE) / nullif(coalesce(us.c, 0), 0) AS answered_correctly_avg_u,
+       coalesce(ps.s, 0) AS part_sum_u, coalesce(ps.c, 0) AS part_count_u,
+       CAST(coalesce(ps.s, 0) AS DOUBLE) / nullif(coalesce(ps.c, 0), 0) AS part_avg_u,
+       CASE WHEN cs.user_id IS NULL THEN 1 ELSE 0 END AS first_time
+FROM valid v
+LEFT JOIN us ON v.user_id = us.user_id
+LEFT JOIN ps ON v.user_id = ps.user_id AND coalesce(v.part, -1) = ps.part_k
+LEFT JOIN cs ON v.user_id = cs.user_id AND v.content_id = cs.content_id"""))
+def apply_bucketed_state(spark, sf):
+    return stt.apply_bucketed_state(*_bucketed(spark, sf)).select(*FROZEN_COLS)
+
+
+@register("add_user_feats_bucketed", with_views(f"WITH {QUESTION_ROWS_SQL.strip()}\n{ADD_USER_FEATS_SQL}", "interactions", "questions"))
+def add_user_feats_bucketed(spark, sf):
+    name, path = f"learnlog_{uuid.uuid4().hex}", scratch_path(spark, f"bucketed-{uuid.uuid4().hex}")
+    rows = io.write_bucketed(question_rows(spark, sf), name, path, order=("timestamp", "row_id"), buckets=8)
+    return h.add_user_feats(rows).select(*ADD_USER_FEATS_COLS)

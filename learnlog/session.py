@@ -46,6 +46,8 @@ CLUSTER_CONF = {
     # several joins of one key follow each other: split a skewed one even if that costs a shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # tables bucketed by user serve joins on the user and more columns as they are
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

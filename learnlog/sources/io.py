@@ -3,6 +3,7 @@ CSV, schema casting, parquet feature tables."""
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,3 +47,31 @@ def write_features(df: DataFrame, path: str, partition_by: Sequence[str] | None
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+#: Rows of a bucket, about; each bucket is one file and one task.
+BUCKET_ROWS = 4_000_000
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str = "user_id", order: Sequence[str] = (),
+                   buckets: int | None = None) -> DataFrame:
+    """``df`` as the table ``name`` with its files under ``path``: bucketed by
+    ``key``, sorted by ``key`` and ``order``, and read back.
+
+    Windows, groups and joins on ``key`` over such tables need no exchange (joins
+    on more columns neither, with ``spark.sql.requireAllClusterKeysForCoPartition``
+    off), if the tables have equally many buckets: pass ``buckets`` to fit.
+    """
+    n = buckets or max(1, math.ceil(df.count() / BUCKET_ROWS))
+    # a task writes one bucket, so each bucket is one file and stays sorted
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key, *order)
+     .option("path", path).format("parquet").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def buckets_of(spark: SparkSession, name: str) -> int:
+    """Number of buckets of a stored table."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").collect()
+    if not rows:
+        raise ValueError(f"{name} has no buckets")
+    return int(rows[0]["data_type"])
