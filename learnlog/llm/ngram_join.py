@@ -16,18 +16,17 @@ similarity of at least ``num / den`` are linked; linked documents form component
   are) and has spare blocks. A set with more than ``d`` blocks that aren't empty
   is linked by one of those; the others send a sketch of all shingles too, and
   its empty blocks if they are still not more than ``d``.
-* Documents that agree on a block are candidates. A map task and then the
-  block's bucket connect them to their smallest member (a star, not all pairs),
-  and the connected components of those stars are the clusters within which all
-  links lie.
-* Candidates are then tested by Hamming distance: a set carries a sketch of its
-  own band and one of the band below, of about as many bits as the sets have
-  shingles. In a cluster, sets of one band or two neighbouring ones are compared
-  by XOR and bit counts, ``SKETCHES`` by ``SKETCHES`` per task, and those that
-  differ in more bits than linked sets can are no pair. The components of the
-  pairs that are left take the clusters' place; texts that only share a passage
-  leave here, before any text is sent.
-* In such a cluster, equal sets are one class, and classes are compared exactly,
+* Documents that agree on a block are candidates: a block's bucket gives each of
+  its sets the block's smallest one as a leader, so any two of them have a leader
+  in common. There are at most as many such pairs as blocks, not all pairs.
+* Candidates are tested by Hamming distance before anything is clustered: a set
+  has a sketch of its own band and one of the band below, of about as many bits
+  as the sets have shingles. Sets of a leader and of one band or two neighbouring
+  ones are compared by XOR and bit counts, ``SKETCHES`` by ``SKETCHES`` per task;
+  those that differ in more bits than linked sets can are no pair. The connected
+  components of the pairs that are left are the clusters within which all links
+  lie. Texts that only share a passage leave here, before any text is sent.
+* In a cluster, equal sets are one class, and classes are compared exactly,
   ``TILE`` by ``TILE`` per task, by a product of incidence matrices. A tile
   gives a spanning forest of its links and the number of links per class; no
   pair leaves it.
@@ -64,7 +63,7 @@ SPARE = 1.15
 SAMPLE, COMMON = 1 << 23, 8
 #: Least bits of a sketch.
 BITS = 128
-#: Sketches of a cluster and band that one task compares with as many others, and bytes of them, about.
+#: Sketches of a leader and band that one task compares with as many others, and bytes of them, about.
 SKETCHES, SKETCH_BYTES = 2048, 8 << 20
 #: Classes of a cluster that one task compares with as many others.
 TILE = 1024
@@ -211,38 +210,37 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
-def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once with its smallest node, and the stars that join the nodes of a key."""
+def _leaders(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node that has a key in common with a smaller one, with the smallest of those; distinct pairs."""
     order = np.lexsort((nodes, keys))
     k, n = keys[order], nodes[order]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     low = n[new][np.cumsum(new) - 1]
     far = n != low
-    return k[new], n[new], *_forest(n[far], low[far])
+    n, low = n[far], low[far]
+    order, new = X.first_of_each(n, low)
+    return n[order[new]], low[order[new]]
 
 
-def candidate_edges(docs: DataFrame, num: int, den: int, shingle: int = SHINGLE, common: np.ndarray | None = None) -> DataFrame:
-    """``(a, b)`` stars over set hashes; documents that agree on a block are connected."""
+def candidates(docs: DataFrame, num: int, den: int, shingle: int = SHINGLE, common: np.ndarray | None = None) -> DataFrame:
+    """``(node, leader)`` of set hashes: all sets that agree on a block have its smallest as a leader (which has itself)."""
     buckets = 2 * partitions(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            key, node, a, b = _stars(np.concatenate([k for k, _ in kept]), np.concatenate([n for _, n in kept]))
+            key, node = np.concatenate([k for k, _ in kept]), np.concatenate([n for _, n in kept])
             kept.clear()
+            order, new = X.first_of_each(key, node)
+            key, node = key[order[new]], node[order[new]]
             to = ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             cut = np.searchsorted(to[order], np.arange(buckets + 1))
             rows = [(i, order[x:y]) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
-            data = [key[o].tobytes() + node[o].tobytes() for _, o in rows]
-            # stars made here pass through the buckets as they are
-            edge = np.array_split(np.arange(len(a)), max(1, min(buckets, len(a) // 1000)))
-            data += [a[o].tobytes() + b[o].tobytes() for o in edge if len(o)]
-            kind = [False] * len(rows) + [True] * (len(data) - len(rows))
-            to_ = [i for i, _ in rows] + [i % buckets for i in range(len(data) - len(rows))]
-            return pa.record_batch({"bucket": pa.array(to_, pa.int32()), "star": pa.array(kind), "data": pa.array(data, pa.binary())})
+            return pa.record_batch({"bucket": pa.array([i for i, _ in rows], pa.int32()),
+                                    "data": pa.array([key[o].tobytes() + node[o].tobytes() for _, o in rows], pa.binary())})
 
         for batch in batches:
             texts = X.as_bytes(batch["text"])
@@ -257,17 +255,17 @@ def candidate_edges(docs: DataFrame, num: int, den: int, shingle: int = SHINGLE,
             yield flush()
 
     def reduce(rows: pa.Table) -> pa.Table:
-        key, node, a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for star, data in zip(rows["star"].to_pylist(), rows["data"].to_pylist(), strict=True):
+        key, node = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for data in rows["data"].to_pylist():
             n = len(data) // 16
-            (a if star else key).append(np.frombuffer(data, "i8" if star else "u8", n))
-            (b if star else node).append(np.frombuffer(data, "i8", n, 8 * n))
-        _, _, x, y = _stars(np.concatenate(key), np.concatenate(node))
-        x, y = _forest(np.concatenate([x, *a]), np.concatenate([y, *b]))
-        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+            key.append(np.frombuffer(data, "u8", n))
+            node.append(np.frombuffer(data, "i8", n, 8 * n))
+        x, y = _leaders(np.concatenate(key), np.concatenate(node))
+        own = np.unique(y)
+        return pa.table({"node": pa.array(np.concatenate([x, own])), "leader": pa.array(np.concatenate([y, own]))})
 
-    return (docs.select("text").mapInArrow(send, "bucket int, star boolean, data binary")
-            .groupBy("bucket").applyInArrow(reduce, "a long, b long"))
+    return (docs.select("text").mapInArrow(send, "bucket int, data binary")
+            .groupBy("bucket").applyInArrow(reduce, "node long, leader long").distinct())
 
 
 def _with_sets(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
@@ -306,36 +304,42 @@ def _near(rows: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
 
 
-def near_edges(named: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``(a, b)`` of nodes in ``named(cluster, rep, node, other, n)``: the components hold all links of a cluster."""
-    sketches = sets.where("n > 0 and id is not null").select(F.col("id").alias("rep"), "node", "other", "band", "own", "below")
-    # a class is one row, however many rows its id has
-    own = named.join(sketches, ["rep", "node", "other"]).groupBy("cluster", "rep", "node", "other", "n", "band").agg(
-        F.first("own").alias("own"), F.first("below").alias("below"))
-    own, path = written(own, "sketches")
-    per_band = own.groupBy("cluster", "band").agg(
-        F.ceil(F.greatest(F.count("*") / SKETCHES, F.sum(F.octet_length("own")) / SKETCH_BYTES)).cast("int").alias("slices"))
-    # a cluster has at most a few dozen bands: their number is the logarithm of the largest set
-    slices = per_band.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "slices"))).alias("slices"))
+def near_edges(candidates: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``(a, b)`` of nodes that sketches don't tell apart, as stars: linked sets are connected.
+
+    Sets with a leader in common are compared, by bands, tile by tile; rows are
+    dealt to tiles before their sketches are joined to them.
+    """
+    known = sets.where("n > 0 and id is not null").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("band").alias("band"), F.first("own").alias("own"), F.first("below").alias("below"))
+    known, _ = written(known, "sketches")
+    members, _ = written(candidates.join(known.select("node", "n", "band"), "node"), "candidates")
+    per_band = members.groupBy("leader", "band").agg(
+        F.ceil(F.greatest(F.count("*") / SKETCHES, F.sum("n") / (8 * SKETCH_BYTES))).cast("int").alias("slices"), F.count("*").alias("m"))
+    # a leader's sets are of at most a few dozen bands: their number is the logarithm of the largest set
+    slices = per_band.groupBy("leader").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("slices", "m")))).alias("bands"))
 
     def of(band):
-        return F.coalesce(F.try_element_at("slices", band), F.lit(0))
+        return F.coalesce(F.try_element_at("bands", band)["slices"], F.lit(0))
 
-    def numbers(n):
-        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    def numbers(n, use=F.lit(True)):
+        return F.when(use & (n > 0), F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
-    def tile(band, cross, i, j, side, sketch):
-        return F.struct(band.alias("band"), F.lit(cross).alias("cross"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"), F.col(sketch).alias("sketch"))
+    def tile(band, cross, i, j, side):
+        return F.struct(band.alias("band"), F.lit(cross).alias("cross"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
 
     band, s = F.col("band"), F.pmod(F.xxhash64("node"), of(F.col("band"))).cast("int")
+    alone = F.try_element_at("bands", band)["m"] == 1
     tiles = F.concat(
-        F.transform(numbers(of(band)), lambda k: tile(band, False, F.least(k, F.col("s")), F.greatest(k, F.col("s")), k < F.col("s"), "own")),
-        F.transform(numbers(of(band + 1)), lambda k: tile(band, True, F.col("s"), k, F.lit(0), "own")),
-        F.transform(F.when(F.col("below").isNotNull(), numbers(of(band - 1))).otherwise(F.array().cast("array<int>")),
-                    lambda k: tile(band - 1, True, k, F.col("s"), F.lit(1), "below")))
-    rows = (own.join(slices, "cluster").withColumn("s", s).select("cluster", "node", "n", F.explode(tiles).alias("t"))
-            .select("cluster", "node", "n", "t.*"))
-    return rows.groupBy("cluster", "band", "cross", "i", "j").applyInArrow(lambda t: _near(t, num, den), "a long, b long")
+        F.transform(numbers(of(band), ~alone), lambda k: tile(band, False, F.least(k, F.col("s")), F.greatest(k, F.col("s")), k < F.col("s"))),
+        F.transform(numbers(of(band + 1)), lambda k: tile(band, True, F.col("s"), k, F.lit(0))),
+        F.transform(numbers(of(band - 1)), lambda k: tile(band - 1, True, k, F.col("s"), F.lit(1))))
+    rows = (members.join(slices, "leader").withColumn("s", s).select("leader", "node", "n", F.explode(tiles).alias("t"))
+            .select("leader", "node", "n", "t.*"))
+    sketches = known.select("node", F.explode(F.array(F.struct("band", F.col("own").alias("sketch")), F.struct(
+        (F.col("band") - 1).alias("band"), F.col("below").alias("sketch")))).alias("k")).select("node", "k.*").where("sketch is not null")
+    return (rows.join(sketches, ["node", "band"]).groupBy("leader", "band", "cross", "i", "j")
+            .applyInArrow(lambda t: _near(t, num, den), "a long, b long"))
 
 
 def _compare(rows: pa.Table, num: int, den: int, shingle: int) -> pa.Table:
@@ -404,11 +408,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if num * num < THIN * den * (den - num):
         total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         common = common_shingles(d.where("id is not null"), shingle, total)
-    clusters = components(candidate_edges(d.where("id is not null"), num, den, shingle, common))
-    found = classes.join(clusters, "node").select("node", "other", "n", "rep", "copies", F.col("root").alias("cluster"))
-    found, _ = written(found.join(found.groupBy("cluster").agg(F.count("*").alias("m")).where("m > 1").select("cluster"), "cluster"), "found")
+    found = candidates(d.where("id is not null"), num, den, shingle, common)
     tested = components(near_edges(found, sets, num, den))
-    named = found.drop("cluster").join(tested, "node").withColumnRenamed("root", "cluster")
+    named = classes.join(tested, "node").withColumnRenamed("root", "cluster")
     blocks = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
     size = named.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("m")).where("m > 1")
     named, _ = written(named.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")), "classes")

@@ -178,7 +178,7 @@ def test_unlike_sets_are_no_candidates_at_four_fifths():
     sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 300).astype(np.uint64)])) for _ in range(300)]
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     key, of = J.sketch_blocks(np.concatenate(sets), bounds, 80, 100, np.sort(passage))
-    assert len(J._forest(*J._stars(key, of)[2:])[0]) < 30
+    assert len(J._forest(*J._leaders(key, of))[0]) < 30
 
 
 @pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (1, 2)])
@@ -218,15 +218,25 @@ def test_a_shared_passage_leaves_before_texts_are_compared(spark, monkeypatch):
     seen = []
 
     near = J.near_edges
-    monkeypatch.setattr(J, "near_edges", lambda named, *a: seen.append((named, near(named, *a))) or seen[0][1])
+    monkeypatch.setattr(J, "near_edges", lambda found, *a: seen.append((found, near(found, *a))) or seen[0][1])
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = J.ngram_jaccard_join(df, num=80, den=100, shingle=5)
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got.collect()) == linked_pairs(rows, 5, 80, 100)
-    named, edges = seen[0]
-    assert named.groupBy("cluster").count().agg({"count": "max"}).first()[0] > 20
+    found, edges = seen[0]
+    assert components(found.selectExpr("node a", "leader b")).groupBy("root").count().agg({"count": "max"}).first()[0] > 20
     assert components(edges).groupBy("root").count().agg({"count": "max"}).first()[0] == 2
 
 
+def test_sets_of_a_block_have_a_leader_in_common():
+    rng = np.random.default_rng(3)
+    key, node = rng.integers(0, 40, 300).astype(np.uint64), rng.integers(-50, 50, 300)
+    pairs = set(zip(*(x.tolist() for x in J._leaders(key, node))))
+    for k in np.unique(key):
+        own = set(node[key == k].tolist())
+        assert {(n, min(own)) for n in own if n != min(own)} <= pairs
+    assert len(pairs) <= 300 and all(n > low for n, low in pairs)
+
+
 def test_linked_rows_of_one_id(spark):
     """Two texts of an id that are linked with each other only."""
     words = [f"w{k}" for k in range(300)]
