@@ -62,6 +62,15 @@ def plan_a_features(train: DataFrame, valid: DataFrame) -> DataFrame:
                     *[c for c in PCA_KEEP if c in train.columns]))
 
 
+# Rates, which get 0.65 where there is none; other columns get 0.
+RATES = ("answered_correctly_avg_u", "part_avg_u", "answered_correctly_avg_c")
+
+
+def filled_plan_a(train: DataFrame, valid: DataFrame) -> DataFrame:
+    """``plan_a_features`` with NULLs imputed."""
+    return plan_a_features(train, valid).fillna(0.65, list(RATES)).fillna(0.0, [c for c in PLAN_A if c not in RATES])
+
+
 def causal_features(spark: SparkSession, sf_dir: str, with_pca: bool = True) -> DataFrame:
     out = causal_features_from(fx.interactions(spark, sf_dir), fx.questions(spark, sf_dir), with_pca)
     return out.select("row_id", "user_id", "content_id", "timestamp", "answered_correctly",

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import metrics as mt
+from ..models import committed
 from ..operators import model as md
 from ..operators import stats as st
 from ..operators.joins import join_dim
 from ..oracle_views import with_views
 from ..registry import register
 from ..sources import fixtures as fx
-from .causal import CATEGORICAL, FEATURES, PCA_KEEP, PLAN_A, plan_a_features, question_dim_with_pca
+from .causal import CATEGORICAL, FEATURES, PCA_KEEP, PLAN_A, RATES, filled_plan_a, plan_a_features, question_dim_with_pca
 from .common import log
 from .q_joins import CSTATS
 from .q_state import _sql as state_sql
@@ -34,16 +35,17 @@ vfeats AS (
   FROM valid v LEFT JOIN us ON v.user_id = us.user_id
   LEFT JOIN ps ON v.user_id = ps.user_id AND coalesce(v.part, -1) = ps.part_k
   LEFT JOIN cs ON v.user_id = cs.user_id AND v.content_id = cs.content_id),"""
-PLAN_A_SQL = state_sql(f""", {_FEATS.strip()}
-{CSTATS.strip().replace("FROM interactions WHERE content_type_id = 0", "FROM train")}
-SELECT q.row_id, q.user_id, q.content_id, f.is_valid, q.answered_correctly,
+PLAN_A_BODY = f""", {_FEATS.strip()}
+{CSTATS.strip().replace("FROM interactions WHERE content_type_id = 0", "FROM train")},
+plan_a AS (SELECT q.row_id, q.user_id, q.content_id, f.is_valid, q.answered_correctly,
        CAST(f.su AS DOUBLE) / nullif(f.cu, 0) AS answered_correctly_avg_u, f.su AS answered_correctly_sum_u, f.cu AS count_u,
        c.answered_correctly_avg_c, q.part, CAST(coalesce(q.prior_question_had_explanation, false) AS INTEGER) AS prior_question_had_explanation,
        coalesce(q.prior_question_elapsed_time, (SELECT avg(prior_question_elapsed_time) FROM train)) AS prior_question_elapsed_time,
        f.first_time, CAST(f.sp AS DOUBLE) / nullif(f.cp, 0) AS part_avg_u, f.sp AS part_sum_u, f.cp AS part_count_u,
        c.answered_correctly_sum_c, c.answered_correctly_count_c, c.answered_correctly_std_c
 FROM (SELECT * FROM tfeats UNION ALL SELECT * FROM vfeats) f JOIN qrows q ON f.row_id = q.row_id
-LEFT JOIN cstats c ON q.content_id = c.content_id""")
+LEFT JOIN cstats c ON q.content_id = c.content_id)"""
+PLAN_A_SQL = state_sql(f"{PLAN_A_BODY}\nSELECT * FROM plan_a")
 
 
 @register("plan_a_features", PLAN_A_SQL)
@@ -55,8 +57,7 @@ def model_table(spark, sf):
     """Plan A's features with the tags' PCA scores, NULLs imputed."""
     pca = question_dim_with_pca(fx.questions(spark, sf)).drop("part")
     f = plan_a_features(*[join_dim(d.drop("question_id"), pca, "content_id", "question_id") for d in train_valid(spark, sf)])
-    rates = ("answered_correctly_avg_u", "part_avg_u", "answered_correctly_avg_c")
-    return f.fillna(0.65, list(rates)).fillna(0.0, [c for c in [*PLAN_A, *PCA_KEEP] if c not in rates])
+    return f.fillna(0.65, list(RATES)).fillna(0.0, [c for c in [*PLAN_A, *PCA_KEEP] if c not in RATES])
 
 
 def fitted(spark, sf):
@@ -76,8 +77,19 @@ def train_gbt(spark, sf):
                       "answered_correctly", "score")
 
 
-@register("predict_scores")
+_FILLED = ", ".join(f"coalesce(CAST({c} AS DOUBLE), {0.65 if c in RATES else 0.0}) AS {c}" for c in PLAN_A)
+
+
+@register("predict_scores", state_sql(f"""{PLAN_A_BODY.strip()}
+SELECT row_id, {committed("causal").sql()} AS score FROM (SELECT row_id, {_FILLED} FROM plan_a WHERE is_valid) f"""))
 def predict_scores(spark, sf):
+    # The committed model, as a column expression, over plan A's valid rows.
+    rows = filled_plan_a(*train_valid(spark, sf)).filter("is_valid")
+    return rows.select("row_id", committed("causal").score().alias("score"))
+
+
+@register("predict_scores_trained")
+def predict_scores_trained(spark, sf):
     model, table = fitted(spark, sf)
     return md.predict_scores(model, table.filter("is_valid"))
 

@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..models import committed
 from ..operators.model import GBTConfig, train_gbt
 from ..operators.stats import content_stats
 from ..oracle_views import std_int_sql, test_batches_sql, with_views
@@ -19,7 +20,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..streaming.late_labels import batch_filter, write_batches
 from ..streaming.late_state import run_late_labels_in_state
-from ..streaming.scoring import drain_to_parquet, lecture_score_stream, score_stream
+from ..streaming.scoring import drain_to_parquet, ensemble_score_stream, lecture_score_stream, score_stream
 from ..streaming.user_state import stream_user_state as user_state_stream
 from .common import QUESTION_ROWS_SQL
 from .q_history import W_U
@@ -90,8 +91,8 @@ def lecture_model(spark, sf):
     return _MODELS[key]
 
 
-@register("stream_lecture_score")
-def stream_lecture_score(spark, sf):
+@register("stream_lecture_score_trained")
+def stream_lecture_score_trained(spark, sf):
     model, tables = lecture_model(spark, sf)
     base = _base(spark, "stream-lecture")
     scores = lecture_score_stream(batch_stream(spark, sf, base), model, tables)
@@ -110,15 +111,18 @@ def static_model(spark, sf):
 _TAGS = ", ".join(f"coalesce(CAST(TRY_CAST(string_split(q.tags, ' ')[{i}] AS INTEGER) AS DOUBLE), 0.5) AS tags{i}" for i in (1, 2, 3))
 
 
-@register("stream_static_features", with_views(f"""WITH {QUESTION_ROWS_SQL.strip()},
+STATIC_SQL = f"""WITH {QUESTION_ROWS_SQL.strip()},
 u AS (SELECT user_id, avg(answered_correctly) AS a, CAST(sum(answered_correctly) AS DOUBLE) AS s FROM qrows GROUP BY user_id),
-c AS (SELECT content_id, avg(answered_correctly) AS a FROM qrows GROUP BY content_id)
-SELECT r.row_id, coalesce(u.a, 0.5) AS answered_correctly_user, coalesce(u.s, 0.5) AS sum, coalesce(c.a, 0.5) AS answered_correctly_content,
+c AS (SELECT content_id, avg(answered_correctly) AS a FROM qrows GROUP BY content_id),
+feats AS (SELECT r.row_id, coalesce(u.a, 0.5) AS answered_correctly_user, coalesce(u.s, 0.5) AS sum, coalesce(c.a, 0.5) AS answered_correctly_content,
        coalesce(CAST(q.bundle_id AS DOUBLE), 0.5) AS bundle_id, coalesce(CAST(q.part AS DOUBLE), 0.5) AS part,
        coalesce(r.prior_question_elapsed_time, 0.5) AS prior_question_elapsed_time,
        CAST(coalesce(r.prior_question_had_explanation, false) AS DOUBLE) AS prior_question_had_explanation_enc, {_TAGS}
 FROM qrows r LEFT JOIN u ON r.user_id = u.user_id LEFT JOIN c ON r.content_id = c.content_id
-LEFT JOIN questions q ON r.content_id = q.question_id""", "interactions", "questions"))
+LEFT JOIN questions q ON r.content_id = q.question_id)"""
+
+
+@register("stream_static_features", with_views(f"{STATIC_SQL}\nSELECT * FROM feats", "interactions", "questions"))
 def stream_static_features(spark, sf):
     # What stream_static_score gives to the model, streamed in the same way.
     base = _base(spark, "stream-static-features")
@@ -130,22 +134,24 @@ def stream_static_features(spark, sf):
 _PROFILE = ", ".join(f"coalesce(p.{n}, 0) AS {n}, CAST(coalesce(p.{n}, 0) > 0 AS INTEGER) AS {n}_boolean" for n in PROFILE_NAMES)
 
 
-@register("stream_lecture_features", with_views(f"""WITH {QUESTION_ROWS_SQL.strip()},
+LECTURE_SQL = f"""WITH {QUESTION_ROWS_SQL.strip()},
 {PROFILE_SQL.strip()},
 load AS ({CONTAINER_LOAD_SQL}),
 qs AS (SELECT content_id, CAST(round_even(CAST(avg(answered_correctly) AS DECIMAL(18, 9)), 5) AS DOUBLE) AS r, count(*) AS n FROM qrows GROUP BY content_id),
 qd AS (SELECT q.question_id, q.part, qs.r,
               CASE WHEN qs.n < 3 THEN 0.65 WHEN qs.r < 0.2 AND qs.n < 21 THEN 0.2 WHEN qs.r > 0.95 AND qs.n < 21 THEN 0.95 ELSE qs.r END AS quest_pct
        FROM questions q LEFT JOIN qs ON q.question_id = qs.content_id),
-us AS (SELECT user_id, avg(answered_correctly) AS a, avg(CAST(coalesce(prior_question_had_explanation, false) AS INTEGER)) AS e FROM qrows GROUP BY user_id)
-SELECT r.row_id, coalesce(us.a, 0.65) AS answered_correctly_user, coalesce(us.e, (SELECT avg(e) FROM us)) AS explanation_mean_user,
+us AS (SELECT user_id, avg(answered_correctly) AS a, avg(CAST(coalesce(prior_question_had_explanation, false) AS INTEGER)) AS e FROM qrows GROUP BY user_id),
+feats AS (SELECT r.row_id, coalesce(us.a, 0.65) AS answered_correctly_user, coalesce(us.e, (SELECT avg(e) FROM us)) AS explanation_mean_user,
        coalesce(qd.quest_pct, (SELECT avg(r) FROM qd)) AS quest_pct, coalesce(l.avg_questions_seen, 1.0) AS avg_questions_seen,
        coalesce(r.prior_question_elapsed_time, (SELECT avg(prior_question_elapsed_time) FROM qrows)) AS prior_question_elapsed_time,
        CAST(coalesce(r.prior_question_had_explanation, false) AS INTEGER) AS prior_question_had_explanation_enc,
        CAST(coalesce(qd.part - 1, 4) AS INTEGER) AS part, {_PROFILE}
 FROM qrows r LEFT JOIN us ON r.user_id = us.user_id LEFT JOIN qd ON r.content_id = qd.question_id
-LEFT JOIN load l ON least(r.task_container_id, 9999) = l.task_container_id LEFT JOIN profile p ON r.user_id = p.user_id""",
-    "interactions", "questions", "lectures"))
+LEFT JOIN load l ON least(r.task_container_id, 9999) = l.task_container_id LEFT JOIN profile p ON r.user_id = p.user_id)"""
+
+
+@register("stream_lecture_features", with_views(f"{LECTURE_SQL}\nSELECT * FROM feats", "interactions", "questions", "lectures"))
 def stream_lecture_features(spark, sf):
     # What stream_lecture_score gives to the model, streamed in the same way.
     base = _base(spark, "stream-lecture-features")
@@ -155,23 +161,45 @@ def stream_lecture_features(spark, sf):
     return drain_to_parquet(spark, ts.featurise(rows, tables).select("row_id", *ts.FEATURES), f"{base}/out", f"{base}/ckpt")
 
 
-@register("stream_static_score")
+@register("stream_static_score", with_views(f"{STATIC_SQL}\nSELECT row_id, {committed('static').sql()} AS score FROM feats", "interactions", "questions"))
 def stream_static_score(spark, sf):
     # Frozen user / content / question statistics joined to each micro-batch,
-    # NULLs filled with 0.5, scored by the model trained on the log.
+    # NULLs filled with 0.5, scored by the committed model.
+    base = _base(spark, "stream-static")
+    stats = ss.materialize(ss.static_stats(fx.interactions(spark, sf), fx.questions(spark, sf)), f"{base}/stats")
+    scores = ensemble_score_stream(batch_stream(spark, sf, base), committed("static"), lambda q: ss.featurise(q, stats))
+    return drain_to_parquet(spark, scores, f"{base}/out", f"{base}/ckpt")
+
+
+@register("stream_static_score_trained")
+def stream_static_score_trained(spark, sf):
+    # The same with the model trained on the log.
     model, stats = static_model(spark, sf)
     base = _base(spark, "stream-static")
     scores = score_stream(batch_stream(spark, sf, base), model, lambda q: ss.featurise(q, stats))
     return drain_to_parquet(spark, scores, f"{base}/out", f"{base}/ckpt")
 
 
-@register("sink_predictions")
+def lecture_scores(spark, sf, base, keep=()):
+    """Scores of the committed model on the stream, with the static tables of the log."""
+    lg, q, l = fx.interactions(spark, sf), fx.questions(spark, sf), fx.lectures(spark, sf)
+    tables = ts.materialize(ts.static_tables(lg, q, l), f"{base}/tables")
+    return ensemble_score_stream(batch_stream(spark, sf, base), committed("lecture"), lambda rows: ts.featurise(rows, tables), keep)
+
+
+@register("stream_lecture_score", with_views(f"{LECTURE_SQL}\nSELECT row_id, {committed('lecture').sql()} AS score FROM feats", "interactions", "questions", "lectures"))
+def stream_lecture_score(spark, sf):
+    base = _base(spark, "stream-lecture")
+    return drain_to_parquet(spark, lecture_scores(spark, sf, base), f"{base}/out", f"{base}/ckpt")
+
+
+@register("sink_predictions", with_views(f"""{LECTURE_SQL}
+SELECT row_id, {committed('lecture').sql()} AS answered_correctly, CAST(row_id // {BATCH_ROWS} AS INTEGER) AS group_num FROM feats""",
+    "interactions", "questions", "lectures"))
 def sink_predictions(spark, sf):
     # The submission form: the score under the label's name, a folder per batch.
-    model, tables = lecture_model(spark, sf)
     base = _base(spark, "stream-sink")
-    batches = batch_stream(spark, sf, base)
-    scores = lecture_score_stream(batches, model, tables, keep=("group_num",)).withColumnRenamed("score", "answered_correctly")
+    scores = lecture_scores(spark, sf, base, keep=("group_num",)).withColumnRenamed("score", "answered_correctly")
     return drain_to_parquet(spark, scores, f"{base}/predictions", f"{base}/ckpt", partition_by=("group_num",))
 
 

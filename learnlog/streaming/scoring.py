@@ -12,6 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ensemble import Ensemble
 from ..operators.model import predict_scores
 from ..plans.tail_split import StaticTables, featurise
 
@@ -22,6 +23,12 @@ def score_stream(stream: DataFrame, model: PipelineModel, prepare, keep: tuple[s
     return predict_scores(model, prepare(q), keep=keep)
 
 
+def ensemble_score_stream(stream: DataFrame, ensemble: Ensemble, prepare, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``score_stream`` with the ensemble as a column expression: no model object in the stream's tasks."""
+    q = stream.filter(F.col("content_type_id") == 0)
+    return prepare(q).select("row_id", ensemble.score().alias("score"), *keep)
+
+
 def lecture_score_stream(stream: DataFrame, model: PipelineModel, tables: StaticTables, keep: tuple[str, ...] = ()) -> DataFrame:
     return score_stream(stream, model, lambda q: featurise(q, tables), keep)
 
