@@ -15,6 +15,7 @@ weighted sum of the trees' leaves, as gradient-boosted classification has it.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -93,16 +94,18 @@ class Ensemble:
             trees.setdefault(n.tree, {})[n.node] = n
         return [(own[0].weight, own) for _, own in sorted(trees.items())]
 
-    def score(self) -> Column:
-        """P(1) as a column of the features' columns."""
+    def score(self, columns: Mapping[str, Column] | None = None) -> Column:
+        """P(1) as a column of the features' columns, or of others that ``columns`` has in their place."""
+        place = {f: F.col(f) for f in self.features} | dict(columns or {})
+
         def walk(own: dict[int, Node], k: int) -> Column:
             n = own[k]
             if n.value is not None:
                 return F.lit(n.value)
             if n.threshold is not None:
-                goes_left = F.coalesce(F.col(n.feature).cast("double"), F.lit(float("nan"))) <= F.lit(n.threshold)
+                goes_left = F.coalesce(place[n.feature].cast("double"), F.lit(float("nan"))) <= F.lit(n.threshold)
             else:
-                text = F.col(n.feature).cast("string")
+                text = place[n.feature].cast("string")
                 goes_left = F.coalesce(text.isin(n.categories), F.lit(False))
                 if n.unseen:
                     goes_left = goes_left | ~F.coalesce(text.isin(n.seen), F.lit(False))

@@ -100,6 +100,28 @@ def feature_importance(spark, sf):
     return md.feature_importance(model, FEATURES, spark)
 
 
+def _permuted_sql(features, score: str, seed: int = 7) -> str:
+    """AUC of ``filled(row_id, y, features)`` with each feature dealt to other rows ('': none)."""
+    parts = [f"SELECT '' AS feature, y, {score} AS score FROM placed"]
+    for f in features:
+        dealt = f"SELECT {f} AS x, row_number() OVER (ORDER BY md5('{seed}:{f}:' || row_id), row_id) AS place FROM filled"
+        parts.append(f"SELECT '{f}', y, {score} FROM (SELECT p.* REPLACE (d.x AS {f}) FROM placed p JOIN ({dealt}) d ON p.place = d.place) t")
+    return f"""placed AS (SELECT *, row_number() OVER (ORDER BY row_id) AS place FROM filled),
+permuted AS ({" UNION ALL ".join(parts)}),
+counts AS (SELECT feature, score, sum(y) AS pos, sum(1 - y) AS neg FROM permuted GROUP BY ALL),
+below AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM counts),
+aucs AS (SELECT feature, sum(pos * (nb + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS auc FROM below GROUP BY feature)
+SELECT a.feature, w.auc, a.auc AS permuted_auc, w.auc - a.auc AS importance FROM aucs a, aucs w WHERE a.feature <> '' AND w.feature = ''"""
+
+
+@register("permutation_importance", state_sql(f"""{PLAN_A_BODY.strip()},
+filled AS (SELECT row_id, answered_correctly AS y, {_FILLED} FROM plan_a WHERE is_valid),
+{_permuted_sql(PLAN_A, committed("causal").sql())}"""))
+def permutation_importance(spark, sf):
+    rows = filled_plan_a(*train_valid(spark, sf)).filter("is_valid")
+    return mt.permutation_importance(rows, committed("causal"))
+
+
 SCORED_SQL = """
 scored AS (
   SELECT i.answered_correctly AS y, c.m AS score

@@ -68,3 +68,57 @@ def test_committed_models_are_whole(name):
     assert {n.feature for n in ensemble.nodes if n.feature} <= set(ensemble.features)
     for _, own in ensemble._trees():
         assert all(n.value is not None or (n.left in own and n.right in own) for n in own.values()) and 0 in own
+
+
+@pytest.mark.parametrize("rows_per_task", [None, 100])
+def test_permutation_importance_against_a_loop(spark, fitted, rows_per_task):
+    import hashlib
+    import math
+
+    from learnlog.functions.metrics import permutation_importance
+
+    model, df, features = fitted
+    model = train_gbt(df, features, cfg=GBTConfig(max_iter=5, max_depth=3, validation_tol=0.0))
+    ensemble = Ensemble.of_model(model, features)
+    valid = df.where("is_valid").withColumn("b", F.when(F.col("row_id") % 3 > 0, F.col("b")))
+    rows = [r.asDict() for r in valid.collect()]
+
+    def auc(scored):
+        pos, neg = [s for s, y in scored if y], [s for s, y in scored if not y]
+        return sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
+
+    def score(r):
+        margin = 0.0
+        for weight, own in ensemble._trees():
+            n = own[0]
+            while n.value is None:
+                x = r[n.feature]
+                n = own[n.left if x is not None and not math.isnan(x) and x <= n.threshold else n.right]
+            margin += weight * n.value
+        return 1 / (1 + math.exp(-2 * margin))
+
+    whole = auc([(score(r), r["answered_correctly"]) for r in rows])
+    got = {r["feature"]: r for r in permutation_importance(valid, ensemble, seed=3, rows_per_task=rows_per_task).collect()}
+    assert set(got) == set(features)
+    by_key = sorted(rows, key=lambda r: r["row_id"])
+    for f in features:
+        dealt = sorted(rows, key=lambda r: (hashlib.md5(f"3:{f}:{r['row_id']}".encode()).hexdigest(), r["row_id"]))
+        permuted = auc([(score(r | {f: d[f]}), r["answered_correctly"]) for r, d in zip(by_key, dealt)])
+        assert got[f]["auc"] == pytest.approx(whole, abs=1e-12) and got[f]["permuted_auc"] == pytest.approx(permuted, abs=1e-12)
+    assert got["a"]["importance"] > 0.1
+
+
+def test_permutation_importance_of_categories(spark, fitted):
+    """The model with categories: each column dealt anew by hand, scored by the model itself."""
+    from pyspark.sql import Window
+
+    from learnlog.functions.metrics import permutation_importance, roc_auc
+
+    model, df, features = fitted
+    valid = df.where("is_valid")
+    got = {r["feature"]: r["permuted_auc"] for r in permutation_importance(valid, Ensemble.of_model(model, features)).collect()}
+    for f in ("part", "a"):
+        by_key = valid.withColumn("p", F.row_number().over(Window.orderBy("row_id"))).drop(f)
+        dealt = valid.select(f, F.row_number().over(Window.orderBy(F.md5(F.concat_ws(":", F.lit(7), F.lit(f), "row_id").cast("binary")))).alias("p"))
+        scored = predict_scores(model, by_key.join(dealt, "p"), keep=("answered_correctly",))
+        assert got[f] == pytest.approx(roc_auc(scored, "answered_correctly", "score").first()[0], abs=1e-12)
