@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import sketches as sk
 from ..operators import stats as st
 from ..operators.joins import attach_lecture_dim
 from ..oracle_views import std_int_sql, with_views
 from ..registry import register
 from ..schema import LECTURE_TYPES, PARTS
+from ..session import scratch_path, stored
 from ..sources import fixtures as fx
 from .common import QUESTION_ROWS_SQL, log, question_rows
 
@@ -191,6 +195,22 @@ def distinct_counts(spark, sf):
     return st.distinct_counts(log(spark, sf), ["user_id", "content_id", "task_container_id"])
 
 
+COUNTED = ("user_id", "content_id", "task_container_id")
+
+
+@register("distinct_counts_by_day", with_views("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_exact, true AS within_three_errors FROM interactions" for c in COUNTED), "interactions"))
+def distinct_counts_by_day(spark, sf):
+    """Sketches of the first half of the days, the other half folded in; estimates against the exact counts."""
+    lg, path = stored(log(spark, sf).select(*COUNTED, F.floor(F.col("timestamp") / fx.DAY_MS).cast("int").alias("day")), "days"), scratch_path(spark, f"hll-{uuid.uuid4().hex}")
+    late = F.col("day") % 2 == 1
+    sk.write_sketches(sk.daily_sketches(lg.where(~late), COUNTED, F.col("day")), path)
+    sk.update_sketches(spark, path, lg.where(late), COUNTED, F.col("day"))
+    exact = st.distinct_counts(lg, COUNTED).unpivot([], [f"n_{c}" for c in COUNTED], "column", "n_exact").withColumn("column", F.substring("column", 3, 100))
+    near = F.abs(F.col("n") - F.col("n_exact")) <= 3 * sk.STANDARD_ERROR * F.col("n_exact")
+    return exact.join(sk.distinct_estimates(spark.read.parquet(path)), "column").select("column", "n_exact", near.alias("within_three_errors"))
+
+
 PROFILE_COLS = ["answered_correctly", "prior_question_elapsed_time", "content_type_id"]
 _SUMMARY = "\nUNION ALL\n".join(f"""
 SELECT '{c}' AS "column", count(v) AS "count", avg(v) AS mean, stddev_samp(v) AS std, min(v) AS "min",
