@@ -214,7 +214,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     size = d.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.sum(F.octet_length("text")).alias("bytes"))
     last = F.greatest("bytes", F.lit(fit_bytes // LONG_PART))
     so_far = F.sum("bytes").over(Window.orderBy(last, F.xxhash64("id"), "id"))
-    chosen = size.withColumn("so_far", so_far).where(F.coalesce("so_far", F.lit(0)) <= fit_bytes).select("id", "label")
+    # a label whose texts are all above that has its shortest one
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("bytes", F.xxhash64("id"), "id"))
+    chosen = size.withColumns({"so_far": so_far, "nth": nth}).where((F.coalesce("so_far", F.lit(0)) <= fit_bytes) | (F.col("nth") == 1)).select("id", "label")
     sample = d.join(F.broadcast(chosen), "id")
     model = _fit(sample, ratios, bits)
     if model is None:

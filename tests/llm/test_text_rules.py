@@ -226,6 +226,15 @@ def test_long_texts_leave_others_in_the_fit(spark):
     assert len(got) == 120 and all((got[i] > 0.5) == (i % 2 == 1) for i in got)
 
 
+def test_a_fit_where_every_text_is_above_the_limit(spark):
+    """The shortest text of each label is learned from, instead of the base rate for all."""
+    rows = [(i, ("good words here " if i % 2 else "junk $$$ spam ") * (2000 + i), i % 2) for i in range(12)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in quality_scores(docs, labels, fit_bytes=1000).collect()}
+    assert min(got[i] for i in got if i % 2) > max(got[i] for i in got if i % 2 == 0)
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(1)
     rows = [np.sort(rng.choice(50, 6, replace=False)) for _ in range(300)]
