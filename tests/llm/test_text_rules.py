@@ -59,6 +59,70 @@ def test_quality_rules_keep_clean_and_drop_junk(spark):
     assert np.mean([rows[i]["kept"] for i in junk]) < 0.35
 
 
+def test_verdicts_document_by_document(spark):
+    """Histograms, references and distances of a whole table in plain loops."""
+    import math
+
+    from learnlog.llm import quality_rules as Q
+    from learnlog.llm import text as X
+
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    groups = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "space": " \t\x0b\x0c", "line": "\r\n",
+              "stop": ".,;:?", "quote": "'\"`-", "bracket": "()[]{}", "symbol": "#*$%&|<>!@+=/\\^_~"}
+    of = {c: name for name, chars in groups.items() for c in chars}
+    bins: dict[bytes, int] = {}
+
+    def bin_of(word):
+        word = word.lower()
+        word = word[:-1] if len(word) > 1 and word[-1:] in (b".", b",", b";", b":", b"?") else word
+        if word not in bins:
+            bins[word] = int(X.words_of([word]).hashes()[0]) >> 48
+        return bins[word]
+
+    def histograms(text):
+        chars = Counter(of.get(c, "control" if ord(c) < 32 or ord(c) == 127 else "other") for c in text)
+        return chars, Counter(bin_of(w) for w in text.encode().split())
+
+    seen = {i: histograms(t or "") for i, t, _ in docs}
+    failed = {i: base_counts(t)[5] for i, t, _ in docs}
+    languages = {}
+    for i, _, lang in docs:
+        if not failed[i]:
+            chars, words = languages.setdefault(lang or "", (Counter(), Counter()))
+            chars.update(seen[i][0])
+            words.update(seen[i][1])
+    refs = []
+    for chars, words in languages.values():
+        total = sum(words.values())
+        if total >= Q.MIN_REFERENCE_WORDS:
+            common = sorted(((n, b) for b, n in words.items()), reverse=True)[: Q.COMMON]
+            p = {b: n / total for n, b in common} | {"rest": 1 - sum(n for n, _ in common) / total}
+            refs.append(({c: n / sum(chars.values()) for c, n in chars.items()}, p))
+    assert len(refs) == 4
+
+    def distance(p, q):
+        kl = 0.0
+        for k in set(p) | set(q):
+            a, b = p.get(k, 0.0), q.get(k, 0.0)
+            kl += (a * math.log2(2 * a / (a + b)) if a > 0 else 0) + (b * math.log2(2 * b / (a + b)) if b > 0 else 0)
+        return math.sqrt(min(1, max(0, kl / 2)))
+
+    rows = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)).collect()}
+    for i, text, _ in docs:
+        chars, words = seen[i]
+        n, best = sum(words.values()), None
+        for p, q in refs:
+            own = Counter()
+            for b, k in words.items():
+                own[b if b in q else "rest"] += k
+            d = (distance({c: k / max(1, sum(chars.values())) for c, k in chars.items()}, p), distance({b: k / max(1, n) for b, k in own.items()}, q))
+            best = min(best or d, d, key=sum)
+        assert rows[i]["char_distance"] == pytest.approx(best[0], abs=1e-6) and rows[i]["word_distance"] == pytest.approx(best[1], abs=1e-6), i
+        margins = (best[0] - Q.CHAR_LIMIT - Q.NOISE / math.sqrt(max(1, len((text or "").encode()))), best[1] - Q.WORD_LIMIT - Q.NOISE / math.sqrt(max(1, n)))
+        if min(abs(m) for m in margins) > 1e-6:
+            assert rows[i]["kept"] == (not failed[i] and max(margins) <= 0), i
+
+
 def test_js_distance():
     p = np.array([[1.0, 0.0], [0.5, 0.5], [0.0, 1.0]])
     d = js_distance(p, np.array([1.0, 0.0]))
