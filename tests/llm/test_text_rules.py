@@ -237,6 +237,51 @@ def test_language_prediction(spark, edge_frame, no_docs):
     assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
 
 
+def test_predictions_against_sets_of_grams(spark):
+    """Grams of each language as plain sets instead of filters: counts differ by the filters' false positives only."""
+    from learnlog.llm import language_id as I
+
+    def grams(text):
+        data, out = text.encode(), bytearray(b" ")
+        for k, c in enumerate(data):
+            if 65 <= c <= 90 or (k and data[k - 1] == 0xC3 and 0x80 <= c <= 0x9E and c != 0x97):
+                c += 32
+            elif not (97 <= c <= 122 or c >= 0x80):
+                c = 32
+            if c != 32 or out[-1] != 32:
+                out.append(c)
+        if out[-1] != 32:
+            out.append(32)
+        return [bytes(out[i:i + 4]) for i in range(len(out) - 3)]
+
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    own = {i: grams(t or "") for i, t, _ in docs}
+    code, doc = gram_codes([(t or "").encode() for _, t, _ in docs])
+    want = [(int.from_bytes(g, "big"), k) for k, (i, _, _) in enumerate(docs) for g in own[i]]
+    assert sorted(zip(code.tolist(), doc.tolist())) == sorted(want)
+    learned: dict[str, Counter] = {}
+    for i, t, lang in docs:
+        if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            learned.setdefault(lang, Counter()).update(own[i])
+    total = {lang: sum(c.values()) for lang, c in learned.items()}
+    order = sorted(total, key=lambda x: (-total[x], x))
+    sets = {lang: {g for g, n in c.items() if n >= max(2, total[lang] * I.LEAST_SHARE)} for lang, c in learned.items()}
+    got = {r["doc_id"]: r for r in QUERIES["op5_language_id"](spark, SF).collect()}
+    same = 0
+    for i, t, _ in docs:
+        hits = [sum(g in sets[lang] for g in own[i]) for lang in order]
+        if not any(map(str.isalpha, t or "")):
+            assert got[i]["lang_pred"] == "und"
+            same += 1
+            continue
+        ranked = sorted(hits, reverse=True)
+        same += got[i]["lang_pred"] == order[hits.index(ranked[0])]
+        if ranked[0] - ranked[1] > 0.03 * len(own[i]) + 3:
+            assert got[i]["lang_pred"] == order[hits.index(ranked[0])]
+            assert got[i]["score"] == pytest.approx(ranked[0] / (ranked[0] + ranked[1]), abs=0.03)
+    assert same >= 0.99 * len(docs)
+
+
 def test_und_for_texts_without_letters(spark):
     learn = spark.createDataFrame([("the cat sat on the mat again and again", "en"), ("der hund und die katze und der hund", "de")], "text string, lang string")
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "12 34 !!"), (4, "the cat and the mat"), (5, "der hund")], "doc_id long, text string")
