@@ -15,11 +15,11 @@ from ..sources import fixtures as fx
 from ..sources import io
 
 
-def _csv(spark, df, name: str, schema=None) -> str:
+def _csv(spark, df, name: str, schema=None, compress=False) -> str:
     """Write ``df`` as CSV in the shared scratch folder (columns in schema
     order: CSV readers map columns by position)."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    io.write_csv(df.select(*[f.name for f in schema.fields]) if schema else df, path)
+    io.write_csv(df.select(*[f.name for f in schema.fields]) if schema else df, path, compress)
     return path
 
 
@@ -42,7 +42,8 @@ def scan_lectures(spark, sf):
 @register("scan_test_batches", with_views(f"WITH {test_batches_sql().strip()}\nSELECT * FROM batches",
                                           "interactions"))
 def scan_test_batches(spark, sf):
-    return io.read_csv(spark, _csv(spark, fx.test_batches(spark, sf), "batches", TEST_BATCHES), TEST_BATCHES)
+    # every row carries its batch's lists: kilobytes a row, which compressed files hold once
+    return io.read_csv(spark, _csv(spark, fx.test_batches(spark, sf), "batches", TEST_BATCHES, compress=True), TEST_BATCHES)
 
 
 @register("scan_inferred_csv", with_views("SELECT question_id, bundle_id, correct_answer, part, tags FROM questions", "questions"))

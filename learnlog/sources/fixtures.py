@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefix import Agg, running
+from ..operators.prefix import Agg, null_safe_join, running
+from ..session import stored
 
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY_MS = 86_400_000
@@ -106,6 +107,43 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_batches(spark: SparkSession, sf_dir: str, batch_rows: int = 1000) -> DataFrame:
+    """``test_batches`` with one row per batch: ``group_num``, the rows in row
+    order as the array ``_rows``, and the two texts. What moves between tasks is
+    of the log's size; the texts come to each row in ``unpacked`` only.
+    """
+    lg = interactions(spark, sf_dir)
+    first = ["row_id", "answered_correctly", "user_answer"]
+    rows = F.sort_array(F.collect_list(F.struct(*first, *[c for c in lg.columns if c not in first])))
+    packed = stored(lg.groupBy(F.floor(F.col("row_id") / F.lit(batch_rows)).cast("long").alias("group_num"))
+                    .agg(rows.alias("_rows")), "batches")
+
+    def as_text(field: str):
+        return F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda x: x[field].cast("string")), ", "),
+                        F.lit("]"))
+
+    texts = packed.select(F.col("group_num").alias("_of"), as_text("answered_correctly").alias("_ans"),
+                          as_text("user_answer").alias("_resp"))
+    # the batch before is found by its number, so that no task holds the texts of all batches
+    before = running(packed.select("group_num"), [], [Agg("_before", "last", F.struct("group_num"))], order=("group_num",))
+    before = before.where("_before is not null").select("group_num", F.col("_before.group_num").alias("_of"))
+    prev = null_safe_join(before, texts, ["_of"], "inner").drop("_of")
+
+    def text(c: str):
+        return F.when(F.col("group_num").isNotNull(), F.coalesce(c, F.lit("[]")))
+
+    return packed.join(prev, "group_num", "left").select(
+        "group_num", "_rows", text("_ans").alias("prior_group_answers_correct"), text("_resp").alias("prior_group_responses"))
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """The rows of ``packed_batches``, those of a batch next to each other."""
+    lists = [c for c in packed.columns if c not in ("group_num", "_rows")]
+    out = packed.select("group_num", F.explode("_rows").alias("_r"), *lists)
+    names = [c for c in out.schema["_r"].dataType.names if c not in ("user_answer", "answered_correctly")]
+    return out.select("group_num", *[F.col(f"_r.{c}") for c in names], *lists)
+
+
 def test_batches(spark: SparkSession, sf_dir: str, batch_rows: int = 1000) -> DataFrame:
     """Scoring batches in the reference's test format, built from the log.
 
@@ -114,21 +152,4 @@ def test_batches(spark: SparkSession, sf_dir: str, batch_rows: int = 1000) -> Da
     batch as text lists (``'[1, 0, -1]'``, in row order), empty for the first.
     A list holds at most ``batch_rows`` items, so no group grows with the data.
     """
-    lg = interactions(spark, sf_dir).withColumn(
-        "group_num", F.floor(F.col("row_id") / F.lit(batch_rows)).cast("long"))
-    items = lg.groupBy("group_num").agg(F.array_sort(F.collect_list(
-        F.struct("row_id", "answered_correctly", "user_answer"))).alias("_items"))
-
-    def as_text(field: str):
-        return F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x[field].cast("string")), ", "),
-                        F.lit("]"))
-
-    lists = items.select("group_num", as_text("answered_correctly").alias("_ans"),
-                         as_text("user_answer").alias("_resp"))
-    prev = running(lists, [], [Agg("prior_group_answers_correct", "last", F.col("_ans")),
-                               Agg("prior_group_responses", "last", F.col("_resp"))],
-                   order=("group_num",))
-    prev = prev.select("group_num",
-                       F.coalesce("prior_group_answers_correct", F.lit("[]")).alias("prior_group_answers_correct"),
-                       F.coalesce("prior_group_responses", F.lit("[]")).alias("prior_group_responses"))
-    return lg.drop("user_answer", "answered_correctly").join(prev, "group_num", "left")
+    return unpacked(packed_batches(spark, sf_dir, batch_rows))

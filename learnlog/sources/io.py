@@ -34,8 +34,17 @@ def cast_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
                        if f.name in df.columns])
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+#: Rows of a compressed CSV file, which only one task can read.
+CSV_ROWS = 50_000
+
+
+def write_csv(df: DataFrame, path: str, compress: bool = False) -> None:
+    """CSV with a header. ``compress`` is for wide texts that neighbouring rows
+    share (the answer lists of a batch): LZ4, ``CSV_ROWS`` rows to a file."""
+    w = df.write.mode("overwrite").option("header", True)
+    if compress:
+        w = w.option("compression", "lz4").option("maxRecordsPerFile", CSV_ROWS)
+    w.csv(path)
 
 
 def write_features(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
