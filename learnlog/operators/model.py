@@ -18,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 @dataclass
 class GBTConfig:
@@ -38,8 +40,9 @@ def train_gbt(df: DataFrame, features: Sequence[str], label: str = "answered_cor
     than ``max_bins`` values) are indexed, so the trees split them by value
     sets; a value that training didn't have is a level of its own.
     """
-    data = df.withColumn("_label", F.col(label).cast("double")).withColumn(
-        valid_col, F.col(valid_col).cast("boolean"))
+    # every indexer and several steps of the fit read the rows anew: stored, they are computed once
+    data = stored(df.select(*features, F.col(label).cast("double").alias("_label"), F.col(valid_col).cast("boolean").alias(valid_col)),
+                  "training")
     index = [StringIndexer(inputCol=c, outputCol=f"_idx_{c}", stringOrderType="alphabetAsc", handleInvalid="keep") for c in categorical]
     cols = [f"_idx_{c}" if c in categorical else c for c in features]
     asm = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="keep")

@@ -41,8 +41,9 @@ def log_stream(spark, sf, base):
 
 
 def batch_stream(spark, sf, base):
-    b = fx.test_batches(spark, sf, BATCH_ROWS)
-    return spark.readStream.schema(b.schema).parquet(write_batches(b, base))
+    # whole batches are dealt to tasks; a row gets its lists only where it is written
+    b = fx.unpacked(fx.packed_batches(spark, sf, BATCH_ROWS).repartitionByRange("group_num"))
+    return spark.readStream.schema(b.schema).parquet(write_batches(b, base, arranged=True))
 
 
 @register("stream_user_state", with_views(f"""WITH {QUESTION_ROWS_SQL.strip()}

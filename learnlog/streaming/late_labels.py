@@ -117,10 +117,12 @@ def features(rows: DataFrame, state: State) -> DataFrame:
                             "part_avg_u": ratio("part_sum_u", "part_count_u")})
 
 
-def write_batches(batches: DataFrame, folder: str) -> str:
+def write_batches(batches: DataFrame, folder: str, arranged: bool = False) -> str:
     """The batches as files of a folder that a file stream reads: one write,
-    spread over tasks by batch number. In production batches come from the source."""
-    batches.repartitionByRange("group_num", "row_id").write.mode("append").parquet(f"{folder}/in")
+    spread over tasks by batch number (``arranged``: as they are already). In
+    production batches come from the source."""
+    rows = batches if arranged else batches.repartitionByRange("group_num", "row_id")
+    rows.write.mode("append").parquet(f"{folder}/in")
     return f"{folder}/in"
 
 

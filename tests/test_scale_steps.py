@@ -52,3 +52,37 @@ def test_scanned_batches_hold_the_lists_of_a_batch_once_on_disk(spark, tmp_path)
     text = sum(len(x) for v in got.values() for x in v)
     disk = sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in out.inputFiles())
     assert disk * 10 < text
+
+
+def test_streamed_batches_are_dealt_without_their_lists_on_every_row(spark, tmp_path, monkeypatch):
+    from learnlog.plans import q_streaming as qs
+
+    rows, dealt = tables(str(tmp_path), 3000), []
+    deal = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda self, *a: dealt.append(self.columns) or deal(self, *a))
+    stream = qs.batch_stream(spark, str(tmp_path), str(tmp_path / "base"))
+    assert not any({"row_id", "prior_group_answers_correct"} <= set(c) for c in dealt)
+    written = spark.read.schema(stream.schema).parquet(str(tmp_path / "base" / "in"))
+    lists = {-1: ("[]", "[]")} | lists_of(rows)
+    assert {r["row_id"]: (r["prior_group_answers_correct"], r["prior_group_responses"]) for r in written.collect()} == {
+        r["event_id"]: lists[r["event_id"] // 1000 - 1] for r in rows}
+
+
+def counted(spark, n):
+    """A table whose column ``x`` is computed by a counting function, and the count."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def f(k):
+        calls.add(1)
+        return float(k % 17)
+
+    return spark.range(n).withColumn("x", F.udf(f, "double")("id")), calls
+
+
+def test_training_computes_its_rows_once(spark):
+    from learnlog.operators.model import GBTConfig, train_gbt
+
+    df, calls = counted(spark, 200)
+    df = df.select("x", (F.col("id") % 3).alias("flag"), (F.col("x") > 8).cast("int").alias("answered_correctly"), (F.col("id") % 5 == 0).alias("is_valid"))
+    train_gbt(df, ["x", "flag"], cfg=GBTConfig(max_iter=2, max_depth=2), categorical=["flag"])
+    assert calls.value <= 2 * 200          # x itself, and where the label uses it
