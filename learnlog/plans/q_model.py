@@ -11,6 +11,7 @@ from ..operators import stats as st
 from ..operators.joins import join_dim
 from ..oracle_views import with_views
 from ..registry import register
+from ..session import stored
 from ..sources import fixtures as fx
 from .causal import CATEGORICAL, FEATURES, PCA_KEEP, PLAN_A, RATES, filled_plan_a, plan_a_features, question_dim_with_pca
 from .common import log
@@ -64,7 +65,7 @@ def fitted(spark, sf):
     """The model and its table, once per application."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        table = model_table(spark, sf)
+        table = stored(model_table(spark, sf), "model-table")      # the fit and the scores read it
         _MODELS[key] = (md.train_gbt(table, FEATURES, categorical=CATEGORICAL), table)
     return _MODELS[key]
 

@@ -86,3 +86,15 @@ def test_training_computes_its_rows_once(spark):
     df = df.select("x", (F.col("id") % 3).alias("flag"), (F.col("x") > 8).cast("int").alias("answered_correctly"), (F.col("id") % 5 == 0).alias("is_valid"))
     train_gbt(df, ["x", "flag"], cfg=GBTConfig(max_iter=2, max_depth=2), categorical=["flag"])
     assert calls.value <= 2 * 200          # x itself, and where the label uses it
+
+
+def test_the_models_table_is_computed_once(spark, monkeypatch):
+    from learnlog.plans import q_model
+
+    df, calls = counted(spark, 50)
+    monkeypatch.setattr(q_model, "_MODELS", {})
+    monkeypatch.setattr(q_model, "model_table", lambda *_: df)
+    monkeypatch.setattr(q_model.md, "train_gbt", lambda table, *_, **__: table.agg(F.sum("x")).first())
+    model, table = q_model.fitted(spark, "nowhere")
+    assert table.agg(F.sum("x")).first() == model and table.count() == 50
+    assert calls.value == 50
