@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ORDER, PARTS
 from .joins import join_dim
-from .prefix import Agg, Family, running, running_families
+from .prefix import Agg, Family, running, running_families, spread
 
 # Distinct sentinels so a NULL question part never matches a NULL lecture part.
 Q_NULL_PART, L_NULL_PART = -1, -2
@@ -82,12 +82,13 @@ COPIES = 4
 _COPY_COLS = ("_copy", "_tag0", "_tag", "_tag_lec")
 
 
-def _copied(rows: DataFrame) -> DataFrame:
-    """Question rows once per distinct tag, lecture rows once, partitioned by user."""
+def _copied(rows: DataFrame, log: DataFrame) -> DataFrame:
+    """Question rows once per distinct tag, lecture rows once, partitioned by
+    user; tasks go by the rows of the ``log`` that ``rows`` were made of."""
     is_q = F.col("content_type_id") == 0
     tags = F.array_distinct(F.filter(parse_tags("_q_tags"), lambda t: t.isNotNull()))
     one = F.array(F.when(~is_q, F.col("_l_tag")).cast("int"))
-    copies = rows.repartition("user_id").select("*", F.posexplode(
+    copies = spread(rows, ["user_id"], log.count()).select("*", F.posexplode(
         F.when(is_q & (F.coalesce(F.size(tags), F.lit(0)) > 0), tags).otherwise(one)).alias("_copy", "_tag0"))
     return copies.withColumn("_tag", F.coalesce(
         F.col("_tag0"), F.when(is_q, F.lit(NO_TAG)).otherwise(F.lit(NO_LECTURE_TAG))))
@@ -98,7 +99,7 @@ def _tag_copies(rows: DataFrame, families: list[Family], rows_per_task: int | No
     and ``num_tags_match`` (on every copy). One shuffle, on the user."""
     is_q = F.col("content_type_id") == 0
     # A question row is never a lecture, so "lectures up to and including" are the earlier ones.
-    out = running_families(_copied(rows), ["user_id"], [
+    out = running_families(_copied(rows, rows if log is None else log), ["user_id"], [
         *families, Family((Agg("_tag_lec", "sum", (~is_q).cast("int")),), ("_tag",))],
         order=(*ORDER, "_copy"), inclusive=True, rows_per_task=rows_per_task, arranged=True, count_on=log and (log, COPIES))
     per_row = Window.partitionBy("user_id", "row_id")
@@ -145,7 +146,7 @@ def last_matching_lectures(log: DataFrame, questions: DataFrame, lectures: DataF
     question's tags is its match. Linear in rows and tags, one shuffle on the user.
     """
     is_q, mark = F.col("content_type_id") == 0, _lecture_mark()
-    copies = _copied(with_dims(log, questions, lectures).withColumn("_pk", _part_key()))
+    copies = _copied(with_dims(log, questions, lectures).withColumn("_pk", _part_key()), log)
     out = running_families(copies, ["user_id"], [
         Family((Agg("_prev_lecture", "max", mark),)),
         Family((Agg("_tag_match", "max", mark),), ("_tag",)),

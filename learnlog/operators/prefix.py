@@ -35,6 +35,10 @@ CHUNK = "_chunk"
 
 # Rows of one key that a task may hold: a few hundred MB.
 ROWS_PER_TASK = 4_000_000
+# Rows of many keys that a task of plain windows takes, about (adaptive execution
+# goes by shuffled bytes, which says little about sorted rows and their copies),
+# and the number of tasks beyond which they take more.
+SPREAD_ROWS, MOST_TASKS = 150_000, 40_000
 # Types of an exact sum's terms and of the sum: one digit is left for a carried sum.
 ADDEND, TOTAL = "decimal(27,18)", "decimal(37,18)"
 # Ranges are drawn from a sample, so they are cut a little smaller than asked.
@@ -70,9 +74,25 @@ class Family:
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_task`` rows, and their rows in all (one
     aggregate over the key columns, one number to the driver)."""
-    limit = rows_per_task or ROWS_PER_TASK
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    return hot.select(*keys), hot.agg(F.sum("_n")).first()[0] or 0
+    return _key_counts(df, keys, rows_per_task or ROWS_PER_TASK)[:2]
+
+
+def _key_counts(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int, int]:
+    """``hot_keys``, and the rows of all keys."""
+    n = F.col("_n")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    many, every = counts.agg(F.sum(F.when(n > limit, n)), F.sum(n)).first()
+    return counts.where(n > limit).select(*keys), many or 0, every or 0
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df`` partitioned by ``keys``. More than ``SPREAD_ROWS`` rows get tasks by
+    their number, so that a task's share doesn't grow with the table; the same
+    number of rows gets the same partitioning, which is not made twice."""
+    n = math.ceil(rows / SPREAD_ROWS)
+    if n <= 1:
+        return df.repartition(*keys)
+    return df.repartition(min(max(n, df.sparkSession.sparkContext.defaultParallelism), MOST_TASKS), *keys)
 
 
 def in_ranges(rows: DataFrame, by: Sequence[str], total: int, rows_per_task: int | None = None) -> DataFrame:
@@ -190,7 +210,7 @@ def running(df: DataFrame, keys: Sequence[str], aggs: Iterable[Agg], **kw) -> Da
 def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Family], *,
                      order: Sequence[str] = ("timestamp", "row_id"), container: str | None = None,
                      inclusive: bool = False, rows_per_task: int | None = None, arranged: bool = False,
-                     count_on: tuple[DataFrame, int] | None = None) -> DataFrame:
+                     count_on: tuple[DataFrame, int] | None = None, spread_out: bool = False) -> DataFrame:
     """Add one column per ``Agg`` holding its value over earlier rows.
 
     Row grain (``container=None``): earlier = before in ``order`` within the
@@ -201,6 +221,7 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
     ``keys``; ``arranged`` says that ``df`` is already partitioned by them.
     ``count_on`` is what the rows of ``df`` were made of, and about how many rows
     of it one row became: hot keys are looked for there, before joins and copies.
+    ``spread_out`` partitions rows that have no partitioning yet by ``spread``.
     """
     keys = list(keys)
     aggs = [a for f in families for a in f.aggs]
@@ -209,9 +230,11 @@ def running_families(df: DataFrame, keys: Sequence[str], families: Sequence[Fami
     limit = rows_per_task or ROWS_PER_TASK
     measured = df.withColumns({f"_m_{a.name}": a.col.cast(ADDEND) if a.kind == "exact" else a.col for a in aggs})
     counted, copies = count_on or (measured, 1)
-    hot, total = hot_keys(counted, keys, max(1, limit // copies))
+    hot, total, every = _key_counts(counted, keys, max(1, limit // copies))
     total *= copies
     if not total:
+        if spread_out and every > SPREAD_ROWS:
+            measured, arranged = spread(measured, keys, every), True
         res = _plain(measured, keys, families, order, container, inclusive, arranged)
         return res.drop(*[f"_m_{a.name}" for a in aggs])
     many = null_safe_join(measured, hot, keys, "left_semi") if keys else measured

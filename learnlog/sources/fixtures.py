@@ -51,7 +51,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         base, ["user_id"],
         [Agg("prior_question_elapsed_time", "last", F.col("_value")),
          Agg("prior_question_had_explanation", "last", F.col("_error")),
-         Agg("_neg_t0", "max", -ts)])
+         Agg("_neg_t0", "max", -ts)], spread_out=True)
     lagged = lagged.withColumn("task_container_id", F.floor(
         (ts - F.coalesce(-F.col("_neg_t0"), ts)) / F.lit(DAY_MS)).cast("int"))
     return lagged.select(

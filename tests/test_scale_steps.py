@@ -98,3 +98,17 @@ def test_the_models_table_is_computed_once(spark, monkeypatch):
     model, table = q_model.fitted(spark, "nowhere")
     assert table.agg(F.sum("x")).first() == model and table.count() == 50
     assert calls.value == 50
+
+
+def test_tasks_of_lecture_history_go_by_rows(spark, tmp_path, monkeypatch):
+    from learnlog.operators import prefix
+
+    tables(str(tmp_path), 4000, users=200)
+    want = sorted(map(str, QUERIES["lecture_history"](spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(prefix, "SPREAD_ROWS", 200)
+    for name in ("lecture_history", "plan_b_features", "num_tags_match", "asof_prior_match"):
+        out = QUERIES[name](spark, str(tmp_path))
+        if name == "lecture_history":
+            assert sorted(map(str, out.collect())) == want
+            assert out.select(F.spark_partition_id().alias("p")).distinct().count() >= 15
+        assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
