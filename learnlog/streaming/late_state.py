@@ -39,7 +39,7 @@ from ..operators.history import part_key
 from ..operators.joins import join_dim
 from ..operators.prefix import Agg, running
 from ..operators.stats import content_stats
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from .late_labels import FEATURE_COLS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -53,12 +53,17 @@ ANSWER, ROW = 0, 1
 def positioned(batches: DataFrame) -> DataFrame:
     """What a source knows of each batch that it serves: a row's position, the
     number of the batch before, and once per batch (at position 0) its answers."""
-    rows = running(batches, ["group_num"], [Agg("pos", "count", F.lit(1))], order=("row_id",))
-    groups = running(batches.select("group_num").distinct(), [], [Agg("answers_of", "last", F.col("group_num"))], order=("group_num",))
+    # the lists stay out of all that is sorted by row: a batch's one is taken apart, by a hash aggregate
+    # (on the text as a key), and comes to the first row alone
+    rows = running(batches.select("row_id", "user_id", "content_id", "content_type_id", "group_num"), ["group_num"],
+                   [Agg("pos", "count", F.lit(1))], order=("row_id",), spread_out=True)
+    lists = batches.groupBy("group_num", F.col("prior_group_answers_correct").alias("_list")).agg(F.min("row_id").alias("_row"))
+    lists = stored(lists.groupBy("group_num").agg(F.min_by("_list", "_row").alias("_list")), "lists")
+    groups = running(lists.select("group_num"), [], [Agg("answers_of", "last", F.col("group_num"))], order=("group_num",))
     first = F.col("pos") == 0
-    return (rows.join(groups, "group_num", "left")
+    return (rows.join(groups, "group_num", "left").join(lists, "group_num", "left")
             .select("row_id", "user_id", "content_id", "content_type_id", "group_num", "pos", F.when(first, F.col("answers_of")).alias("answers_of"),
-                    F.when(first, F.col("prior_group_answers_correct")).alias("answers")))
+                    F.when(first, F.col("_list")).alias("answers")))
 
 
 class MatchAnswers(StatefulProcessor):

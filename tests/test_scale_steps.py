@@ -112,3 +112,20 @@ def test_tasks_of_lecture_history_go_by_rows(spark, tmp_path, monkeypatch):
             assert sorted(map(str, out.collect())) == want
             assert out.select(F.spark_partition_id().alias("p")).distinct().count() >= 15
         assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_positions_are_found_without_the_lists(spark, tmp_path, monkeypatch):
+    from learnlog.sources import fixtures as fx
+    from learnlog.streaming import late_state as S
+
+    rows, ran, plain = tables(str(tmp_path), 2500), [], S.running
+    monkeypatch.setattr(S, "running", lambda df, *a, **k: ran.append(df.columns) or plain(df, *a, **k))
+    got = {r["row_id"]: r for r in S.positioned(fx.test_batches(spark, str(tmp_path))).collect()}
+    assert ran and not any("prior_group_answers_correct" in c for c in ran)
+    lists = {-1: ("[]", "[]")} | lists_of(rows)
+    for r in rows:
+        g, pos = divmod(r["event_id"], 1000)
+        x = got.pop(r["event_id"])
+        assert (x["group_num"], x["pos"], x["answers"], x["answers_of"]) == (
+            g, pos, lists[g - 1][0] if pos == 0 else None, g - 1 if pos == 0 and g else None)
+    assert not got
