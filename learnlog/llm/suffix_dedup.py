@@ -9,16 +9,21 @@ by parsing the texts into phrases that repeat where the text repeats:
   neighbouring phrases overlap by ``WINDOW - 1`` bytes. As a window decides on
   its trigger and its place, equal windows lie in phrases of the same trigger
   hash: no window begins in one phrase's suffix and ends as another's.
-* Parse. A chunk of documents sends its distinct triggers; those that two
-  chunks hold come back, and their phrases are sent as fingerprints (96 bits,
-  with the trigger's 64). A trigger with one phrase everywhere is settled by the
-  parse alone: its windows are first in the first chunk that has the phrase.
-* Dictionary. Triggers with several phrases are sent with their bytes. Their
-  suffixes are sorted to the depth that counts (the windows); runs of equal ones
-  are the longest-common-prefix intervals of the corpus order, and their first
-  chunk is known from the parse.
+* Parse. A chunk of documents sends its distinct triggers (32 bits besides the
+  bucket; triggers that agree in these count as one, which only makes more
+  phrases contested); it hears which another chunk holds too, and sends their
+  phrases as fingerprints (96 bits, with the trigger's 32). All chunks but the
+  first that have a phrase lose it. A trigger with one phrase everywhere is
+  settled by the parse alone.
+* Dictionary. Where a trigger has several phrases, each is sent with its bytes
+  by the first chunk that has it. Their suffixes are sorted to the depth that
+  counts (the windows); runs of equal ones are the longest-common-prefix
+  intervals of the corpus order, and their first chunk is known from the parse.
 * A chunk settles in the same way what repeats among its own documents.
 
+A chunk sends in an order that its texts alone decide, and hears a bit, byte or
+mask per entry in that order, so no answer repeats what was asked.
+
 Phrases overlap by all but one byte of a window, so that the dictionary's order
 alone places every window, and the parse needs no suffix array of its own.
 
@@ -47,16 +52,19 @@ WINDOW = 50
 GRAM = 20
 #: Windows of a phrase, at most.
 REACH = WINDOW - GRAM + 1
+#: Text bytes parsed at once: the arrays of a slice stay in a core's cache.
+SLICE_BYTES = 1 << 16
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_scratch = [np.zeros((4, 0), np.uint64)]
 
 
 @dataclass
 class Phrases:
-    """Phrases of texts: first window, number of windows, text's index, trigger hash and fingerprint."""
+    """Phrases of texts, in their order: first window, number of windows, text's index, trigger hash and fingerprint."""
 
-    raw: bytes
+    raw: bytes                # all texts, a newline after each
     start: np.ndarray
     windows: np.ndarray
     doc: np.ndarray
@@ -65,13 +73,20 @@ class Phrases:
     lo: np.ndarray
     base: np.ndarray          # at which each text begins
 
-    def text(self, k: int) -> bytes:
-        return self.raw[self.start[k]:self.start[k] + self.windows[k] + WINDOW - 1]
+    def texts(self, at: np.ndarray) -> np.ndarray:
+        """The bytes of these phrases, one after the other."""
+        size = self.windows[at] + (WINDOW - 1)
+        return np.frombuffer(self.raw, np.uint8)[_ranges(self.start[at], size)]
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        m = max(n, X.SLICE_BYTES * 5 // 4)
+        m = max(n, SLICE_BYTES * 5 // 4)
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(m, base, np.uint64)
             steps[0] = 1
@@ -79,289 +94,374 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def parse(texts: list[bytes]) -> Phrases:
-    raw = b"\n".join([*texts, b""])
-    n = len(raw)
-    base = np.cumsum([0] + [len(t) + 1 for t in texts])
-    up, down = _power(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(0x5851F42D)) * up[:n], out=sums[1:])
+def _space(n: int) -> np.ndarray:
+    """Four arrays of ``n`` numbers at least; those of a slice are used again."""
+    if n > 2 * SLICE_BYTES:
+        return np.empty((4, n), np.uint64)
+    if _scratch[0].shape[1] < n:
+        _scratch[0] = np.empty((4, 2 * SLICE_BYTES), np.uint64)
+    return _scratch[0]
 
-    def of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return X.mix64((sums[b] - sums[a]) * down[a])
 
-    total = n - WINDOW + 1
+def _parse_slice(data: np.ndarray, base: np.ndarray, prints: bool) -> tuple[np.ndarray, ...]:
+    """Start, windows, text's index, trigger, hi and lo of the phrases of texts that begin at ``base`` (and its last, the end)."""
+    n = len(data)
+    total, grams = n - WINDOW + 1, n - GRAM + 1
     if total <= 0:
-        none = np.zeros(0, np.int64)
-        return Phrases(raw, none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.uint32), base)
-    h = (sums[GRAM:] - sums[:-GRAM]) * down[:n - GRAM + 1]
-    h ^= h >> np.uint64(32)
+        return tuple(np.zeros(0, t) for t in ("i8", "i8", "i8", "u8", "u8", "u4"))
+    up, down = _power(n + 1)
+    a, b, h, sums = _space(n + 1)
+    sums = sums[:n + 1]
+    np.add(data, np.uint64(0x5851F42D), out=a[:n])
+    a[:n] *= up[:n]
+    sums[0] = 0
+    np.cumsum(a[:n], out=sums[1:])
+
+    def of(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return X.mix64((sums[j] - sums[i]) * down[i])
+
+    h = h[:grams]
+    np.subtract(sums[GRAM:], sums[:-GRAM], out=h)
+    h *= down[:grams]
+    np.right_shift(h, np.uint64(32), out=a[:grams])
+    h ^= a[:grams]
     h *= np.uint64(_BASE)
-    least, width = h, 1
+    least, width, spare = h, 1, (a, b)
     while width < REACH:
         step = min(width, REACH - width)
-        least = np.minimum(least[:len(least) - step], least[step:])
-        width += step
-    doc = np.repeat(np.arange(len(texts)), np.diff(base))[:total]
-    inside = np.arange(total) + WINDOW < base[doc + 1]
-    new = np.ones(total, bool)
-    new[1:] = (h[:total - 1] == least[:-1]) | (least[1:] != least[:-1]) | ~inside[:-1]
-    start = np.flatnonzero(new & inside)
-    # a phrase ends before the next one or before a window that leaves the text
-    stop = np.flatnonzero(np.append(new[1:] | ~inside[1:], True) & inside)
-    windows = stop - start + 1
-    end = stop + WINDOW
+        least = np.minimum(least[:len(least) - step], least[step:], out=spare[0][:len(least) - step])
+        width, spare = width + step, spare[::-1]
+    # a phrase begins with a text, after its trigger's place or where a smaller trigger comes; not where a window leaves the text
+    new = np.empty(total, bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[1:] |= h[:total - 1] == least[:-1]
+    new[base[:-1][base[:-1] < total]] = True
+    short = np.maximum(base[1:] - WINDOW, base[:-1])
+    leave = _ranges(short, base[1:] - short)
+    new[leave[leave < total]] = False
+    start = np.flatnonzero(new)
+    doc = np.searchsorted(base, start, side="right") - 1
+    end = np.minimum(np.append(start[1:], n), base[doc + 1] - WINDOW) + (WINDOW - 1)
+    trigger = X.mix64(least[start])
+    if not prints:
+        return start, end - start - (WINDOW - 1), doc, trigger, trigger[:0], np.zeros(0, np.uint32)
     mid = (start + end) // 2
     hi = X.mix64(of(start, end) + (end - start).astype(np.uint64))
     lo = (X.mix64(of(start, mid) ^ X.mix64(of(mid, end), 3)) >> np.uint64(32)).astype(np.uint32)
-    return Phrases(raw, start, windows, doc[start], X.mix64(least[start]), hi, lo, base)
+    return start, end - start - (WINDOW - 1), doc, trigger, hi, lo
 
 
-def _parts(texts: list[bytes]):
-    for a, b in X.slices(texts):
-        yield a, parse(texts[a:b])
+def parse(texts: list[bytes], prints: bool = True) -> Phrases:
+    """The phrases of texts; without ``prints``, their fingerprints are left out."""
+    raw = b"\n".join([*texts, b""])
+    data = np.frombuffer(raw, np.uint8)
+    base = np.cumsum([0] + [len(t) + 1 for t in texts])
+    parts = [_parse_slice(data[:0], base[:1], prints)]
+    for a, b in X.slices(texts, SLICE_BYTES):
+        start, windows, doc, *more = _parse_slice(data[base[a]:base[b]], base[a:b + 1] - base[a], prints)
+        parts.append((start + base[a], windows, doc + a, *more))
+    start, windows, doc, trigger, hi, lo = map(np.concatenate, zip(*parts, strict=True))
+    return Phrases(raw, start, windows, doc, trigger, hi, lo, base)
+
+
+def _new(sorted_keys: np.ndarray) -> np.ndarray:
+    """A mask of each key's first."""
+    new = np.ones(len(sorted_keys), bool)
+    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    return new
+
+
+def _several(keys: np.ndarray) -> np.ndarray:
+    """Which keys are there more than once."""
+    order = np.argsort(keys)
+    new = np.append(_new(keys[order]), True)
+    out = np.empty(len(keys), bool)
+    out[order] = ~(new[:-1] & new[1:])
+    return out
 
 
-def _send_triggers(table: pa.Table, buckets: int) -> pa.Table:
-    found = [np.unique(p.trigger) for _, p in _parts(X.as_bytes(table["_text"]))]
-    return C.pack(table["_chunk"][0].as_py(), buckets, np.unique(np.concatenate(found)))
+def _by_fingerprint(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by fingerprint, and a mask of each one's first."""
+    order = np.argsort(hi)
+    new, other = _new(hi[order]), _new(lo[order])
+    if (other & ~new).any():
+        order = np.lexsort((lo, hi))
+        new, other = _new(hi[order]), _new(lo[order])
+    return order, new | other
 
 
-def _send_phrases(table: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
-    none = C.pack(0, buckets, *(np.zeros(0, t) for t in ("u8", "u8", "u4")))
-    if not len(table) or not len(answers):
-        return none
-    (shared,), _ = C.unpack(answers, "u8")
-    shared = np.sort(shared)
-    cols = [[], [], []]
-    for _, p in _parts(X.as_bytes(table["_text"])):
-        at = X.contains(shared, p.trigger)
-        for c, x in zip(cols, (p.trigger, p.hi, p.lo), strict=True):
-            c.append(x[at])
-    trigger, hi, lo = map(np.concatenate, cols)
-    order, new = X.first_of_each(trigger, hi, lo)
-    keep = order[new]
-    return C.pack(table["_chunk"][0].as_py(), buckets, trigger[keep], hi[keep], lo[keep])
+ROW_SCHEMA = "_bucket int, _chunk int, _data binary"
+#: ``_shared``: bits of the chunk's triggers that other chunks hold too; what a chunk hears of a phrase goes back with them.
+PHRASE_SCHEMA = "_bucket int, _chunk int, _shared binary, _data binary"
+TEXT_SCHEMA = "_bucket int, _chunk int, _windows binary, _text binary"
+_PHRASE = np.dtype([("tag", "u4"), ("lo", "u4"), ("hi", "u8")])
+#: What a chunk hears of a phrase: an earlier chunk has it, or it is the first and the trigger has other phrases too.
+LATER, CONTESTED = 1, 2
 
 
-#: What a chunk hears of a phrase: an earlier chunk has it, its trigger has other phrases too, or which of its windows come later.
-LATER, CONTESTED, MASKS = 1, 2, 3
-SETTLED_SCHEMA = "_chunk int, _kind int, _data binary"
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive runs of so many numbers, as binary values."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)]) * data.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data).view(np.uint8))])
 
 
-def _of_kind(table: pa.Table, kind: int) -> pa.Table:
-    return table.append_column("_kind", pa.array(np.full(len(table), kind, np.int32))).select(["_chunk", "_kind", "_data"])
+def _numbers(column: pa.ChunkedArray, kind: str | np.dtype = "u1") -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all binary values, and how many each has."""
+    kind = np.dtype(kind)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy() // kind.itemsize
+    parts = [np.zeros(0, np.uint8)]
+    for x in column.chunks:
+        if len(x):
+            bounds = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1]
+            parts.append(np.frombuffer(x.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]])
+    return np.concatenate(parts).view(kind), sizes
 
 
-def _settle(rows: pa.Table) -> pa.Table:
-    (trigger, hi, lo), chunk = C.unpack(rows, "u8", "u8", "u4")
-    order = np.lexsort((chunk, lo, hi, trigger))
-    t, h, w, c = trigger[order], hi[order], lo[order], chunk[order]
-    first_t, first_p = np.ones(len(t), bool), np.ones(len(t), bool)
-    if len(t):
-        first_t[1:] = t[1:] != t[:-1]
-        first_p[1:] = first_t[1:] | (h[1:] != h[:-1]) | (w[1:] != w[:-1])
-    group = np.cumsum(first_t) - 1
-    several = (np.bincount(group, first_p) > 1)[group] if len(t) else first_t
-    later = ~several & ~first_p
-    return pa.concat_tables([_of_kind(C.answer(c[say], h[say], w[say]), kind) for kind, say in ((LATER, later), (CONTESTED, several))])
-
-
-def _sorted_answers(answers: pa.Table, *more: str) -> list[np.ndarray]:
-    """Fingerprints of answers, sorted, and what else they tell."""
-    cols, _ = C.unpack(answers, "u8", "u4", *more)
-    order = np.lexsort((cols[1], cols[0]))
-    return [c[order] for c in cols]
-
-
-def _find(hi: np.ndarray, lo: np.ndarray, sorted_hi: np.ndarray, sorted_lo: np.ndarray) -> np.ndarray:
-    """Index of each (hi, lo) among the sorted pairs, -1 if it isn't there."""
-    if not len(sorted_hi):
-        return np.full(len(hi), -1)
-    at = np.searchsorted(sorted_hi, hi)
-    out = np.full(len(hi), -1)
-    # pairs of equal hi are next to each other; nearly always there is one
-    todo = np.flatnonzero(at < len(sorted_hi))
-    while len(todo):
-        same = sorted_hi[at[todo]] == hi[todo]
-        hit = same & (sorted_lo[at[todo]] == lo[todo])
-        out[todo[hit]] = at[todo[hit]]
-        todo = todo[same & ~hit]
-        at[todo] += 1
-        todo = todo[at[todo] < len(sorted_hi)]
-    return out
+def _table(**columns: np.ndarray | pa.Array) -> pa.Table:
+    return pa.table({f"_{k}": v if isinstance(v, pa.Array) else pa.array(v.astype(np.int32)) for k, v in columns.items()})
+
+
+def _runs(to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of the sorted buckets, and how many entries it has."""
+    cut = np.flatnonzero(_new(to))
+    return to[cut], np.diff(np.append(cut, len(to)))
+
+
+def _bit_places(sizes: np.ndarray) -> np.ndarray:
+    """Place of each entry's bit where every run begins with a byte."""
+    whole = -(-sizes // 8) * 8
+    return _ranges(np.cumsum(whole) - whole, sizes)
+
+
+def _as_bits(flags: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    whole = -(-sizes // 8)
+    bits = np.zeros(8 * whole.sum(), np.uint8)
+    bits[_bit_places(sizes)] = flags
+    return _binary(np.packbits(bits), whole)
+
+
+def _from_bits(column: pa.ChunkedArray, sizes: np.ndarray) -> np.ndarray:
+    data, found = _numbers(column)
+    _agree(found, -(-sizes // 8))
+    return np.unpackbits(data)[_bit_places(sizes)].astype(bool)
 
 
-TEXT_SCHEMA = "_bucket int, _chunk int, _trigger binary, _hi binary, _lo binary, _windows binary, _text binary"
-
-
-def _send_texts(table: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
-    names = ("_bucket", "_chunk", "_trigger", "_hi", "_lo", "_windows", "_text")
-    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
-    empty = pa.table({n: pa.array([], k) for n, k in zip(names, kinds, strict=True)})
-    if not len(table) or not len(answers):
-        return empty
-    hi, lo = _sorted_answers(answers)
-    seen = np.zeros(len(hi), bool)
-    rows = []
-    for _, p in _parts(X.as_bytes(table["_text"])):
-        at = _find(p.hi, p.lo, hi, lo)
-        have = np.flatnonzero(at >= 0)
-        _, first = np.unique(at[have], return_index=True)
-        have = have[first]
-        have = have[~seen[at[have]]]
-        seen[at[have]] = True
-        rows += [(int(p.trigger[k] >> np.uint64(20)) % buckets, p.trigger[k], p.hi[k], p.lo[k], p.windows[k], p.text(k)) for k in have]
-    if not rows:
-        return empty
-    rows.sort(key=lambda r: r[0])
-    to = np.array([r[0] for r in rows])
-    cut = np.flatnonzero(np.diff(to, prepend=-1))
-    out = [[] for _ in names]
-    for a, b in zip(cut, [*cut[1:], len(rows)], strict=True):
-        part = rows[a:b]
-        values = (int(to[a]), table["_chunk"][0].as_py(), *(np.array([r[k] for r in part], t).tobytes() for k, t in ((1, "u8"), (2, "u8"), (3, "u4"), (4, "u4"))),
-                  b"".join(r[5] for r in part))
-        for o, v in zip(out, values, strict=True):
-            o.append(v)
-    return pa.table({n: pa.array(o, k) for n, o, k in zip(names, out, kinds, strict=True)})
+def _agree(found: np.ndarray, sent: np.ndarray) -> None:
+    if not np.array_equal(found, sent):
+        raise ValueError("answers don't fit what the chunk has sent: its rows have changed between two passes")
+
+
+def _in_order(answers: pa.Table) -> pa.Table:
+    return answers.take(pa.array(np.argsort(answers["_bucket"].to_numpy(), kind="stable")))
+
+
+def _triggers(p: Phrases, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket and tag of the distinct triggers, in this order, and the number of each phrase's one among them."""
+    key = ((p.trigger >> np.uint64(20)) % np.uint64(buckets)) << np.uint64(32) | p.trigger >> np.uint64(32)
+    order = np.argsort(key)
+    new = _new(key[order])
+    number = np.empty(len(key), np.int64)
+    number[order] = np.cumsum(new) - 1
+    key = key[order[new]]
+    return (key >> np.uint64(32)).astype(np.int64), key.astype(np.uint32), number
+
+
+def _distinct(p: Phrases, at: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct phrases among those at ``at``, by bucket (``to``) and fingerprint, and the number of each one's among them."""
+    order, new = _by_fingerprint(p.hi[at], p.lo[at])
+    first = order[new]
+    by_bucket = np.argsort(to[first], kind="stable")
+    place = np.empty(len(first), np.int64)
+    place[by_bucket] = np.arange(len(first))
+    number = np.empty(len(at), np.int64)
+    number[order] = place[np.cumsum(new) - 1]
+    return first[by_bucket], number
+
+
+def _send_triggers(table: pa.Table, buckets: int) -> pa.Table:
+    to, tag, _ = _triggers(parse(X.as_bytes(table["_text"]), prints=False), buckets)
+    bucket, sizes = _runs(to)
+    return _table(bucket=bucket, chunk=np.full(len(bucket), table["_chunk"][0].as_py()), data=_binary(tag, sizes))
+
+
+def _shared(rows: pa.Table) -> pa.Table:
+    """A bit for each trigger sent: another chunk has it too."""
+    tags, sizes = _numbers(rows["_data"], "u4")
+    return _table(bucket=rows["_bucket"].to_numpy(), chunk=rows["_chunk"].to_numpy(), data=_as_bits(_several(tags), sizes))
+
+
+def _send_phrases(table: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
+    p = parse(X.as_bytes(table["_text"]) if len(table) else [])
+    to, tag, number = _triggers(p, buckets)
+    bucket, sizes = _runs(to)
+    answers = _in_order(answers)
+    _agree(answers["_bucket"].to_numpy(), bucket)
+    flags = _from_bits(answers["_data"], sizes)
+    at = np.flatnonzero(flags[number])
+    first, _ = _distinct(p, at, to[number[at]])
+    first = at[first]
+    out = np.empty(len(first), _PHRASE)
+    out["tag"], out["lo"], out["hi"] = tag[number[first]], p.lo[first], p.hi[first]
+    asked, counts = _runs(to[number[first]])
+    has = np.isin(bucket, asked)
+    return _table(bucket=asked, chunk=np.full(len(asked), table["_chunk"][0].as_py() if len(table) else 0),
+                  shared=_as_bits(flags[np.repeat(has, sizes)], sizes[has]), data=_binary(out, counts))
+
+
+def _settle(rows: pa.Table) -> pa.Table:
+    """A byte for each phrase sent: 0, ``LATER`` or ``CONTESTED``."""
+    sent, sizes = _numbers(rows["_data"], _PHRASE)
+    chunk = np.repeat(rows["_chunk"].to_numpy(), sizes)
+    order, new = _by_fingerprint(sent["hi"], sent["lo"])
+    status = np.zeros(len(sent), np.uint8)
+    if len(sent):
+        of, chunk = np.cumsum(new) - 1, chunk[order]
+        later = chunk > np.minimum.reduceat(chunk, np.flatnonzero(new))[of]
+        status[order] = np.where(later, LATER, np.where(_several(sent["tag"][order[new]])[of], CONTESTED, 0))
+    return _table(bucket=rows["_bucket"].to_numpy(), chunk=rows["_chunk"].to_numpy(), shared=rows["_shared"].combine_chunks(), data=_binary(status, sizes))
+
+
+def _recall(p: Phrases, settled: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases of shared triggers, their numbers among the distinct ones sent, and of these a phrase, the bucket and the answer."""
+    to, _, number = _triggers(p, buckets)
+    bucket, sizes = _runs(to)
+    settled = _in_order(settled)
+    asked = settled["_bucket"].to_numpy()
+    flags = np.zeros(len(to), bool)
+    flags[np.repeat(np.isin(bucket, asked), sizes)] = _from_bits(settled["_shared"], sizes[np.isin(bucket, asked)])
+    at = np.flatnonzero(flags[number])
+    first, of = _distinct(p, at, to[number[at]])
+    first = at[first]
+    status, counts = _numbers(settled["_data"])
+    bucket, sizes = _runs(to[number[first]])
+    _agree(asked, bucket)
+    _agree(counts, sizes)
+    return at, of, first, to[number[first]], status
+
+
+def _send_texts(table: pa.Table, settled: pa.Table, buckets: int) -> pa.Table:
+    p = parse(X.as_bytes(table["_text"]) if len(table) else [])
+    _, _, first, to, status = _recall(p, settled, buckets)
+    say = status == CONTESTED
+    first, (bucket, sizes) = first[say], _runs(to[say])
+    size = p.windows[first] + (WINDOW - 1)
+    return _table(bucket=bucket, chunk=np.full(len(bucket), table["_chunk"][0].as_py() if len(table) else 0), windows=_binary(p.windows[first].astype(np.uint8), sizes),
+                  text=_binary(p.texts(first), np.add.reduceat(size, np.cumsum(sizes) - sizes) if len(sizes) else sizes))
+
+
+def _words(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """The 8 bytes at ``depth`` of each suffix as a number; beyond a window, and beyond the text, they are 0."""
+    out = np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))[at + depth].astype(np.uint64)
+    beyond = max(0, depth + 8 - WINDOW)
+    return out >> np.uint64(8 * beyond) << np.uint64(8 * beyond) if beyond else out
 
 
 def suffix_order(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at these places to the depth of a window, and which differ from the one before."""
-    words = -(-WINDOW // 8)
-    padded = np.concatenate([text, np.zeros(8 * words, np.uint8)])
-    keys = []
-    for k in range(words):
-        place = at[:, None] + np.arange(8 * k, 8 * k + 8)
-        part = padded[place]
-        part[:, max(0, WINDOW - 8 * k):] = 0
-        keys.append(part.view(">u8").ravel().astype(np.uint64))
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    new[1:] = False
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
+    text = np.concatenate([text, np.zeros(WINDOW + 8, np.uint8)])
+    key = _words(text, at, 0)
+    order = np.argsort(key)
+    new = _new(key[order])
+    for depth in range(8, WINDOW, 8):
+        # those that agree so far, by what comes next
+        ends = np.append(new[1:], True)
+        tied = np.flatnonzero(~(new & ends))
+        if not len(tied):
+            break
+        key = _words(text, at[order[tied]], depth)
+        by_key = np.argsort(key)
+        rank = np.empty(len(tied), np.uint64)
+        rank[by_key] = np.cumsum(_new(key[by_key]))
+        rank |= np.cumsum(new[tied]).astype(np.uint64) << np.uint64(32)
+        by_rank = np.argsort(rank)
+        order[tied] = order[tied][by_rank]
+        new[tied] = _new(rank[by_rank])
     return order, new
 
 
+def _smaller(text: np.ndarray, windows: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of each phrase, the windows (as bits) that a phrase of smaller rank has too."""
+    if not len(windows):
+        return np.zeros(0, np.uint32)
+    size = windows.astype(np.int64)
+    begin = np.cumsum(size + (WINDOW - 1)) - (size + (WINDOW - 1))
+    order, new = suffix_order(text, _ranges(begin, size))
+    rank = np.repeat(rank, size)
+    cut = np.flatnonzero(new)
+    least = np.repeat(np.minimum.reduceat(rank[order], cut), np.diff(np.append(cut, len(order))))
+    first = np.empty(len(order), rank.dtype)
+    first[order] = least
+    bits = np.left_shift(np.uint32(1), _ranges(np.zeros(len(size), np.int64), size).astype(np.uint32))
+    return np.bitwise_or.reduceat(np.where(first < rank, bits, np.uint32(0)), np.cumsum(size) - size)
+
+
 def _sort_dictionary(rows: pa.Table) -> pa.Table:
-    """For each chunk and contested phrase: the windows (as bits) that an earlier chunk has."""
-    texts = rows["_text"].to_pylist()
-    hi, lo, windows = (np.concatenate([np.frombuffer(x, t) for x in rows[c].to_pylist()]) for c, t in (("_hi", "u8"), ("_lo", "u4"), ("_windows", "u4")))
-    chunk = np.repeat(rows["_chunk"].to_numpy(), [len(x) // 8 for x in rows["_hi"].to_pylist()])
-    # one dictionary entry per phrase, with its first chunk: the parse's contribution to the order
-    order = np.lexsort((chunk, lo, hi))
-    new = np.ones(len(order), bool)
-    new[1:] = (hi[order][1:] != hi[order][:-1]) | (lo[order][1:] != lo[order][:-1])
-    begin = np.concatenate([[0], np.cumsum(windows.astype(np.int64) + WINDOW - 1)])[:-1]
-    entry = order[new]
-    of_entry = np.empty(len(order), np.int64)
-    of_entry[order] = np.cumsum(new) - 1
-    size = windows[entry].astype(np.int64)
-    owner = np.repeat(np.arange(len(entry)), size)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    order, new = suffix_order(data, begin[entry][owner] + number)
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    first = np.full(int(new.sum()), np.iinfo(np.int32).max, np.int64)
-    np.minimum.at(first, group, chunk[entry][owner])
-    first = first[group]                      # first chunk of each window of each entry
-    bounds = np.concatenate([[0], np.cumsum(size)])
-    mask = np.zeros(len(chunk), np.uint32)
-    for k in range(REACH):
-        has = np.flatnonzero(windows > k)
-        earlier = first[bounds[of_entry[has]] + k] < chunk[has]
-        mask[has[earlier]] |= np.uint32(1 << k)
-    say = mask > 0
-    return _of_kind(C.answer(chunk[say], hi[say], lo[say], mask[say]), MASKS)
-
-
-def _remove(table: pa.Table, answers: pa.Table, schema: pa.Schema) -> pa.Table:
+    """For each contested phrase sent: the windows (as bits) that an earlier chunk has."""
+    (windows, sizes), (text, _) = _numbers(rows["_windows"]), _numbers(rows["_text"])
+    mask = _smaller(text, windows, np.repeat(rows["_chunk"].to_numpy(), sizes))
+    return _table(bucket=rows["_bucket"].to_numpy(), chunk=rows["_chunk"].to_numpy(), data=_binary(mask, sizes))
+
+
+def _remove(table: pa.Table, answers: pa.Table, schema: pa.Schema, buckets: int) -> pa.Table:
     if not len(table):
         return schema.empty_table()
-    table = table.sort_by([("_id", "ascending"), ("_text", "ascending")])
     texts, missing = X.as_bytes(table["_text"]), table["_id"].is_null().to_numpy()
     rank = np.unique(table["_id"].fill_null(0).to_numpy(), return_inverse=True)[1]
     rank[missing] = len(rank)
-    later_hi, later_lo = _sorted_answers(answers.filter(pc.equal(answers["_kind"], LATER)))
-    mask_hi, mask_lo, mask = _sorted_answers(answers.filter(pc.equal(answers["_kind"], MASKS)), "u4")
-    parts = list(_parts(texts))
-    doc = rank[np.concatenate([a + p.doc for a, p in parts])]
-    trigger, hi, lo, windows = (np.concatenate([getattr(p, c) for _, p in parts]) for c in ("trigger", "hi", "lo", "windows"))
-    bits = np.zeros(len(doc), np.uint32)
-    every = ((np.uint64(1) << windows.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
-    gone = _find(hi, lo, later_hi, later_lo) >= 0
-    bits[gone] = every[gone]
-    at = _find(hi, lo, mask_hi, mask_lo)
-    bits[at >= 0] |= mask[at[at >= 0]]
-    # phrases and windows that a smaller document of this chunk has: triggers that the chunk has once are out
-    _, group, count = np.unique(trigger, return_inverse=True, return_counts=True)
-    again = np.flatnonzero(count[group] > 1)
-    order = again[np.lexsort((doc[again], lo[again], hi[again], trigger[again]))]
-    first_t, first_p = np.ones(len(order), bool), np.ones(len(order), bool)
-    if len(order):
-        t, h, w = trigger[order], hi[order], lo[order]
-        first_t[1:] = t[1:] != t[:-1]
-        first_p[1:] = first_t[1:] | (h[1:] != h[:-1]) | (w[1:] != w[:-1])
-    least = doc[order][first_p][np.cumsum(first_p) - 1] if len(order) else doc[order]
-    copy = order[doc[order] > least]
-    bits[copy] = every[copy]
-    several = (np.bincount(np.cumsum(first_t) - 1, first_p) > 1)[np.cumsum(first_t) - 1] if len(order) else first_t
-    if several.any():
-        _compare_inside(parts, order[several & first_p], order, first_p, doc, windows, bits)
-    return _cut(table, texts, parts, bits, schema)
-
-
-def _compare_inside(parts, entries, order, first_p, doc, windows, bits) -> None:
-    """Windows of contested phrases that a smaller document of the chunk has, into ``bits``."""
-    begins = np.concatenate([[0], np.cumsum([len(p.start) for _, p in parts])])
-    part = np.searchsorted(begins, entries, side="right") - 1
-    pieces = [parts[q][1].text(int(k - begins[q])) for q, k in zip(part, entries, strict=True)]
-    size = windows[entries].astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(size + WINDOW - 1)])[:-1]
-    owner = np.repeat(np.arange(len(entries)), size)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    sorted_, new = suffix_order(np.frombuffer(b"".join(pieces), np.uint8), begin[owner] + number)
-    group = np.empty(len(sorted_), np.int64)
-    group[sorted_] = np.cumsum(new) - 1
-    first = np.full(int(new.sum()), np.iinfo(np.int64).max)
-    np.minimum.at(first, group, doc[entries][owner])
-    first = first[group]
-    # each phrase occurrence looks up its entry's windows
-    place = np.full(len(doc), -1)
-    place[entries] = np.arange(len(entries))
-    of = place[order[first_p]][np.cumsum(first_p) - 1]
-    here = np.flatnonzero(of >= 0)
-    rows, of = order[here], of[here]
-    bounds = np.concatenate([[0], np.cumsum(size)])
-    for k in range(REACH):
-        has = np.flatnonzero(windows[rows] > k)
-        smaller = first[bounds[of[has]] + k] < doc[rows[has]]
-        bits[rows[has[smaller]]] |= np.uint32(1 << k)
-
-
-def _cut(table: pa.Table, texts: list[bytes], parts, bits: np.ndarray, schema: pa.Schema) -> pa.Table:
-    n_removed, n_spans, kept, done = [], [], [], 0
-    for _, p in parts:
-        mine = bits[done:done + len(p.start)]
-        done += len(p.start)
-        cover = np.zeros(len(p.raw) + 1, np.int32)
-        for k in range(REACH):
-            at = p.start[(mine >> np.uint32(k)) & np.uint32(1) == 1] + k
-            cover[at] += 1
-            cover[at + WINDOW] -= 1
-        drop = np.cumsum(cover[:-1]) > 0
-        sums = np.concatenate([[0], np.cumsum(drop)])
-        starts = np.concatenate([[0], np.cumsum(drop & ~np.concatenate([[False], drop[:-1]]))])
-        lost = (sums[p.base[1:] - 1] - sums[p.base[:-1]]).tolist()
-        n_removed += lost
-        n_spans += (starts[p.base[1:] - 1] - starts[p.base[:-1]]).tolist()
-        raw = np.frombuffer(p.raw, np.uint8)
-        for a, b, n in zip(p.base[:-1].tolist(), (p.base[1:] - 1).tolist(), lost, strict=True):
-            kept.append(raw[a:b][~drop[a:b]].tobytes() if n else p.raw[a:b])
+    p = parse(texts)
+    at, of, first, to, status = _recall(p, answers.filter(answers["_shared"].is_valid()), buckets)
+    every = ((np.uint64(1) << p.windows.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+    gone = np.where(status == LATER, every[first], np.uint32(0))
+    masks = _in_order(answers.filter(answers["_shared"].is_null()))
+    mask, counts = _numbers(masks["_data"], "u4")
+    _agree(np.repeat(masks["_bucket"].to_numpy(), counts), to[status == CONTESTED])
+    gone[status == CONTESTED] = mask
+    bits = np.zeros(len(every), np.uint32)
+    bits[at] = gone[of]
+    _repeats_inside(p, rank[p.doc], every, bits)
+    return _cut(table, texts, p, bits, schema)
+
+
+def _repeats_inside(p: Phrases, doc: np.ndarray, every: np.ndarray, bits: np.ndarray) -> None:
+    """Phrases and windows that a smaller document of the chunk has, into ``bits``. What is gone for all of the chunk is out."""
+    left = np.flatnonzero(bits != every)
+    if not len(left):
+        return
+    order, new = _by_fingerprint(p.hi[left], p.lo[left])
+    order = left[order]
+    of, cut = np.cumsum(new) - 1, np.flatnonzero(new)
+    least = np.minimum.reduceat(doc[order], cut)
+    copy = doc[order] > least[of]
+    # windows of phrases whose trigger has others, of other documents
+    some = np.flatnonzero(_several(p.trigger[order[cut]]))
+    some = some[np.argsort(p.trigger[order[cut[some]]])]
+    if len(some):
+        begin = np.flatnonzero(_new(p.trigger[order[cut[some]]]))
+        differ = np.minimum.reduceat(least[some], begin) < np.maximum.reduceat(least[some], begin)
+        some = some[np.repeat(differ, np.diff(np.append(begin, len(some))))]
+    entry = order[cut[some]]
+    mask = np.zeros(len(cut), np.uint32)
+    mask[some] = _smaller(p.texts(entry), p.windows[entry], least[some])
+    bits[order] |= np.where(copy, every[order], mask[of])
+
+
+def _cut(table: pa.Table, texts: list[bytes], p: Phrases, bits: np.ndarray, schema: pa.Schema) -> pa.Table:
+    some = np.flatnonzero(bits)
+    row, number = np.nonzero(np.unpackbits(bits[some].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little"))
+    gone = p.start[some][row] + number
+    # windows that overlap or touch are one span; texts are a byte apart
+    far = gone[1:] > gone[:-1] + WINDOW
+    begin, end = gone[np.append(True, far)[:len(gone)]], gone[np.append(far, True)[:len(gone)]] + WINDOW
+    doc = np.searchsorted(p.base, begin, side="right") - 1
+    n_spans = np.bincount(doc, minlength=len(texts))
+    sums = np.concatenate([[0], np.cumsum(end - begin)])
+    last = np.cumsum(n_spans)
+    n_removed = sums[last] - sums[last - n_spans]
+    kept = list(texts)
+    for k in np.flatnonzero(n_spans).tolist():
+        spans = slice(last[k] - n_spans[k], last[k])
+        starts, stops = [*begin[spans].tolist(), int(p.base[k + 1]) - 1], [int(p.base[k]), *end[spans].tolist()]
+        kept[k] = b"".join(p.raw[a:b] for a, b in zip(stops, starts, strict=True))
     return pa.Table.from_arrays([table["_id"], pa.array([len(t) for t in texts], pa.int64()), pa.array(n_removed, pa.int64()),
                                  pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())], schema=schema)
 
@@ -372,14 +472,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     d, buckets = C.in_chunks(docs, id_col, text_col, [])
     by_chunk = d.select("_id", "_text", "_chunk").groupBy("_chunk")
-    triggers = C.shared(by_chunk.applyInArrow(lambda t: _send_triggers(t, buckets), C.PACK_SCHEMA), "u8")
-    phrases = by_chunk.cogroup(triggers.groupBy("_chunk")).applyInArrow(lambda t, a: _send_phrases(t, a, buckets), C.PACK_SCHEMA)
-    settled = phrases.groupBy("_bucket").applyInArrow(_settle, SETTLED_SCHEMA)
-    contested = settled.where(F.col("_kind") == CONTESTED).select("_chunk", "_data")
-    texts = by_chunk.cogroup(contested.groupBy("_chunk")).applyInArrow(lambda t, a: _send_texts(t, a, buckets), TEXT_SCHEMA)
-    masks = texts.groupBy("_bucket").applyInArrow(_sort_dictionary, SETTLED_SCHEMA)
-    answers = settled.where(F.col("_kind") == LATER).union(masks)
+    triggers = by_chunk.applyInArrow(lambda t: _send_triggers(t, buckets), ROW_SCHEMA)
+    shared = triggers.groupBy("_bucket").applyInArrow(_shared, ROW_SCHEMA)
+    phrases = by_chunk.cogroup(shared.groupBy("_chunk")).applyInArrow(lambda t, a: _send_phrases(t, a, buckets), PHRASE_SCHEMA)
+    settled = phrases.groupBy("_bucket").applyInArrow(_settle, PHRASE_SCHEMA)
+    texts = by_chunk.cogroup(settled.groupBy("_chunk")).applyInArrow(lambda t, a: _send_texts(t, a, buckets), TEXT_SCHEMA)
+    masks = texts.groupBy("_bucket").applyInArrow(_sort_dictionary, ROW_SCHEMA)
+    answers = settled.unionByName(masks.withColumn("_shared", F.lit(None).cast("binary")))
     schema = T.StructType([T.StructField(id_col, T.LongType()), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")),
                            T.StructField("kept", T.BinaryType())])
     arrow = to_arrow_schema(schema)
-    return by_chunk.cogroup(answers.groupBy("_chunk")).applyInArrow(lambda t, a: _remove(t, a, arrow), schema)
+    return by_chunk.cogroup(answers.groupBy("_chunk")).applyInArrow(lambda t, a: _remove(t, a, arrow, buckets), schema)

@@ -1,9 +1,13 @@
 """Substring and suffix dedup against brute force."""
 
+import random
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from learnlog.llm import chunks
+from learnlog.llm import suffix_dedup as suffixes
 from learnlog.llm.substring_dedup import substring_dedup
 from learnlog.llm.suffix_dedup import suffix_dedup, suffix_order
 
@@ -98,3 +102,58 @@ def test_queries_on_whole_table(spark):
          [(*r[:3], hashlib.sha256(r[3].encode()).hexdigest()) for r in words_left(rows)])
     same(QUERIES["op9_suffix_dedup"](spark, sf).collect(),
          [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in bytes_left(rows)])
+
+
+def template_docs():
+    """Texts that share headers and footers with other words around them, so that triggers have several phrases; one text is of several slices."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdé") for _ in range(rng.randrange(2, 7))) for _ in range(40)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    heads, feet, long = [prose(14) for _ in range(3)], [prose(12) for _ in range(3)], prose(40_000)
+    texts = [f"{prose(rng.randrange(6))} {rng.choice(heads)} {prose(rng.randrange(30))} {rng.choice(feet)}{prose(rng.randrange(3))}" for _ in range(150)]
+    texts += [long, f"x{long[:90_000]}y{long[90_001:]}", texts[3], texts[7] + texts[3], None, ""]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[9]), (5, texts[70]), (None, texts[3]), (None, prose(20) + heads[0])]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_suffix_dedup_of_templates(spark, chunk_bytes):
+    rows = template_docs()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same([(*r[:4], bytes(r[4])) for r in suffix_dedup(frame).collect()], bytes_left(rows))
+
+
+def passes(chunk_texts, buckets=7):
+    """What chunks of texts send in each pass of suffix dedup."""
+    tables = [pa.table({"_text": pa.array(t), "_chunk": pa.array([k] * len(t), pa.int32())}) for k, t in enumerate(chunk_texts)]
+
+    def by(rows, key, reduce):
+        return pa.concat_tables([reduce(rows.filter(pa.array(rows[key].to_numpy() == k))) for k in np.unique(rows[key].to_numpy())])
+
+    triggers = pa.concat_tables([suffixes._send_triggers(t, buckets) for t in tables])
+    answers = by(triggers, "_bucket", suffixes._shared)
+    mine = lambda rows, k: rows.filter(pa.array(rows["_chunk"].to_numpy() == k))
+    phrases = pa.concat_tables([suffixes._send_phrases(t, mine(answers, k), buckets) for k, t in enumerate(tables)])
+    settled = by(phrases, "_bucket", suffixes._settle)
+    return triggers, answers, phrases, settled, [suffixes._send_texts(t, mine(settled, k), buckets) for k, t in enumerate(tables)]
+
+
+def test_suffix_dedup_sends_contested_texts_once():
+    """However many chunks hold copies of a contested phrase, its text goes to the dictionary once, and answers repeat no fingerprint."""
+    texts = [t for _, t in template_docs()[:100] if t]
+    size = lambda rows: sum(len(x) for x in rows["_data"].to_pylist())
+    sent = [sum(len(x) for x in t["_text"].to_pylist()) for t in passes([texts] * 5)[-1]]
+    assert sent[0] > 0 and sent[1:] == [0] * 4
+    triggers, answers, phrases, settled, _ = passes([texts] * 5)
+    distinct = len(np.unique(suffixes.parse([t.encode() for t in texts]).trigger))
+    assert size(triggers) == 5 * 4 * distinct
+    assert size(answers) <= size(triggers) / 32 + len(answers)
+    assert size(settled) == size(phrases) / 16
+
+
+def test_suffix_dedup_rejects_answers_of_other_texts():
+    texts = [[t for _, t in template_docs()[:40] if t]] * 2
+    settled = passes(texts)[3]
+    changed = pa.table({"_text": pa.array(texts[0][:-5]), "_chunk": pa.array([0] * (len(texts[0]) - 5), pa.int32())})
+    with pytest.raises(ValueError, match="rows have changed"):
+        suffixes._send_texts(changed, settled.filter(pa.array(settled["_chunk"].to_numpy() == 0)), 7)
